@@ -136,7 +136,8 @@ NUMBERED = f"""numbered AS (
     ORDER BY file_position, {_uniform('doc_id')}, doc_id) - 1 AS row_in_shard FROM sharded),
 batched AS (SELECT *, (row_in_shard // {BATCH})::bigint AS batch_id FROM numbered),
 per_shard AS (SELECT split, shard, (count(*) // {BATCH})::bigint AS batches FROM sharded GROUP BY ALL),
-fewest AS (SELECT split, min(batches) AS min_batches FROM per_shard GROUP BY split)"""
+fewest AS (
+  SELECT split, CASE WHEN count(*) < {WORLD} THEN 0 ELSE min(batches) END AS min_batches FROM per_shard GROUP BY split)"""
 
 SHARDS = _with(LABELLED, FILED, _sharded("filed"), NUMBERED)
 _BATCHED = "doc_id, split, shard, row_in_shard, batch_id"

@@ -92,7 +92,7 @@ def parquet_roundtrip_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "dataset")
     pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=SHORT_LENGTH)
     scanned = datasets.scan(spark, path)
-    placed = shard.with_shard(scanned, 1)
+    placed = shard.with_shard(scanned, _layout(scanned))
     tokens = F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, m: a + m)
     return placed.groupBy("split", "file_position").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(tokens).alias("tokens"), F.sum("label").alias("positives")
@@ -249,43 +249,47 @@ def _filed(spark: SparkSession, folder: str) -> DataFrame:
     return pp.with_files(rows, FILES)
 
 
-def _sharded(spark: SparkSession, folder: str, policy: str = shard.LAST_TAKES_REST) -> DataFrame:
-    return shard.with_shard(_filed(spark, folder), WORLD, policy)
+def _layout(rows: DataFrame, policy: str = shard.LAST_TAKES_REST) -> DataFrame:
+    return oe.materialise(shard.shard_layout(shard.count_file_rows(rows), WORLD, policy), "layout")
 
 
 def shard_drop_remainder(spark: SparkSession, folder: str) -> DataFrame:
-    return _sharded(spark, folder, shard.DROP_REMAINDER).select("doc_id", "split", "file_position", "shard")
+    rows = _filed(spark, folder)
+    placed = shard.with_shard(rows, _layout(rows, shard.DROP_REMAINDER))
+    return placed.select("doc_id", "split", "file_position", "shard")
 
 
 def shard_last_takes_rest(spark: SparkSession, folder: str) -> DataFrame:
-    return _sharded(spark, folder).select("doc_id", "split", "file_position", "shard")
+    rows = _filed(spark, folder)
+    return shard.with_shard(rows, _layout(rows)).select("doc_id", "split", "file_position", "shard")
 
 
-def _numbered(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.with_row_in_shard(_sharded(spark, folder))
+def _batched(rows: DataFrame, keep: str) -> DataFrame:
+    layout = oe.materialise(batch.batch_layout(_layout(rows), BATCH, WORLD, keep), "batches")
+    return batch.with_batches(rows, layout, BATCH)
 
 
 _BATCHED = ("doc_id", "split", "shard", "row_in_shard", "batch_id")
 
 
 def batch_drop_last(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.with_batches(_numbered(spark, folder), BATCH).select(*_BATCHED)
+    return _batched(_filed(spark, folder), batch.DROP_LAST).select(*_BATCHED)
 
 
 def batch_keep_last(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.with_batches(_numbered(spark, folder), BATCH, drop_last=False).select(*_BATCHED)
+    return _batched(_filed(spark, folder), batch.KEEP_ALL).select(*_BATCHED)
 
 
 def batches_per_shard(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.batch_counts(_sharded(spark, folder), BATCH)
+    return batch.batch_counts(_layout(_filed(spark, folder)), BATCH)
 
 
 def min_batches(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.min_batch_counts(_sharded(spark, folder), BATCH)
+    return batch.min_batch_counts(_layout(_filed(spark, folder)), BATCH, WORLD)
 
 
 def batch_truncate(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.truncate_to_min(_numbered(spark, folder), BATCH).select(*_BATCHED)
+    return _batched(_filed(spark, folder), batch.MATCHED).select(*_BATCHED)
 
 
 # Training.
@@ -300,8 +304,7 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _batched_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    placed = shard.with_shard(pp.with_files(_vectors(spark, folder), FILES), WORLD)
-    return batch.truncate_to_min(batch.with_row_in_shard(placed), BATCH)
+    return _batched(pp.with_files(_vectors(spark, folder), FILES), batch.MATCHED)
 
 
 def _scored(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
@@ -341,9 +344,7 @@ def train_history_text(spark: SparkSession, folder: str) -> DataFrame:
     """Prepare the labelled documents, then train on the written dataset."""
     path = scratch_path(spark, "train-text")
     pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=SHORT_LENGTH)
-    rows = shard.with_shard(datasets.scan(spark, path), WORLD)
-    data = batch.truncate_to_min(batch.with_row_in_scanned_shard(rows), BATCH)
-    data = oe.materialise(data.select("split", "label", "input_ids", "batch_id"), "batches")
+    data = _batched(datasets.scan(spark, path), batch.MATCHED)
     _, series = fit(data, Features("input_ids", 512, hashed=True), epochs=2, lr=ADAM_LR, steps_per_epoch=2)
     return history_frame(spark, "text", series)
 

@@ -1,69 +1,65 @@
-"""Mini-batches of a shard and the batch counts the ranks agree on."""
+"""Mini-batches of a shard and the batch counts the ranks agree on.
+
+All counts come from the file layout, one row per file; rows are touched once, to give
+each its place.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.functions.hashing import order_uniform
-from corpusloom.operators.numbering import bucket_offsets, number_rows
-
-SHARD = ["split", "shard"]
-
-
-def with_row_in_shard(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Number a shard's rows in file order, then in the order rows are written."""
-    return number_rows(
-        df, group=SHARD, major=["file_position"],
-        minor=[order_uniform(F.col(key)), key], name="row_in_shard",
-    )
 
+# Which batches to keep: all of them, only whole ones, or only as many whole ones as the
+# rank with the fewest can supply.
+KEEP_ALL, DROP_LAST, MATCHED = "keep_all", "drop_last", "matched"
 
-def with_row_in_scanned_shard(df: DataFrame) -> DataFrame:
-    """The same numbers for a scanned dataset, which carries each row's place in its file
-    as `row_in_file`: only counts are shuffled, rows stay where they were read."""
-    offsets = bucket_offsets(df, SHARD, ["file_position"]).drop("bucket_rows")
-    placed = df.join(offsets, [*SHARD, "file_position"])
-    number = (F.col("bucket_start") + F.col("row_in_file")).cast("long")
-    return placed.withColumn("row_in_shard", number).drop("bucket_start")
 
-
-def batch_of_row(batch_size: int) -> Column:
-    return F.floor(F.col("row_in_shard") / batch_size).cast("long")
-
-
-def batch_counts(df: DataFrame, batch_size: int, drop_last: bool = True) -> DataFrame:
-    """Batches per shard, from row counts alone."""
-    per_shard = F.count(F.lit(1)) / batch_size
+def batch_counts(layout: DataFrame, batch_size: int, drop_last: bool = True) -> DataFrame:
+    """Batches per shard."""
+    per_shard = F.sum("file_rows") / batch_size
     batches = F.floor(per_shard) if drop_last else F.ceil(per_shard)
-    return df.groupBy(*SHARD).agg(batches.cast("long").alias("batches"))
+    return layout.groupBy("split", "shard").agg(batches.cast("long").alias("batches"))
 
 
-def min_batch_counts(df: DataFrame, batch_size: int, drop_last: bool = True) -> DataFrame:
-    """The least batch count over shards, per split: what every rank can supply."""
-    counts = batch_counts(df, batch_size, drop_last)
-    return counts.groupBy("split").agg(F.min("batches").alias("min_batches"))
+def min_batch_counts(layout: DataFrame, batch_size: int, world: int, drop_last: bool = True) -> DataFrame:
+    """The least batch count over ranks, per split; a rank without files supplies none."""
+    counts = batch_counts(layout, batch_size, drop_last)
+    fewest = F.when(F.count(F.lit(1)) < world, 0).otherwise(F.min("batches")).cast("long")
+    return counts.groupBy("split").agg(fewest.alias("min_batches"))
 
 
-def with_batches(df: DataFrame, batch_size: int, drop_last: bool = True) -> DataFrame:
-    """Add `batch_id` to rows numbered within their shard.
+def batch_layout(layout: DataFrame, batch_size: int, world: int, keep: str = MATCHED) -> DataFrame:
+    """The layout with `batch_limit`, the number of batches kept of each shard."""
+    if keep == KEEP_ALL:
+        return layout.withColumn("batch_limit", F.lit(None).cast("long"))
+    if keep == DROP_LAST:
+        limits, on = batch_counts(layout, batch_size).withColumnRenamed("batches", "batch_limit"), ["split", "shard"]
+    elif keep == MATCHED:
+        limits = min_batch_counts(layout, batch_size, world).withColumnRenamed("min_batches", "batch_limit")
+        on = ["split"]
+    else:
+        raise ValueError(f"unknown batch policy {keep!r}")
+    return layout.join(limits, on)
 
-    With `drop_last` the rows of a short last batch are left out.
-    """
-    batched = df.withColumn("batch_id", batch_of_row(batch_size))
-    if not drop_last:
-        return batched
-    counts = batch_counts(df, batch_size)
-    return batched.join(counts, SHARD).filter("batch_id < batches").drop("batches")
+
+def row_in_file(key: str = "doc_id") -> Column:
+    """A row's place in its file when the rows were not read from one: write order."""
+    written = Window.partitionBy("split", "file").orderBy(order_uniform(F.col(key)), key)
+    return F.row_number().over(written) - 1
 
 
-def truncate_to_min(df: DataFrame, batch_size: int) -> DataFrame:
-    """Batches that every rank of a split can match, so all take equally many steps.
+def with_batches(df: DataFrame, layout: DataFrame, batch_size: int, key: str = "doc_id") -> DataFrame:
+    """Add `shard`, `row_in_shard` and `batch_id`, keeping the layout's batches.
 
-    The counts come from the numbered rows before batching, so short batches never count.
+    `layout` comes from `batch_layout`.  Scanned rows bring `row_in_file` and are not
+    shuffled; other rows are numbered within their file.
     """
-    batched = df.withColumn("batch_id", batch_of_row(batch_size))
-    return (
-        batched.join(min_batch_counts(df, batch_size), "split")
-        .filter("batch_id < min_batches")
-        .drop("min_batches")
+    rows = df if "row_in_file" in df.columns else df.withColumn("row_in_file", row_in_file(key))
+    places = layout.select("split", "file", "shard", "file_start", "batch_limit")
+    number = (F.col("file_start") + F.col("row_in_file")).cast("long")
+    batched = rows.join(places, ["split", "file"]).withColumn("row_in_shard", number).withColumn(
+        "batch_id", F.floor(F.col("row_in_shard") / batch_size).cast("long")
     )
+    kept = batched.filter(F.col("batch_limit").isNull() | (F.col("batch_id") < F.col("batch_limit")))
+    return kept.drop("file_start", "row_in_file", "batch_limit")

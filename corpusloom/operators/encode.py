@@ -49,13 +49,22 @@ def encode(
 
     `vocab` is read twice and should be a written table.  `pieces` splits words that are
     not in the vocabulary; `pretrained_words` also sets marks and ideographs apart and
-    strips accents, as an uncased pretrained vocabulary expects.
+    strips accents, as an uncased pretrained vocabulary expects.  A vocabulary too large
+    to broadcast is joined instead, which needs `key` to identify rows.
     """
     shared = broadcast_vocab(vocab, max_tokens)
     if shared is None:
         if pieces:
             raise ValueError("a word-piece vocabulary must fit the broadcast bounds")
-        return encode_by_join(df, vocab, max_length, text, key)
+        return encode_by_join(materialise(df, "texts"), vocab, max_length, text, key)
+    return encode_with(df, shared, max_length, text, pieces, pretrained_words)
+
+
+def encode_with(
+    df: DataFrame, shared, max_length: int = MAX_LENGTH, text: str = "text",
+    pieces: bool = False, pretrained_words: bool = False,
+) -> DataFrame:
+    """`encode` against a vocabulary that `broadcast_vocab` accepted: narrow, order kept."""
     column = fw.spread_marks(F.col(text)) if pretrained_words else F.col(text)
     words = fe.leading_words(column, max_length)
     if pieces:
@@ -71,7 +80,7 @@ def encode_by_join(
 ) -> DataFrame:
     """The same column for a vocabulary of any size, by joining words to it.
 
-    `key` must identify rows.  Ids follow frequency, so the lowest ids are the frequent
+    `key` must identify rows; `df` is read twice and should be a written table.  Ids follow frequency, so the lowest ids are the frequent
     tokens: those are matched against a small broadcast, and their rows are spread over
     all tasks for the second join, where only rare tokens are matched by value.  At most
     `max_length` - 2 words of a row come together again.

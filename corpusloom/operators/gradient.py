@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.functions.head import Features
 from corpusloom.schemas import PAD, TRAIN
@@ -93,8 +93,10 @@ def summed(partials: DataFrame) -> DataFrame:
 def gradient(df: DataFrame, features: Features, weights: np.ndarray) -> DataFrame:
     """`(k, j, gradient)` of the mean training loss; zero entries are left out."""
     sums = summed(partial_sums(df, features, weights)).filter(F.col("split") == TRAIN)
-    rows = sums.filter((F.col("k") == METRIC) & (F.col("j") == ROWS)).select("split", F.col("value").alias("rows"))
-    entries = sums.filter(F.col("k") != METRIC).join(rows, "split")
+    is_count = (F.col("k") == METRIC) & (F.col("j") == ROWS)
+    # The window sees the model's entries and three metrics, not the rows.
+    rows = F.max(F.when(is_count, F.col("value"))).over(Window.partitionBy("split"))
+    entries = sums.withColumn("rows", rows).filter(F.col("k") != METRIC)
     return entries.select("k", "j", (F.col("value") / F.col("rows")).alias("gradient"))
 
 

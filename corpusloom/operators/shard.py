@@ -33,27 +33,38 @@ def shard_of_file(position: Column, files: Column, world: int, policy: str) -> C
     raise ValueError(f"unknown shard policy {policy!r}")
 
 
-def shard_map(
-    df: DataFrame, world: int, policy: str = LAST_TAKES_REST,
-    group: str = "split", file: str = "file",
-) -> DataFrame:
-    """One row per (group, file) with its sorted position and shard.
-
-    The distinct files are found with a map-side combine; what the window sorts is the
-    list of files of a dataset, not its rows.
+def count_file_rows(df: DataFrame, group: str = "split", file: str = "file") -> DataFrame:
+    """Rows of every file; combined map-side, so as many rows out as there are files."""
+    return df.groupBy(F.col(group).alias("split"), F.col(file).alias("file")).agg(
+        F.count(F.lit(1)).alias("file_rows")
+    )
+
+
+def shard_layout(file_rows: DataFrame, world: int, policy: str = LAST_TAKES_REST) -> DataFrame:
+    """Where each file goes: `(split, file, file_rows, file_position, shard, file_start)`.
+
+    `file_start` is the number of rows before the file in its shard.  Files that no rank
+    reads are left out.  Everything about shards and batches follows from this table, one
+    row per file; write it once (`materialise`) and join rows to it.
     """
-    files = df.select(group, file).distinct()
-    position = F.row_number().over(Window.partitionBy(group).orderBy(file)) - 1
-    total = F.count(F.lit(1)).over(Window.partitionBy(group))
-    shards = files.withColumns({"file_position": position, "group_files": total}).withColumn(
-        "shard", shard_of_file(F.col("file_position"), F.col("group_files"), world, policy)
+    of_split = Window.partitionBy("split")
+    placed = file_rows.withColumns({
+        "file_position": F.row_number().over(of_split.orderBy("file")) - 1,
+        "files": F.count(F.lit(1)).over(of_split),
+    })
+    placed = placed.withColumn("shard", shard_of_file(F.col("file_position"), F.col("files"), world, policy))
+    before = (
+        Window.partitionBy("split", "shard").orderBy("file_position")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return shards.drop("group_files").filter("shard is not null")
+    start = F.coalesce(F.sum("file_rows").over(before), F.lit(0))
+    return placed.drop("files").filter("shard is not null").withColumn("file_start", start)
+
 
+def with_shard(df: DataFrame, layout: DataFrame) -> DataFrame:
+    """Add `file_position` and `shard`; rows of files that no rank reads are left out.
 
-def with_shard(
-    df: DataFrame, world: int, policy: str = LAST_TAKES_REST,
-    group: str = "split", file: str = "file",
-) -> DataFrame:
-    """Add `file_position` and `shard`; rows of files that no rank reads are left out."""
-    return df.join(shard_map(df, world, policy, group, file), [group, file])
+    A written layout has a known size, so Spark broadcasts it while it is small; beyond
+    that rows meet it by file, and files are even.
+    """
+    return df.join(layout.select("split", "file", "file_position", "shard"), ["split", "file"])

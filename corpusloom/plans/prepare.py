@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.functions.clean import clean_and_filter
 from corpusloom.functions.hashing import file_number
-from corpusloom.operators.encode import encode, materialise
+from corpusloom.operators.encode import broadcast_vocab, encode, encode_with, materialise
 from corpusloom.operators.numbering import default_buckets, hash_bucket
 from corpusloom.operators.split import cap_for_split, sample_cap, with_split
 from corpusloom.operators.vocab import build_piece_vocab, build_vocab
@@ -84,8 +84,12 @@ def prepare(
         corpus = clean_and_filter(labelled.select("text"))
         vocab = build_piece_vocab(corpus, vocab_size, pieces) if pieces else build_vocab(corpus, vocab_size)
         vocab = materialise(vocab, "vocab")
-    placed = datasets.arrange(rows, files)
-    encoded = encode(placed, vocab, max_length, pieces=pieces > 0, pretrained_words=pretrained_words)
+    shared = broadcast_vocab(vocab)
+    if shared is not None:
+        placed = datasets.arrange(rows, files)
+        encoded = encode_with(placed, shared, max_length, pieces=pieces > 0, pretrained_words=pretrained_words)
+    else:
+        encoded = datasets.arrange(encode(rows, vocab, max_length, pieces=pieces > 0), files)
     written = encoded.select("doc_id", "split", "label", "encoding.*")
     written.write.mode("overwrite").partitionBy("split").parquet(path)
     if manifest:
