@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import clean as fc, encode as fe, wordpiece as fw
@@ -11,7 +13,7 @@ from corpusloom.operators import batch, encode as oe, evaluate, shard, split, vo
 from corpusloom.operators.gradient import evaluate_pass, gradient
 from corpusloom.operators.optimizer import HeadState, adamw, initial_weights
 from corpusloom.plans import prepare as pp, report, runs, state as saved, sweep as ps
-from corpusloom.plans.train import fit, history_frame, one_plain_step
+from corpusloom.plans.train import fit, history_frame, one_plain_step, write_steps
 from corpusloom.schemas import IN_DOMAIN, LABELLED, OUT_DOMAIN, TRAIN
 from corpusloom.session import scratch_path
 from corpusloom.sources import datasets, store, tables
@@ -115,9 +117,9 @@ def manifest_lookup(spark: SparkSession, folder: str) -> DataFrame:
 # Text.
 
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
-    documents = tables.read_table(spark, folder, "documents")
+    documents = tables.read_texts(spark, folder, "documents")
     benchmark = tables.read_table(spark, folder, "benchmark")
-    talk = tables.read_table(spark, folder, "conversations")
+    talk = tables.read_texts(spark, folder, "conversations", "conv_id")
     texts = tables.stack(
         documents.select(F.lit("documents").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("turn"), "text"),
         benchmark.select(F.lit("benchmark").alias("kind"), F.col("item_id").alias("id"), F.lit(0).cast("long").alias("turn"), "text"),
@@ -135,11 +137,11 @@ def clean_text_edge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def strip_punct(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.read_table(spark, folder, "documents").select("doc_id", fc.strip_marks(F.col("text")).alias("text"))
+    return tables.read_texts(spark, folder, "documents").select("doc_id", fc.strip_marks(F.col("text")).alias("text"))
 
 
 def min_length_clean(spark: SparkSession, folder: str) -> DataFrame:
-    return fc.clean_and_filter(tables.read_table(spark, folder, "documents").select("doc_id", "text"))
+    return fc.clean_and_filter(tables.read_texts(spark, folder, "documents").select("doc_id", "text"))
 
 
 def min_length_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -149,7 +151,7 @@ def min_length_raw(spark: SparkSession, folder: str) -> DataFrame:
 # Vocabulary and encoding.
 
 def _corpus(spark: SparkSession, folder: str) -> DataFrame:
-    return fc.clean_and_filter(tables.read_table(spark, folder, "documents").select("doc_id", "text"))
+    return fc.clean_and_filter(tables.read_texts(spark, folder, "documents").select("doc_id", "text"))
 
 
 def _vocab(spark: SparkSession, folder: str) -> DataFrame:
@@ -344,7 +346,8 @@ def train_history_text(spark: SparkSession, folder: str) -> DataFrame:
     """Prepare the labelled documents, then train on the written dataset."""
     path = scratch_path(spark, "train-text")
     pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=SHORT_LENGTH)
-    data = _batched(datasets.scan(spark, path), batch.MATCHED)
+    batched = _batched(datasets.scan(spark, path), batch.MATCHED)
+    data = write_steps(batched, scratch_path(spark, "steps"), 2)
     _, series = fit(data, Features("input_ids", 512, hashed=True), epochs=2, lr=ADAM_LR, steps_per_epoch=2)
     return history_frame(spark, "text", series)
 
@@ -353,8 +356,10 @@ def checkpoint_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Saved weights and moments next to those in memory."""
     path = scratch_path(spark, "state")
     state, _ = fit(_vectors(spark, folder), EMBEDDING, epochs=2, lr=ADAM_LR, run_id="a", folder=path)
-    cells = [(k, j, float(state.weights[k, j]), float(state.m[k, j])) for k in range(2) for j in range(65)]
-    memory = spark.createDataFrame(cells, "k int, j int, w_memory double, m_memory double")
+    k, j = (axis.ravel() for axis in np.indices(state.weights.shape))
+    memory = spark.createDataFrame(pa.table(
+        {"k": k, "j": j, "w_memory": state.weights.ravel(), "m_memory": state.m.ravel()}
+    ))
     last = F.col("epoch") == 2
     stored = saved.read(spark, path, "weights").filter(last).join(
         saved.read(spark, path, "optimizer_state").filter(last), ["run_id", "epoch", "k", "j"]

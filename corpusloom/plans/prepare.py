@@ -12,8 +12,8 @@ from corpusloom.operators.encode import broadcast_vocab, encode, encode_with, ma
 from corpusloom.operators.numbering import default_buckets, hash_bucket
 from corpusloom.operators.split import cap_for_split, sample_cap, with_split
 from corpusloom.operators.vocab import build_piece_vocab, build_vocab
-from corpusloom.plans.state import exists
 from corpusloom.schemas import MAX_LENGTH, MIN_CHARS, TRAIN
+from corpusloom.session import path_exists
 from corpusloom.sources import datasets
 
 
@@ -30,9 +30,9 @@ def capped_rows(labelled: DataFrame, samples: int | None) -> DataFrame:
     """`split_rows` under the sample cap, cleaning little more than the sample.
 
     Raw rows are counted per hash bucket without touching the text.  Only the leading
-    buckets that hold twice the cap are cleaned; if too few of their rows survive the
-    length filter, all rows are cleaned instead.  The result is that of capping after
-    cleaning everything.
+    buckets that hold a quarter more than the cap are cleaned and written; if too few of
+    their rows survive the length filter, all rows are cleaned instead.  The result is
+    that of capping after cleaning everything.
     """
     if not samples or samples <= 0:
         return split_rows(labelled)
@@ -42,21 +42,20 @@ def capped_rows(labelled: DataFrame, samples: int | None) -> DataFrame:
     counts = with_split(labelled).withColumn("order_bucket", bucket).groupBy("split", "order_bucket").agg(
         F.count(F.lit(1)).alias("rows")
     )
-    # One row per split: how many leading buckets hold at least twice the cap.
+    # One row per split: the last of the leading buckets that hold enough raw rows.
     wanted = counts.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0))).filter(
-        F.col("start") < 2 * cap_for_split(samples) + 64
+        F.col("start") < 1.25 * cap_for_split(samples) + 64
     )
     last = {r.split: r.last for r in wanted.groupBy("split").agg(F.max("order_bucket").alias("last")).collect()}
     early = F.lit(False)
     for split, end in last.items():
         early = early | ((F.col("split") == split) & (bucket <= end))
-    leading = clean_and_filter(with_split(labelled).filter(early))
-    capped = materialise(sample_cap(leading, samples, buckets=buckets), "capped")
+    leading = materialise(clean_and_filter(with_split(labelled).filter(early)), "leading")
 
-    kept = {r.split: r["count"] for r in capped.groupBy("split").count().collect()}
+    kept = {r.split: r["count"] for r in leading.groupBy("split").count().collect()}
     caps = {s: samples if s == TRAIN else int(samples * 0.2) for s in last}
     cut_short = [s for s, end in last.items() if kept.get(s, 0) < caps[s] and end < buckets - 1]
-    return sample_cap(split_rows(labelled), samples, buckets=buckets) if cut_short else capped
+    return sample_cap(split_rows(labelled) if cut_short else leading, samples, buckets=buckets)
 
 
 def prepare(
@@ -75,8 +74,8 @@ def prepare(
     """Write `(doc_id, label, input_ids, attention_mask)` under `path/split=...`.
 
     Capping comes before encoding, and encoding after the shuffle that evens the files:
-    the shuffle moves short texts rather than two padded arrays, and each task encodes
-    the rows it writes, already in order.  One job writes every split.
+    the shuffle moves only the words that fit, not whole texts or padded arrays, and each
+    task encodes the rows it writes, already in order.  One job writes every split.
     """
     run_id = run_id or uuid.uuid4().hex
     rows = capped_rows(labelled, samples)
@@ -86,7 +85,8 @@ def prepare(
         vocab = materialise(vocab, "vocab")
     shared = broadcast_vocab(vocab)
     if shared is not None:
-        placed = datasets.arrange(rows, files)
+        fitting = F.substring_index("text", " ", max_length - 2)
+        placed = datasets.arrange(rows.withColumn("text", fitting), files)
         encoded = encode_with(placed, shared, max_length, pieces=pieces > 0, pretrained_words=pretrained_words)
     else:
         encoded = datasets.arrange(encode(rows, vocab, max_length, pieces=pieces > 0), files)
@@ -101,7 +101,7 @@ def prepare_or_reuse(labelled: DataFrame, root: str, files: int, **options) -> s
     """The newest complete dataset under `root`, or a newly prepared one."""
     spark = labelled.sparkSession
     manifest = f"{root}/manifest"
-    if exists(spark, root, "manifest"):
+    if path_exists(spark, manifest):
         found = datasets.find_cached(datasets.read_manifest(spark, manifest))
         if found:
             return found["train_path"]

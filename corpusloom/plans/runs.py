@@ -7,10 +7,16 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.schemas import RUN_METRICS
 
+_ARROW = pa.schema([
+    ("run_id", pa.string()), ("at", pa.timestamp("us", "UTC")), ("stage", pa.string()), ("cpus", pa.int32()),
+    ("world", pa.int32()), ("samples", pa.int64()), ("shard", pa.int32()), ("seconds", pa.float64()),
+])
+
 
 class RunLog:
     """Collects one row per timed stage of a run and appends them in one write."""
@@ -20,7 +26,7 @@ class RunLog:
         self.spark, self.path, self.run_id = spark, path, run_id
         self.samples, self.world = samples, world
         self.cpus = cpus or spark.sparkContext.defaultParallelism
-        self.rows: list[tuple] = []
+        self.rows: list[dict] = []
 
     def timed(self, stage: str, action: Callable[[], Any], shard: int = 0) -> Any:
         """Run an action and note its wall time; `action` must do the work, not plan it."""
@@ -30,13 +36,15 @@ class RunLog:
         return result
 
     def note(self, stage: str, seconds: float, shard: int = 0) -> None:
-        at = datetime.now(timezone.utc)
-        self.rows.append((self.run_id, at, stage, self.cpus, self.world, self.samples, shard, seconds))
+        self.rows.append({
+            "run_id": self.run_id, "at": datetime.now(timezone.utc), "stage": stage, "cpus": self.cpus,
+            "world": self.world, "samples": self.samples, "shard": shard, "seconds": seconds,
+        })
 
     def append(self) -> None:
         rows, self.rows = self.rows, []
         if rows:
-            frame = self.spark.createDataFrame(rows, RUN_METRICS)
+            frame = self.spark.createDataFrame(pa.Table.from_pylist(rows, _ARROW))
             frame.coalesce(1).write.mode("append").parquet(self.path)
 
 

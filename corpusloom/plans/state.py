@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.optimizer import HeadState
 from corpusloom.schemas import HISTORY, OPTIMIZER_STATE, WEIGHTS
+from corpusloom.session import path_exists
 
 _SCHEMAS = {"weights": WEIGHTS, "optimizer_state": OPTIMIZER_STATE, "history": HISTORY}
 
 
-def _write(spark: SparkSession, folder: str, table: str, run_id: str, epoch: int, rows, schema: str) -> None:
+def _write(spark: SparkSession, folder: str, table: str, run_id: str, epoch: int, rows: pa.Table) -> None:
     # One folder per run and epoch, replaced as a whole: saving an epoch again after a
     # driver failure leaves no duplicate rows.
     path = f"{folder}/{table}/run_id={run_id}/epoch={epoch}"
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
+    spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def save(
@@ -23,14 +25,19 @@ def save(
     series: list[tuple[int, str, float]],
 ) -> None:
     """Save the state after `epoch` epochs with all of the run's histories so far."""
-    cells = [(int(k), int(j)) for k, j in np.ndindex(*state.weights.shape)]
-    moments = [(k, j, float(state.m[k, j]), float(state.v[k, j]), state.step) for k, j in cells]
-    _write(spark, folder, "history", run_id, epoch, [(s, e, float(v)) for e, s, v in series],
-           "series string, of_epoch int, value double")
-    _write(spark, folder, "optimizer_state", run_id, epoch, moments, "k int, j int, m double, v double, step bigint")
+    k, j = (axis.ravel().astype(np.int32) for axis in np.indices(state.weights.shape))
+    steps = np.full(k.shape, state.step, dtype=np.int64)
+    moments = {"k": k, "j": j, "m": state.m.ravel(), "v": state.v.ravel(), "step": steps}
+    epochs, names, values = zip(*series) if series else ((), (), ())
+    history = pa.table({
+        "series": pa.array(names, pa.string()),
+        "of_epoch": pa.array(epochs, pa.int32()),
+        "value": pa.array(np.asarray(values, dtype=np.float64)),
+    })
+    _write(spark, folder, "history", run_id, epoch, history)
+    _write(spark, folder, "optimizer_state", run_id, epoch, pa.table(moments))
     # Last, since a saved epoch counts as whole once its weights are there.
-    _write(spark, folder, "weights", run_id, epoch,
-           [(k, j, float(state.weights[k, j])) for k, j in cells], "k int, j int, w double")
+    _write(spark, folder, "weights", run_id, epoch, pa.table({"k": k, "j": j, "w": state.weights.ravel()}))
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -42,11 +49,6 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder}/{table}").select(*columns)
 
 
-def exists(spark: SparkSession, folder: str, table: str = "weights") -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-
 def history(spark: SparkSession, folder: str, run_id: str) -> DataFrame:
     """The run's histories as last saved: `(run_id, epoch, series, value)`."""
     saved = read(spark, folder, "history").filter(F.col("run_id") == run_id)
@@ -55,7 +57,7 @@ def history(spark: SparkSession, folder: str, run_id: str) -> DataFrame:
 
 
 def latest_epoch(spark: SparkSession, folder: str, run_id: str) -> int | None:
-    if not exists(spark, folder):
+    if not path_exists(spark, f"{folder}/weights"):
         return None
     return read(spark, folder, "weights").filter(F.col("run_id") == run_id).agg(F.max("epoch")).first()[0]
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from corpusloom.functions.hashing import file_number
 from corpusloom.functions.head import Features
 from corpusloom.operators.gradient import evaluate_pass
 from corpusloom.operators.optimizer import LEARNING_RATE, HeadState, adamw, initial_weights
@@ -28,8 +30,8 @@ def fit(
     """Train to `epochs` epochs; returns the state and `(epoch, series, value)` rows.
 
     `data` has `split`, `label`, the feature column and, for several steps per epoch,
-    `batch_id`: step s takes the batches with `batch_id % steps_per_epoch = s`.  It is
-    scanned once per step, so pass a written table rather than a long plan.
+    `step`, from 0.  Pass a written table: for several steps one from `write_steps`,
+    where a step reads only its own folder.
 
     A pass sums the training gradient and scores the test splits at the same weights.
     An epoch's test scores belong to the weights it ends with, which the next epoch's
@@ -64,7 +66,7 @@ def fit(
         for step in range(steps_per_epoch):
             rows = is_train
             if steps_per_epoch > 1:
-                rows = rows & (F.col("batch_id") % steps_per_epoch == step)
+                rows = rows & (F.col("step") == step)
             pending = step == 0 and epoch > 1 and epoch - 1 not in scored
             grad, metrics = evaluate_pass(
                 data.filter(rows | ~is_train if pending else rows), features, state.weights
@@ -87,11 +89,27 @@ def fit(
     return state, sorted(series)
 
 
+def write_steps(batched: DataFrame, path: str, steps: int, files: int = 1, key: str = "doc_id") -> DataFrame:
+    """Write batched rows under `split=/step=` folders and read them back.
+
+    Step s has the batches with `batch_id % steps = s`, in `files` files.
+    """
+    rows = batched.withColumn("step", (F.col("batch_id") % steps).cast("int"))
+    part = file_number(F.col(key), files)
+    placed = rows.repartition("split", "step", part)
+    placed.write.mode("overwrite").partitionBy("split", "step").parquet(path)
+    return batched.sparkSession.read.parquet(path)
+
+
 def history_frame(spark, run_id: str, series: list[tuple[int, str, float]]) -> DataFrame:
     """History rows of a finished run; as many as epochs times series."""
-    return spark.createDataFrame(
-        [(run_id, e, s, float(v)) for e, s, v in series], "run_id string, epoch int, series string, value double"
-    )
+    epochs, names, values = zip(*series) if series else ((), (), ())
+    return spark.createDataFrame(pa.table({
+        "run_id": pa.array([run_id] * len(series), pa.string()),
+        "epoch": pa.array(epochs, pa.int32()),
+        "series": pa.array(names, pa.string()),
+        "value": pa.array(np.asarray(values, dtype=np.float64)),
+    }))
 
 
 def one_plain_step(data: DataFrame, features: Features, classes: int, lr: float) -> np.ndarray:

@@ -52,3 +52,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def parallelism(spark: SparkSession) -> int:
     """The shuffle parallelism the session was sized for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Stored size of a file or folder, from the file system alone."""
+    files, location = _file_system(spark, path)
+    return files.getContentSummary(location).getLength()

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.schemas import IN_DOMAIN, LABELLED, OUT_DOMAIN, TABLES
+from corpusloom.session import path_bytes
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,6 +15,24 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
+# Text tables below this size per core are spread before text work.
+SPREAD_BYTES = 32 * 1024 * 1024
+
+
+def read_texts(spark: SparkSession, folder: str, name: str, key: str = "doc_id") -> DataFrame:
+    """A text table for row-wise work on every core.
+
+    A small file is often one row group, which is one task however many cores there are.
+    Such a table is spread by key; one large enough to fill the cores with its own splits
+    is never shuffled.  Filters and column selection still reach the scan.
+    """
+    table = read_table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    if path_bytes(spark, f"{folder}/{name}.parquet") >= SPREAD_BYTES * cores:
+        return table
+    return table.repartition(cores, key)
+
+
 def tag(df: DataFrame, source: str) -> DataFrame:
     """Add the literal corpus tag."""
     return df.withColumn("source", F.lit(source))
@@ -50,7 +69,7 @@ def read_corpus(
 def _joined(spark: SparkSession, folder: str) -> DataFrame:
     # No broadcast hint: labels grow with documents.  Spark broadcasts them while they are
     # under autoBroadcastJoinThreshold and merges on doc_id beyond it.
-    documents = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    documents = read_texts(spark, folder, "documents").select("doc_id", "text", "lang")
     labels = read_table(spark, folder, "labels")
     return documents.join(labels, "doc_id")
 
