@@ -266,9 +266,9 @@ def shard_last_takes_rest(spark: SparkSession, folder: str) -> DataFrame:
     return shard.with_shard(rows, _layout(rows)).select("doc_id", "split", "file_position", "shard")
 
 
-def _batched(rows: DataFrame, keep: str) -> DataFrame:
-    layout = oe.materialise(batch.batch_layout(_layout(rows), BATCH, WORLD, keep), "batches")
-    return batch.with_batches(rows, layout, BATCH)
+def _batched(rows: DataFrame, keep: str, size: int = BATCH) -> DataFrame:
+    layout = oe.materialise(batch.batch_layout(_layout(rows), size, WORLD, keep), "batches")
+    return batch.with_batches(rows, layout, size)
 
 
 _BATCHED = ("doc_id", "split", "shard", "row_in_shard", "batch_id")
@@ -346,7 +346,7 @@ def train_history_text(spark: SparkSession, folder: str) -> DataFrame:
     """Prepare the labelled documents, then train on the written dataset."""
     path = scratch_path(spark, "train-text")
     pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=SHORT_LENGTH)
-    batched = _batched(datasets.scan(spark, path), batch.MATCHED)
+    batched = _batched(datasets.scan(spark, path), batch.MATCHED, size=4)
     data = write_steps(batched, scratch_path(spark, "steps"), 2)
     _, series = fit(data, Features("input_ids", 512, hashed=True), epochs=2, lr=ADAM_LR, steps_per_epoch=2)
     return history_frame(spark, "text", series)

@@ -98,7 +98,7 @@ def write_steps(batched: DataFrame, path: str, steps: int, files: int = 1, key:
     part = file_number(F.col(key), files)
     placed = rows.repartition("split", "step", part)
     placed.write.mode("overwrite").partitionBy("split", "step").parquet(path)
-    return batched.sparkSession.read.parquet(path)
+    return batched.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def history_frame(spark, run_id: str, series: list[tuple[int, str, float]]) -> DataFrame:
