@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import queries as catalog
 from corpusloom.functions.head import Features
-from corpusloom.operators.encode import materialise
 from corpusloom.operators.vocab import build_vocab
 from corpusloom.plans.prepare import prepare
 from corpusloom.plans.train import fit
 from corpusloom.schemas import IN_DOMAIN, OUT_DOMAIN
-from corpusloom.session import build_session, scratch_path
+from corpusloom.session import build_session, materialise, scratch_path
 from corpusloom.sources import tables
 
 QUERIES = (

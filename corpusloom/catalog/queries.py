@@ -15,7 +15,7 @@ from corpusloom.operators.optimizer import HeadState, adamw, initial_weights
 from corpusloom.plans import prepare as pp, report, runs, state as saved, sweep as ps
 from corpusloom.plans.train import fit, history_frame, one_plain_step, write_steps
 from corpusloom.schemas import IN_DOMAIN, LABELLED, OUT_DOMAIN, TRAIN
-from corpusloom.session import scratch_path
+from corpusloom.session import materialise, scratch_path
 from corpusloom.sources import datasets, store, tables
 from corpusloom.streaming import ingest
 
@@ -155,12 +155,12 @@ def _corpus(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _vocab(spark: SparkSession, folder: str) -> DataFrame:
-    return oe.materialise(ov.build_vocab(_corpus(spark, folder), VOCAB), "vocab")
+    return materialise(ov.build_vocab(_corpus(spark, folder), VOCAB), "vocab")
 
 
 def _piece_vocab(spark: SparkSession, folder: str) -> DataFrame:
     corpus = _corpus(spark, folder)
-    return oe.materialise(ov.build_piece_vocab(corpus, PIECE_WORDS, PIECES, PIECE_CHARS), "pieces")
+    return materialise(ov.build_piece_vocab(corpus, PIECE_WORDS, PIECES, PIECE_CHARS), "pieces")
 
 
 def build_vocab(spark: SparkSession, folder: str) -> DataFrame:
@@ -252,7 +252,7 @@ def _filed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _layout(rows: DataFrame, policy: str = shard.LAST_TAKES_REST) -> DataFrame:
-    return oe.materialise(shard.shard_layout(shard.count_file_rows(rows), WORLD, policy), "layout")
+    return materialise(shard.shard_layout(shard.count_file_rows(rows), WORLD, policy), "layout")
 
 
 def shard_drop_remainder(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,7 +267,7 @@ def shard_last_takes_rest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _batched(rows: DataFrame, keep: str, size: int = BATCH) -> DataFrame:
-    layout = oe.materialise(batch.batch_layout(_layout(rows), size, WORLD, keep), "batches")
+    layout = materialise(batch.batch_layout(_layout(rows), size, WORLD, keep), "batches")
     return batch.with_batches(rows, layout, size)
 
 

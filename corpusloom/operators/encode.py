@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions import encode as fe, wordpiece as fw
 from corpusloom.schemas import CLS, FIRST_ID, MAX_LENGTH, SEP, UNK
-from corpusloom.session import scratch_path
+from corpusloom.session import materialise
 
 # A vocabulary is broadcast only below both bounds; beyond them the join form takes over.
 BROADCAST_TOKENS = 1_000_000
@@ -17,13 +17,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_TOKENS = 10_000
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: computed once, short lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def broadcast_vocab(
     vocab: DataFrame, max_tokens: int = BROADCAST_TOKENS, max_bytes: int = BROADCAST_BYTES
 ):

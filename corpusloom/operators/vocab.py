@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.schemas import CLS, FIRST_ID, PAD, SEP, UNK
+from corpusloom.session import materialise
 
 SPECIAL = {"[PAD]": PAD, "[UNK]": UNK, "[CLS]": CLS, "[SEP]": SEP}
 
@@ -54,8 +55,11 @@ def count_pieces(word_counts: DataFrame, max_chars: int) -> DataFrame:
 def build_piece_vocab(
     df: DataFrame, size: int, pieces: int, max_chars: int = 4, column: str = "text"
 ) -> DataFrame:
-    """The `size` most frequent words, then the `pieces` most frequent further pieces."""
-    counts = count_words(df, column)
+    """The `size` most frequent words, then the `pieces` most frequent further pieces.
+
+    The word counts are written once: the corpus is read once, not once per use.
+    """
+    counts = materialise(count_words(df, column), "word-counts")
     whole = top_tokens(counts, size)
     # Pieces that are words already keep the word's id.
     further = count_pieces(counts, max_chars).join(whole.select("token"), "token", "left_anti")

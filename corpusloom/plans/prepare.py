@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.functions.clean import clean_and_filter
 from corpusloom.functions.hashing import file_number
-from corpusloom.operators.encode import broadcast_vocab, encode, encode_with, materialise
+from corpusloom.operators.encode import broadcast_vocab, encode, encode_with
 from corpusloom.operators.numbering import default_buckets, hash_bucket
 from corpusloom.operators.split import cap_for_split, sample_cap, with_split
 from corpusloom.operators.vocab import build_piece_vocab, build_vocab
 from corpusloom.schemas import MAX_LENGTH, MIN_CHARS, TRAIN
-from corpusloom.session import path_exists
+from corpusloom.session import materialise, path_exists
 from corpusloom.sources import datasets
 
 

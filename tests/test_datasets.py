@@ -3,9 +3,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import file_number
 from corpusloom.operators import batch, shard, vocab as ov
-from corpusloom.operators.encode import materialise
 from corpusloom.plans import prepare as pp
-from corpusloom.session import scratch_path, shared_dir
+from corpusloom.session import materialise, scratch_path, shared_dir
 from corpusloom.sources import datasets, store, tables
 
 FILES = 4
