@@ -178,7 +178,8 @@ def encode_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def encode_ids_join(spark: SparkSession, folder: str) -> DataFrame:
     """The form for vocabularies too large to broadcast, with few hot tokens."""
-    encoded = oe.encode_by_join(_corpus(spark, folder), _vocab(spark, folder), MAX_LENGTH, hot_tokens=100)
+    corpus = materialise(_corpus(spark, folder), "corpus")
+    encoded = oe.encode_by_join(corpus, _vocab(spark, folder), MAX_LENGTH, hot_tokens=100)
     return encoded.select("doc_id", _joined("encoding.input_ids").alias("input_ids"))
 
 
@@ -239,9 +240,9 @@ def sample_cap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partition_balance(spark: SparkSession, folder: str) -> DataFrame:
-    documents = tables.read_table(spark, folder, "documents").select("doc_id", "text")
+    documents = tables.read_table(spark, folder, "documents").select("doc_id", F.length("text").cast("long").alias("chars"))
     placed = split.even_partitions(documents, FILES).groupBy(F.spark_partition_id().alias("part"))
-    return placed.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text").cast("long")).alias("chars"))
+    return placed.agg(F.count(F.lit(1)).alias("rows"), F.sum("chars").alias("chars"))
 
 
 # Shards and batches.

@@ -6,9 +6,10 @@ each its place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.hashing import order_uniform
+from corpusloom.operators.numbering import default_buckets, hash_bucket, number_rows
 
 # Which batches to keep: all of them, only whole ones, or only as many whole ones as the
 # rank with the fewest can supply.
@@ -43,19 +44,32 @@ def batch_layout(layout: DataFrame, batch_size: int, world: int, keep: str = MAT
     return layout.join(limits, on)
 
 
-def row_in_file(key: str = "doc_id") -> Column:
-    """A row's place in its file when the rows were not read from one: write order."""
-    written = Window.partitionBy("split", "file").orderBy(order_uniform(F.col(key)), key)
-    return F.row_number().over(written) - 1
+def with_row_in_file(df: DataFrame, key: str = "doc_id", buckets: int | None = None) -> DataFrame:
+    """Add `row_in_file`, a row's place in the order its file is written in.
+
+    For rows that were not scanned from files.  `buckets` cuts each file's rows for
+    numbering, so a task never sorts a whole file of a plan with few files.
+    """
+    buckets = buckets or default_buckets(df)
+    numbered = number_rows(
+        df.withColumn("order_bucket", hash_bucket(F.col(key), buckets)),
+        group=["split", "file"],
+        major=["order_bucket"],
+        minor=[order_uniform(F.col(key)), key],
+        name="row_in_file",
+    )
+    return numbered.drop("order_bucket")
 
 
-def with_batches(df: DataFrame, layout: DataFrame, batch_size: int, key: str = "doc_id") -> DataFrame:
+def with_batches(
+    df: DataFrame, layout: DataFrame, batch_size: int, key: str = "doc_id", buckets: int | None = None
+) -> DataFrame:
     """Add `shard`, `row_in_shard` and `batch_id`, keeping the layout's batches.
 
     `layout` comes from `batch_layout`.  Scanned rows bring `row_in_file` and are not
-    shuffled; other rows are numbered within their file.
+    shuffled; other rows are numbered first.
     """
-    rows = df if "row_in_file" in df.columns else df.withColumn("row_in_file", row_in_file(key))
+    rows = df if "row_in_file" in df.columns else with_row_in_file(df, key, buckets)
     places = layout.select("split", "file", "shard", "file_start", "batch_limit")
     number = (F.col("file_start") + F.col("row_in_file")).cast("long")
     batched = rows.join(places, ["split", "file"]).withColumn("row_in_shard", number).withColumn(

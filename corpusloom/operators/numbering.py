@@ -41,15 +41,22 @@ def number_rows(
     minor: list[str | Column],
     name: str = "row_index",
     below: Column | None = None,
+    broadcast_offsets: bool = False,
 ) -> DataFrame:
     """Add `name`, the 0-based position within `group` in order of (`major`, `minor`).
 
-    `below` keeps only positions under that bound.  Buckets that start at or past it are
-    dropped before the shuffle, so a small sample of a large group moves few rows.
+    `below` keeps only positions under that bound.  Buckets that start at or past it drop
+    out in the join with the offsets.  A caller that knows the groups to be few sets
+    `broadcast_offsets`: that join then comes before the shuffle, and a small sample of a
+    large group moves few rows.
+
+    `df` is read twice, once for its keys alone; pass a written table if it is costly.
     """
     offsets = bucket_offsets(df, group, major).drop("bucket_rows")
     if below is not None:
         offsets = offsets.filter(F.col("bucket_start") < below)
+    if broadcast_offsets:
+        offsets = F.broadcast(offsets)
     inside = Window.partitionBy(*group, *major).orderBy(*minor)
     # One row per (group, bucket) on the right: Spark broadcasts it while it is small and
     # otherwise merges on the same keys the window partitions by, reusing that shuffle.

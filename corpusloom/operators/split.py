@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.hashing import file_number, order_uniform
 from corpusloom.operators.numbering import default_buckets, hash_bucket, number_rows
-from corpusloom.schemas import IN_DOMAIN, OUT_TEST, SEED, TEST, TRAIN, TRAIN_FRACTION
+from corpusloom.schemas import IN_DOMAIN, OUT_TEST, SEED, SPLITS, TEST, TRAIN, TRAIN_FRACTION
+
+# Bucket offsets are broadcast up to this many rows.
+BROADCAST_OFFSETS = 1_000_000
 
 
 def split_name(
@@ -60,6 +63,8 @@ def sample_cap(
         major=["order_bucket"],
         minor=[order_uniform(F.col(key)), key],
         below=cap_for_split(samples),
+        # One row per split and bucket.
+        broadcast_offsets=len(SPLITS) * buckets <= BROADCAST_OFFSETS,
     )
     return capped.select(*df.columns)
 

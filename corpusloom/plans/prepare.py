@@ -12,18 +12,17 @@ from corpusloom.operators.encode import broadcast_vocab, encode, encode_with
 from corpusloom.operators.numbering import default_buckets, hash_bucket
 from corpusloom.operators.split import cap_for_split, sample_cap, with_split
 from corpusloom.operators.vocab import build_piece_vocab, build_vocab
-from corpusloom.schemas import MAX_LENGTH, MIN_CHARS, TRAIN
+from corpusloom.schemas import MAX_LENGTH, TRAIN
 from corpusloom.session import materialise, path_exists
 from corpusloom.sources import datasets
 
 
-def split_rows(labelled: DataFrame, clean_text: bool = True) -> DataFrame:
+def split_rows(labelled: DataFrame) -> DataFrame:
     """Cleaned rows of sufficient length with their split; narrow from end to end.
 
     The split is a function of the key, so it is placed before the text work.
     """
-    rows = with_split(labelled)
-    return clean_and_filter(rows) if clean_text else rows.filter(F.length("text") >= MIN_CHARS)
+    return clean_and_filter(with_split(labelled))
 
 
 def capped_rows(labelled: DataFrame, samples: int | None) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """Append rows to the store."""
+def append(df: DataFrame, path: str | None, fmt: str = "parquet", **options) -> None:
+    """Append rows to the store; a connector that has no path takes its target as options."""
     df.write.format(fmt).options(**options).mode("append").save(path)
 
 
 def read(
-    spark: SparkSession, path: str, schema: StructType | str | None = None,
+    spark: SparkSession, path: str | None, schema: StructType | str | None = None,
     fmt: str = "parquet", **options,
 ) -> DataFrame:
     """Read the store back, with a declared schema if one is given."""

@@ -45,9 +45,9 @@ def test_files_hold_their_rows_in_order(spark, dataset):
     layout = shard.shard_layout(shard.count_file_rows(scanned), 1)
     rows = scanned.join(layout.select("split", "file", "file_position"), ["split", "file"])
     rows = rows.withColumn("file_no", file_number(F.col("doc_id"), FILES))
-    logical = rows.drop("file", "row_in_file").withColumnRenamed("file_no", "file").withColumn(
-        "logical_row", batch.row_in_file()
-    )
+    logical = batch.with_row_in_file(
+        rows.drop("file", "row_in_file").withColumnRenamed("file_no", "file")
+    ).withColumnRenamed("row_in_file", "logical_row")
     pairs = rows.join(logical.select("doc_id", "logical_row"), "doc_id")
     assert pairs.filter("file_no <> file_position or row_in_file <> logical_row").count() == 0
 
