@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from corpusloom.catalog.queries import (
-    ADAM_LR, BATCH, CAP, FILES, HEAD_LR, MAX_LENGTH, PIECE_CHARS, PIECE_WORDS, PIECES, SHORT_LENGTH, VOCAB, WORLD,
+    ADAM_LR, BATCH, CAP, FILES, HEAD_LR, MAX_LENGTH, PIECE_CHARS, PIECE_WORDS, PIECES, SHORT_LENGTH,
+    SMALL_BATCH, STEPS, SWEEP_SAMPLES, TEXT_DIM, TEXT_LR, VOCAB, WORLD,
 )
 
 
@@ -131,15 +132,17 @@ sharded AS (
                  FROM {rows} r JOIN positions p ON r.split = p.split AND r.file = p.file) WHERE {kept})"""
 
 
-NUMBERED = f"""numbered AS (
+def _numbered(size: int = BATCH) -> str:
+    return f"""numbered AS (
   SELECT *, row_number() OVER (PARTITION BY split, shard
     ORDER BY file_position, {_uniform('doc_id')}, doc_id) - 1 AS row_in_shard FROM sharded),
-batched AS (SELECT *, (row_in_shard // {BATCH})::bigint AS batch_id FROM numbered),
-per_shard AS (SELECT split, shard, (count(*) // {BATCH})::bigint AS batches FROM sharded GROUP BY ALL),
+batched AS (SELECT *, (row_in_shard // {size})::bigint AS batch_id FROM numbered),
+per_shard AS (SELECT split, shard, (count(*) // {size})::bigint AS batches FROM sharded GROUP BY ALL),
 fewest AS (
   SELECT split, CASE WHEN count(*) < {WORLD} THEN 0 ELSE min(batches) END AS min_batches FROM per_shard GROUP BY split)"""
 
-SHARDS = _with(LABELLED, FILED, _sharded("filed"), NUMBERED)
+
+SHARDS = _with(LABELLED, FILED, _sharded("filed"), _numbered())
 _BATCHED = "doc_id, split, shard, row_in_shard, batch_id"
 
 # Two-class rows from embeddings, features with a bias of one, logits under weights w.
@@ -148,8 +151,9 @@ VECTORS = f"""tagged AS (
     CASE WHEN label < 8 THEN 'IMDB' ELSE 'SST-2' END AS source FROM embeddings),
 vectors AS (SELECT doc_id, embedding, label, {_SPLIT} AS split, {_file('doc_id')} AS file FROM tagged),
 x AS (
-  SELECT doc_id, label, split, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) - 1 AS j FROM vectors
-  UNION ALL SELECT doc_id, label, split, 1.0::double, 64 FROM vectors)"""
+  SELECT doc_id, label, split, 0 AS step, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) - 1 AS j
+  FROM vectors
+  UNION ALL SELECT doc_id, label, split, 0, 1.0::double, 64 FROM vectors)"""
 
 FIXED_W = """w AS (
   SELECT k::int AS k, j::int AS j, ((7 * k + 3 * j) % 11 - 5) / 50::double AS w
@@ -176,7 +180,7 @@ def _scored(name: str = "scored", weights: str = "w") -> str:
 HEAD = _with(VECTORS, _plain_w(), _scored())
 # Scored rows of the batches all shards can supply.
 BATCHED_HEAD = _with(
-    VECTORS, _plain_w(), _scored(), _sharded("vectors"), NUMBERED,
+    VECTORS, _plain_w(), _scored(), _sharded("vectors"), _numbered(),
     """rows_ AS (
   SELECT s.*, b.shard, b.batch_id FROM scored s JOIN batched b ON s.doc_id = b.doc_id
   JOIN fewest f ON f.split = b.split WHERE b.batch_id < f.min_batches)""",
@@ -190,6 +194,63 @@ g AS (
   SELECT k::int AS k, j::int AS j, avg((CASE WHEN k = 0 THEN p0 ELSE p1 END - (p.label = k)::int) * x) AS g
   FROM x JOIN p ON x.doc_id = p.doc_id, range(2) a(k) WHERE p.split = 'train' GROUP BY k, j)"""
 
+_EVAL = """SELECT {epoch} AS epoch, CASE split WHEN 'test' THEN 'imdb_eval_' ELSE 'sst2_eval_' END || series AS series, value
+  FROM (SELECT split, 'losses' AS series, avg(loss) AS value FROM {scored} WHERE split <> 'train' GROUP BY split
+        UNION ALL SELECT split, 'acc', avg((pred = label)::int) FROM {scored} WHERE split <> 'train' GROUP BY split)"""
+
+
+def _adam_w0(dim: int) -> str:
+    return f"""w0 AS MATERIALIZED (
+  SELECT k::int AS k, j::int AS j, ((7 * k + 3 * j) % 11 - 5) / 50::double AS w, 0::double AS m, 0::double AS v
+  FROM range(2) a(k), range({dim + 1}) b(j))"""
+
+
+def _training(epochs: int, lr: float, steps: int = 1) -> list[str]:
+    """AdamW from w0 over x(doc_id, label, split, step, j, x), one set of tables per update;
+    `trained` has the history, w<n> the state after n updates."""
+    ctes, parts = [], []
+    for n in range(epochs * steps + 1):
+        ctes.append(f"""z{n} AS MATERIALIZED (
+  SELECT doc_id, any_value(label) AS label, any_value(split) AS split, any_value(step) AS step,
+    sum(x * w) FILTER (k = 0) AS z0, sum(x * w) FILTER (k = 1) AS z1
+  FROM x JOIN w{n} w ON x.j = w.j GROUP BY doc_id),
+s{n} AS MATERIALIZED (
+  SELECT *, greatest(z0, z1) + ln(exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z0, z1)))
+      - CASE WHEN label = 0 THEN z0 ELSE z1 END AS loss, (z1 > z0)::int AS pred,
+    1 / (1 + exp(z1 - z0)) AS p0, 1 / (1 + exp(z0 - z1)) AS p1 FROM z{n})""")
+        epoch, step = divmod(n, steps)
+        if n and step == 0:
+            parts.append(_EVAL.format(epoch=epoch, scored=f"s{n}"))
+        if n == epochs * steps:
+            break
+        taken = f"split = 'train' AND step = {step}"
+        ctes.append(f"""g{n} AS (
+  SELECT k::int AS k, x.j::int AS j, sum((CASE WHEN k = 0 THEN p0 ELSE p1 END - (s.label = k)::int) * x)
+    / (SELECT count(*) FROM s{n} WHERE {taken}) AS g
+  FROM x JOIN (SELECT doc_id, label, p0, p1 FROM s{n} WHERE {taken}) s ON x.doc_id = s.doc_id, range(2) a(k)
+  GROUP BY ALL),
+w{n + 1} AS MATERIALIZED (
+  SELECT k, j, m, v, w * (1 - {lr}::double * 0.01)
+    - {lr}::double * (m / (1 - 0.9::double ^ {n + 1})) / (sqrt(v / (1 - 0.999::double ^ {n + 1})) + 1e-8) AS w
+  FROM (SELECT w.k, w.j, w.w, 0.9::double * w.m + 0.1::double * coalesce(g, 0) AS m,
+          0.999::double * w.v + 0.001::double * coalesce(g, 0) * coalesce(g, 0) AS v
+        FROM w{n} w LEFT JOIN g{n} g ON w.k = g.k AND w.j = g.j))""")
+        parts.append(f"SELECT {epoch + 1} AS epoch, 'train_losses' AS series, avg(loss) AS value FROM s{n} WHERE {taken}")
+    losses = "\nUNION ALL ".join(parts)
+    ctes.append(f"trained AS (SELECT epoch::int AS epoch, series, avg(value) AS value FROM ({losses}) GROUP BY ALL)")
+    return ctes
+
+
+# Prepared documents as sparse counts of hashed ids, with a bias, in batches of a step.
+_TEXT_X = f"""batch_rows AS (
+  SELECT b.doc_id, b.label, b.split, (b.batch_id % {STEPS})::int AS step
+  FROM batched b JOIN fewest f ON f.split = b.split WHERE b.batch_id < f.min_batches),
+x AS MATERIALIZED (
+  SELECT r.doc_id, label, split, step, j, count(*)::double AS x
+  FROM batch_rows r JOIN (SELECT doc_id, unnest(list_concat([101], ids, [102])) % {TEXT_DIM} AS j FROM found) i
+    ON r.doc_id = i.doc_id GROUP BY ALL
+  UNION ALL SELECT doc_id, label, split, step, {TEXT_DIM}, 1.0::double FROM batch_rows)"""
+
 _SERIES = ("CASE split WHEN 'train' THEN 'train_losses' WHEN 'test' THEN 'imdb_eval_losses' "
            "ELSE 'sst2_eval_losses' END")
 
@@ -294,6 +355,24 @@ found AS (
       SELECT k, j, {_number(f'w * (1 - {ADAM_LR}::double * 0.01) - {ADAM_LR}::double * g / (abs(g) + 1e-8)')} AS w,
         {_number('0.1::double * g', 9)} AS m, {_number('0.001::double * g * g', 9)} AS v, 1::bigint AS step
       FROM w JOIN g USING (k, j)""",
+    "train_history": _with(VECTORS, _adam_w0(64), *_training(3, ADAM_LR))
+    + f"SELECT 'vectors' AS run_id, epoch, series, {_number('value')} AS value FROM trained",
+    "train_history_text": _with(
+        *VOCAB_CTES, LABELLED, CLEANED, _encoded("cleaned", SHORT_LENGTH - 2), ROWS,
+        f"filed AS (SELECT doc_id, label, split, {_file('doc_id')} AS file FROM rows_)", _sharded("filed"),
+        _numbered(SMALL_BATCH), _TEXT_X, _adam_w0(TEXT_DIM), *_training(2, TEXT_LR, STEPS),
+    ) + f"SELECT 'text' AS run_id, epoch, series, {_number('value')} AS value FROM trained",
+    "checkpoint_roundtrip": _with(VECTORS, _adam_w0(64), *_training(2, ADAM_LR))
+    + f"""SELECT k, j, {_number('w')} AS w, {_number('m')} AS m, {_number('v')} AS v, 2::bigint AS step, true AS same
+      FROM w2""",
+    "resume_equals_straight": _with(VECTORS, _adam_w0(64), *_training(4, ADAM_LR))
+    + f"SELECT epoch, series, {_number('value')} AS value, true AS same FROM trained",
+    "run_metrics_append": _with(LABELLED, CLEANED, ROWS, "sizes AS (SELECT split, count(*) AS n FROM rows_ GROUP BY split)")
+    + "\nUNION ALL ".join(
+        f"""SELECT 'f2-s{s}' AS run_id, {s}::bigint AS samples, 2 AS cpus, 2::bigint AS stages, 1 AS timed,
+      sum(least(n, CASE WHEN split = 'train' THEN {s} ELSE {int(s * 0.2)} END))::bigint AS rows FROM sizes"""
+        for s in SWEEP_SAMPLES
+    ),
     "latest_checkpoint": """SELECT run_id, path FROM (
       SELECT event_type AS run_id, 'state/' || event_type || '/' || event_id AS path,
         row_number() OVER (PARTITION BY event_type

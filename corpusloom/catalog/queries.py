@@ -26,6 +26,8 @@ CAP = 100
 EMBEDDING = Features("embedding", 64)
 HEAD_LR = 1.0
 ADAM_LR = 0.05
+SMALL_BATCH, STEPS, TEXT_DIM, TEXT_LR = 4, 2, 512, 0.01
+SWEEP_SAMPLES = (50, 100)
 
 
 def _number(column, places: int = 6):
@@ -338,19 +340,24 @@ def adamw_step(spark: SparkSession, folder: str) -> DataFrame:
     return weights.join(moments, ["k", "j"])
 
 
+def _history(spark: SparkSession, run_id: str, series) -> DataFrame:
+    return history_frame(spark, run_id, series).withColumn("value", _number(F.col("value")))
+
+
 def train_history(spark: SparkSession, folder: str) -> DataFrame:
     _, series = fit(_vectors(spark, folder), EMBEDDING, epochs=3, lr=ADAM_LR)
-    return history_frame(spark, "vectors", series)
+    return _history(spark, "vectors", series)
 
 
 def train_history_text(spark: SparkSession, folder: str) -> DataFrame:
     """Prepare the labelled documents, then train on the written dataset."""
     path = scratch_path(spark, "train-text")
     pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=SHORT_LENGTH)
-    batched = _batched(datasets.scan(spark, path), batch.MATCHED, size=4)
-    data = write_steps(batched, scratch_path(spark, "steps"), 2)
-    _, series = fit(data, Features("input_ids", 512, hashed=True), epochs=2, lr=ADAM_LR, steps_per_epoch=2)
-    return history_frame(spark, "text", series)
+    batched = _batched(datasets.scan(spark, path), batch.MATCHED, SMALL_BATCH)
+    data = write_steps(batched, scratch_path(spark, "steps"), STEPS)
+    features = Features("input_ids", TEXT_DIM, hashed=True)
+    _, series = fit(data, features, epochs=2, lr=TEXT_LR, steps_per_epoch=STEPS)
+    return _history(spark, "text", series)
 
 
 def checkpoint_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -366,7 +373,8 @@ def checkpoint_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         saved.read(spark, path, "optimizer_state").filter(last), ["run_id", "epoch", "k", "j"]
     )
     same = (F.col("w") == F.col("w_memory")) & (F.col("m") == F.col("m_memory"))
-    return stored.join(memory, ["k", "j"]).select("k", "j", "w", "m", "v", "step", same.alias("same"))
+    numbers = [_number(F.col(c)).alias(c) for c in ("w", "m", "v")]
+    return stored.join(memory, ["k", "j"]).select("k", "j", *numbers, "step", same.alias("same"))
 
 
 def resume_equals_straight(spark: SparkSession, folder: str) -> DataFrame:
@@ -377,7 +385,8 @@ def resume_equals_straight(spark: SparkSession, folder: str) -> DataFrame:
     _, resumed = fit(data, EMBEDDING, epochs=4, lr=ADAM_LR, run_id="r", folder=path)
     pair = history_frame(spark, "straight", straight).unionByName(history_frame(spark, "resumed", resumed))
     wide = pair.groupBy("epoch", "series").pivot("run_id", ["straight", "resumed"]).agg(F.max("value"))
-    return wide.withColumn("same", F.abs(F.col("straight") - F.col("resumed")) < 1e-9)
+    same = F.abs(F.col("straight") - F.col("resumed")) < 1e-9
+    return wide.select("epoch", "series", _number(F.col("resumed")).alias("value"), same.alias("same"))
 
 
 def latest_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,12 +472,16 @@ def history_rounded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_metrics_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Two sweep points over the labelled documents, each recorded."""
+    """Two sweep points over the labelled documents, with the rows each prepared."""
     root = scratch_path(spark, "sweep")
     labelled = tables.load_labelled(spark, folder)
-    vocabulary = _vocab(spark, folder)
-    ps.sweep(labelled, root, f"{root}/metrics", samples=[50, 100], files=[2], epochs=1, vocab=vocabulary)
-    return ps.recorded_runs(runs.read_metrics(spark, f"{root}/metrics"))
+    ps.sweep(
+        labelled, f"{root}/data", f"{root}/metrics", samples=SWEEP_SAMPLES, files=[2], epochs=1,
+        vocab=_vocab(spark, folder),
+    )
+    recorded = ps.recorded_runs(runs.read_metrics(spark, f"{root}/metrics"))
+    rows = spark.read.parquet(f"{root}/data").groupBy("run_id").agg(F.count(F.lit(1)).alias("rows"))
+    return recorded.join(rows, "run_id")
 
 
 # Streaming.

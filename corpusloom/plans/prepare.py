@@ -63,7 +63,8 @@ def prepare(
     files: int,
     vocab: DataFrame | None = None,
     vocab_size: int = 30_000,
-    pieces: int = 0,
+    pieces: bool = False,
+    piece_count: int = 30_000,
     samples: int | None = None,
     max_length: int = MAX_LENGTH,
     manifest: str | None = None,
@@ -80,15 +81,17 @@ def prepare(
     rows = capped_rows(labelled, samples)
     if vocab is None:
         corpus = clean_and_filter(labelled.select("text"))
-        vocab = build_piece_vocab(corpus, vocab_size, pieces) if pieces else build_vocab(corpus, vocab_size)
+        vocab = (
+            build_piece_vocab(corpus, vocab_size, piece_count) if pieces else build_vocab(corpus, vocab_size)
+        )
         vocab = materialise(vocab, "vocab")
     shared = broadcast_vocab(vocab)
     if shared is not None:
         fitting = F.substring_index("text", " ", max_length - 2)
         placed = datasets.arrange(rows.withColumn("text", fitting), files)
-        encoded = encode_with(placed, shared, max_length, pieces=pieces > 0, pretrained_words=pretrained_words)
+        encoded = encode_with(placed, shared, max_length, pieces=pieces, pretrained_words=pretrained_words)
     else:
-        encoded = datasets.arrange(encode(rows, vocab, max_length, pieces=pieces > 0), files)
+        encoded = datasets.arrange(encode(rows, vocab, max_length, pieces=pieces), files)
     written = encoded.select("doc_id", "split", "label", "encoding.*")
     written.write.mode("overwrite").partitionBy("split").parquet(path)
     if manifest:

@@ -19,14 +19,15 @@ def sweep(
 ) -> None:
     """Prepare and train for every (files, samples) pair and append the stage times.
 
-    `files` takes the place of the processor count: it is the parallelism of a run.
+    `files` takes the place of the processor count: it is the parallelism of a run.  All
+    datasets together are one table under `root`, partitioned by run.
     """
     spark = labelled.sparkSession
     for n_files, n_samples in product(files, samples):
         run_id = f"f{n_files}-s{n_samples}"
         log = RunLog(spark, metrics, run_id, samples=n_samples, cpus=n_files)
         path = log.timed("prepare", lambda: prepare(
-            labelled, f"{root}/{run_id}", n_files, vocab=vocab, samples=n_samples
+            labelled, f"{root}/run_id={run_id}", n_files, vocab=vocab, samples=n_samples
         ))
         data = spark.read.parquet(path)
         log.timed("train", lambda: fit(data, Features("input_ids", dim, hashed=True), epochs=epochs, lr=lr))
