@@ -26,7 +26,7 @@ from corpusloom.sources import tables
 
 QUERIES = (
     "tag_and_union", "clean_text", "min_length_clean", "build_vocab", "encode_ids", "encode_ids_join",
-    "wordpiece_encode", "seeded_shuffle", "split_counts", "sample_cap", "partition_balance", "batch_truncate",
+    "wordpiece_encode", "wordpiece_encode_join", "seeded_shuffle", "split_counts", "sample_cap", "partition_balance", "batch_truncate",
     "gradient_step", "accuracy", "eval_by_dataset", "stream_append",
 )
 
@@ -51,7 +51,8 @@ def main() -> None:
         frame.write.format("noop").mode("overwrite").save()
 
     # Start the JVM's code paths and the Python workers outside the timings.
-    drain(catalog.encode_ids(spark, folder.replace("sf0.1", "sf0.01")))
+    for name in ("encode_ids", "train_history_text"):
+        drain(catalog.QUERIES[name](spark, folder))
 
     # All documents as a labelled corpus: a language tells the corpus, a hash the label.
     documents = tables.read_texts(spark, folder, "documents")

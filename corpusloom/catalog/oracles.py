@@ -398,6 +398,10 @@ found AS (
     "history_rounded": _with(VECTORS, FIXED_W, *_history("a", 1.0), *_history("b", 0.5)) + f"""
       SELECT epoch, series, {_number('a.value', 4)} AS a, {_number('b.value', 4)} AS b
       FROM history_a a JOIN history_b b USING (epoch, series)""",
+    "stream_encode": _with(*VOCAB_CTES, LABELLED, CLEANED, ROWS, _encoded("cleaned", SHORT_LENGTH - 2))
+    + f"""SELECT f.doc_id, r.label, r.split, {_ids(SHORT_LENGTH)} AS input_ids
+      FROM found f JOIN rows_ r ON f.doc_id = r.doc_id""",
     "stream_append": _with(LABELLED, CLEANED, ROWS) + "SELECT doc_id, text, label, source, split FROM rows_",
 }
 ORACLES["encode_ids_join"] = ORACLES["encode_ids"]
+ORACLES["wordpiece_encode_join"] = ORACLES["wordpiece_encode"]

@@ -217,6 +217,13 @@ def wordpiece_encode(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.select("doc_id", _joined("encoding.input_ids").alias("input_ids"))
 
 
+def wordpiece_encode_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Word pieces for vocabularies too large to broadcast, with few hot tokens."""
+    corpus = materialise(_corpus(spark, folder), "corpus")
+    encoded = oe.encode_pieces_by_join(corpus, _piece_vocab(spark, folder), SHORT_LENGTH, hot_tokens=100)
+    return encoded.select("doc_id", _joined("encoding.input_ids").alias("input_ids"))
+
+
 # Order, splits, samples.
 
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -486,6 +493,17 @@ def run_metrics_append(spark: SparkSession, folder: str) -> DataFrame:
 
 # Streaming.
 
+def stream_encode(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows, stored encoded."""
+    root = scratch_path(spark, "stream-encoded")
+    store.append(tables.load_labelled(spark, folder), f"{root}/in")
+    shared = oe.broadcast_vocab(_vocab(spark, folder))
+    arrivals = ingest.read_arrivals(spark, f"{root}/in")
+    ingest.append_arrivals(arrivals, f"{root}/out", f"{root}/checkpoint", shared, SHORT_LENGTH).awaitTermination()
+    stored = spark.read.parquet(f"{root}/out")
+    return stored.select("doc_id", "label", "split", _joined("input_ids").alias("input_ids"))
+
+
 def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled rows arriving as files, prepared and appended to a store."""
     root = scratch_path(spark, "stream")
@@ -500,7 +518,7 @@ QUERIES = {f.__name__: f for f in (
     store_append_roundtrip, store_overwrite_named, jsonl_sample, parquet_roundtrip_counts, manifest_lookup,
     clean_text, clean_text_edge, strip_punct, min_length_clean, min_length_raw,
     build_vocab, build_piece_vocab, encode_ids, encode_ids_join, encode_truncation, attention_mask,
-    encoded_projection, wordpiece_words, wordpiece_encode,
+    encoded_projection, wordpiece_words, wordpiece_encode, wordpiece_encode_join,
     seeded_shuffle, hash_split, split_counts, sample_cap, partition_balance,
     shard_drop_remainder, shard_last_takes_rest, batch_drop_last, batch_keep_last,
     batches_per_shard, min_batches, batch_truncate,
@@ -508,5 +526,5 @@ QUERIES = {f.__name__: f for f in (
     checkpoint_roundtrip, resume_equals_straight, latest_checkpoint, max_wall_time,
     predict_argmax, accuracy, accuracy_per_shard, eval_loss, epoch_train_loss, loss_per_shard,
     eval_by_dataset, prediction_listing, loss_curves_long, history_rounded, run_metrics_append,
-    stream_append,
+    stream_append, stream_encode,
 )}

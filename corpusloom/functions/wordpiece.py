@@ -34,6 +34,16 @@ def without_accents(word: str) -> str:
     return "".join(c for c in split if unicodedata.category(c) != "Mn")
 
 
+def accent_stripper():
+    """Arrow function from words to words without accents."""
+
+    @F.arrow_udf("string")
+    def strip(words: pa.Array) -> pa.Array:
+        return pa.array([without_accents(w) for w in words.to_pylist()], pa.string())
+
+    return strip
+
+
 def split_word(word: str, known) -> list[str] | None:
     """Longest known pieces from the left, or None if some part has no piece."""
     if len(word) > MAX_WORD_CHARS:

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions import encode as fe, wordpiece as fw
+from corpusloom.operators.lookup import HOT_TOKENS, lookup
+from corpusloom.operators.pieces import split_words
 from corpusloom.schemas import CLS, FIRST_ID, MAX_LENGTH, SEP, UNK
 from corpusloom.session import materialise
 
@@ -13,9 +15,6 @@ from corpusloom.session import materialise
 BROADCAST_TOKENS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Frequent tokens the join form broadcasts, so that they are never shuffled to one task.
-HOT_TOKENS = 10_000
-
 
 def broadcast_vocab(
     vocab: DataFrame, max_tokens: int = BROADCAST_TOKENS, max_bytes: int = BROADCAST_BYTES
@@ -47,9 +46,10 @@ def encode(
     """
     shared = broadcast_vocab(vocab, max_tokens)
     if shared is None:
+        texts = materialise(df, "texts")
         if pieces:
-            raise ValueError("a word-piece vocabulary must fit the broadcast bounds")
-        return encode_by_join(materialise(df, "texts"), vocab, max_length, text, key)
+            return encode_pieces_by_join(texts, vocab, max_length, text, key, pretrained_words)
+        return encode_by_join(texts, vocab, max_length, text, key)
     return encode_with(df, shared, max_length, text, pieces, pretrained_words)
 
 
@@ -73,29 +73,44 @@ def encode_by_join(
 ) -> DataFrame:
     """The same column for a vocabulary of any size, by joining words to it.
 
-    `key` must identify rows; `df` is read twice and should be a written table.  Ids follow frequency, so the lowest ids are the frequent
-    tokens: those are matched against a small broadcast, and their rows are spread over
-    all tasks for the second join, where only rare tokens are matched by value.  At most
+    `key` must identify rows; `df` is read twice and should be a written table.  Counted
+    ids follow frequency, so the lowest ids are the frequent tokens.  At most
     `max_length` - 2 words of a row come together again.
     """
-    is_hot = F.col("id") < FIRST_ID + hot_tokens
-    hot = vocab.filter(is_hot).select("token", F.col("id").alias("hot_id"))
-    rare = vocab.filter(~is_hot).select(F.col("token").alias("join_token"), F.col("id").alias("rare_id"))
     words = df.select(key, F.posexplode(fe.leading_words(F.col(text), max_length)).alias("pos", "token"))
-    # At most `hot_tokens` rows by construction, hence the hint.
-    matched = words.join(F.broadcast(hot), "token", "left")
-    # A space never occurs in a token, so a spread value matches nothing.
-    spread = F.concat(F.lit(" "), F.col(key).cast("string"))
-    matched = matched.withColumn("join_token", F.when(F.col("hot_id").isNull(), F.col("token")).otherwise(spread))
-    found = matched.join(rare, "join_token", "left").select(
-        key, F.struct("pos", F.coalesce("hot_id", "rare_id", F.lit(UNK)).alias("id")).alias("place")
-    )
-    rows = found.groupBy(key).agg(F.sort_array(F.collect_list("place")).getField("id").alias("found_ids"))
-    body = F.coalesce(F.col("found_ids"), F.array().cast("array<int>"))
-    ids = F.concat(F.array(F.lit(CLS)), body, F.array(F.lit(SEP)))
+    hot = vocab.filter(F.col("id") < FIRST_ID + hot_tokens)
+    found = lookup(words, "token", F.col(key), vocab, hot, "id")
+    ids = found.select(key, "pos", F.array(F.coalesce("id", F.lit(UNK))).alias("ids"))
+    return _assemble(df, ids, key, max_length)
+
+
+def encode_pieces_by_join(
+    df: DataFrame, vocab: DataFrame, max_length: int = MAX_LENGTH, text: str = "text",
+    key: str = "doc_id", pretrained_words: bool = False, hot_tokens: int = HOT_TOKENS,
+) -> DataFrame:
+    """Word-piece encoding for a vocabulary of any size.
+
+    The distinct words are split once, by joins; rows then look their words up.  The same
+    demands as `encode_by_join`.
+    """
+    column = fw.spread_marks(F.col(text)) if pretrained_words else F.col(text)
+    words = df.select(key, F.posexplode(fe.leading_words(column, max_length)).alias("pos", "token"))
+    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    split = materialise(split_words(counts, vocab, pretrained_words, hot_tokens), "split-words")
+    hot = split.orderBy(F.desc("n"), "token").limit(hot_tokens)
+    return _assemble(df, lookup(words, "token", F.col(key), split, hot, "ids"), key, max_length)
+
+
+def _assemble(df: DataFrame, ids: DataFrame, key: str, max_length: int) -> DataFrame:
+    """Rows with their encoding, from the id arrays `ids` of the words at `pos`."""
+    places = F.sort_array(F.collect_list(F.struct("pos", "ids"))).getField("ids")
+    body = F.slice(F.flatten(places), 1, max_length - 2)
+    rows = ids.groupBy(key).agg(body.alias("found_ids"))
+    found = F.coalesce(F.col("found_ids"), F.array().cast("array<int>"))
+    whole = F.concat(F.array(F.lit(CLS)), found, F.array(F.lit(SEP)))
     encoding = F.struct(
-        fe.pad(ids, max_length).alias("input_ids"),
-        fe.attention_mask(F.size(ids), max_length).alias("attention_mask"),
+        fe.pad(whole, max_length).alias("input_ids"),
+        fe.attention_mask(F.size(whole), max_length).alias("attention_mask"),
     )
     return df.join(rows, key, "left").withColumn("encoding", encoding).drop("found_ids")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from corpusloom.operators.numbering import number_rows
 from corpusloom.schemas import CLS, FIRST_ID, PAD, SEP, UNK
 from corpusloom.session import materialise
 
@@ -67,8 +68,17 @@ def build_piece_vocab(
 
 
 def read_vocab_file(spark: SparkSession, path: str) -> DataFrame:
-    """A vocabulary file with one token per line; the id is the line number."""
-    lines = spark.read.text(path, wholetext=True).select(
-        F.posexplode(F.split("value", "\r?\n")).alias("id", "token")
+    """A vocabulary file with one token per line; the id is the line number from 0.
+
+    Lines are numbered within the block they were read from, and blocks by their place in
+    the file, so a large file is read by many tasks.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value").alias("token"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    numbered = number_rows(lines, group=[], major=["block"], minor=["line"], name="id")
+    return numbered.filter("token <> ''").select(
+        "token", F.col("id").cast("int").alias("id"), F.lit(0).cast("long").alias("n")
     )
-    return lines.filter("token <> ''").select("token", "id", F.lit(0).cast("long").alias("n"))

@@ -91,7 +91,8 @@ def prepare(
         placed = datasets.arrange(rows.withColumn("text", fitting), files)
         encoded = encode_with(placed, shared, max_length, pieces=pieces, pretrained_words=pretrained_words)
     else:
-        encoded = datasets.arrange(encode(rows, vocab, max_length, pieces=pieces), files)
+        encoded = encode(rows, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words)
+        encoded = datasets.arrange(encoded, files)
     written = encoded.select("doc_id", "split", "label", "encoding.*")
     written.write.mode("overwrite").partitionBy("split").parquet(path)
     if manifest:

@@ -16,7 +16,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 # Text tables below this size per core are spread before text work.
-SPREAD_BYTES = 32 * 1024 * 1024
+SPREAD_BYTES = 8 * 1024 * 1024
 
 
 def read_texts(spark: SparkSession, folder: str, name: str, key: str = "doc_id") -> DataFrame:

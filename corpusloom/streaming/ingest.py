@@ -1,6 +1,6 @@
 """The preparation of new files as they arrive.
 
-Cleaning, the length filter and the key-hash split are row-local, so they stream without
+Cleaning, the length filter, the key-hash split and encoding are row-local, so they stream without
 state, watermark or shuffle, and give each row the same split as a batch run would.
 """
 
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusloom.operators.encode import encode_with
 from corpusloom.plans.prepare import split_rows
-from corpusloom.schemas import LABELLED
+from corpusloom.schemas import LABELLED, MAX_LENGTH
 
 
 def read_arrivals(spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
@@ -19,10 +20,19 @@ def read_arrivals(spark: SparkSession, path: str, fmt: str = "parquet", files_pe
     return reader.option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
-def append_arrivals(rows: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
-    """Append prepared rows to the store by split; the checkpoint makes each file count once."""
+def append_arrivals(
+    rows: DataFrame, store: str, checkpoint: str, vocabulary=None, max_length: int = MAX_LENGTH
+) -> StreamingQuery:
+    """Append prepared rows to the store by split; the checkpoint makes each file count once.
+
+    With a `vocabulary` that `broadcast_vocab` accepted, rows are stored encoded.
+    """
+    prepared = split_rows(rows)
+    if vocabulary is not None:
+        encoded = encode_with(prepared, vocabulary, max_length)
+        prepared = encoded.select("doc_id", "split", "label", "encoding.*")
     return (
-        split_rows(rows).writeStream.format("parquet").outputMode("append")
+        prepared.writeStream.format("parquet").outputMode("append")
         .partitionBy("split").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start(store)
     )

@@ -103,6 +103,17 @@ def test_reuse_needs_all_splits(spark, labelled, vocab):
     assert datasets.find_cached(manifest.filter("split <> 'sst2'")) is None
 
 
+def test_hot_texts_and_sources_leave_files_even(spark):
+    """A third of the rows are copies of one text from one source, next to rare ones."""
+    rows = [(i, "the same old text again" if i % 3 == 0 else f"text number {i}", 1, "SST-2" if i % 3 == 0 else "IMDB")
+            for i in range(6000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, label int, source string")
+    placed = datasets.arrange(pp.split_rows(frame), 8).select("doc_id", F.spark_partition_id().alias("p"))
+    sizes = [r["count"] for r in placed.groupBy("p").count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) == 8 and max(sizes) < 1.2 * min(sizes)
+    assert pp.capped_rows(frame, 1000).count() == 1000 + 200 + 200
+
+
 def test_newest_complete_run_wins(spark):
     rows = [("old", s, f"/old/{s}", 1, 5) for s in ("train", "test", "sst2")]
     rows += [("new", s, f"/new/{s}", 2, 6) for s in ("train", "test", "sst2")]

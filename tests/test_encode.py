@@ -95,14 +95,31 @@ def test_pretrained_words_match_a_published_tokenizer(spark, folder):
     other.enable_truncation(64)
     other.enable_padding(length=64)
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    rows = oe.encode(frame, vocab, 64, pieces=True, pretrained_words=True).orderBy("doc_id").collect()
-    for text, row in zip(texts, rows):
-        want = other.encode(text)
-        assert list(row.encoding.input_ids) == want.ids, text[:80]
-        assert list(row.encoding.attention_mask) == want.attention_mask
+    wanted = [other.encode(text) for text in texts]
+    for tokens in (oe.BROADCAST_TOKENS, 0):
+        encoded = oe.encode(frame, vocab, 64, pieces=True, pretrained_words=True, max_tokens=tokens)
+        rows = encoded.orderBy("doc_id").collect()
+        for text, want, row in zip(texts, wanted, rows, strict=True):
+            assert list(row.encoding.input_ids) == want.ids, text[:80]
+            assert list(row.encoding.attention_mask) == want.attention_mask
     assert tokenizers.__version__
 
 
+def test_vocabulary_file_in_many_blocks(spark):
+    path = scratch_path(spark, "long-vocab")
+    tokens = [f"token{i}" for i in range(5000)]
+    tokens[17] = ""
+    spark.createDataFrame([("\n".join(tokens),)], "value string").coalesce(1).write.text(path)
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        vocab = ov.read_vocab_file(spark, path)
+        assert spark.read.text(path).select(F.spark_partition_id()).distinct().count() > 5
+        assert {r.token: r.id for r in vocab.collect()} == {t: i for i, t in enumerate(tokens) if t}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
 def test_top_tokens_break_ties_by_token(spark):
     counts = spark.createDataFrame([("b", 2), ("a", 2), ("c", 3), ("d", 1)], "token string, n bigint")
     got = [(r.token, r.id) for r in ov.top_tokens(counts, 3).orderBy("id").collect()]
