@@ -26,8 +26,8 @@ from corpusloom.sources import tables
 
 QUERIES = (
     "tag_and_union", "clean_text", "min_length_clean", "build_vocab", "encode_ids", "encode_ids_join",
-    "wordpiece_encode", "wordpiece_encode_join", "seeded_shuffle", "split_counts", "sample_cap", "partition_balance", "batch_truncate",
-    "gradient_step", "accuracy", "eval_by_dataset", "stream_append",
+    "wordpiece_encode", "wordpiece_encode_join", "seeded_shuffle", "split_counts", "sample_cap",
+    "partition_balance", "batch_truncate", "gradient_step", "accuracy", "eval_by_dataset", "stream_append",
 )
 
 

@@ -139,7 +139,8 @@ def _numbered(size: int = BATCH) -> str:
 batched AS (SELECT *, (row_in_shard // {size})::bigint AS batch_id FROM numbered),
 per_shard AS (SELECT split, shard, (count(*) // {size})::bigint AS batches FROM sharded GROUP BY ALL),
 fewest AS (
-  SELECT split, CASE WHEN count(*) < {WORLD} THEN 0 ELSE min(batches) END AS min_batches FROM per_shard GROUP BY split)"""
+  SELECT split, CASE WHEN count(*) < {WORLD} THEN 0 ELSE min(batches) END AS min_batches
+  FROM per_shard GROUP BY split)"""
 
 
 SHARDS = _with(LABELLED, FILED, _sharded("filed"), _numbered())
@@ -194,7 +195,8 @@ g AS (
   SELECT k::int AS k, j::int AS j, avg((CASE WHEN k = 0 THEN p0 ELSE p1 END - (p.label = k)::int) * x) AS g
   FROM x JOIN p ON x.doc_id = p.doc_id, range(2) a(k) WHERE p.split = 'train' GROUP BY k, j)"""
 
-_EVAL = """SELECT {epoch} AS epoch, CASE split WHEN 'test' THEN 'imdb_eval_' ELSE 'sst2_eval_' END || series AS series, value
+_EVAL = """SELECT {epoch} AS epoch,
+    CASE split WHEN 'test' THEN 'imdb_eval_' ELSE 'sst2_eval_' END || series AS series, value
   FROM (SELECT split, 'losses' AS series, avg(loss) AS value FROM {scored} WHERE split <> 'train' GROUP BY split
         UNION ALL SELECT split, 'acc', avg((pred = label)::int) FROM {scored} WHERE split <> 'train' GROUP BY split)"""
 
@@ -235,7 +237,9 @@ w{n + 1} AS MATERIALIZED (
   FROM (SELECT w.k, w.j, w.w, 0.9::double * w.m + 0.1::double * coalesce(g, 0) AS m,
           0.999::double * w.v + 0.001::double * coalesce(g, 0) * coalesce(g, 0) AS v
         FROM w{n} w LEFT JOIN g{n} g ON w.k = g.k AND w.j = g.j))""")
-        parts.append(f"SELECT {epoch + 1} AS epoch, 'train_losses' AS series, avg(loss) AS value FROM s{n} WHERE {taken}")
+        parts.append(
+            f"SELECT {epoch + 1} AS epoch, 'train_losses' AS series, avg(loss) AS value FROM s{n} WHERE {taken}"
+        )
     losses = "\nUNION ALL ".join(parts)
     ctes.append(f"trained AS (SELECT epoch::int AS epoch, series, avg(value) AS value FROM ({losses}) GROUP BY ALL)")
     return ctes
@@ -289,8 +293,8 @@ ORACLES = {
       sum(label)::bigint AS positives
       FROM filed f JOIN positions p ON f.split = p.split AND f.file = p.file GROUP BY ALL""",
     "manifest_lookup": _with(
-        LABELLED, f"runs AS (SELECT l.doc_id, d.source AS run_id, {_SPLIT.replace('source', 'l.source').replace('doc_id', 'l.doc_id')} AS split "
-        "FROM labelled l JOIN documents d ON l.doc_id = d.doc_id)",
+        LABELLED, f"splits AS (SELECT doc_id, {_SPLIT} AS split FROM labelled)",
+        "runs AS (SELECT s.doc_id, d.source AS run_id, s.split FROM splits s JOIN documents d ON s.doc_id = d.doc_id)",
         "manifest AS (SELECT run_id, split, run_id || '/' || split AS path, max(doc_id) AS created_at, "
         "count(*) AS rows FROM runs GROUP BY ALL)",
     ) + """SELECT run_id, max(created_at) AS created_at, max(path) FILTER (split = 'train') AS train_path,
@@ -367,8 +371,9 @@ found AS (
       FROM w2""",
     "resume_equals_straight": _with(VECTORS, _adam_w0(64), *_training(4, ADAM_LR))
     + f"SELECT epoch, series, {_number('value')} AS value, true AS same FROM trained",
-    "run_metrics_append": _with(LABELLED, CLEANED, ROWS, "sizes AS (SELECT split, count(*) AS n FROM rows_ GROUP BY split)")
-    + "\nUNION ALL ".join(
+    "run_metrics_append": _with(
+        LABELLED, CLEANED, ROWS, "sizes AS (SELECT split, count(*) AS n FROM rows_ GROUP BY split)",
+    ) + "\nUNION ALL ".join(
         f"""SELECT 'f2-s{s}' AS run_id, {s}::bigint AS samples, 2 AS cpus, 2::bigint AS stages, 1 AS timed,
       sum(least(n, CASE WHEN split = 'train' THEN {s} ELSE {int(s * 0.2)} END))::bigint AS rows FROM sizes"""
         for s in SWEEP_SAMPLES

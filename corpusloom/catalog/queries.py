@@ -122,12 +122,16 @@ def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     documents = tables.read_texts(spark, folder, "documents")
     benchmark = tables.read_table(spark, folder, "benchmark")
     talk = tables.read_texts(spark, folder, "conversations", "conv_id")
-    texts = tables.stack(
-        documents.select(F.lit("documents").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("turn"), "text"),
-        benchmark.select(F.lit("benchmark").alias("kind"), F.col("item_id").alias("id"), F.lit(0).cast("long").alias("turn"), "text"),
-        talk.select(F.lit("conversations").alias("kind"), F.col("conv_id").alias("id"), "turn", "text"),
-    )
-    return fc.with_clean_text(texts)
+    no_turn = F.lit(0).cast("long")
+
+    def texts(table: DataFrame, kind: str, key: str, turn) -> DataFrame:
+        return table.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), turn.alias("turn"), "text")
+
+    return fc.with_clean_text(tables.stack(
+        texts(documents, "documents", "doc_id", no_turn),
+        texts(benchmark, "benchmark", "item_id", no_turn),
+        texts(talk, "conversations", "conv_id", F.col("turn")),
+    ))
 
 
 def clean_text_edge(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,7 +240,8 @@ def seeded_shuffle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
-    return _rows(spark, folder).select("doc_id", "source", "split", _number(order_uniform(F.col("doc_id")), 9).alias("u"))
+    u = _number(order_uniform(F.col("doc_id")), 9)
+    return _rows(spark, folder).select("doc_id", "source", "split", u.alias("u"))
 
 
 def split_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,7 +254,8 @@ def sample_cap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partition_balance(spark: SparkSession, folder: str) -> DataFrame:
-    documents = tables.read_table(spark, folder, "documents").select("doc_id", F.length("text").cast("long").alias("chars"))
+    chars = F.length("text").cast("long")
+    documents = tables.read_table(spark, folder, "documents").select("doc_id", chars.alias("chars"))
     placed = split.even_partitions(documents, FILES).groupBy(F.spark_partition_id().alias("part"))
     return placed.agg(F.count(F.lit(1)).alias("rows"), F.sum("chars").alias("chars"))
 

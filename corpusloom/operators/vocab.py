@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.operators.numbering import number_rows
 from corpusloom.schemas import CLS, FIRST_ID, PAD, SEP, UNK
-from corpusloom.session import materialise
+from corpusloom.session import materialise, parallelism
 
 SPECIAL = {"[PAD]": PAD, "[UNK]": UNK, "[CLS]": CLS, "[SEP]": SEP}
 
 # Longer words are never split into pieces: the word-piece rule maps them to unknown.
 MAX_WORD_CHARS = 100
 
+# Groups that the choice of the most frequent tokens is made in first.
+TOP_GROUPS = 256
+
 
 def count_words(df: DataFrame, column: str = "text") -> DataFrame:
     """Occurrences of each word; counted before the shuffle, so a frequent word costs one
@@ -22,9 +25,18 @@ def count_words(df: DataFrame, column: str = "text") -> DataFrame:
 
 
 def top_tokens(counts: DataFrame, size: int, first_id: int = FIRST_ID) -> DataFrame:
-    """The `size` most frequent tokens with ids in order of (count descending, token)."""
+    """The `size` most frequent tokens with ids in order of (count descending, token).
+
+    A token of the whole top is in the top of any group it falls in.  So groups by hash
+    are cut to `size` first, and the one task that merges them sees groups times `size`
+    rows, not `size` from every partition.
+    """
     order = [F.desc("n"), F.asc("token")]
-    top = counts.orderBy(*order).limit(size)
+    groups = min(TOP_GROUPS, parallelism(counts.sparkSession))
+    group = F.pmod(F.xxhash64("token"), F.lit(groups))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    leaders = counts.withColumn("place", place).filter(F.col("place") <= size).drop("place")
+    top = leaders.orderBy(*order).limit(size)
     # The window sees at most `size` rows: the limit is applied first.
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
     return top.select("token", (rank - 1 + first_id).cast("int").alias("id"), "n")

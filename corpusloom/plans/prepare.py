@@ -93,8 +93,7 @@ def prepare(
     else:
         encoded = encode(rows, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words)
         encoded = datasets.arrange(encoded, files)
-    written = encoded.select("doc_id", "split", "label", "encoding.*")
-    written.write.mode("overwrite").partitionBy("split").parquet(path)
+    datasets.write_arranged(encoded.select("doc_id", "split", "label", "encoding.*"), path)
     if manifest:
         datasets.record_manifest(labelled.sparkSession, manifest, run_id, path)
     return path

@@ -19,9 +19,9 @@ def arrange(df: DataFrame, files: int, key: str = "doc_id") -> DataFrame:
     return placed.sortWithinPartitions("split", order_uniform(F.col(key)), key)
 
 
-def write_splits(df: DataFrame, path: str, files: int, key: str = "doc_id") -> None:
-    """Write all splits at once, `files` files each, under `split=` folders."""
-    arrange(df, files, key).write.mode("overwrite").partitionBy("split").parquet(path)
+def write_arranged(df: DataFrame, path: str) -> None:
+    """Write arranged rows of all splits at once, under `split=` folders."""
+    df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
