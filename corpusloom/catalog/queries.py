@@ -267,8 +267,12 @@ def _filed(spark: SparkSession, folder: str) -> DataFrame:
     return pp.with_files(rows, FILES)
 
 
+def _files(rows: DataFrame, policy: str = shard.LAST_TAKES_REST) -> DataFrame:
+    return shard.shard_layout(shard.count_file_rows(rows), WORLD, policy)
+
+
 def _layout(rows: DataFrame, policy: str = shard.LAST_TAKES_REST) -> DataFrame:
-    return materialise(shard.shard_layout(shard.count_file_rows(rows), WORLD, policy), "layout")
+    return materialise(_files(rows, policy), "layout")
 
 
 def shard_drop_remainder(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,7 +287,7 @@ def shard_last_takes_rest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _batched(rows: DataFrame, keep: str, size: int = BATCH) -> DataFrame:
-    layout = materialise(batch.batch_layout(_layout(rows), size, WORLD, keep), "batches")
+    layout = materialise(batch.batch_layout(_files(rows), size, WORLD, keep), "batches")
     return batch.with_batches(rows, layout, size)
 
 
@@ -299,11 +303,11 @@ def batch_keep_last(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batches_per_shard(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.batch_counts(_layout(_filed(spark, folder)), BATCH)
+    return batch.batch_counts(_files(_filed(spark, folder)), BATCH)
 
 
 def min_batches(spark: SparkSession, folder: str) -> DataFrame:
-    return batch.min_batch_counts(_layout(_filed(spark, folder)), BATCH, WORLD)
+    return batch.min_batch_counts(_files(_filed(spark, folder)), BATCH, WORLD)
 
 
 def batch_truncate(spark: SparkSession, folder: str) -> DataFrame:

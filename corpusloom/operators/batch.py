@@ -6,7 +6,7 @@ each its place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.functions.hashing import order_uniform
 from corpusloom.operators.numbering import default_buckets, hash_bucket, number_rows
@@ -31,17 +31,22 @@ def min_batch_counts(layout: DataFrame, batch_size: int, world: int, drop_last:
 
 
 def batch_layout(layout: DataFrame, batch_size: int, world: int, keep: str = MATCHED) -> DataFrame:
-    """The layout with `batch_limit`, the number of batches kept of each shard."""
+    """The layout with `batch_limit`, the number of batches kept of each shard.
+
+    Windows over the files of a split, so that a layout not yet written is computed once.
+    """
+    of_split = Window.partitionBy("split")
+    shard_rows = F.sum("file_rows").over(Window.partitionBy("split", "shard"))
+    whole = layout.withColumn("batch_limit", F.floor(shard_rows / batch_size).cast("long"))
     if keep == KEEP_ALL:
         return layout.withColumn("batch_limit", F.lit(None).cast("long"))
     if keep == DROP_LAST:
-        limits, on = batch_counts(layout, batch_size).withColumnRenamed("batches", "batch_limit"), ["split", "shard"]
-    elif keep == MATCHED:
-        limits = min_batch_counts(layout, batch_size, world).withColumnRenamed("min_batches", "batch_limit")
-        on = ["split"]
-    else:
-        raise ValueError(f"unknown batch policy {keep!r}")
-    return layout.join(limits, on)
+        return whole
+    if keep == MATCHED:
+        supplying = F.size(F.collect_set("shard").over(of_split))
+        fewest = F.when(supplying < world, 0).otherwise(F.min("batch_limit").over(of_split))
+        return whole.withColumn("batch_limit", fewest.cast("long"))
+    raise ValueError(f"unknown batch policy {keep!r}")
 
 
 def with_row_in_file(df: DataFrame, key: str = "doc_id", buckets: int | None = None) -> DataFrame:
