@@ -282,6 +282,7 @@ ORACLES = {
     "tag_and_union": f"{_IN} UNION ALL {_OUT}",
     "select_source": _OUT,
     "store_append_roundtrip": f"{_IN} UNION ALL {_OUT}",
+    "store_append_run": f"SELECT *, 'in' AS run_id FROM ({_IN}) UNION ALL SELECT *, 'out' FROM ({_OUT})",
     "store_overwrite_named": _with(LABELLED, CLEANED) + "SELECT * FROM cleaned",
     "jsonl_sample": _with(LABELLED, CLEANED) + """
       SELECT * FROM (SELECT *, 'raw' AS stage FROM labelled ORDER BY doc_id LIMIT 200)

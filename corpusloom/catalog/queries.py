@@ -72,6 +72,14 @@ def store_append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(spark, path, LABELLED)
 
 
+def store_append_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs, the first of them repeated: the store keeps each row once per run."""
+    path = scratch_path(spark, "runs")
+    for run_id, load in (("in", tables.load_in_domain), ("in", tables.load_in_domain), ("out", tables.load_out_domain)):
+        store.append_run(load(spark, folder), path, run_id)
+    return store.read(spark, path)
+
+
 def store_overwrite_named(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "named")
     rows = tables.load_labelled(spark, folder)
@@ -525,7 +533,8 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     load_in_domain, load_out_domain, concat_splits, tag_and_union, select_source,
-    store_append_roundtrip, store_overwrite_named, jsonl_sample, parquet_roundtrip_counts, manifest_lookup,
+    store_append_roundtrip, store_append_run, store_overwrite_named, jsonl_sample, parquet_roundtrip_counts,
+    manifest_lookup,
     clean_text, clean_text_edge, strip_punct, min_length_clean, min_length_raw,
     build_vocab, build_piece_vocab, encode_ids, encode_ids_join, encode_truncation, attention_mask,
     encoded_projection, wordpiece_words, wordpiece_encode, wordpiece_encode_join,

@@ -76,3 +76,8 @@ def result_lines(metrics: DataFrame) -> DataFrame:
         F.format_string("train[%.2f sec]", "train"),
     )
     return runs.select("run_id", line.alias("line"))
+
+
+def write_result_lines(metrics: DataFrame, path: str) -> None:
+    """Append the result lines to a text folder."""
+    result_lines(metrics).select("line").coalesce(1).write.mode("append").text(path)

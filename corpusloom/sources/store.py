@@ -11,6 +11,15 @@ def append(df: DataFrame, path: str | None, fmt: str = "parquet", **options) ->
     df.write.format(fmt).options(**options).mode("append").save(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet", **options) -> None:
+    """Add a run's rows to the store under its `run_id=` folder.
+
+    A plain append doubles the corpus when a run is repeated; a repeated run replaces its
+    own rows here and leaves those of other runs alone.
+    """
+    df.write.format(fmt).options(**options).mode("overwrite").save(f"{path}/run_id={run_id}")
+
+
 def read(
     spark: SparkSession, path: str | None, schema: StructType | str | None = None,
     fmt: str = "parquet", **options,

@@ -56,10 +56,17 @@ def read_corpus(
     key_column: str = "doc_id",
     label_column: str = "label",
     fmt: str = "parquet",
+    schema: str | None = None,
+    **options,
 ) -> DataFrame:
-    """A labelled corpus from its split folders: read, stack, rename, cast, tag."""
+    """A labelled corpus from its split folders: read, stack, rename, cast, tag.
+
+    Give text formats a `schema`, or Spark reads them once more to infer one.
+    """
     wanted = [key_column, text_column, label_column]
-    parts = [spark.read.format(fmt).load(p).select(*wanted) for p in paths]
+    reader = spark.read.format(fmt).options(**options)
+    reader = reader.schema(schema) if schema else reader
+    parts = [reader.load(p).select(*wanted) for p in paths]
     frame = stack(*parts).withColumnsRenamed(
         {key_column: "doc_id", text_column: "text", label_column: "label"}
     )

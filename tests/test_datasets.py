@@ -150,5 +150,14 @@ def test_corpus_reader(spark, labelled):
     assert {r.source for r in got.select("source").distinct().collect()} == {"SST-2"}
 
 
+def test_corpus_reader_with_a_schema(spark, labelled):
+    root = scratch_path(spark, "corpus-csv")
+    labelled.select("doc_id", "label", F.lit("a, quoted text").alias("text")).write.option("header", True).csv(root)
+    got = tables.read_corpus(
+        spark, [root], "IMDB", fmt="csv", schema="doc_id bigint, label int, text string", header=True
+    )
+    assert got.count() == labelled.count() and got.first().text == "a, quoted text"
+
+
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

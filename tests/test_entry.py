@@ -56,6 +56,10 @@ def test_run_log(spark):
     lines = {r.run_id: r.line for r in runs.result_lines(metrics).collect()}
     assert lines["a"].split("\t")[1:4] == ["cpus[4]", "world[2]", "samples[10]"]
     assert lines["a"].endswith("train[2.50 sec]")
+    out = scratch_path(spark, "lines")
+    for _ in range(2):
+        runs.write_result_lines(metrics, out)
+    assert sorted(r.value for r in spark.read.text(out).collect()) == sorted(2 * list(lines.values()))
 
 
 def test_arrivals_are_counted_once(spark):
