@@ -333,13 +333,15 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
     )).drop("source")
 
 
-def _batched_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return _batched(pp.with_files(_vectors(spark, folder), FILES), batch.MATCHED)
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _vectors(spark, folder)
+    weights = one_plain_step(vectors, EMBEDDING, 2, HEAD_LR)
+    return with_scores(vectors, EMBEDDING, weights).drop("embedding", "logits")
 
 
-def _scored(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
-    weights = one_plain_step(_vectors(spark, folder), EMBEDDING, 2, HEAD_LR)
-    return with_scores(rows, EMBEDDING, weights).drop("embedding")
+def _scored_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored where they are read, so that numbering moves no vectors."""
+    return _batched(pp.with_files(_scored(spark, folder), FILES), batch.MATCHED)
 
 
 def head_init_loss(spark: SparkSession, folder: str) -> DataFrame:
@@ -434,42 +436,42 @@ def max_wall_time(spark: SparkSession, folder: str) -> DataFrame:
 # Evaluation.
 
 def predict_argmax(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, folder, _vectors(spark, folder)).select("doc_id", "pred")
+    return _scored(spark, folder).select("doc_id", "pred")
 
 
 def accuracy(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(spark, folder, _batched_vectors(spark, folder))
+    scored = _scored_batches(spark, folder)
     return evaluate.accuracy(scored, "split").withColumn("accuracy", _number(F.col("accuracy")))
 
 
 def accuracy_per_shard(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(spark, folder, _batched_vectors(spark, folder))
+    scored = _scored_batches(spark, folder)
     return evaluate.accuracy(scored, "split", "shard").withColumn("accuracy", _number(F.col("accuracy")))
 
 
 def eval_loss(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(spark, folder, _batched_vectors(spark, folder)).filter(F.col("split") != TRAIN)
+    scored = _scored_batches(spark, folder).filter(F.col("split") != TRAIN)
     return evaluate.batch_loss(scored, "split").withColumn("loss", _number(F.col("loss")))
 
 
 def epoch_train_loss(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(spark, folder, _batched_vectors(spark, folder)).filter(F.col("split") == TRAIN)
+    scored = _scored_batches(spark, folder).filter(F.col("split") == TRAIN)
     return evaluate.batch_loss(scored, "split").withColumn("loss", _number(F.col("loss")))
 
 
 def loss_per_shard(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(spark, folder, _batched_vectors(spark, folder))
+    scored = _scored_batches(spark, folder)
     return evaluate.shard_loss(scored).withColumn("loss", _number(F.col("loss")))
 
 
 def eval_by_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(spark, folder, _vectors(spark, folder))
+    scored = _scored(spark, folder)
     rounded = {c: _number(F.col(c)) for c in ("loss", "accuracy")}
     return evaluate.by_dataset(scored).withColumns(rounded)
 
 
 def prediction_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluate.prediction_listing(_scored(spark, folder, _batched_vectors(spark, folder)), "doc_id")
+    return evaluate.prediction_listing(_scored_batches(spark, folder), "doc_id")
 
 
 # Reports.
