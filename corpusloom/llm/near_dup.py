@@ -2,8 +2,8 @@
 
 A document's shingle set selects one token per minwise hash function.  In each tree,
 documents that share the selected token of a seeded function form a node; a node that is
-too large branches on further functions, 1 / threshold of them on average, so that a pair
-at the threshold is expected to survive every level once.  Small nodes are compared
+too large branches on further functions, as many times as a pair at the threshold needs to
+be expected once on every level.  Small nodes are compared
 exhaustively by sketch, independent trees repeat this, and what the trees bring together
 is confirmed on full sets.
 """
@@ -18,18 +18,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.frames import by_key, few, groups, scan_groups, spread_join, with_keys
-from corpusloom.llm.graph import components
+from corpusloom.llm.graph import components, forest_roots
 from corpusloom.llm.text import SOLID, blocks, buffers, numbers, shingle_sets, words
 from corpusloom.session import materialise
 
 # Minwise functions; each keeps 32 bits for the trees and 8 bits for the sketch.
 FUNCTIONS = 64
-# Independent trees.  A pair at the threshold meets in one of them with probability at
-# least 0.77 (the survival of the branching over all levels), so ten leave 1 in 10^6.
+# Independent trees.  A pair at the threshold stays together over all levels of one with
+# probability 0.6 or more, so ten leave 1 in 10^4 pairs of the largest nodes, and fewer of
+# others: 0.15 to the tenth in nodes that are small at once.
 TREES = 10
-LEVELS = 10
+# Tokens selected at once below the first level, and levels: ten tokens at the deepest.
+STEP, LEVELS = 3, 4
 # Nodes up to this size are compared exhaustively.
 SMALL_NODE = 48
+# In a large node: agreement with the center from which a member is linked to it, and from
+# which it leaves the recursion.  The gap is the distance of a match plus three deviations.
+LIKE_CENTER, SETTLED = 0.5, 0.8
+PICKED = 15
 # Sets checked against each other in one task.
 GROUP = 1024
 # A sketch may fall short of the threshold by this much: over five standard deviations.
@@ -104,43 +110,90 @@ def _nodes(level: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members of small nodes of two or more, and members of larger nodes."""
     sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     sized = materialise(spread_join(level, sizes, "node", "inner"), "nodes")
-    return sized.filter(F.col("size") <= SMALL_NODE).drop("size"), sized.filter(F.col("size") > SMALL_NODE).drop("size")
+    small = sized.filter(F.col("size") <= SMALL_NODE).select("set_key", "node")
+    return small, sized.filter(F.col("size") > SMALL_NODE).drop("size")
 
 
-def tree_nodes(classes: DataFrame, threshold: float) -> DataFrame:
-    """`(node, set_key)` of all nodes to compare, over all trees and levels.
+def _agreement(a: str, b: str):
+    """Share of the minwise functions that select the same token."""
+    same = F.filter(
+        F.sequence(F.lit(0), F.lit(FUNCTIONS - 1)),
+        lambda k: F.substring(F.col(a), 4 * k + 1, 4) == F.substring(F.col(b), 4 * k + 1, 4),
+    )
+    return F.size(same) / FUNCTIONS
+
+
+def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each node, the token most of its picked members select, and the member most like that."""
+    for batch in batches:
+        centers, sigs = [], []
+        for picked in batch.column(1).to_pylist():
+            tokens = np.stack([np.frombuffer(p["sig"], ">u4") for p in picked])
+            equal = (tokens[:, None, :] == tokens[None, :, :]).sum(axis=1)
+            middle = tokens[equal.argmax(axis=0), np.arange(tokens.shape[1])]
+            centers.append(picked[int((tokens == middle).sum(axis=1).argmax())]["set_key"])
+            sigs.append(middle.astype(">u4").tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(centers, pa.binary()), pa.array(sigs, pa.binary())],
+            ["node", "center", "center_sig"],
+        )
+
+
+def _around_centers(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of large nodes with the node's `center` and their `share` of equal tokens
+    with the node's middle, the majority of `PICKED` seeded members."""
+    rows = large if "sig" in large.columns else large.join(classes.select("set_key", "sig"), "set_key")
+    picks = [
+        F.min(F.struct(F.xxhash64("set_key", "node", F.lit(k)).alias("h"), "set_key", "sig")).alias(f"p{k}")
+        for k in range(PICKED)
+    ]
+    picked = rows.groupBy("node").agg(*picks).select("node", F.array(*[f"p{k}" for k in range(PICKED)]).alias("picked"))
+    middles = picked.mapInArrow(_majority, "node long, center binary, center_sig binary")
+    joined = spread_join(rows, middles, "node", "inner")
+    return joined.withColumn("share", _agreement("sig", "center_sig")).drop("center_sig")
+
 
-    Nodes that stay large after the last level come as they are: their members agree on
-    `LEVELS` selected tokens.
+def tree_nodes(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """`(node, set_key)` of all small nodes, and links `(a, b)` from large ones.
+
+    In a large node, members like its center are linked to it, to be confirmed with their
+    group.  The most like ones then leave the recursion: whatever matches one of them
+    differs from the center by little more, and so is linked to the center too.  The others
+    branch.  Nodes that stay large after the last level are linked to their centers whole.
     """
-    extra = int(round((1.0 / threshold - 1.0) * 1000))
+    extra = 1.0 / threshold**STEP - 1.0
+    least, more = int(extra) + 1, int(round((extra % 1.0) * 1000))
     first = [F.xxhash64(F.lit(t), F.lit(0), _token(F.lit(t % FUNCTIONS))) for t in range(TREES)]
     level = classes.select("set_key", F.explode(F.array(*first)).alias("node"))
-    found = None
+    found, links = None, None
     for depth in range(1, LEVELS + 1):
         small, large = _nodes(level)
         found = small if found is None else found.unionByName(small)
         if large.isEmpty():
             break
+        rows = materialise(_around_centers(large, classes), "centers")
+        like = rows if depth == LEVELS else rows.filter(F.col("share") >= LIKE_CENTER)
+        linked_now = like.select(F.col("set_key").alias("a"), F.col("center").alias("b"))
+        links = linked_now if links is None else links.unionByName(linked_now)
         if depth == LEVELS:
-            found = found.unionByName(large)
             break
         # Functions are chosen by the node, so all its members branch alike.
-        lucky = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(1000)) < extra
-        count = F.when(lucky, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        branched = large.join(classes.select("set_key", "sig"), "set_key").withColumn("branch", F.explode(count))
-        function = F.pmod(F.xxhash64("node", F.lit(depth), "branch"), F.lit(FUNCTIONS)).cast("int")
-        level = branched.withColumn("function", function).select(
-            "set_key", F.xxhash64("node", "function", _token(F.col("function"))).alias("node")
-        ).distinct()
-    return found
+        lucky = F.pmod(F.xxhash64("node", F.lit(depth)), F.lit(1000)) < more
+        branches = F.sequence(F.lit(1), F.lit(least) + lucky.cast("int"))
+        branched = rows.filter(F.col("share") < SETTLED).withColumn("branch", F.explode(branches))
+        tokens = []
+        for k in range(STEP):
+            function = F.pmod(F.xxhash64("node", "branch", F.lit(k)), F.lit(FUNCTIONS)).cast("int")
+            tokens += [function, _token(function)]
+        level = branched.select("set_key", "sig", F.xxhash64("node", "branch", *tokens).alias("node"))
+    return found, links
 
 
 def candidate_links(nodes: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """Links `(a, b)` between members of a node whose sketches and sizes allow a match.
 
-    Every pair of a small node is looked at; of its matches a spanning forest is kept,
-    since the confirmation takes whole groups.  A larger node is linked in a row.
+    Every pair of a node is looked at; its matches are kept as stars, since
+    the confirmation takes whole groups.  Nodes have at most `SMALL_NODE` members.
     """
     sketch = F.concat(*[F.substring(F.col("sig"), 4 * k + 4, 1) for k in range(FUNCTIONS)])
     slim = classes.select("set_key", "n_shingles", sketch.alias("sketch"))
@@ -155,15 +208,9 @@ def candidate_links(nodes: DataFrame, classes: DataFrame, threshold: float) -> D
             rows = len(node)
             start = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
             span = np.diff(np.append(start, rows))
-            wide = np.repeat(span > SMALL_NODE, span)
-            pairs_a, pairs_b = [], []
-            beside = np.flatnonzero((node[1:] == node[:-1]) & wide[1:]) if rows > 1 else np.zeros(0, int)
-            pairs_a.append(beside)
-            pairs_b.append(beside + 1)
-            for step in range(1, min(SMALL_NODE, int(span.max())) if rows else 1):
-                i = np.flatnonzero((node[step:] == node[:-step]) & ~wide[step:])
-                if not len(i):
-                    break
+            pairs_a, pairs_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for step in range(1, int(span.max())):
+                i = np.flatnonzero(node[step:] == node[:-step])
                 j = i + step
                 small, big = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
                 fits = small >= threshold * big - 1e-9
@@ -171,69 +218,39 @@ def candidate_links(nodes: DataFrame, classes: DataFrame, threshold: float) -> D
                 alike = (sketches[i] == sketches[j]).sum(axis=1) >= least
                 pairs_a.append(i[alike])
                 pairs_b.append(j[alike])
-            a, b = _forest(np.concatenate(pairs_a), np.concatenate(pairs_b), rows)
-            a, b = pa.array(a, pa.int64()), pa.array(b, pa.int64())
+            stars = forest_roots(zip(np.concatenate(pairs_a).tolist(), np.concatenate(pairs_b).tolist()))
+            stars = [(x, r) for x, r in stars.items() if x != r]
+            a, b = (pa.array([x[k] for x in stars], pa.int64()) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([keys.take(a), keys.take(b)], ["a", "b"])
 
     rows = nodes.join(slim, "set_key")
-    return by_key(rows, "node", then=("set_key",)).mapInArrow(compare, "a binary, b binary").distinct()
+    return by_key(rows, "node", then=("set_key",)).mapInArrow(compare, "a binary, b binary")
 
 
 def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables that end where a node ends, unless the node alone is longer than 50,000 rows.
-
-    A node cut there is one that is linked in a row; its parts share a row.
-    """
+    """Tables that end where a node ends."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         node = batch.column(batch.schema.get_field_index("node")).to_numpy()
-        cut = int(np.flatnonzero(node != node[-1])[-1]) + 1 if (node != node[-1]).any() else 0
-        if held and held[-1].column(0) is not None:
-            last = held[-1].column(held[-1].schema.get_field_index("node"))[-1].as_py()
-            if cut == 0 and node[0] != last:
-                yield pa.Table.from_batches(held)
-                held = []
-        if cut:
+        other = np.flatnonzero(node != node[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut or held and held[-1].column(held[-1].schema.get_field_index("node"))[-1].as_py() != node[0]:
             held.append(batch.slice(0, cut))
             yield pa.Table.from_batches(held)
-            held = [batch.slice(cut)]
-        else:
-            held.append(batch)
-            if sum(h.num_rows for h in held) > 50_000:
-                yield pa.Table.from_batches(held)
-                held = [batch.slice(batch.num_rows - 1)]
+            held = []
+        held.append(batch.slice(cut))
     if held:
         yield pa.Table.from_batches(held)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, rows: int) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links between row numbers."""
-    root = list(range(rows))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    kept_a, kept_b = [], []
-    for x, y in zip(a.tolist(), b.tolist()):
-        rx, ry = find(x), find(y)
-        if rx != ry:
-            root[max(rx, ry)] = min(rx, ry)
-            kept_a.append(x)
-            kept_b.append(y)
-    return kept_a, kept_b
-
-
 def confirm(rows: DataFrame, percent: int) -> DataFrame:
     """Links `(a, b)` of the sets in each `task` that reach the threshold, on full sets.
 
     `rows` has `task`, `set_key`, `members` and `asked`.  Each asked set is counted against
-    all sets of the task by an inverted list; links within what is already linked are left
-    out, and a task ends when it is one component.  A task holds `GROUP` sets or so.
+    all sets of the task by an inverted list; a task ends when it is one component.  Links
+    come as stars around the least key of each component.  A task holds `GROUP` sets or so.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -245,8 +262,9 @@ def confirm(rows: DataFrame, percent: int) -> DataFrame:
                 keys = table.column("set_key").to_pylist()
                 asked = np.flatnonzero(table.column("asked").to_numpy(zero_copy_only=False))
                 sets = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
-                for a, b in linked(sets, asked, percent):
-                    yield {"a": keys[a], "b": keys[b]}
+                found = [(keys[a], keys[b]) for a, b in linked(sets, asked, percent)]
+                for a, b in forest_roots(found).items():
+                    yield {"a": a, "b": b}
 
         yield from scan_groups(schema, links())
 
@@ -282,13 +300,15 @@ def linked(sets: list[np.ndarray], asked, percent: int) -> list[tuple[int, int]]
     return out
 
 
-def confirmed_links(documents: DataFrame, classes: DataFrame, links: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Exact links between the sets of each group that the candidate links connect.
+def confirmed_components(
+    documents: DataFrame, classes: DataFrame, links: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """`(set_key, grp)`: components of the exact links within each candidate group.
 
-    A group of up to `GROUP` sets is checked in one task.  A larger one is first checked
-    against its hub, the set most like the group's majority sketch, in parts; sets that
-    are not linked to the hub are then checked against all parts.  No pair is left out,
-    and no task holds more than two parts.
+    A group of up to `GROUP` sets is checked in one task, which knows its components.  A
+    larger one is first checked against its hub, the set most like the group's majority
+    sketch, in parts; sets that are not linked to the hub are then checked against all
+    parts.  No pair is left out, and no task holds more than two parts.
     """
     grouped = components(links).select(F.col("id").alias("set_key"), F.col("root").alias("grp"))
     sizes = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
@@ -302,6 +322,7 @@ def confirmed_links(documents: DataFrame, classes: DataFrame, links: DataFrame,
     small = members.filter(F.col("n") <= GROUP)
     found = confirm(small.select(F.col("grp").alias("task"), "set_key", "members", F.lit(True).alias("asked")), percent)
     large = members.filter(F.col("n") > GROUP)
+    found = found.select(F.col("a").alias("set_key"), F.col("b").alias("grp"))
     if large.isEmpty():
         return found
 
@@ -337,7 +358,8 @@ def confirmed_links(documents: DataFrame, classes: DataFrame, links: DataFrame,
     chunk = F.pmod(F.xxhash64("set_key", F.lit(1)), F.col("chunks")).cast("int")
     chunked = spread_join(left, waiting, "grp", "inner").withColumn("chunk", chunk).drop("chunks")
     rest = confirm(tasks(chunked), percent)
-    return found.unionByName(star).unionByName(rest)
+    joined = components(star.unionByName(rest)).withColumnsRenamed({"id": "set_key", "root": "grp"})
+    return found.unionByName(joined)
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -360,10 +382,10 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         ),
         "classes",
     )
-    nodes = tree_nodes(classes, threshold)
-    links = materialise(candidate_links(nodes, classes, threshold), "candidates")
-    exact = confirmed_links(documents, classes, links, shingle, percent)
-    joined = components(exact).withColumnsRenamed({"id": "set_key", "root": "grp"})
+    nodes, starred = tree_nodes(classes, threshold)
+    links = candidate_links(nodes, classes, threshold)
+    links = materialise(links if starred is None else links.unionByName(starred), "candidates")
+    joined = materialise(confirmed_components(documents, classes, links, shingle, percent), "components")
     reps = classes.select("set_key", "rep")
     linked_reps = joined.join(reps, "set_key")
     least = linked_reps.groupBy("grp").agg(F.min("rep").alias("least"))
