@@ -11,9 +11,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.llm.frames import spread_join
+from corpusloom.llm.frames import few, spread_join
 from corpusloom.session import materialise, parallelism
 
+# Up to this many links a round's least neighbours, at most twice as many, are broadcast.
+BROADCAST_LINKS = 200_000
+
 
 def forest_roots(pairs) -> dict:
     """Each end of the pairs with the least end of its component."""
@@ -53,6 +56,11 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 
 
+def _with_least(edges: DataFrame, least: DataFrame, small: bool) -> DataFrame:
+    """Each link with the least of its `u`; hot vertices are spread, or not shuffled at all."""
+    return edges.join(F.broadcast(least), "u") if small else spread_join(edges, least, "u", "inner")
+
+
 def _are_stars(edges: DataFrame) -> bool:
     """Whether each vertex has one link and none has links in both roles."""
     ends = F.explode(F.array(
@@ -78,14 +86,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     placed = pairs.repartition(parallelism(links.sparkSession), "v")
     edges = materialise(placed.mapInArrow(_contract, f"u {kind}, v {kind}"), "links")
     while not _are_stars(edges):
+        small_graph = few(edges, BROADCAST_LINKS)
         # Every larger neighbour moves to the least of the closed neighbourhood.
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _least(both).select("u", F.least("u", "m").alias("m"))
-        large = spread_join(both, least, "u", "inner").filter("v > u").select(
+        large = _with_least(both, least, small_graph).filter("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")
         ).filter("u <> v")
         # Every smaller neighbour moves to the least of them.
-        small = spread_join(large, _least(large), "u", "inner")
+        small = _with_least(large, _least(large), small_graph)
         moved = small.select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),

@@ -139,17 +139,22 @@ def _majority(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _around_centers(large: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of large nodes with the node's `center` and their `share` of equal tokens
-    with the node's middle, the majority of `PICKED` seeded members."""
-    rows = large if "sig" in large.columns else large.join(classes.select("set_key", "sig"), "set_key")
+def _middles(rows: DataFrame) -> DataFrame:
+    """`(node, center, center_sig)`: the majority of `PICKED` seeded members of each node,
+    and the picked member most like it."""
     picks = [
         F.min(F.struct(F.xxhash64("set_key", "node", F.lit(k)).alias("h"), "set_key", "sig")).alias(f"p{k}")
         for k in range(PICKED)
     ]
     picked = rows.groupBy("node").agg(*picks).select("node", F.array(*[f"p{k}" for k in range(PICKED)]).alias("picked"))
-    middles = picked.mapInArrow(_majority, "node long, center binary, center_sig binary")
-    joined = spread_join(rows, middles, "node", "inner")
+    return picked.mapInArrow(_majority, "node long, center binary, center_sig binary")
+
+
+def _around_centers(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of large nodes with the node's `center` and their `share` of equal tokens
+    with the node's middle."""
+    rows = large if "sig" in large.columns else large.join(classes.select("set_key", "sig"), "set_key")
+    joined = spread_join(rows, _middles(rows), "node", "inner")
     return joined.withColumn("share", _agreement("sig", "center_sig")).drop("center_sig")
 
 
@@ -307,7 +312,7 @@ def confirmed_components(
 
     A group of up to `GROUP` sets is checked in one task, which knows its components.  A
     larger one is first checked against its hub, the set most like the group's majority
-    sketch, in parts; sets that are not linked to the hub are then checked against all
+    of tokens, in parts; sets that are not linked to the hub are then checked against all
     parts.  No pair is left out, and no task holds more than two parts.
     """
     grouped = components(links).select(F.col("id").alias("set_key"), F.col("root").alias("grp"))
@@ -329,13 +334,8 @@ def confirmed_components(
     half = GROUP // 2
     parts = F.ceil(F.col("n") / half).cast("int")
     cut = large.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("set_key"), F.col("parts")).cast("int"))
-    sketch = F.transform(F.sequence(F.lit(0), F.lit(FUNCTIONS - 1)), lambda k: F.substring(F.col("sig"), 4 * k + 1, 4))
-    keyed = large.select("grp", "set_key").join(classes.select("set_key", "sig"), "set_key")
-    tokens = keyed.select("grp", "set_key", F.posexplode(sketch).alias("k", "token"))
-    votes = tokens.groupBy("grp", "k", "token").agg(F.count(F.lit(1)).alias("votes"))
-    majority = votes.groupBy("grp", "k").agg(F.max_by("token", F.struct("votes", "token")).alias("token"))
-    score = tokens.join(majority, ["grp", "k", "token"]).groupBy("grp", "set_key").agg(F.count(F.lit(1)).alias("score"))
-    hubs = score.groupBy("grp").agg(F.max_by("set_key", F.struct("score", "set_key")).alias("set_key"))
+    keyed = large.select(F.xxhash64("grp").alias("node"), "set_key").join(classes.select("set_key", "sig"), "set_key")
+    hubs = _middles(keyed).select(F.col("center").alias("set_key"))
 
     def tasks(asked: DataFrame) -> DataFrame:
         """Each asked set beside every part of its group, a part's worth of them at a time."""
@@ -350,7 +350,7 @@ def confirmed_components(
             F.first("members").alias("members"), F.max("asked").alias("asked")
         )
 
-    hub = cut.join(hubs.select("set_key"), "set_key", "left_semi").withColumn("chunk", F.lit(0))
+    hub = cut.join(hubs, "set_key", "left_semi").withColumn("chunk", F.lit(0))
     star = materialise(confirm(tasks(hub), percent), "star")
     near = star.select(F.col("a").alias("set_key")).unionByName(star.select(F.col("b").alias("set_key"))).distinct()
     left = cut.join(near, "set_key", "left_anti")
