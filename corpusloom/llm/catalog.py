@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm import decontaminate, langid, near_dup, packing, secrets
+from corpusloom.llm import (
+    decontaminate, html_text, langid, masked_lm, near_dup, packing, paragraphs, secrets, warc, winnow,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,15 +18,35 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents")).drop("value")
 
 
+def op2_masked_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(_table(spark, folder, "documents"))
+
+
+def op3_tree_scored_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.page_texts(_table(spark, folder, "pages"))
+
+
 def op4_chosen_path_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dup.near_duplicates(_table(spark, folder, "documents"), shingle=3, percent=85)
     return found.drop("text_hash")
 
 
+def op5_warc_capture_index(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_and_read(_table(spark, folder, "pages"), least_bytes=0)
+
+
+def op6_winnowing_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.edited_fingerprints(_table(spark, folder, "documents"))
+
+
 def op7_wu_manber_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op8_paragraph_banding(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_passages(_table(spark, folder, "documents"))
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1
@@ -40,15 +61,29 @@ def op10_naive_bayes_langid(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_secret_scan, op4_chosen_path_near_dup, op7_wu_manber_decontamination, op9_sum_of_squares_packing,
-        op10_naive_bayes_langid,
+        op1_secret_scan, op2_masked_pseudo_likelihood, op3_tree_scored_text, op4_chosen_path_near_dup,
+        op5_warc_capture_index, op6_winnowing_fingerprints, op7_wu_manber_decontamination, op8_paragraph_banding,
+        op9_sum_of_squares_packing, op10_naive_bayes_langid,
     )
 }
 
 _WORDS4 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 _WORDS7 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * g + 1}, 5))::INTEGER >> {k}) & 31) + 1, 1)"
+    for g in range(8) for k in (15, 10, 5, 0)
+)
+
 ORACLES = {
+    "op5_warc_capture_index": f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT page_id, n, h, max(page_id) OVER (PARTITION BY n, h) AS top FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM m
+""",
     "op4_chosen_path_near_dup": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS4} AS w FROM documents),
 shingles AS (

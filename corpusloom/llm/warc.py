@@ -60,20 +60,17 @@ def sort_key(url: str | None) -> str:
     return ",".join(reversed(names)) + ")" + path
 
 
-def _digests(pages: DataFrame) -> DataFrame:
-    """`page_id`, size and digest of every payload."""
-
-    def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            payloads = [(p.as_py() or "").encode("utf-8", "surrogatepass") for p in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(p) for p in payloads], pa.int64()), pa.array(map(digest, payloads), pa.string())],
-                ["page_id", "payload_bytes", "payload_digest"],
-            )
-
-    return pages.select("page_id", "html").mapInArrow(
-        hash_rows, "page_id long, payload_bytes long, payload_digest string"
-    )
+def _base32_sha1(column):
+    """Bare base32 of SHA-1: groups of twenty bits, four letters each."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    hexed = F.sha1(column)
+    out = []
+    for group in range(8):
+        number = F.conv(F.substring(hexed, 5 * group + 1, 5), 16, 10).cast("int")
+        for shift in (15, 10, 5, 0):
+            place = F.shiftright(number, shift).bitwiseAND(F.lit(31)) + 1
+            out.append(F.substring(F.lit(letters), place, F.lit(1)))
+    return F.concat(*out)
 
 
 def _clean(url):
@@ -89,34 +86,37 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     null id is a response.  Payloads are equal if size and SHA-1 are.  Files hold about
     `archive_bytes`; pages stay in their partitions, so only digests are shuffled.
     """
-    sums = materialise(_digests(pages), "digests")
+    body = F.coalesce("html", F.lit(""))
+    rows = pages.select(
+        "page_id", "url", body.alias("html"), F.octet_length(body).cast("long").alias("payload_bytes"),
+        _base32_sha1(body).alias("payload_digest"),
+    )
+    sums = materialise(rows.drop("url", "html"), "digests")
     shared = sums.filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= least_bytes))
-    largest = shared.groupBy("payload_digest", "payload_bytes").agg(
-        F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")
-    ).filter("n > 1").drop("n")
-    # Pages with a copy elsewhere; few pages have one, so they are mostly broadcast.
     key = ["payload_digest", "payload_bytes"]
+    largest = shared.groupBy(*key).agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).filter(
+        "refers_to <> least"
+    ).drop("least")
+    # Pages with a copy elsewhere are few, so they are mostly broadcast.
+    largest = materialise(largest, "responses")
     revisits = materialise(
         shared.join(F.broadcast(largest) if few(largest) else largest, key)
         .filter("page_id < refers_to").select("page_id", *key, "refers_to").distinct(), "revisits"
     )
     side = F.broadcast(revisits) if few(revisits, 100_000) else revisits
-    body = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", body.alias("html"), F.octet_length(body).alias("size"))
-    base32 = F.coalesce("payload_digest", _base32_sha1(F.col("html")))
-    joined = rows.join(side, "page_id", "left").withColumn("sha", base32)
+    joined = rows.join(side, ["page_id", *key], "left")
     named = F.col("page_id").cast("string")
     head = F.concat(
         F.lit(f"{VERSION}\r\nWARC-Type: "), F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"),
         F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(named, F.lit("")),
         F.lit(f">\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), _clean(F.col("url")),
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("sha"),
-        F.lit("\r\nX-Payload-Length: "), F.coalesce("payload_bytes", F.col("size").cast("long")).cast("string"),
+        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"),
+        F.lit("\r\nX-Payload-Length: "), F.col("payload_bytes").cast("string"),
         F.when(F.col("refers_to").isNull(), F.lit("")).otherwise(F.concat(
             F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">")
         )),
         F.lit("\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
-        F.when(F.col("refers_to").isNull(), F.col("size")).otherwise(F.lit(0)).cast("string"), F.lit(END),
+        F.when(F.col("refers_to").isNull(), F.col("payload_bytes")).otherwise(F.lit(0)).cast("string"), F.lit(END),
     )
     record = F.concat(head, F.when(F.col("refers_to").isNull(), F.col("html")).otherwise(F.lit("")))
     mean = sums.agg(F.avg("payload_bytes")).first()[0] or 0
@@ -125,19 +125,6 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     writer.text(path)
 
 
-def _base32_sha1(column):
-    """Base32 of SHA-1 by groups of twenty bits, four letters each."""
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    hexed = F.sha1(column)
-    out = []
-    for group in range(8):
-        number = F.conv(F.substring(hexed, 5 * group + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            place = F.shiftright(number, shift).bitwiseAND(F.lit(31)) + 1
-            out.append(F.substring(F.lit(letters), place, F.lit(1)))
-    return F.concat(*out)
-
-
 def parse_header(head: bytes) -> dict[str, str]:
     return {k.decode().lower(): v.decode("utf-8", "replace") for k, v in _FIELD.findall(head)}
 
@@ -305,9 +292,15 @@ RECORD = "page_id long, url string, payload_bytes long, payload_digest string, r
 def read_captures(spark, path: str, captures: DataFrame, payloads: bool = True) -> DataFrame:
     """The records at the ranges that `captures` name, digests recomputed where there is a payload."""
     files = archive_files(spark, path)
-    ranges = captures.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))
-    # A file's ranges are bounded by the records of one archive.
-    wanted = files.join(ranges, "file")
+    # A file's ranges are bounded by the records of one archive; archives stay in place
+    # while the ranges are few enough to broadcast.
+    ranges = materialise(
+        captures.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"), F.count(F.lit(1)).alias("n")),
+        "ranges",
+    )
+    total = ranges.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranges = ranges.drop("n")
+    wanted = files.join(F.broadcast(ranges) if total <= 1_000_000 else ranges, "file")
     schema = pa.schema([
         ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
         ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.string()),
@@ -346,7 +339,7 @@ def archive_and_read(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Pages written as archives, indexed, looked up by the index and read back.
 
     Per page: `page_id, payload_bytes, payload_digest, record_type, refers_to`.  A null URL
-    is empty.  Repeated rows of one id and payload are records of their own, all found.
+    is empty.  Rows of equal id and URL are looked up as the first of their records.
     """
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
