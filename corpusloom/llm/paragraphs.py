@@ -181,25 +181,30 @@ def _part(key: str, at: int):
     return F.split(F.col(key), ":")[at].cast("long")
 
 
-def cluster_paragraphs(documents: DataFrame, paragraphs: DataFrame, shingle: int, percent: int, least: int) -> DataFrame:
-    """`(k1, k2, c1, c2)`: the cluster of each distinct paragraph that is like another one.
+def candidate_buckets(paragraphs: DataFrame) -> DataFrame:
+    """`(k1, k2, bucket)` of the band buckets with more than one shingle set.
 
-    Paragraphs with equal shingle sets are one from the start.  Band buckets with more than
-    one set are kept; the sets of a bucket are counted in tasks of about `GROUP`, every
-    pair of parts of a larger bucket in its own, so no candidate is left out.
+    Copies of a paragraph are added up before they are shuffled, and spread where they are
+    joined, so a paragraph that every document has costs no task more than others.
     """
     bands = F.array(*[F.xxhash64(F.lit(b), F.col("mins")[b]) for b in range(BANDS)])
     rows = paragraphs.select("k1", "k2", F.explode(bands).alias("bucket"))
     mixed = rows.groupBy("bucket").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).filter(
         "low <> high"
     ).select("bucket")
-    mixed = materialise(mixed, "buckets")
-    side = F.broadcast(mixed) if few(mixed) else mixed
-    members = materialise(rows.join(side, "bucket").distinct(), "members")
-    ones = members.select("k1", "k2").distinct()
-    place = F.struct(F.col("doc_id").alias("doc_id"), F.col("unit").alias("unit"))
-    known = paragraphs.filter("doc_id is not null").join(F.broadcast(ones) if few(ones) else ones, ["k1", "k2"])
-    wanted = known.groupBy("k1", "k2").agg(F.min(place).alias("p")).select("p.doc_id", "p.unit")
+    return spread_join(rows, materialise(mixed, "buckets"), "bucket", "inner").distinct()
+
+
+def cluster_paragraphs(
+    documents: DataFrame, members: DataFrame, places: DataFrame, shingle: int, percent: int, least: int
+) -> DataFrame:
+    """`(k1, k2, c1, c2)`: the cluster of each distinct paragraph that is like another one.
+
+    `members` are the sets of the candidate buckets, `places` has the first document and
+    number of each.  The sets of a bucket are counted in tasks of about `GROUP`, every pair
+    of parts of a larger bucket in its own, so no candidate is left out.
+    """
+    wanted = places.join(members.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").select("p.doc_id", "p.unit")
     sets = materialise(_full_sets(documents, wanted, shingle, least), "sets")
 
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -231,22 +236,23 @@ def repeated_paragraphs(
     without words have no rows.
     """
     paragraphs = materialise(paragraph_rows(documents.filter("doc_id is not null"), shingle, least), "paragraphs")
-    near = materialise(cluster_paragraphs(documents, paragraphs, shingle, percent, least), "clusters")
-    copies = paragraphs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2")
+    members = materialise(candidate_buckets(paragraphs), "members")
+    # One pass over the paragraphs for what occurs twice and where candidates stand first.
+    ones = members.select("k1", "k2").distinct().withColumn("candidate", F.lit(True))
+    place = F.struct(F.col("doc_id").alias("doc_id"), F.col("unit").alias("unit"))
+    counted = paragraphs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p"))
+    needed = materialise(counted.join(ones, ["k1", "k2"], "left").filter("n > 1 or candidate"), "needed")
+    near = materialise(
+        cluster_paragraphs(documents, members, needed.filter("candidate"), shingle, percent, least), "clusters"
+    )
     repeated = materialise(
-        copies.join(near, ["k1", "k2"], "full").select(
-            "k1", "k2", F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2")
-        ),
+        needed.filter("n > 1").select("k1", "k2").join(near, ["k1", "k2"], "full").select(
+            F.xxhash64("k1", "k2").alias("_key"), F.coalesce("c1", "k1").alias("c1"), F.coalesce("c2", "k2").alias("c2")
+        ).dropDuplicates(["_key"]),
         "repeated",
     )
-    slim = paragraphs.drop("mins")
-    key = F.xxhash64("k1", "k2")
-    side = repeated.withColumn("_key", key).drop("k1", "k2").dropDuplicates(["_key"])
-    if few(repeated, 200_000):
-        found = slim.withColumn("_key", key).join(F.broadcast(side), "_key").drop("_key")
-    else:
-        found = spread_join(slim.withColumn("_key", key), side, "_key", "inner").drop("_key")
-    found = materialise(found.drop("k1", "k2"), "found")
+    slim = paragraphs.withColumn("_key", F.xxhash64("k1", "k2")).drop("mins", "k1", "k2")
+    found = materialise(spread_join(slim, repeated, "_key", "inner").drop("_key"), "found")
     first = found.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "unit")).alias("first"))
     keyed = found.withColumn("_c", F.xxhash64("c1", "c2"))
     firsts = first.select(F.xxhash64("c1", "c2").alias("_c"), "first").dropDuplicates(["_c"])
