@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.text import ALNUM, blocks, buffers, words
-from corpusloom.session import parallelism
+from corpusloom.session import materialise, parallelism
 
 # Words with an id of their own; all others share as many buckets by hash.
 VOCABULARY, BUCKETS = 20_000, 64
@@ -106,10 +106,10 @@ class Words:
 
 def build_words(documents: DataFrame, text: str = "text", size: int = VOCABULARY) -> Words:
     """The vocabulary from counts over all documents; the driver gets `size` words."""
-    counts = count_words(documents, text).persist()
+    counts = materialise(count_words(documents, text), "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    top = counts.orderBy(F.desc("n"), "h").limit(size).collect()
-    counts.unpersist()
+    # Merged by a task and written, so the driver gets `size` rows, not as many from each task.
+    top = materialise(counts.orderBy(F.desc("n"), "h").limit(size), "vocabulary").collect()
     h = np.array([r.h for r in top], dtype=np.int64).view(np.uint64)
     n = np.array([r.n for r in top], dtype=np.int64)
     return Words(h, n, np.array([r.tail for r in top], dtype=np.int64), int(total) - int(n.sum()))

@@ -147,7 +147,8 @@ def _full_sets(documents: DataFrame, wanted: DataFrame, shingle: int, least: int
 
     docs = wanted.groupBy("doc_id").agg(F.collect_set("unit").alias("units"))
     docs = materialise(docs, "wanted")
-    side = F.broadcast(docs) if few(docs, 100_000) else docs
+    # Documents with their paragraph numbers, some 50 bytes each.
+    side = F.broadcast(docs) if few(docs) else docs
     texts = documents.select("doc_id", "text").join(side, "doc_id")
     return texts.mapInArrow(build, "k1 long, k2 long, members binary").dropDuplicates(["k1", "k2"])
 

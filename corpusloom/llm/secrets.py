@@ -184,7 +184,9 @@ def corpus_statistics(documents: DataFrame, text: str = "text") -> tuple[np.ndar
         pairs[int(row.word[1:])] = row.n
     pairs = pairs.reshape(CLASSES, CLASSES) + 0.5
     logp = np.log(pairs / pairs.sum(axis=1, keepdims=True))
-    top = sums.filter("word not like '#%'").orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
+    # Merged by a task and written, so the driver gets the dictionary alone.
+    top = sums.filter("word not like '#%'").orderBy(F.desc("n"), "word").limit(DICTIONARY)
+    top = materialise(top, "dictionary").collect()
     return logp, [r.word for r in top]
 
 
