@@ -21,7 +21,7 @@ from corpusloom.operators.vocab import build_vocab
 from corpusloom.plans.prepare import prepare
 from corpusloom.plans.train import fit
 from corpusloom.schemas import IN_DOMAIN, OUT_DOMAIN
-from corpusloom.session import build_session, materialise, scratch_path
+from corpusloom.session import build_session, materialise, release, scratch_path
 from corpusloom.sources import tables
 
 QUERIES = (
@@ -76,6 +76,7 @@ def main() -> None:
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"), "cpus": cpus,
         "prepared_docs_per_sec": round(rows / took["prepare_corpus"], 1),
     }))
+    release(spark)
     spark.stop()
 
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from corpusloom.catalog.queries import (
-    ADAM_LR, BATCH, CAP, FILES, HEAD_LR, MAX_LENGTH, PIECE_CHARS, PIECE_WORDS, PIECES, SHORT_LENGTH,
-    SMALL_BATCH, STEPS, SWEEP_SAMPLES, TEXT_DIM, TEXT_LR, VOCAB, WORLD,
+    ADAM_LR, BATCH, CAP, FEW_FILES, FILES, FROZEN, HEAD_LR, MAX_LENGTH, PIECE_WORDS, PIECES, REUSE_LENGTH,
+    SHORT_LENGTH, SMALL_BATCH, STEPS, SWEEP_FILES, SWEEP_SAMPLES, TEXT_DIM, TEXT_LR, VOCAB, WORLD,
 )
 
 
@@ -78,7 +78,7 @@ def _mask(length: int) -> str:
 PIECE_CTES = (
     CORPUS, COUNTS, _top("whole", "counts", PIECE_WORDS),
     f"""cut AS (
-  SELECT token AS word, n, s, unnest(range(1, least({PIECE_CHARS}, length(token) - s + 1) + 1)) AS c
+  SELECT token AS word, n, s, unnest(range(1, length(token) - s + 2)) AS c
   FROM (SELECT token, n, unnest(range(1, length(token) + 1)) AS s FROM counts WHERE length(token) <= 100)),
 further AS (
   SELECT token, sum(n)::bigint AS n
@@ -179,12 +179,11 @@ def _scored(name: str = "scored", weights: str = "w") -> str:
 
 
 HEAD = _with(VECTORS, _plain_w(), _scored())
-# Scored rows of the batches all shards can supply.
+# Scored rows in their batches.
 BATCHED_HEAD = _with(
     VECTORS, _plain_w(), _scored(), _sharded("vectors"), _numbered(),
     """rows_ AS (
-  SELECT s.*, b.shard, b.batch_id FROM scored s JOIN batched b ON s.doc_id = b.doc_id
-  JOIN fewest f ON f.split = b.split WHERE b.batch_id < f.min_batches)""",
+  SELECT s.*, b.shard, b.batch_id FROM scored s JOIN batched b ON s.doc_id = b.doc_id)""",
     """batch_losses AS (
   SELECT split, batch_id, avg(loss) AS loss
   FROM (SELECT split, shard, batch_id, avg(loss) AS loss FROM rows_ GROUP BY ALL) GROUP BY ALL)""",
@@ -207,9 +206,10 @@ def _adam_w0(dim: int) -> str:
   FROM range(2) a(k), range({dim + 1}) b(j))"""
 
 
-def _training(epochs: int, lr: float, steps: int = 1) -> list[str]:
+def _training(epochs: int, lr: float, steps: int = 1, mask: str = "true") -> list[str]:
     """AdamW from w0 over x(doc_id, label, split, step, j, x), one set of tables per update;
-    `trained` has the history, w<n> the state after n updates."""
+    `trained` has the history, w<n> the state after n updates.  `mask` says which weights
+    are trained."""
     ctes, parts = [], []
     for n in range(epochs * steps + 1):
         ctes.append(f"""z{n} AS MATERIALIZED (
@@ -232,8 +232,10 @@ s{n} AS MATERIALIZED (
   FROM x JOIN (SELECT doc_id, label, p0, p1 FROM s{n} WHERE {taken}) s ON x.doc_id = s.doc_id, range(2) a(k)
   GROUP BY ALL),
 w{n + 1} AS MATERIALIZED (
-  SELECT k, j, m, v, w * (1 - {lr}::double * 0.01)
-    - {lr}::double * (m / (1 - 0.9::double ^ {n + 1})) / (sqrt(v / (1 - 0.999::double ^ {n + 1})) + 1e-8) AS w
+  SELECT k, j, CASE WHEN {mask} THEN m ELSE 0 END AS m, CASE WHEN {mask} THEN v ELSE 0 END AS v,
+    CASE WHEN {mask} THEN w * (1 - {lr}::double * 0.01)
+      - {lr}::double * (m / (1 - 0.9::double ^ {n + 1})) / (sqrt(v / (1 - 0.999::double ^ {n + 1})) + 1e-8)
+    ELSE w END AS w
   FROM (SELECT w.k, w.j, w.w, 0.9::double * w.m + 0.1::double * coalesce(g, 0) AS m,
           0.999::double * w.v + 0.001::double * coalesce(g, 0) * coalesce(g, 0) AS v
         FROM w{n} w LEFT JOIN g{n} g ON w.k = g.k AND w.j = g.j))""")
@@ -247,8 +249,7 @@ w{n + 1} AS MATERIALIZED (
 
 # Prepared documents as sparse counts of hashed ids, with a bias, in batches of a step.
 _TEXT_X = f"""batch_rows AS (
-  SELECT b.doc_id, b.label, b.split, (b.batch_id % {STEPS})::int AS step
-  FROM batched b JOIN fewest f ON f.split = b.split WHERE b.batch_id < f.min_batches),
+  SELECT b.doc_id, b.label, b.split, (b.batch_id % {STEPS})::int AS step FROM batched b),
 x AS MATERIALIZED (
   SELECT r.doc_id, label, split, step, j, count(*)::double AS x
   FROM batch_rows r JOIN (SELECT doc_id, unnest(list_concat([101], ids, [102])) % {TEXT_DIM} AS j FROM found) i
@@ -290,9 +291,19 @@ ORACLES = {
     "parquet_roundtrip_counts": _with(
         LABELLED, CLEANED, ROWS, f"filed AS (SELECT *, {_file('doc_id')} AS file FROM rows_)", _positions("filed"),
     ) + f"""SELECT f.split, p.file_position, count(*) AS rows,
-      sum(least(len(string_split(text, ' ')), {SHORT_LENGTH - 2}) + 2)::bigint AS tokens,
+      sum(least(len(string_split(text, ' ')), {MAX_LENGTH - 2}) + 2)::bigint AS tokens,
       sum(label)::bigint AS positives
       FROM filed f JOIN positions p ON f.split = p.split AND f.file = p.file GROUP BY ALL""",
+    "prepare_reuse": _with(LABELLED, CLEANED, ROWS, "sizes AS (SELECT split, count(*) AS n FROM rows_ GROUP BY split)") + f"""
+      SELECT 'capped' AS request, false AS reused, split,
+        least(n, CASE WHEN split = 'train' THEN {CAP} ELSE {int(CAP * 0.2)} END)::bigint AS rows, {REUSE_LENGTH} AS length
+      FROM sizes
+      UNION ALL SELECT 'full', false, split, n, {MAX_LENGTH} FROM sizes
+      UNION ALL SELECT 'again', true, split, n, {MAX_LENGTH} FROM sizes""",
+    "shard_rows_few_files": _with(LABELLED, CLEANED, ROWS) + f"""
+      SELECT r::int AS rank, CASE WHEN r = {WORLD - 1} THEN (SELECT count(*) FROM rows_ WHERE split = 'train') ELSE 0 END
+        AS rows FROM range({WORLD}) a(r)""",
+    "keyless_corpus": f"""SELECT text, label, source, 2 * count(*) AS keys FROM ({_IN}) GROUP BY text, label, source""",
     "manifest_lookup": _with(
         LABELLED, f"splits AS (SELECT doc_id, {_SPLIT} AS split FROM labelled)",
         "runs AS (SELECT s.doc_id, d.source AS run_id, s.split FROM splits s JOIN documents d ON s.doc_id = d.doc_id)",
@@ -314,13 +325,21 @@ ORACLES = {
     "build_piece_vocab": _with(*PIECE_CTES) + "SELECT * FROM vocab",
     "encode_ids": _with(*VOCAB_CTES, _encoded("corpus", MAX_LENGTH - 2))
     + f"SELECT doc_id, {_ids(MAX_LENGTH)} AS input_ids FROM found",
+    "encode_repeated_keys": _with(
+        CORPUS, COUNTS, _top("vocab", "counts", VOCAB),
+        """both_ AS (
+  SELECT doc_id * 2 AS doc_id, text FROM corpus
+  UNION ALL SELECT doc_id * 2 + 1, array_to_string(list_reverse(string_split(text, ' ')), ' ') FROM corpus)""",
+        _encoded("both_", MAX_LENGTH - 2),
+    ) + f"""SELECT form, doc_id // 2 AS doc_id, {_ids(MAX_LENGTH)} AS input_ids
+      FROM found, (VALUES ('broadcast'), ('join')) f(form)""",
     "encode_truncation": _with(*VOCAB_CTES, _encoded("corpus", SHORT_LENGTH - 2))
     + f"""SELECT f.doc_id, (len(string_split(c.text, ' ')) > {SHORT_LENGTH - 2})::int AS truncated,
       {_ids(SHORT_LENGTH)} AS input_ids FROM found f JOIN corpus c ON f.doc_id = c.doc_id""",
-    "attention_mask": _with(*VOCAB_CTES, _encoded("corpus", SHORT_LENGTH - 2))
-    + f"SELECT doc_id, {_mask(SHORT_LENGTH)} AS attention_mask FROM found",
-    "encoded_projection": _with(*VOCAB_CTES, LABELLED, CLEANED, _encoded("cleaned", SHORT_LENGTH - 2))
-    + f"""SELECT f.doc_id, c.source, c.label, {_ids(SHORT_LENGTH)} AS input_ids, {_mask(SHORT_LENGTH)} AS attention_mask
+    "attention_mask": _with(*VOCAB_CTES, _encoded("corpus", MAX_LENGTH - 2))
+    + f"SELECT doc_id, {_mask(MAX_LENGTH)} AS attention_mask FROM found",
+    "encoded_projection": _with(*VOCAB_CTES, LABELLED, CLEANED, _encoded("cleaned", MAX_LENGTH - 2))
+    + f"""SELECT f.doc_id, c.source, c.label, {_ids(MAX_LENGTH)} AS input_ids, {_mask(MAX_LENGTH)} AS attention_mask
       FROM found f JOIN cleaned c ON f.doc_id = c.doc_id""",
     "wordpiece_words": _with(*PIECE_CTES, *WALK_CTES, recursive=True)
     + "SELECT token, n, array_to_string(pieces, ' ') AS pieces FROM split_words",
@@ -330,9 +349,9 @@ ORACLES = {
   SELECT doc_id, unnest(parts) AS token, generate_subscripts(parts, 1) AS pos
   FROM (SELECT doc_id, string_split(text, ' ') AS parts FROM corpus)),
 found AS (
-  SELECT w.doc_id, flatten(list(s.ids ORDER BY w.pos))[1:{SHORT_LENGTH - 2}] AS ids
+  SELECT w.doc_id, flatten(list(s.ids ORDER BY w.pos))[1:{MAX_LENGTH - 2}] AS ids
   FROM words w JOIN split_words s ON w.token = s.token GROUP BY w.doc_id)""", recursive=True)
-    + f"SELECT doc_id, {_ids(SHORT_LENGTH)} AS input_ids FROM found",
+    + f"SELECT doc_id, {_ids(MAX_LENGTH)} AS input_ids FROM found",
     "seeded_shuffle": f"""SELECT doc_id, row_number() OVER (ORDER BY {_uniform('doc_id')}, doc_id) - 1 AS row_index
       FROM documents""",
     "hash_split": _with(LABELLED, CLEANED, ROWS) + f"SELECT doc_id, source, split, {_number('u', 9)} AS u FROM rows_",
@@ -349,6 +368,10 @@ found AS (
     "batch_drop_last": SHARDS + f"""SELECT {_BATCHED} FROM batched JOIN per_shard USING (split, shard)
       WHERE batch_id < batches""",
     "batch_keep_last": SHARDS + f"SELECT {_BATCHED} FROM batched",
+    "batch_few_files": _with(
+        LABELLED, f"filed AS (SELECT doc_id, label, {_SPLIT} AS split, {_file('doc_id', FEW_FILES)} AS file FROM labelled)",
+        _sharded("filed"), _numbered(),
+    ) + f"SELECT {_BATCHED} FROM batched",
     "batches_per_shard": SHARDS + "SELECT split, shard, batches FROM per_shard",
     "min_batches": SHARDS + "SELECT split, min_batches FROM fewest",
     "batch_truncate": SHARDS + f"SELECT {_BATCHED} FROM batched JOIN fewest USING (split) WHERE batch_id < min_batches",
@@ -362,8 +385,10 @@ found AS (
       FROM w JOIN g USING (k, j)""",
     "train_history": _with(VECTORS, _adam_w0(64), *_training(3, ADAM_LR))
     + f"SELECT 'vectors' AS run_id, epoch, series, {_number('value')} AS value FROM trained",
+    "train_history_masked": _with(VECTORS, _adam_w0(64), *_training(3, ADAM_LR, mask=f"j >= {FROZEN}"))
+    + f"SELECT 'masked' AS run_id, epoch, series, {_number('value')} AS value FROM trained",
     "train_history_text": _with(
-        *VOCAB_CTES, LABELLED, CLEANED, _encoded("cleaned", SHORT_LENGTH - 2), ROWS,
+        *VOCAB_CTES, LABELLED, CLEANED, _encoded("cleaned", MAX_LENGTH - 2), ROWS,
         f"filed AS (SELECT doc_id, label, split, {_file('doc_id')} AS file FROM rows_)", _sharded("filed"),
         _numbered(SMALL_BATCH), _TEXT_X, _adam_w0(TEXT_DIM), *_training(2, TEXT_LR, STEPS),
     ) + f"SELECT 'text' AS run_id, epoch, series, {_number('value')} AS value FROM trained",
@@ -375,9 +400,9 @@ found AS (
     "run_metrics_append": _with(
         LABELLED, CLEANED, ROWS, "sizes AS (SELECT split, count(*) AS n FROM rows_ GROUP BY split)",
     ) + "\nUNION ALL ".join(
-        f"""SELECT 'f2-s{s}' AS run_id, {s}::bigint AS samples, 2 AS cpus, 2::bigint AS stages, 1 AS timed,
+        f"""SELECT 'f{f}-s{s}' AS run_id, {s}::bigint AS samples, {f} AS files, 2::bigint AS stages, 1 AS timed,
       sum(least(n, CASE WHEN split = 'train' THEN {s} ELSE {int(s * 0.2)} END))::bigint AS rows FROM sizes"""
-        for s in SWEEP_SAMPLES
+        for f in SWEEP_FILES for s in SWEEP_SAMPLES
     ),
     "latest_checkpoint": """SELECT run_id, path FROM (
       SELECT event_type AS run_id, 'state/' || event_type || '/' || event_id AS path,
@@ -398,16 +423,18 @@ found AS (
     "eval_by_dataset": HEAD + f"""SELECT split, count(*) AS rows, {_number('avg(loss)')} AS loss,
       {_number('avg((pred = label)::int)')} AS accuracy FROM scored GROUP BY split""",
     "prediction_listing": BATCHED_HEAD
-    + "SELECT doc_id, split, shard, batch_id, pred, label, pred = label AS matched FROM rows_",
+    + """SELECT doc_id, split, shard, batch_id, pred, label, pred = label AS matched,
+      row_number() OVER (PARTITION BY split ORDER BY batch_id, shard, doc_id) AS seen FROM rows_""",
     "loss_curves_long": _with(VECTORS, FIXED_W, *_history("a", 1.0))
     + f"SELECT epoch, series, {_number('value')} AS value FROM history_a",
     "history_rounded": _with(VECTORS, FIXED_W, *_history("a", 1.0), *_history("b", 0.5)) + f"""
       SELECT epoch, series, {_number('a.value', 4)} AS a, {_number('b.value', 4)} AS b
       FROM history_a a JOIN history_b b USING (epoch, series)""",
-    "stream_encode": _with(*VOCAB_CTES, LABELLED, CLEANED, ROWS, _encoded("cleaned", SHORT_LENGTH - 2))
-    + f"""SELECT f.doc_id, r.label, r.split, {_ids(SHORT_LENGTH)} AS input_ids
+    "stream_encode": _with(*VOCAB_CTES, LABELLED, CLEANED, ROWS, _encoded("cleaned", MAX_LENGTH - 2))
+    + f"""SELECT f.doc_id, r.label, r.split, {_ids(MAX_LENGTH)} AS input_ids
       FROM found f JOIN rows_ r ON f.doc_id = r.doc_id""",
     "stream_append": _with(LABELLED, CLEANED, ROWS) + "SELECT doc_id, text, label, source, split FROM rows_",
 }
 ORACLES["encode_ids_join"] = ORACLES["encode_ids"]
+ORACLES["stream_encode_join"] = ORACLES["stream_encode"]
 ORACLES["wordpiece_encode_join"] = ORACLES["wordpiece_encode"]

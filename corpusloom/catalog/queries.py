@@ -21,13 +21,15 @@ from corpusloom.streaming import ingest
 
 FILES, WORLD, BATCH = 8, 3, 16
 VOCAB, MAX_LENGTH, SHORT_LENGTH = 5000, 256, 32
-PIECE_WORDS, PIECES, PIECE_CHARS = 500, 2000, 4
+PIECE_WORDS, PIECES = 500, 2000
 CAP = 100
 EMBEDDING = Features("embedding", 64)
 HEAD_LR = 1.0
 ADAM_LR = 0.05
 SMALL_BATCH, STEPS, TEXT_DIM, TEXT_LR = 4, 2, 512, 0.01
-SWEEP_SAMPLES = (50, 100)
+SWEEP_SAMPLES, SWEEP_FILES, SWEEP_EPOCHS = (100, 200), (2, 4), 2
+FROZEN = 32
+FEW_FILES, REUSE_LENGTH = 2, 16
 
 
 def _number(column, places: int = 6):
@@ -102,7 +104,7 @@ def jsonl_sample(spark: SparkSession, folder: str) -> DataFrame:
 def parquet_roundtrip_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and real tokens per split and file position, from a written dataset."""
     path = scratch_path(spark, "dataset")
-    pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=SHORT_LENGTH)
+    pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=MAX_LENGTH)
     scanned = datasets.scan(spark, path)
     placed = shard.with_shard(scanned, _layout(scanned))
     tokens = F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, m: a + m)
@@ -111,6 +113,47 @@ def parquet_roundtrip_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def prepare_reuse(spark: SparkSession, folder: str) -> DataFrame:
+    """A capped, a full and a repeated full request: only the last finds its dataset."""
+    root = scratch_path(spark, "reuse")
+    labelled, vocab = tables.load_labelled(spark, folder), _vocab(spark, folder)
+    requests = {
+        "capped": {"samples": CAP, "max_length": REUSE_LENGTH}, "full": {"max_length": MAX_LENGTH},
+        "again": {"max_length": MAX_LENGTH},
+    }
+    parts, paths = [], []
+    for name, options in requests.items():
+        path = pp.prepare_or_reuse(labelled, root, FILES, vocab=vocab, **options)
+        counted = spark.read.parquet(path).groupBy("split").agg(
+            F.count(F.lit(1)).alias("rows"), F.max(F.size("input_ids")).alias("length")
+        )
+        parts.append(counted.select(F.lit(name).alias("request"), F.lit(path in paths).alias("reused"), "*"))
+        paths.append(path)
+    return tables.stack(*parts)
+
+
+def shard_rows_few_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that each rank reads when there are fewer files than ranks."""
+    path = scratch_path(spark, "few-files")
+    pp.prepare(tables.load_labelled(spark, folder), path, FEW_FILES, vocab=_vocab(spark, folder))
+    parts = [
+        datasets.read_shard(spark, path, TRAIN, rank, WORLD).agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(rank).alias("rank"), "rows")
+        for rank in range(WORLD)
+    ]
+    return tables.stack(*parts)
+
+
+def keyless_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """Two parts without a key, the second a copy of the first: every row has its own."""
+    path = scratch_path(spark, "keyless")
+    rows = tables.load_in_domain(spark, folder).select(F.col("text").alias("sentence"), "label")
+    for part in ("a", "b"):
+        rows.write.parquet(f"{path}/{part}")
+    corpus = tables.read_corpus(spark, [f"{path}/a", f"{path}/b"], IN_DOMAIN, text_column="sentence")
+    return corpus.groupBy("text", "label", "source").agg(F.countDistinct("doc_id").alias("keys"))
+
+
 def manifest_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Complete datasets among one run per crawl source, by a manifest of their splits."""
     crawl = tables.read_table(spark, folder, "documents").select("doc_id", F.col("source").alias("run_id"))
@@ -174,7 +217,7 @@ def _vocab(spark: SparkSession, folder: str) -> DataFrame:
 
 def _piece_vocab(spark: SparkSession, folder: str) -> DataFrame:
     corpus = _corpus(spark, folder)
-    return materialise(ov.build_piece_vocab(corpus, PIECE_WORDS, PIECES, PIECE_CHARS), "pieces")
+    return materialise(ov.build_piece_vocab(corpus, PIECE_WORDS, PIECES), "pieces")
 
 
 def build_vocab(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,7 +225,7 @@ def build_vocab(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def build_piece_vocab(spark: SparkSession, folder: str) -> DataFrame:
-    return ov.build_piece_vocab(_corpus(spark, folder), PIECE_WORDS, PIECES, PIECE_CHARS)
+    return ov.build_piece_vocab(_corpus(spark, folder), PIECE_WORDS, PIECES)
 
 
 def encode_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,11 +235,21 @@ def encode_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def encode_ids_join(spark: SparkSession, folder: str) -> DataFrame:
     """The form for vocabularies too large to broadcast, with few hot tokens."""
-    corpus = materialise(_corpus(spark, folder), "corpus")
-    encoded = oe.encode_by_join(corpus, _vocab(spark, folder), MAX_LENGTH, hot_tokens=100)
+    encoded = oe.encode_by_join(_corpus(spark, folder), _vocab(spark, folder), MAX_LENGTH, hot_tokens=100, keep_text=False)
     return encoded.select("doc_id", _joined("encoding.input_ids").alias("input_ids"))
 
 
+def encode_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Two parts with the same keys and other texts, by both forms."""
+    corpus = _corpus(spark, folder)
+    other = corpus.select("doc_id", F.reverse(F.split("text", " ")).alias("words"))
+    both = corpus.unionByName(other.select("doc_id", F.array_join("words", " ").alias("text")))
+    vocab = _vocab(spark, folder)
+    forms = {"broadcast": oe.encode(both, vocab, MAX_LENGTH), "join": oe.encode_by_join(both, vocab, MAX_LENGTH, hot_tokens=100)}
+    ids = _joined("encoding.input_ids").alias("input_ids")
+    return tables.stack(*[f.select(F.lit(name).alias("form"), "doc_id", ids) for name, f in forms.items()])
+
+
 def encode_truncation(spark: SparkSession, folder: str) -> DataFrame:
     encoded = oe.encode(_corpus(spark, folder), _vocab(spark, folder), SHORT_LENGTH)
     words = F.size(F.split("text", " "))
@@ -207,32 +260,35 @@ def encode_truncation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def attention_mask(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = oe.encode(_corpus(spark, folder), _vocab(spark, folder), SHORT_LENGTH)
+    encoded = oe.encode(_corpus(spark, folder), _vocab(spark, folder), MAX_LENGTH)
     return encoded.select("doc_id", _joined("encoding.attention_mask").alias("attention_mask"))
 
 
 def encoded_projection(spark: SparkSession, folder: str) -> DataFrame:
     rows = fc.clean_and_filter(tables.load_labelled(spark, folder))
-    encoded = oe.encoded_rows(oe.encode(rows, _vocab(spark, folder), SHORT_LENGTH), "doc_id", "source")
+    encoded = oe.encoded_rows(oe.encode(rows, _vocab(spark, folder), MAX_LENGTH), "doc_id", "source")
     return encoded.withColumns({c: _joined(c) for c in ("input_ids", "attention_mask")})
 
 
 def wordpiece_words(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of every distinct word."""
     words = ov.count_words(_corpus(spark, folder))
-    pieces = fw.piece_splitter(oe.broadcast_vocab(_piece_vocab(spark, folder)))
+    shared = oe.broadcast_vocab(_piece_vocab(spark, folder))
+    if shared is None:
+        raise ValueError("the vocabulary is too large to show pieces by broadcast")
+    pieces = fw.piece_splitter(shared)
     return words.select("token", "n", F.array_join(pieces(F.col("token")), " ").alias("pieces"))
 
 
 def wordpiece_encode(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = oe.encode(_corpus(spark, folder), _piece_vocab(spark, folder), SHORT_LENGTH, pieces=True)
+    encoded = oe.encode(_corpus(spark, folder), _piece_vocab(spark, folder), MAX_LENGTH, pieces=True)
     return encoded.select("doc_id", _joined("encoding.input_ids").alias("input_ids"))
 
 
 def wordpiece_encode_join(spark: SparkSession, folder: str) -> DataFrame:
     """Word pieces for vocabularies too large to broadcast, with few hot tokens."""
-    corpus = materialise(_corpus(spark, folder), "corpus")
-    encoded = oe.encode_pieces_by_join(corpus, _piece_vocab(spark, folder), SHORT_LENGTH, hot_tokens=100)
+    corpus, vocab = _corpus(spark, folder), _piece_vocab(spark, folder)
+    encoded = oe.encode_pieces_by_join(corpus, vocab, MAX_LENGTH, hot_tokens=100, keep_text=False)
     return encoded.select("doc_id", _joined("encoding.input_ids").alias("input_ids"))
 
 
@@ -295,7 +351,7 @@ def shard_last_takes_rest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _batched(rows: DataFrame, keep: str, size: int = BATCH) -> DataFrame:
-    layout = materialise(batch.batch_layout(_files(rows), size, WORLD, keep), "batches")
+    layout = materialise(batch.batch_layout(_files(rows), size, WORLD, keep, allow_none=True), "batches")
     return batch.with_batches(rows, layout, size)
 
 
@@ -310,6 +366,14 @@ def batch_keep_last(spark: SparkSession, folder: str) -> DataFrame:
     return _batched(_filed(spark, folder), batch.KEEP_ALL).select(*_BATCHED)
 
 
+def batch_few_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches with fewer files than ranks: the default keeps every row."""
+    rows = split.with_split(tables.load_labelled(spark, folder)).select("doc_id", "split", "label")
+    placed = pp.with_files(rows, FEW_FILES)
+    layout = materialise(batch.batch_layout(_files(placed), BATCH, WORLD), "batches")
+    return batch.with_batches(placed, layout, BATCH).select(*_BATCHED)
+
+
 def batches_per_shard(spark: SparkSession, folder: str) -> DataFrame:
     return batch.batch_counts(_files(_filed(spark, folder)), BATCH)
 
@@ -336,12 +400,12 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _vectors(spark, folder)
     weights = one_plain_step(vectors, EMBEDDING, 2, HEAD_LR)
-    return with_scores(vectors, EMBEDDING, weights).drop("embedding", "logits")
+    return with_scores(vectors, EMBEDDING, weights).drop("embedding")
 
 
 def _scored_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Scored where they are read, so that numbering moves no vectors."""
-    return _batched(pp.with_files(_scored(spark, folder), FILES), batch.MATCHED)
+    return _batched(pp.with_files(_scored(spark, folder), FILES), batch.KEEP_ALL)
 
 
 def head_init_loss(spark: SparkSession, folder: str) -> DataFrame:
@@ -376,11 +440,19 @@ def train_history(spark: SparkSession, folder: str) -> DataFrame:
     return _history(spark, "vectors", series)
 
 
+def train_history_masked(spark: SparkSession, folder: str) -> DataFrame:
+    """Training with half of the weights frozen."""
+    mask = np.zeros((2, EMBEDDING.dim + 1), dtype=bool)
+    mask[:, FROZEN:] = True
+    _, series = fit(_vectors(spark, folder), EMBEDDING, epochs=3, lr=ADAM_LR, trainable=mask)
+    return _history(spark, "masked", series)
+
+
 def train_history_text(spark: SparkSession, folder: str) -> DataFrame:
     """Prepare the labelled documents, then train on the written dataset."""
     path = scratch_path(spark, "train-text")
-    pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=SHORT_LENGTH)
-    batched = _batched(datasets.scan(spark, path), batch.MATCHED, SMALL_BATCH)
+    pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=MAX_LENGTH)
+    batched = _batched(datasets.scan(spark, path), batch.KEEP_ALL, SMALL_BATCH)
     data = write_steps(batched, scratch_path(spark, "steps"), STEPS)
     features = Features("input_ids", TEXT_DIM, hashed=True)
     _, series = fit(data, features, epochs=2, lr=TEXT_LR, steps_per_epoch=STEPS)
@@ -499,12 +571,12 @@ def history_rounded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_metrics_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Two sweep points over the labelled documents, with the rows each prepared."""
+    """Sweep points over the labelled documents, with the rows each prepared."""
     root = scratch_path(spark, "sweep")
     labelled = tables.load_labelled(spark, folder)
     ps.sweep(
-        labelled, f"{root}/data", f"{root}/metrics", samples=SWEEP_SAMPLES, files=[2], epochs=1,
-        vocab=_vocab(spark, folder),
+        labelled, f"{root}/data", f"{root}/metrics", samples=SWEEP_SAMPLES, files=SWEEP_FILES, epochs=SWEEP_EPOCHS,
+        vocab=_vocab(spark, folder), steps_per_epoch=STEPS,
     )
     recorded = ps.recorded_runs(runs.read_metrics(spark, f"{root}/metrics"))
     rows = spark.read.parquet(f"{root}/data").groupBy("run_id").agg(F.count(F.lit(1)).alias("rows"))
@@ -517,9 +589,22 @@ def stream_encode(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows, stored encoded."""
     root = scratch_path(spark, "stream-encoded")
     store.append(tables.load_labelled(spark, folder), f"{root}/in")
-    shared = oe.broadcast_vocab(_vocab(spark, folder))
+    return _streamed(spark, folder, root, oe.BROADCAST_TOKENS)
+
+
+def stream_encode_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a vocabulary over the broadcast bound."""
+    root = scratch_path(spark, "stream-joined")
+    store.append(tables.load_labelled(spark, folder), f"{root}/in")
+    return _streamed(spark, folder, root, 0)
+
+
+def _streamed(spark: SparkSession, folder: str, root: str, max_tokens: int) -> DataFrame:
+    vocab = _vocab(spark, folder)
     arrivals = ingest.read_arrivals(spark, f"{root}/in")
-    ingest.append_arrivals(arrivals, f"{root}/out", f"{root}/checkpoint", shared, SHORT_LENGTH).awaitTermination()
+    ingest.append_arrivals(
+        arrivals, f"{root}/out", f"{root}/checkpoint", vocab, MAX_LENGTH, max_tokens=max_tokens
+    ).awaitTermination()
     stored = spark.read.parquet(f"{root}/out")
     return stored.select("doc_id", "label", "split", _joined("input_ids").alias("input_ids"))
 
@@ -536,16 +621,16 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     load_in_domain, load_out_domain, concat_splits, tag_and_union, select_source,
     store_append_roundtrip, store_append_run, store_overwrite_named, jsonl_sample, parquet_roundtrip_counts,
-    manifest_lookup,
+    prepare_reuse, shard_rows_few_files, keyless_corpus, manifest_lookup,
     clean_text, clean_text_edge, strip_punct, min_length_clean, min_length_raw,
-    build_vocab, build_piece_vocab, encode_ids, encode_ids_join, encode_truncation, attention_mask,
+    build_vocab, build_piece_vocab, encode_ids, encode_ids_join, encode_repeated_keys, encode_truncation, attention_mask,
     encoded_projection, wordpiece_words, wordpiece_encode, wordpiece_encode_join,
     seeded_shuffle, hash_split, split_counts, sample_cap, partition_balance,
-    shard_drop_remainder, shard_last_takes_rest, batch_drop_last, batch_keep_last,
+    shard_drop_remainder, shard_last_takes_rest, batch_drop_last, batch_keep_last, batch_few_files,
     batches_per_shard, min_batches, batch_truncate,
-    head_init_loss, gradient_step, adamw_step, train_history, train_history_text,
+    head_init_loss, gradient_step, adamw_step, train_history, train_history_masked, train_history_text,
     checkpoint_roundtrip, resume_equals_straight, latest_checkpoint, max_wall_time,
     predict_argmax, accuracy, accuracy_per_shard, eval_loss, epoch_train_loss, loss_per_shard,
     eval_by_dataset, prediction_listing, loss_curves_long, history_rounded, run_metrics_append,
-    stream_append, stream_encode,
+    stream_append, stream_encode, stream_encode_join,
 )}

@@ -30,12 +30,14 @@ def min_batch_counts(layout: DataFrame, batch_size: int, world: int, drop_last:
     return counts.groupBy("split").agg(fewest.alias("min_batches"))
 
 
-def batch_layout(layout: DataFrame, batch_size: int, world: int, keep: str = MATCHED) -> DataFrame:
+def batch_layout(
+    layout: DataFrame, batch_size: int, world: int, keep: str = KEEP_ALL, allow_none: bool = False
+) -> DataFrame:
     """The layout with `batch_limit`, the number of batches kept of each shard.
 
-    Windows over the files of a split, so that a layout not yet written is computed once.
+    `MATCHED` raises when it would keep no batch of any split, as with fewer files than
+    ranks, unless `allow_none`.
     """
-    of_split = Window.partitionBy("split")
     shard_rows = F.sum("file_rows").over(Window.partitionBy("split", "shard"))
     whole = layout.withColumn("batch_limit", F.floor(shard_rows / batch_size).cast("long"))
     if keep == KEEP_ALL:
@@ -43,9 +45,10 @@ def batch_layout(layout: DataFrame, batch_size: int, world: int, keep: str = MAT
     if keep == DROP_LAST:
         return whole
     if keep == MATCHED:
-        supplying = F.size(F.collect_set("shard").over(of_split))
-        fewest = F.when(supplying < world, 0).otherwise(F.min("batch_limit").over(of_split))
-        return whole.withColumn("batch_limit", fewest.cast("long"))
+        fewest = min_batch_counts(layout, batch_size, world).withColumnRenamed("min_batches", "batch_limit")
+        if not allow_none and fewest.filter("batch_limit > 0").isEmpty():
+            raise ValueError("a rank has no whole batch: use fewer ranks or keep all batches")
+        return layout.join(fewest, "split")
     raise ValueError(f"unknown batch policy {keep!r}")
 
 

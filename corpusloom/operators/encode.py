@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.functions import encode as fe, wordpiece as fw
 from corpusloom.operators.lookup import HOT_TOKENS, lookup
 from corpusloom.operators.pieces import split_words
-from corpusloom.schemas import CLS, FIRST_ID, MAX_LENGTH, SEP, UNK
+from corpusloom.schemas import CLS, MAX_LENGTH, SEP, UNK
 from corpusloom.session import materialise
 
 # A vocabulary is broadcast only below both bounds; beyond them the join form takes over.
 BROADCAST_TOKENS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW = "_row"
 
 
 def broadcast_vocab(
@@ -34,23 +35,24 @@ def broadcast_vocab(
 
 def encode(
     df: DataFrame, vocab: DataFrame, max_length: int = MAX_LENGTH, text: str = "text",
-    key: str = "doc_id", pieces: bool = False, pretrained_words: bool = False,
-    max_tokens: int = BROADCAST_TOKENS,
+    pieces: bool = False, pretrained_words: bool = False, max_tokens: int = BROADCAST_TOKENS,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Add the struct column `encoding` of `input_ids` and `attention_mask`.
 
     `vocab` is read twice and should be a written table.  `pieces` splits words that are
     not in the vocabulary; `pretrained_words` also sets marks and ideographs apart and
     strips accents, as an uncased pretrained vocabulary expects.  A vocabulary too large
-    to broadcast is joined instead, which needs `key` to identify rows.
+    to broadcast is joined instead, with the same result.  `keep_text` False drops the
+    text, which the join form would otherwise shuffle.
     """
     shared = broadcast_vocab(vocab, max_tokens)
     if shared is None:
-        texts = materialise(df, "texts")
         if pieces:
-            return encode_pieces_by_join(texts, vocab, max_length, text, key, pretrained_words)
-        return encode_by_join(texts, vocab, max_length, text, key)
-    return encode_with(df, shared, max_length, text, pieces, pretrained_words)
+            return encode_pieces_by_join(df, vocab, max_length, text, pretrained_words, keep_text=keep_text)
+        return encode_by_join(df, vocab, max_length, text, keep_text=keep_text)
+    encoded = encode_with(df, shared, max_length, text, pieces, pretrained_words)
+    return encoded if keep_text else encoded.drop(text)
 
 
 def encode_with(
@@ -67,52 +69,57 @@ def encode_with(
     return df.withColumn("encoding", encoder(words))
 
 
+def _numbered_rows(df: DataFrame) -> DataFrame:
+    """The rows written with a number of this run, so that equal keys stay apart."""
+    return materialise(df.withColumn(_ROW, F.monotonically_increasing_id()), "texts")
+
+
 def encode_by_join(
     df: DataFrame, vocab: DataFrame, max_length: int = MAX_LENGTH, text: str = "text",
-    key: str = "doc_id", hot_tokens: int = HOT_TOKENS,
+    hot_tokens: int = HOT_TOKENS, keep_text: bool = True,
 ) -> DataFrame:
     """The same column for a vocabulary of any size, by joining words to it.
 
-    `key` must identify rows; `df` is read twice and should be a written table.  Counted
-    ids follow frequency, so the lowest ids are the frequent tokens.  At most
-    `max_length` - 2 words of a row come together again.
+    At most `max_length` - 2 words of a row come together again.
     """
-    words = df.select(key, F.posexplode(fe.leading_words(F.col(text), max_length)).alias("pos", "token"))
-    hot = vocab.filter(F.col("id") < FIRST_ID + hot_tokens)
-    found = lookup(words, "token", F.col(key), vocab, hot, "id")
-    ids = found.select(key, "pos", F.array(F.coalesce("id", F.lit(UNK))).alias("ids"))
-    return _assemble(df, ids, key, max_length)
+    rows = _numbered_rows(df)
+    words = rows.select(_ROW, F.posexplode(fe.leading_words(F.col(text), max_length)).alias("pos", "token"))
+    found = lookup(words, "token", F.col(_ROW), vocab, "id", hot_tokens)
+    ids = found.select(_ROW, "pos", F.array(F.coalesce("id", F.lit(UNK))).alias("ids"))
+    return _assemble(rows if keep_text else rows.drop(text), ids, max_length)
 
 
 def encode_pieces_by_join(
     df: DataFrame, vocab: DataFrame, max_length: int = MAX_LENGTH, text: str = "text",
-    key: str = "doc_id", pretrained_words: bool = False, hot_tokens: int = HOT_TOKENS,
+    pretrained_words: bool = False, hot_tokens: int = HOT_TOKENS, keep_text: bool = True,
 ) -> DataFrame:
     """Word-piece encoding for a vocabulary of any size.
 
-    The distinct words are split once, by joins; rows then look their words up.  The same
-    demands as `encode_by_join`.
+    The distinct words are split once, by joins; rows then look their words up.
     """
+    rows = _numbered_rows(df)
     column = fw.spread_marks(F.col(text)) if pretrained_words else F.col(text)
-    words = df.select(key, F.posexplode(fe.leading_words(column, max_length)).alias("pos", "token"))
+    words = rows.select(_ROW, F.posexplode(fe.leading_words(column, max_length)).alias("pos", "token"))
     counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    split = materialise(split_words(counts, vocab, pretrained_words, hot_tokens), "split-words")
-    hot = split.orderBy(F.desc("n"), "token").limit(hot_tokens)
-    return _assemble(df, lookup(words, "token", F.col(key), split, hot, "ids"), key, max_length)
+    split = materialise(
+        split_words(materialise(counts, "word-counts"), vocab, pretrained_words, hot_tokens), "split-words"
+    )
+    found = lookup(words, "token", F.col(_ROW), split, "ids", hot_tokens)
+    return _assemble(rows if keep_text else rows.drop(text), found, max_length)
 
 
-def _assemble(df: DataFrame, ids: DataFrame, key: str, max_length: int) -> DataFrame:
+def _assemble(df: DataFrame, ids: DataFrame, max_length: int) -> DataFrame:
     """Rows with their encoding, from the id arrays `ids` of the words at `pos`."""
     places = F.sort_array(F.collect_list(F.struct("pos", "ids"))).getField("ids")
     body = F.slice(F.flatten(places), 1, max_length - 2)
-    rows = ids.groupBy(key).agg(body.alias("found_ids"))
+    rows = ids.groupBy(_ROW).agg(body.alias("found_ids"))
     found = F.coalesce(F.col("found_ids"), F.array().cast("array<int>"))
     whole = F.concat(F.array(F.lit(CLS)), found, F.array(F.lit(SEP)))
     encoding = F.struct(
         fe.pad(whole, max_length).alias("input_ids"),
         fe.attention_mask(F.size(whole), max_length).alias("attention_mask"),
     )
-    return df.join(rows, key, "left").withColumn("encoding", encoding).drop("found_ids")
+    return df.join(rows, _ROW, "left").withColumn("encoding", encoding).drop("found_ids", _ROW)
 
 
 def encoded_rows(df: DataFrame, *keep: str) -> DataFrame:

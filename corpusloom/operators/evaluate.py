@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from corpusloom.operators.numbering import number_rows
+
 
 def _correct():
     return F.sum((F.col("pred") == F.col("label")).cast("long"))
@@ -46,7 +48,12 @@ def by_dataset(scored: DataFrame) -> DataFrame:
 
 
 def prediction_listing(scored: DataFrame, key: str) -> DataFrame:
-    """Prediction, label and match of every row, by batch."""
-    return scored.select(
+    """Prediction, label and match of every row, with `seen`, the rows of its split up to it.
+
+    Rows follow each other by batch, shard and key.  A batch's rows are numbered together.
+    """
+    rows = scored.select(
         key, "split", "shard", "batch_id", "pred", "label", (F.col("pred") == F.col("label")).alias("matched")
     )
+    numbered = number_rows(rows, group=["split"], major=["batch_id"], minor=["shard", key], name="seen")
+    return numbered.withColumn("seen", F.col("seen") + 1)

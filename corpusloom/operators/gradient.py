@@ -10,32 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusloom.functions.head import Features
-from corpusloom.schemas import PAD, TRAIN
+from corpusloom.functions.head import Features, losses, scores
+from corpusloom.schemas import TRAIN
 
 PARTIAL = "split string, k int, j int, value double"
 # `k` of the metric rows, and their places `j`.
 METRIC, ROWS, LOSS, CORRECT = -1, 0, 1, 2
 
 
-def _scores_dense(column: pa.Array, weights: np.ndarray):
-    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = x.reshape(len(column), weights.shape[1] - 1)
-    return x @ weights[:, :-1].T + weights[:, -1], x
-
-
-def _scores_hashed(column: pa.Array, weights: np.ndarray):
-    dim = weights.shape[1] - 1
-    ids = column.flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(column)), pc.list_value_length(column).to_numpy())
-    row, bucket = row[ids != PAD], ids[ids != PAD] % dim
-    scores = [np.bincount(row, w[bucket], len(column)) + w[-1] for w in weights]
-    return np.stack(scores, axis=1), (row, bucket)
-
-
 def partial_sums(df: DataFrame, features: Features, weights: np.ndarray) -> DataFrame:
     """Per task: row count, loss sum and correct count by split, and the summed gradient
     of the training rows.  `df` has `split`, `label` and the feature column."""
@@ -46,14 +30,10 @@ def partial_sums(df: DataFrame, features: Features, weights: np.ndarray) -> Data
         for batch in batches:
             if not batch.num_rows:
                 continue
-            score = _scores_hashed if features.hashed else _scores_dense
-            z, x = score(batch.column(features.column), weights)
+            z, x = scores(features, batch.column(features.column), weights)
             label = batch.column("label").to_numpy()
             each = np.arange(len(label))
-            top = z.max(axis=1, keepdims=True)
-            e = np.exp(z - top)
-            total = e.sum(axis=1)
-            loss = top[:, 0] + np.log(total) - z[each, label]
+            loss, e, total = losses(z, label)
             correct = (z.argmax(axis=1) == label).astype(np.float64)
 
             coded = batch.column("split").dictionary_encode()

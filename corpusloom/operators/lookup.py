@@ -9,19 +9,24 @@ HOT_TOKENS = 10_000
 
 
 def lookup(
-    rows: DataFrame, token: str, spread: Column, table: DataFrame, hot: DataFrame, value: str
+    rows: DataFrame, token: str, spread: Column, table: DataFrame, value: str, hot_tokens: int = HOT_TOKENS
 ) -> DataFrame:
     """Add `value` of `table` to rows by their `token`, null where there is none.
 
-    `table` has `token`, unique, and `value`; `hot` is at most `HOT_TOKENS` of its rows,
-    the frequent ones.  Rows that match `hot` go on under a key of their own, `spread`
-    after a space, which no token has; so only rows of rare tokens meet by value.
+    `table` has `token`, unique, and `value`.  The `hot_tokens` most frequent tokens of the
+    rows are looked up once and broadcast, also those that the table lacks.  Their rows go
+    on under a key of their own, `spread` after a space, which no token has; so only rows
+    of rare tokens meet by value.  `rows` is read twice.
     """
-    matched = rows.join(
-        F.broadcast(hot.select(F.col("token").alias(token), F.col(value).alias("hot_value"))), token, "left"
-    )
+    named = table.select(F.col("token").alias(token), F.col(value).alias("hot_value"))
+    counts = rows.groupBy(token).agg(F.count(F.lit(1)).alias("n"))
+    frequent = counts.orderBy(F.desc("n"), token).limit(hot_tokens).select(token)
+    hot = frequent.join(named, token, "left").withColumn("is_hot", F.lit(True))
+    matched = rows.join(F.broadcast(hot), token, "left")
     apart = F.concat(F.lit(" "), spread.cast("string"))
-    key = F.when(F.col("hot_value").isNull(), F.col(token)).otherwise(apart)
+    key = F.when(F.col("is_hot").isNull(), F.col(token)).otherwise(apart)
     rare = table.select(F.col("token").alias("lookup_key"), F.col(value).alias("rare_value"))
     found = matched.withColumn("lookup_key", key).join(rare, "lookup_key", "left")
-    return found.withColumn(value, F.coalesce("hot_value", "rare_value")).drop("lookup_key", "hot_value", "rare_value")
+    return found.withColumn(value, F.coalesce("hot_value", "rare_value")).drop(
+        "lookup_key", "hot_value", "rare_value", "is_hot"
+    )

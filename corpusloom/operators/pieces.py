@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.functions.wordpiece import accent_stripper
 from corpusloom.operators.lookup import HOT_TOKENS, lookup
 from corpusloom.operators.vocab import MAX_WORD_CHARS
-from corpusloom.schemas import FIRST_ID, UNK
+from corpusloom.schemas import UNK
 
 
 def split_words(
@@ -21,7 +21,9 @@ def split_words(
     """
     base = accent_stripper()(F.col("token")) if strip_accents else F.col("token")
     based = words.withColumn("base", base)
-    longest = vocab.agg(F.max(F.length("token"))).first()[0] or 0
+    # The longest piece that can stand in a word, without the mark of inner pieces.
+    bare = F.when(F.col("token").startswith("##"), F.length("token") - 2).otherwise(F.length("token"))
+    longest = min(vocab.agg(F.max(bare)).first()[0] or 0, MAX_WORD_CHARS)
     places = based.filter(F.length("base").between(1, MAX_WORD_CHARS)).select(
         "token", "base", F.explode(F.sequence(F.lit(1), F.length("base"))).alias("start")
     )
@@ -31,8 +33,7 @@ def split_words(
     piece = F.when(F.col("start") == 1, text).otherwise(F.concat(F.lit("##"), text))
     candidates = cut.select("token", "start", "chars", piece.alias("piece"))
 
-    hot = vocab.filter(F.col("id") < FIRST_ID + hot_tokens)
-    known = lookup(candidates, "piece", F.col("token"), vocab, hot, "id").filter("id is not null")
+    known = lookup(candidates, "piece", F.col("token"), vocab, "id", hot_tokens).filter("id is not null")
     longest_known = known.groupBy("token", "start").agg(F.max(F.struct("chars", "id")).alias("piece"))
     steps = longest_known.groupBy("token").agg(
         F.map_from_entries(F.collect_list(F.struct("start", "piece"))).alias("steps")

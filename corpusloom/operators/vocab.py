@@ -6,17 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.operators.numbering import number_rows
 from corpusloom.schemas import CLS, FIRST_ID, PAD, SEP, UNK
-from corpusloom.session import materialise, parallelism
+from corpusloom.session import materialise
 
 SPECIAL = {"[PAD]": PAD, "[UNK]": UNK, "[CLS]": CLS, "[SEP]": SEP}
 
 # Longer words are never split into pieces: the word-piece rule maps them to unknown.
 MAX_WORD_CHARS = 100
 
-# Groups that the choice of the most frequent tokens is made in first.
-TOP_GROUPS = 256
-
-
 def count_words(df: DataFrame, column: str = "text") -> DataFrame:
     """Occurrences of each word; counted before the shuffle, so a frequent word costs one
     row per task."""
@@ -24,19 +20,24 @@ def count_words(df: DataFrame, column: str = "text") -> DataFrame:
     return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def least_count(counts: DataFrame, size: int) -> int:
+    """The count from which on tokens can be among the `size` most frequent."""
+    # At most `size` different counts matter, each with one token at least.
+    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).orderBy(F.desc("n")).limit(size)
+    running = F.sum("tokens").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n")))
+    reached = histogram.withColumn("reached", running).filter(F.col("reached") >= size)
+    return reached.agg(F.max("n")).first()[0] or 0
+
+
 def top_tokens(counts: DataFrame, size: int, first_id: int = FIRST_ID) -> DataFrame:
     """The `size` most frequent tokens with ids in order of (count descending, token).
 
-    A token of the whole top is in the top of any group it falls in.  So groups by hash
-    are cut to `size` first, and the one task that merges them sees groups times `size`
-    rows, not `size` from every partition.
+    `counts` is read twice and should be a written table.  A histogram of the counts tells
+    which tokens can be chosen, so only those are ordered, and the one task that ranks
+    them sees `size` rows.
     """
     order = [F.desc("n"), F.asc("token")]
-    groups = min(TOP_GROUPS, parallelism(counts.sparkSession))
-    group = F.pmod(F.xxhash64("token"), F.lit(groups))
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    leaders = counts.withColumn("place", place).filter(F.col("place") <= size).drop("place")
-    top = leaders.orderBy(*order).limit(size)
+    top = counts.filter(F.col("n") >= least_count(counts, size)).orderBy(*order).limit(size)
     # The window sees at most `size` rows: the limit is applied first.
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
     return top.select("token", (rank - 1 + first_id).cast("int").alias("id"), "n")
@@ -44,19 +45,21 @@ def top_tokens(counts: DataFrame, size: int, first_id: int = FIRST_ID) -> DataFr
 
 def build_vocab(df: DataFrame, size: int, column: str = "text", min_count: int = 1) -> DataFrame:
     """`(token, id, n)` of the most frequent words of a cleaned corpus."""
-    return top_tokens(count_words(df, column).filter(F.col("n") >= min_count), size)
+    counts = materialise(count_words(df, column).filter(F.col("n") >= min_count), "word-counts")
+    return top_tokens(counts, size)
 
 
-def count_pieces(word_counts: DataFrame, max_chars: int) -> DataFrame:
-    """Occurrences of each word piece of up to `max_chars` characters.
+def count_pieces(word_counts: DataFrame) -> DataFrame:
+    """Occurrences of each word piece.
 
     Pieces are cut from distinct words and weighted by the word's count, so a word is cut
-    once however often it occurs.  A piece inside a word is marked `##`.
+    once however often it occurs.  A piece inside a word is marked `##`.  Words of over
+    `MAX_WORD_CHARS` characters are never split, so they have no pieces.
     """
     cut = word_counts.filter(F.length("token") <= MAX_WORD_CHARS).select(
         "token", "n", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("start")
     )
-    room = F.least(F.lit(max_chars), F.length("token") - F.col("start") + 1)
+    room = F.length("token") - F.col("start") + 1
     pieces = cut.select(
         "token", "n", "start", F.explode(F.sequence(F.lit(1), room)).alias("chars")
     )
@@ -66,7 +69,7 @@ def count_pieces(word_counts: DataFrame, max_chars: int) -> DataFrame:
 
 
 def build_piece_vocab(
-    df: DataFrame, size: int, pieces: int, max_chars: int = 4, column: str = "text"
+    df: DataFrame, size: int, pieces: int, column: str = "text"
 ) -> DataFrame:
     """The `size` most frequent words, then the `pieces` most frequent further pieces.
 
@@ -75,8 +78,8 @@ def build_piece_vocab(
     counts = materialise(count_words(df, column), "word-counts")
     whole = top_tokens(counts, size)
     # Pieces that are words already keep the word's id.
-    further = count_pieces(counts, max_chars).join(whole.select("token"), "token", "left_anti")
-    return whole.unionByName(top_tokens(further, pieces, FIRST_ID + size))
+    further = count_pieces(counts).join(whole.select("token"), "token", "left_anti")
+    return whole.unionByName(top_tokens(materialise(further, "piece-counts"), pieces, FIRST_ID + size))
 
 
 def read_vocab_file(spark: SparkSession, path: str) -> DataFrame:

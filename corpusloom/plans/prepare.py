@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import inspect
+import json
 import uuid
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.clean import clean_and_filter
-from corpusloom.functions.hashing import file_number
+from corpusloom.functions.hashing import file_number, order_uniform
 from corpusloom.operators.encode import broadcast_vocab, encode, encode_with
-from corpusloom.operators.numbering import default_buckets, hash_bucket
-from corpusloom.operators.split import cap_for_split, sample_cap, with_split
+from corpusloom.operators.split import sample_cap, with_split
 from corpusloom.operators.vocab import build_piece_vocab, build_vocab
 from corpusloom.schemas import MAX_LENGTH, TRAIN
 from corpusloom.session import materialise, path_exists
@@ -28,33 +29,30 @@ def split_rows(labelled: DataFrame) -> DataFrame:
 def capped_rows(labelled: DataFrame, samples: int | None) -> DataFrame:
     """`split_rows` under the sample cap, cleaning little more than the sample.
 
-    Raw rows are counted per hash bucket without touching the text.  Only the leading
-    buckets that hold a quarter more than the cap are cleaned and written; if too few of
-    their rows survive the length filter, all rows are cleaned instead.  The result is
-    that of capping after cleaning everything.
+    Raw rows are counted per split by key alone.  Rows with an order number below a bound
+    that lets a quarter more than the cap through are cleaned; while too few of them are
+    long enough, the bound is doubled.  The result is that of capping after cleaning
+    everything, since the cap takes the least order numbers.
     """
     if not samples or samples <= 0:
         return split_rows(labelled)
-    buckets = default_buckets(labelled)
-    bucket = hash_bucket(F.col("doc_id"), buckets)
-    before = Window.partitionBy("split").orderBy("order_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = with_split(labelled).withColumn("order_bucket", bucket).groupBy("split", "order_bucket").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    # One row per split: the last of the leading buckets that hold enough raw rows.
-    wanted = counts.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0))).filter(
-        F.col("start") < 1.25 * cap_for_split(samples) + 64
-    )
-    last = {r.split: r.last for r in wanted.groupBy("split").agg(F.max("order_bucket").alias("last")).collect()}
-    early = F.lit(False)
-    for split, end in last.items():
-        early = early | ((F.col("split") == split) & (bucket <= end))
-    leading = materialise(clean_and_filter(with_split(labelled).filter(early)), "leading")
-
-    kept = {r.split: r["count"] for r in leading.groupBy("split").count().collect()}
-    caps = {s: samples if s == TRAIN else int(samples * 0.2) for s in last}
-    cut_short = [s for s, end in last.items() if kept.get(s, 0) < caps[s] and end < buckets - 1]
-    return sample_cap(split_rows(labelled) if cut_short else leading, samples, buckets=buckets)
+    keyed = with_split(labelled)
+    sizes = {r.split: r["count"] for r in keyed.groupBy("split").count().collect()}
+    caps = {s: samples if s == TRAIN else int(samples * 0.2) for s in sizes}
+    bounds = {s: min(1.0, (1.25 * caps[s] + 64) / n) for s, n in sizes.items()}
+    while True:
+        early = F.lit(False)
+        for split, bound in bounds.items():
+            early = early | ((F.col("split") == split) & (order_uniform(F.col("doc_id")) < bound))
+        leading = clean_and_filter(keyed.filter(early))
+        if all(bound >= 1.0 for bound in bounds.values()):
+            break
+        kept = {r.split: r["count"] for r in leading.groupBy("split").count().collect()}
+        short = [s for s, bound in bounds.items() if bound < 1.0 and kept.get(s, 0) < caps[s]]
+        if not short:
+            break
+        bounds.update({s: min(1.0, 2 * bounds[s]) for s in short})
+    return sample_cap(leading, samples)
 
 
 def prepare(
@@ -70,6 +68,7 @@ def prepare(
     manifest: str | None = None,
     run_id: str | None = None,
     pretrained_words: bool = False,
+    request: str = "",
 ) -> str:
     """Write `(doc_id, label, input_ids, attention_mask)` under `path/split=...`.
 
@@ -91,24 +90,51 @@ def prepare(
         placed = datasets.arrange(rows.withColumn("text", fitting), files)
         encoded = encode_with(placed, shared, max_length, pieces=pieces, pretrained_words=pretrained_words)
     else:
-        encoded = encode(rows, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words)
+        kept = rows.select("doc_id", "split", "label", "text")
+        encoded = encode(
+            kept, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words, keep_text=False
+        )
         encoded = datasets.arrange(encoded, files)
     datasets.write_arranged(encoded.select("doc_id", "split", "label", "encoding.*"), path)
     if manifest:
-        datasets.record_manifest(labelled.sparkSession, manifest, run_id, path)
+        datasets.record_manifest(labelled.sparkSession, manifest, run_id, path, request)
     return path
 
 
+def content_identity(df: DataFrame) -> str:
+    """Row count and an order-free sum of row hashes: equal for equal rows."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")
+    ).first()
+    return f"{row.n}:{row.h}"
+
+
+def request_of(labelled: DataFrame, files: int, **options) -> str:
+    """What `prepare` would make: its options, and the identity of corpus and vocabulary."""
+    bound = inspect.signature(prepare).bind(labelled, "", files, **options)
+    bound.apply_defaults()
+    given = {k: v for k, v in bound.arguments.items() if k not in ("labelled", "path", "manifest", "run_id", "request")}
+    vocab = given.pop("vocab")
+    given["vocab"] = None if vocab is None else content_identity(vocab.select("token", "id"))
+    given["corpus"] = content_identity(labelled.select("doc_id", "text", "label", "source"))
+    given["samples"] = given["samples"] or 0
+    return json.dumps(given, sort_keys=True)
+
+
 def prepare_or_reuse(labelled: DataFrame, root: str, files: int, **options) -> str:
-    """The newest complete dataset under `root`, or a newly prepared one."""
+    """The newest complete dataset under `root` made from the same rows with the same
+    options, or a newly prepared one.  Costs one pass over the corpus to tell."""
     spark = labelled.sparkSession
     manifest = f"{root}/manifest"
+    request = request_of(labelled, files, **options)
     if path_exists(spark, manifest):
-        found = datasets.find_cached(datasets.read_manifest(spark, manifest))
+        found = datasets.find_cached(datasets.read_manifest(spark, manifest), request)
         if found:
             return found["train_path"]
     run_id = uuid.uuid4().hex
-    return prepare(labelled, f"{root}/dataset-{run_id}", files, manifest=manifest, run_id=run_id, **options)
+    return prepare(
+        labelled, f"{root}/dataset-{run_id}", files, manifest=manifest, run_id=run_id, request=request, **options
+    )
 
 
 def corpus_summary(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.schemas import EVAL_LOSS, TRAIN_LOSS
 
@@ -16,8 +16,13 @@ def wide_history(history: DataFrame) -> DataFrame:
 
 
 def loss_curves(wide: DataFrame, *keys: str) -> DataFrame:
-    """The three loss series by epoch as `(epoch, series, value)`; no rows without losses."""
-    return wide.unpivot([*keys, "epoch"], list(CURVES), "series", "value").filter("value is not null")
+    """The three loss series by epoch as `(epoch, series, value)`.
+
+    A run without any train loss has no curves at all.  `wide` has a row per epoch.
+    """
+    of_run = Window.partitionBy(*(keys or [F.lit(0)]))
+    trained = wide.withColumn("_trained", F.max(TRAIN_LOSS).over(of_run)).filter("_trained is not null")
+    return trained.unpivot([*keys, "epoch"], list(CURVES), "series", "value").filter("value is not null")
 
 
 def rounded_by_run(history: DataFrame, runs: list[str], places: int = 4) -> DataFrame:

@@ -14,7 +14,7 @@ from corpusloom.schemas import RUN_METRICS
 
 _ARROW = pa.schema([
     ("run_id", pa.string()), ("at", pa.timestamp("us", "UTC")), ("stage", pa.string()), ("cpus", pa.int32()),
-    ("world", pa.int32()), ("samples", pa.int64()), ("shard", pa.int32()), ("seconds", pa.float64()),
+    ("files", pa.int32()), ("world", pa.int32()), ("samples", pa.int64()), ("shard", pa.int32()), ("seconds", pa.float64()),
 ])
 
 
@@ -22,10 +22,10 @@ class RunLog:
     """Collects one row per timed stage of a run and appends them in one write."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str, samples: int = 0,
-                 cpus: int | None = None, world: int = 1):
+                 files: int | None = None, world: int = 1):
         self.spark, self.path, self.run_id = spark, path, run_id
-        self.samples, self.world = samples, world
-        self.cpus = cpus or spark.sparkContext.defaultParallelism
+        self.samples, self.world, self.files = samples, world, files
+        self.cpus = spark.sparkContext.defaultParallelism
         self.rows: list[dict] = []
 
     def timed(self, stage: str, action: Callable[[], Any], shard: int = 0) -> Any:
@@ -38,7 +38,7 @@ class RunLog:
     def note(self, stage: str, seconds: float, shard: int = 0) -> None:
         self.rows.append({
             "run_id": self.run_id, "at": datetime.now(timezone.utc), "stage": stage, "cpus": self.cpus,
-            "world": self.world, "samples": self.samples, "shard": shard, "seconds": seconds,
+            "files": self.files, "world": self.world, "samples": self.samples, "shard": shard, "seconds": seconds,
         })
 
     def append(self) -> None:
@@ -56,28 +56,3 @@ def max_wall_time(metrics: DataFrame) -> DataFrame:
     """A stage's time is that of its slowest shard."""
     return metrics.groupBy("run_id", "stage").agg(F.max("seconds").alias("seconds"))
 
-
-def result_lines(metrics: DataFrame) -> DataFrame:
-    """One tab-separated line per run: time, sizes, preparation and training seconds."""
-    def seconds(stage: str):
-        return F.coalesce(F.max(F.when(F.col("stage") == stage, F.col("seconds"))), F.lit(0.0))
-
-    runs = metrics.groupBy("run_id").agg(
-        F.max("at").alias("at"), F.max("cpus").alias("cpus"), F.max("world").alias("world"),
-        F.max("samples").alias("samples"), seconds("prepare").alias("prepare"), seconds("train").alias("train"),
-    )
-    line = F.concat_ws(
-        "\t",
-        F.date_format("at", "yyyy/MM/dd-HH:mm:ss"),
-        F.format_string("cpus[%d]", "cpus"),
-        F.format_string("world[%d]", "world"),
-        F.format_string("samples[%d]", "samples"),
-        F.format_string("prepare[%.2f sec]", "prepare"),
-        F.format_string("train[%.2f sec]", "train"),
-    )
-    return runs.select("run_id", line.alias("line"))
-
-
-def write_result_lines(metrics: DataFrame, path: str) -> None:
-    """Append the result lines to a text folder."""
-    result_lines(metrics).select("line").coalesce(1).write.mode("append").text(path)

@@ -12,6 +12,7 @@ from corpusloom.operators.gradient import evaluate_pass
 from corpusloom.operators.optimizer import LEARNING_RATE, HeadState, adamw, initial_weights
 from corpusloom.plans import state as saved
 from corpusloom.schemas import EVAL_ACC, EVAL_LOSS, TRAIN, TRAIN_LOSS
+from corpusloom.session import parallelism
 
 
 def fit(
@@ -89,11 +90,15 @@ def fit(
     return state, sorted(series)
 
 
-def write_steps(batched: DataFrame, path: str, steps: int, files: int = 1, key: str = "doc_id") -> DataFrame:
+def write_steps(
+    batched: DataFrame, path: str, steps: int, files: int | None = None, key: str = "doc_id"
+) -> DataFrame:
     """Write batched rows under `split=/step=` folders and read them back.
 
-    Step s has the batches with `batch_id % steps = s`, in `files` files.
+    Step s has the batches with `batch_id % steps = s`, in `files` files: as many as the
+    session's shuffles have partitions unless given, so no task writes a whole step.
     """
+    files = files or parallelism(batched.sparkSession)
     rows = batched.withColumn("step", (F.col("batch_id") % steps).cast("int"))
     part = file_number(F.col(key), files)
     placed = rows.repartition("split", "step", part)

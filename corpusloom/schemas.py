@@ -31,10 +31,10 @@ WEIGHTS = "run_id string, epoch int, k int, j int, w double"
 OPTIMIZER_STATE = "run_id string, epoch int, k int, j int, m double, v double, step bigint"
 HISTORY = "run_id string, epoch int, series string, value double"
 RUN_METRICS = (
-    "run_id string, at timestamp, stage string, cpus int, world int, "
+    "run_id string, at timestamp, stage string, cpus int, files int, world int, "
     "samples bigint, shard int, seconds double"
 )
-MANIFEST = "run_id string, split string, path string, created_at timestamp, rows bigint"
+MANIFEST = "run_id string, split string, path string, created_at timestamp, rows bigint, request string"
 
 # Declared schemas of the given tables this package reads.
 TABLES = {

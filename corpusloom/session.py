@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,10 +50,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "corpusloom", f"{name}-{uuid.uuid4().hex}")
 
 
+# Intermediate tables of this process that were not deleted yet.
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: computed once, short lineage."""
+    """Write a frame to the shared folder and read it back: computed once, short lineage.
+
+    The table stays until `release`, since lazy frames read it.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -71,6 +80,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far; frames that read them are then void.
+
+    Call it when the results have been written.  `scratch` does so for a block.
+    """
+    count = len(_written)
+    while _written:
+        files, location = _file_system(spark, _written.pop())
+        files.delete(location, True)
+    return count
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A block whose intermediate tables are deleted at its end."""
+    before = list(_written)
+    _written.clear()
+    try:
+        yield
+    finally:
+        release(spark)
+        _written.extend(before)
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Stored size of a file or folder, from the file system alone."""
     files, location = _file_system(spark, path)

@@ -64,11 +64,16 @@ def split_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def record_manifest(spark: SparkSession, manifest: str, run_id: str, path: str) -> None:
-    """Append one manifest row per split of a finished dataset."""
-    rows = split_rows(spark, path).select(
+def record_manifest(spark: SparkSession, manifest: str, run_id: str, path: str, request: str = "") -> None:
+    """Append one manifest row per split of a finished dataset, also for empty ones.
+
+    `request` says what the dataset was made from and how.
+    """
+    splits = spark.createDataFrame([(s,) for s in SPLITS], "split string")
+    rows = splits.join(split_rows(spark, path), "split", "left").select(
         F.lit(run_id).alias("run_id"), "split", F.lit(path).alias("path"),
-        F.current_timestamp().alias("created_at"), "rows",
+        F.current_timestamp().alias("created_at"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        F.lit(request).alias("request"),
     )
     rows.coalesce(1).write.mode("append").parquet(manifest)
 
@@ -95,8 +100,8 @@ def complete_runs(manifest: DataFrame, splits: tuple[str, ...] = SPLITS) -> Data
     return whole.filter(F.col("splits") == len(splits)).drop("splits")
 
 
-def find_cached(manifest: DataFrame) -> dict | None:
-    """The newest complete run, or None."""
-    runs = complete_runs(manifest).orderBy(F.desc("created_at"), F.desc("run_id")).limit(1)
+def find_cached(manifest: DataFrame, request: str) -> dict | None:
+    """The newest complete run of the same request, or None."""
+    runs = complete_runs(manifest.filter(F.col("request") == request)).orderBy(F.desc("created_at"), F.desc("run_id")).limit(1)
     found = runs.collect()
     return found[0].asDict() if found else None

@@ -19,18 +19,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 SPREAD_BYTES = 8 * 1024 * 1024
 
 
-def read_texts(spark: SparkSession, folder: str, name: str, key: str = "doc_id") -> DataFrame:
-    """A text table for row-wise work on every core.
+def read_texts(
+    spark: SparkSession, folder: str, name: str, key: str = "doc_id", spread: bool | None = None
+) -> DataFrame:
+    """A text table for row-wise work on every core; the rows are the same either way.
 
-    A small file is often one row group, which is one task however many cores there are.
-    Such a table is spread by key; one large enough to fill the cores with its own splits
-    is never shuffled.  Filters and column selection still reach the scan.
+    A small file is often one row group, which is one task however many cores there are;
+    `spread` deals such a table out by key.  Left open, tables below `SPREAD_BYTES` per
+    core are spread.  Filters and column selection still reach the scan.
     """
     table = read_table(spark, folder, name)
     cores = spark.sparkContext.defaultParallelism
-    if path_bytes(spark, f"{folder}/{name}.parquet") >= SPREAD_BYTES * cores:
-        return table
-    return table.repartition(cores, key)
+    if spread is None:
+        spread = path_bytes(spark, f"{folder}/{name}.parquet") < SPREAD_BYTES * cores
+    return table.repartition(cores, key) if spread else table
 
 
 def tag(df: DataFrame, source: str) -> DataFrame:
@@ -53,7 +55,7 @@ def read_corpus(
     paths: list[str],
     source: str,
     text_column: str = "text",
-    key_column: str = "doc_id",
+    key_column: str | None = None,
     label_column: str = "label",
     fmt: str = "parquet",
     schema: str | None = None,
@@ -61,18 +63,44 @@ def read_corpus(
 ) -> DataFrame:
     """A labelled corpus from its split folders: read, stack, rename, cast, tag.
 
-    Give text formats a `schema`, or Spark reads them once more to infer one.
+    Give text formats a `schema`, or Spark reads them once more to infer one.  Without a
+    `key_column` the key is derived, and differs between parts.  A given key must be
+    unique over all parts; that is checked by a pass over the keys.
     """
-    wanted = [key_column, text_column, label_column]
     reader = spark.read.format(fmt).options(**options)
     reader = reader.schema(schema) if schema else reader
-    parts = [reader.load(p).select(*wanted) for p in paths]
-    frame = stack(*parts).withColumnsRenamed(
-        {key_column: "doc_id", text_column: "text", label_column: "label"}
-    )
+    names = [F.col(text_column).alias("text"), F.col(label_column).alias("label")]
+    parts = []
+    for number, path in enumerate(paths):
+        part = reader.load(path)
+        if key_column is not None:
+            parts.append(part.select(F.col(key_column).alias("doc_id"), *names))
+        elif fmt == "parquet":
+            place = F.xxhash64(F.lit(number), F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+            parts.append(part.select(place.alias("doc_id"), *names))
+        else:
+            parts.append(_keyed_by_content(part.select(*names), number))
+    frame = stack(*parts)
+    if key_column is not None:
+        check_keys(frame)
     return typed(tag(frame, source))
 
 
+def _keyed_by_content(df: DataFrame, part: int) -> DataFrame:
+    """Rows with a key from their content and, among equal rows, their number."""
+    counted = df.groupBy("text", "label").agg(F.count(F.lit(1)).alias("n"))
+    each = counted.select("text", "label", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("i"))
+    return each.select(F.xxhash64(F.lit(part), "text", "label", "i").alias("doc_id"), "text", "label")
+
+
+def check_keys(df: DataFrame, key: str = "doc_id") -> None:
+    """Raise if a key is null or occurs twice."""
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())
+    first = repeated.select(key).first()
+    if first is not None:
+        raise ValueError(f"key {first[0]!r} is missing or not unique")
+
+
 def _joined(spark: SparkSession, folder: str) -> DataFrame:
     # No broadcast hint: labels grow with documents.  Spark broadcasts them while they are
     # under autoBroadcastJoinThreshold and merges on doc_id beyond it.

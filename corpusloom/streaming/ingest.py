@@ -6,10 +6,10 @@ state, watermark or shuffle, and give each row the same split as a batch run wou
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusloom.operators.encode import encode_with
+from corpusloom.operators.encode import BROADCAST_TOKENS, broadcast_vocab, encode, encode_with
 from corpusloom.plans.prepare import split_rows
 from corpusloom.schemas import LABELLED, MAX_LENGTH
 
@@ -21,16 +21,31 @@ def read_arrivals(spark: SparkSession, path: str, fmt: str = "parquet", files_pe
 
 
 def append_arrivals(
-    rows: DataFrame, store: str, checkpoint: str, vocabulary=None, max_length: int = MAX_LENGTH
+    rows: DataFrame, store: str, checkpoint: str, vocab: DataFrame | None = None, max_length: int = MAX_LENGTH,
+    pieces: bool = False, max_tokens: int = BROADCAST_TOKENS,
 ) -> StreamingQuery:
     """Append prepared rows to the store by split; the checkpoint makes each file count once.
 
-    With a `vocabulary` that `broadcast_vocab` accepted, rows are stored encoded.
+    With a vocabulary, a written table, rows are stored encoded: without a shuffle while it
+    can be broadcast, else each batch is joined to it and stored under its own number, so
+    that a repeated batch replaces itself.
     """
     prepared = split_rows(rows)
-    if vocabulary is not None:
-        encoded = encode_with(prepared, vocabulary, max_length)
-        prepared = encoded.select("doc_id", "split", "label", "encoding.*")
+    columns = ["doc_id", "split", "label", "encoding.*"]
+    if vocab is not None:
+        shared = broadcast_vocab(vocab, max_tokens)
+        if shared is None:
+
+            def join_batch(batch: DataFrame, number: int) -> None:
+                encoded = encode(batch, vocab, max_length, pieces=pieces, max_tokens=max_tokens, keep_text=False)
+                numbered = encoded.select(*columns).withColumn("batch", F.lit(number))
+                writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                writer.partitionBy("batch", "split").parquet(store)
+
+            return prepared.writeStream.foreachBatch(join_batch).option("checkpointLocation", checkpoint).trigger(
+                availableNow=True
+            ).start()
+        prepared = encode_with(prepared, shared, max_length, pieces=pieces).select(*columns)
     return (
         prepared.writeStream.format("parquet").outputMode("append")
         .partitionBy("split").option("checkpointLocation", checkpoint)

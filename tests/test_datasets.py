@@ -97,10 +97,40 @@ def test_reuse_needs_all_splits(spark, labelled, vocab):
     assert pp.prepare_or_reuse(labelled, root, 2, vocab=vocab, max_length=16) == first
 
     partial = scratch_path(spark, "partial")
-    datasets.record_manifest(spark, f"{partial}/manifest", "r", first)
+    datasets.record_manifest(spark, f"{partial}/manifest", "r", first, "as asked")
     manifest = datasets.read_manifest(spark, f"{partial}/manifest")
-    assert datasets.find_cached(manifest)["rows"] == spark.read.parquet(first).count()
-    assert datasets.find_cached(manifest.filter("split <> 'sst2'")) is None
+    assert datasets.find_cached(manifest, "as asked")["rows"] == spark.read.parquet(first).count()
+    assert datasets.find_cached(manifest, "otherwise") is None
+    assert datasets.find_cached(manifest.filter("split <> 'sst2'"), "as asked") is None
+
+
+def test_reuse_needs_the_same_request(spark, labelled, vocab):
+    root = scratch_path(spark, "requests")
+    first = pp.prepare_or_reuse(labelled, root, 2, vocab=vocab, max_length=16, samples=20)
+    others = [
+        pp.prepare_or_reuse(labelled, root, 2, vocab=vocab, max_length=16),
+        pp.prepare_or_reuse(labelled, root, 2, vocab=vocab, max_length=32, samples=20),
+        pp.prepare_or_reuse(labelled.filter("doc_id > 5"), root, 2, vocab=vocab, max_length=16, samples=20),
+        pp.prepare_or_reuse(labelled, root, 2, vocab=vocab.filter("id > 110"), max_length=16, samples=20),
+    ]
+    assert len({first, *others}) == 5
+    assert pp.prepare_or_reuse(labelled, root, 2, vocab=vocab, max_length=16, samples=20) == first
+
+
+def test_empty_split_is_complete(spark, labelled, vocab):
+    root = scratch_path(spark, "one-domain")
+    inner = tables.select_source(labelled, "IMDB")
+    first = pp.prepare_or_reuse(inner, root, 2, vocab=vocab, max_length=16)
+    assert pp.prepare_or_reuse(inner, root, 2, vocab=vocab, max_length=16) == first
+
+
+def test_written_tables_are_deleted(spark):
+    from corpusloom.session import path_exists, scratch
+
+    with scratch(spark):
+        path = materialise(spark.range(3), "gone").inputFiles()[0]
+        assert path_exists(spark, path)
+    assert not path_exists(spark, path)
 
 
 def test_hot_texts_and_sources_leave_files_even(spark):
@@ -119,7 +149,8 @@ def test_newest_complete_run_wins(spark):
     rows += [("new", s, f"/new/{s}", 2, 6) for s in ("train", "test", "sst2")]
     rows += [("cut", s, f"/cut/{s}", 3, 7) for s in ("train", "test")]
     frame = spark.createDataFrame(rows, "run_id string, split string, path string, t long, rows long")
-    found = datasets.find_cached(frame.withColumn("created_at", F.timestamp_seconds("t")))
+    frame = frame.withColumn("created_at", F.timestamp_seconds("t")).withColumn("request", F.lit("q"))
+    found = datasets.find_cached(frame, "q")
     assert (found["run_id"], found["train_path"], found["rows"]) == ("new", "/new/train", 18)
 
 
@@ -146,7 +177,15 @@ def test_corpus_reader(spark, labelled):
     for part in ("a", "b"):
         raw.write.parquet(f"{root}/{part}")
     got = tables.read_corpus(spark, [f"{root}/a", f"{root}/b"], "SST-2", text_column="sentence", label_column="y")
-    assert got.schema == labelled.schema and got.count() == 2 * labelled.count()
+    assert got.dtypes == labelled.dtypes and got.count() == 2 * labelled.count()
+    # Keys are derived, and differ between the parts.
+    assert got.select("doc_id").distinct().count() == got.count()
+    with pytest.raises(ValueError, match="not unique"):
+        tables.read_corpus(
+            spark, [f"{root}/a", f"{root}/b"], "SST-2", text_column="sentence", label_column="y", key_column="doc_id"
+        )
+    one = tables.read_corpus(spark, [f"{root}/a"], "SST-2", "sentence", "doc_id", "y")
+    assert sorted(r.doc_id for r in one.collect()) == sorted(r.doc_id for r in labelled.collect())
     assert {r.source for r in got.select("source").distinct().collect()} == {"SST-2"}
 
 
@@ -157,6 +196,7 @@ def test_corpus_reader_with_a_schema(spark, labelled):
         spark, [root], "IMDB", fmt="csv", schema="doc_id bigint, label int, text string", header=True
     )
     assert got.count() == labelled.count() and got.first().text == "a, quoted text"
+    assert got.select("doc_id").distinct().count() == got.count()
 
 
 def test_shared_dir_is_the_configured_one(spark):

@@ -128,5 +128,30 @@ def test_top_tokens_break_ties_by_token(spark):
 
 def test_piece_counts(spark):
     counts = spark.createDataFrame([("abc", 2), ("ab", 1)], "token string, n bigint")
-    got = {r.token: r.n for r in ov.count_pieces(counts, 2).collect()}
-    assert got == {"a": 3, "ab": 3, "##b": 3, "##bc": 2, "##c": 2}
+    got = {r.token: r.n for r in ov.count_pieces(counts).collect()}
+    assert got == {"a": 3, "ab": 3, "abc": 2, "##b": 3, "##bc": 2, "##c": 2}
+
+
+def test_repeated_keys_keep_their_texts(spark):
+    vocab = spark.createDataFrame(SMALL, "token string, id int, n bigint")
+    texts = spark.createDataFrame([(1, "good"), (1, "film good"), (None, "film")], "doc_id bigint, text string")
+    want = sorted([[101, 104, 102, 0, 0], [101, 105, 104, 102, 0], [101, 105, 102, 0, 0]])
+    for tokens in (oe.BROADCAST_TOKENS, 0):
+        for pieces in (False, True):
+            rows = oe.encode(texts, vocab, 5, pieces=pieces, max_tokens=tokens, keep_text=False)
+            assert rows.columns == ["doc_id", "encoding"]
+            assert sorted(list(r.encoding.input_ids) for r in rows.collect()) == want
+
+
+def test_frequent_tokens_are_spread(spark):
+    """One frequent word that the vocabulary lacks and one that it has, among rare ones."""
+    from corpusloom.operators.lookup import lookup
+
+    rows = spark.range(6000).selectExpr(
+        "id", "case when id % 3 = 0 then 'unknown' when id % 3 = 1 then '##e' else concat('rare', id) end as token"
+    )
+    table = spark.createDataFrame([("##e", 7)], "token string, id_of int")
+    found = lookup(rows, "token", F.col("id"), table, "id_of", hot_tokens=2)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 2 * 6000 / len(sizes)
+    assert found.filter("id_of = 7").count() == 2000

@@ -87,6 +87,13 @@ def test_batches_run_across_files(spark):
     assert {r["count"] for r in batched.groupBy("batch_id").count().collect()} == {4}
 
 
+def test_matched_batches_never_vanish(spark):
+    layout = shard.shard_layout(file_table(spark, 2, 64), 3)
+    with pytest.raises(ValueError, match="no whole batch"):
+        batch.batch_layout(layout, 16, 3, batch.MATCHED)
+    assert {r.batch_limit for r in batch.batch_layout(layout, 16, 3).collect()} == {None}
+
+
 def test_unknown_batch_policy(spark):
     with pytest.raises(ValueError):
         batch.batch_layout(layout_of(spark, [4]), 4, 1, "other")

@@ -75,6 +75,18 @@ def test_column_scores_match_the_pass(vectors):
         assert (r["rows"], r.loss, r.accuracy) == pytest.approx(metrics[r.split])
 
 
+def test_damaged_features_are_an_error(spark):
+    from pyspark.errors import PythonException
+
+    rows = [("train", 0, [1.0, 2.0]), ("train", 1, [1.0]), ("train", 1, [1.0, 2.0, 3.0])]
+    frame = spark.createDataFrame(rows, "split string, label int, x array<double>")
+    with pytest.raises(PythonException, match="must have 2 numbers"):
+        evaluate_pass(frame, Features("x", 2), initial_weights(2, 2))
+    null = spark.createDataFrame([("train", 0, None)], "split string, label int, x array<double>")
+    with pytest.raises(PythonException, match="null x"):
+        with_scores(null, Features("x", 2), initial_weights(2, 2)).collect()
+
+
 def test_adamw_against_a_scalar_loop():
     state, w, m, v = HeadState.fresh(np.array([[0.3]])), 0.3, 0.0, 0.0
     for t, g in enumerate([0.5, -0.2, 0.1], 1):
@@ -220,6 +232,8 @@ def test_curves(spark):
     got = {(r.epoch, r.series): r.value for r in report.loss_curves(wide, "run_id").collect()}
     assert got == {(1, s): v for _, s, v in series[:3]}
     assert report.loss_curves(report.wide_history(history_frame(spark, "a", []))).count() == 0
+    # Test losses alone are no curves.
+    assert report.loss_curves(report.wide_history(history_frame(spark, "a", series[1:])), "run_id").count() == 0
 
 
 def test_latest_path_breaks_ties(spark):
