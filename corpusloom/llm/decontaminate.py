@@ -22,7 +22,7 @@ WINDOW = 10
 # Item words searched for in one pass, so that the broadcast tables are at most 100 MB; more
 # items take more passes.
 PASS_WORDS = 1_000_000
-# An item is given to passes in pieces of at most this many characters.
+# The shift table has this many bits of a block's hash.
 _SHIFT_BITS = 20
 # Texts are cut into segments of this many windows, which advance side by side.
 _SEGMENT = 256

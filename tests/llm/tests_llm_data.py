@@ -1,0 +1,5 @@
+"""What the tests of this folder share."""
+
+from conftest_data import DOCUMENT, edge_rows, text_of, words
+
+__all__ = ["DOCUMENT", "edge_rows", "text_of", "words"]
