@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm import decontaminate, langid, near_dup, packing, secrets
+from corpusloom.llm.frames import small_batches
 from corpusloom.session import materialise
 
 # A text whose language is less likely than this is rejected.
@@ -14,6 +15,7 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the labels know; texts without letters go."""
+    small_batches(spark)
     found = langid.identify(docs)
     sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
     return found.filter(sure).select(*docs.columns)
@@ -21,11 +23,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, by five-word shingles."""
+    small_batches(spark)
     return near_dup.drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_passages(docs, benchmark)
     return found.filter("size(spans) = 0").select(*docs.columns)
@@ -33,6 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, found secrets replaced; `n_chars` follows the text."""
+    small_batches(spark)
     out = secrets.redact(docs, secrets.scan_secrets(docs))
     if "n_chars" not in out.columns:
         return out
@@ -42,6 +47,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 4096 tokens."""
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -206,7 +206,7 @@ def tokenized_pieces(
             data, off = buffers(batch.column(1))
             keys = batch.column(0)
             rows, pieces, starts, lengths, sums = [], [], [], [], []
-            for a, b in blocks(off, 1 << 20):
+            for a, b in blocks(off, 1 << 19):
                 part = off[a : b + 1]
                 ids, bounds = known.encode(data[part[0] : part[-1]], part - part[0])
                 ids = ids.astype("<u4")

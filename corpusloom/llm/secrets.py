@@ -171,7 +171,7 @@ def corpus_statistics(documents: DataFrame, text: str = "text") -> tuple[np.ndar
                 for k, times in zip(first.tolist(), n.tolist()):
                     word = body[s[k] : e[k]]
                     total[word] = total.get(word, 0) + times
-                if len(total) > 500_000:  # sent in parts: a task's memory stays bounded
+                if len(total) > 200_000:  # sent in parts: a task's memory stays bounded
                     yield _counts([w.decode() for w in total], list(total.values()))
                     total = {}
         yield _counts([w.decode() for w in total], list(total.values()))

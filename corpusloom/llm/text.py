@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are worked on in blocks of about this many bytes; a longer text is its own block.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
