@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusloom.llm.frames import by_key, few, groups, scan_groups, spread_join
+from corpusloom.llm.frames import by_key, groups, scan_groups, spread_join
 from corpusloom.llm.graph import components
 from corpusloom.llm.near_dup import GROUP, linked
 from corpusloom.llm.text import SOLID, blocks, buffers, mix, numbers, words
@@ -147,9 +147,8 @@ def _full_sets(documents: DataFrame, wanted: DataFrame, shingle: int, least: int
 
     docs = wanted.groupBy("doc_id").agg(F.collect_set("unit").alias("units"))
     docs = materialise(docs, "wanted")
-    # Documents with their paragraph numbers, some 50 bytes each.
-    side = F.broadcast(docs) if few(docs) else docs
-    texts = documents.select("doc_id", "text").join(side, "doc_id")
+    # The texts are shuffled once, at every size: wanted documents grow with the corpus.
+    texts = documents.select("doc_id", "text").join(docs.hint("shuffle_hash"), "doc_id")
     return texts.mapInArrow(build, "k1 long, k2 long, members binary").dropDuplicates(["k1", "k2"])
 
 
