@@ -309,7 +309,9 @@ def scan_secrets(
     findings; a null id or path is allowed.
     """
     logp, dictionary = corpus_statistics(documents, text)
-    found = materialise(with_features(find_candidates(documents, text, path), logp, dictionary), "candidates")
+    # Written in between: two Python functions in one stage would hold two workers a task.
+    candidates = materialise(find_candidates(documents, text, path), "values")
+    found = materialise(with_features(candidates, logp, dictionary), "candidates")
     known = label_findings(found) if labelled is None else with_features(labelled, logp, dictionary)
     model = train(known)
     if model is None:
