@@ -4,7 +4,9 @@ A paragraph here is a stretch of a line between cuts that the text itself sets,
 pasted into other text is cut like its source.  Each band is one minwise shingle; at the
 threshold of 0.8 three bands miss 0.8 in a hundred pairs.  Paragraphs that collide in a band
 are confirmed on their full shingle sets, links are closed to clusters, and the first
-paragraph of a cluster stays.
+paragraph of a cluster stays.  Equal passages are found by short pieces too, cut where a
+word pair has the least hash around, so that neither lines nor marks matter, and every
+match is extended word by word to its whole equal run.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from corpusloom.llm.frames import by_key, groups, scan_groups, spread_join
 from corpusloom.llm.graph import components
 from corpusloom.llm.near_dup import GROUP, linked
 from corpusloom.llm.text import SOLID, blocks, buffers, mix, numbers, words
-from corpusloom.session import materialise
+from corpusloom.session import materialise, parallelism
 
 SHINGLE, PERCENT = 5, 80
 BANDS = 3
@@ -27,6 +29,10 @@ BANDS = 3
 MIN_WORDS, MIN_RUN = 8, 20
 # Of the places where a sentence starts or ends every second is a cut, of all others one in 64.
 _SENTENCE_CUT, _WORD_CUT = np.uint64(2), np.uint64(64)
+# A piece starts where a word pair has the least hash among this many on either side, and
+# this many words after the last start if there is none.  Equal runs are followed so far
+# beyond a match: more than a piece, its lengthening and what lies around its cuts.
+AROUND, LONGEST, FOLLOWED = 4, 32, 64
 _SEEDS = numbers(BANDS, 909) | np.uint64(1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -262,27 +268,217 @@ def repeated_paragraphs(
     )
 
 
+def pieces(data: np.ndarray, off: np.ndarray, least: int):
+    """Overlapping pieces of at least `least` words: first and last word, hash, row; the words.
+
+    Each piece runs from a cut to the first cut `least` words on, so it depends on the words
+    in and next to it alone.  Shorter ones are only left at the end of a text.
+    """
+    _, s, e, h, bounds = words(data, off, SOLID)
+    n = len(s)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    pair = h * _FACTOR
+    pair[:-1] += np.where(row[1:] == row[:-1], h[1:], np.uint64(0))
+    pair = mix(pair)
+    start = np.ones(n, dtype=bool)
+    for d in range(1, min(AROUND, n - 1) + 1):
+        same = row[d:] == row[:-d]
+        start[d:] &= ~same | (pair[d:] < pair[:-d])
+        start[:-d] &= ~same | (pair[:-d] <= pair[d:])
+    start[bounds[:-1][bounds[:-1] < n]] = True
+    first = np.flatnonzero(start)
+    gap = np.diff(np.append(first, n))
+    more = (gap - 1) // LONGEST
+    if more.any():
+        rank = np.arange((more + 1).sum()) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+        first = np.repeat(first, more + 1) + rank * LONGEST
+    last = np.append(first, n)[np.searchsorted(first, first + least)]
+    last = np.minimum(last, bounds[1:][row[first]] if n else last)
+    keep = last - first >= least
+    first, last = first[keep], last[keep]
+    key = np.zeros(len(first), np.uint64)
+    for k in range(int((last - first).max()) if len(first) else 0):
+        inside = first + k < last
+        key[inside] = key[inside] * _FACTOR + h[first[inside] + k]
+    return first, last, mix(key + (last - first).astype(np.uint64)), row[first], s, e, h, bounds
+
+
+def piece_rows(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """`(doc_id, start, length, key)` of every piece; places count code points."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = buffers(batch.column(1))
+            for a, b in blocks(off):
+                part, raw = off[a : b + 1] - off[a], data[off[a] : off[b]]
+                first, last, key, row, s, e, _, _ = pieces(raw, part, least)
+                lead = np.zeros(len(raw) + 1, dtype=np.int64)
+                np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
+                x, y = s[first], e[last - 1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(a + row)), pa.array(lead[x] - lead[part[row]]),
+                        pa.array(lead[y] - lead[x]), pa.array(_signed(key)),
+                    ],
+                    ["doc_id", "start", "length", "key"],
+                )
+
+    return documents.select("doc_id", "text").mapInArrow(cut, "doc_id long, start long, length long, key long")
+
+
+def repeated_pieces(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """Pieces that occur more than once, with `cluster` and `kept` as for paragraphs."""
+    rows = materialise(piece_rows(documents.filter("doc_id is not null"), least), "pieces")
+    counted = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("first")
+    )
+    repeated = materialise(counted.filter("n > 1").drop("n"), "repeated_pieces")
+    return spread_join(rows, repeated, "key", "inner").select(
+        "doc_id", "start", "length", F.col("key").alias("cluster"),
+        (F.struct("doc_id", "start") == F.col("first")).alias("kept"),
+    )
+
+
+_PLACE = "doc_id long, first int, last int, start long, length long, cluster long, kept boolean"
+
+
+def _surroundings(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """Each match twice, with the hashes of up to `FOLLOWED` words after (`side` 1) and,
+    backwards, before it (0), and how many code points each takes."""
+    names = [x.split()[0] for x in _PLACE.split(", ")]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+        schema = pa.schema([*zip(names, kinds), ("side", pa.int32()), ("words", pa.binary()), ("reach", pa.binary())])
+
+        def rows():
+            for batch in batches:
+                data, off = buffers(batch.column(1))
+                for at, doc in enumerate(batch.column(0).to_pylist()):
+                    raw = data[off[at] : off[at + 1]]
+                    _, s, e, h, _ = words(raw, np.array([0, len(raw)]), SOLID)
+                    lead = np.zeros(len(raw) + 1, dtype=np.int64)
+                    np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
+                    begin, end = lead[s], lead[e]
+                    short = (h >> np.uint64(32)).astype(">u4")
+                    for m in batch.column(2)[at].as_py():
+                        x, y = m["start"], m["start"] + m["length"]
+                        a, b = int(np.searchsorted(begin, x)), int(np.searchsorted(end, y)) + 1
+                        # Rows of one id may have other texts: a place counts where it fits.
+                        if b > len(s) or begin[a] != x or end[b - 1] != y:
+                            continue
+                        row = {**m, "doc_id": doc, "first": a, "last": b}
+                        left = slice(max(a - FOLLOWED, 0), a)
+                        yield {**row, "side": 0, "words": short[left][::-1].tobytes(),
+                               "reach": (x - begin[left][::-1]).astype("<i4").tobytes()}
+                        yield {**row, "side": 1, "words": short[b : b + FOLLOWED].tobytes(),
+                               "reach": (end[b : b + FOLLOWED] - y).astype("<i4").tobytes()}
+
+        yield from scan_groups(schema, rows(), 2048)
+
+    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length", "cluster", "kept")).alias("spans"))
+    texts = documents.select("doc_id", "text").join(materialise(spans, "spans").hint("shuffle_hash"), "doc_id")
+    return texts.mapInArrow(look, f"{_PLACE}, side int, words binary, reach binary")
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """Equal words at the start of two rows of hashes of four bytes."""
+    size = min(len(a), len(b)) // 4
+    x, y = np.frombuffer(a, ">u4", size), np.frombuffer(b, ">u4", size)
+    other = np.flatnonzero(x != y)
+    return int(other[0]) if len(other) else size
+
+
+def extended(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """Matches with the words `more0`, `more1` and code points `chars0`, `chars1` by which
+    the equal run with any other member of the cluster goes on before and after them.
+
+    In order of the words around them, the longest run of each match is with a neighbour.
+    The order is cut into ranges, so a passage that every document has is many tasks' work;
+    the rows at the rims of the ranges are compared on the driver.
+    """
+    order = ["cluster", "side", "words", "doc_id", "first", "last"]
+    around = _surroundings(documents, found)
+    ranged = around.repartitionByRange(parallelism(around.sparkSession), *order).sortWithinPartitions(*order)
+    place = [x.split()[0] for x in _PLACE.split(", ")]
+    schema = f"{_PLACE}, side int, more int, chars int, words binary, reach binary"
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+        kind = pa.schema([
+            *zip(place, kinds), ("side", pa.int32()), ("more", pa.int32()), ("chars", pa.int32()),
+            ("words", pa.binary()), ("reach", pa.binary()),
+        ])
+
+        def rows():
+            held, before = None, 0
+            for batch in batches:
+                for row in batch.to_pylist():
+                    equal = 0
+                    if held is not None:
+                        if held["cluster"] == row["cluster"] and held["side"] == row["side"]:
+                            equal = _common(held["words"], row["words"])
+                        yield _measured(held, max(before, equal), first)
+                    first, held, before = held is None, row, equal
+            if held is not None:
+                yield _measured(held, before, True)
+
+        yield from scan_groups(kind, rows(), 2048)
+
+    done = materialise(ranged.select(*place, "side", "words", "reach").mapInArrow(measure, schema), "measured")
+    # Two rows a range: the first and the last of each meet those of the next.
+    rims = sorted((r.asDict() for r in done.filter("words is not null").collect()), key=lambda r: [r[c] for c in order])
+    late = []
+    for a, b in zip(rims, rims[1:]):
+        if (a["cluster"], a["side"]) == (b["cluster"], b["side"]):
+            equal = _common(a["words"], b["words"])
+            late += [_measured(a, equal, False), _measured(b, equal, False)]
+    names = [*place, "side", "more", "chars"]
+    both = done.select(*names)
+    if late:
+        types = f"{_PLACE}, side int, more int, chars int"
+        both = both.unionByName(documents.sparkSession.createDataFrame([tuple(r[c] for c in names) for r in late], types))
+    return both.groupBy(*place).agg(
+        *[F.coalesce(F.max(F.when(F.col("side") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}") for k in (0, 1) for c in ("more", "chars")]
+    )
+
+
+def _measured(row: dict, more: int, rim: bool) -> dict:
+    """A match with its run; a rim keeps its words, to be compared once more."""
+    chars = int(np.frombuffer(row["reach"], "<i4")[more - 1]) if more else 0
+    return {**row, "more": more, "chars": chars, "words": row["words"] if rim else None, "reach": row["reach"] if rim else None}
+
+
 def repeated_passages(
     documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, least: int = MIN_WORDS, run: int = MIN_RUN
 ) -> DataFrame:
     """Per repeated stretch: `doc_id, start, length, n_words, n_removed, cluster, kept`.
 
-    Neighbouring repeated paragraphs are one stretch; stretches of fewer than `run` words
-    are left out.  `start` and `length` are code points, `n_removed` the words of its
-    paragraphs that are not first of their cluster, `cluster` that of its first paragraph,
-    and `kept` is true if nothing is removed.  Documents without such a stretch have no
-    row.  Repeated rows of one id are told apart by their places only.
+    Repeated paragraphs and pieces, extended to their equal runs, that touch or overlap are
+    one stretch; stretches of fewer than `run` words are left out.  `start` and `length` are
+    code points, `n_removed` the words of its matches that are not first of their cluster
+    (of overlapping matches the earlier one's), `cluster` that of its first match, and
+    `kept` is true if nothing is removed.  Documents without such a stretch have no row.
+    Repeated rows of one id are told apart by their places only.
     """
-    found = repeated_paragraphs(documents, shingle, percent, least).dropDuplicates(["doc_id", "unit", "start"])
-    of_doc = Window.partitionBy("doc_id").orderBy("unit", "start")
-    broken = F.coalesce(F.col("unit") - F.lag("unit").over(of_doc) > 1, F.lit(True))
-    stretch = F.sum(broken.cast("int")).over(of_doc)
-    end = F.max(F.col("start") + F.col("length"))
+    found = repeated_paragraphs(documents, shingle, percent, least).select("doc_id", "start", "length", "cluster", "kept")
+    found = materialise(found.unionByName(repeated_pieces(documents, least)), "matches")
+    order = ["low", "high", "cluster", "kept"]
+    of_doc = Window.partitionBy("doc_id").orderBy(*order)
+    runs = extended(documents, found).select(
+        "doc_id", "cluster", "kept", (F.col("first") - F.col("more0")).alias("low"), (F.col("last") + F.col("more1")).alias("high"),
+        (F.col("start") - F.col("chars0")).alias("start"), (F.col("start") + F.col("length") + F.col("chars1")).alias("end"),
+    )
+    reached = F.max("high").over(of_doc.rowsBetween(Window.unboundedPreceding, -1))
+    placed = runs.withColumn("reached", reached).withColumn(
+        "broken", F.coalesce(F.col("low") > F.col("reached"), F.lit(True)).cast("int")
+    )
+    new = F.greatest(F.col("high") - F.greatest("low", F.coalesce("reached", "low")), F.lit(0))
     return (
-        found.withColumn("stretch", stretch).groupBy("doc_id", "stretch").agg(
-            F.min("start").alias("start"), (end - F.min("start")).alias("length"),
-            F.sum("n_words").alias("n_words"),
-            F.sum(F.when(~F.col("kept"), F.col("n_words")).otherwise(0)).alias("n_removed"),
-            F.min_by("cluster", "unit").alias("cluster"), F.every("kept").alias("kept"),
-        ).filter(F.col("n_words") >= run).drop("stretch")
+        placed.withColumn("n", new).withColumn("stretch", F.sum("broken").over(of_doc)).groupBy("doc_id", "stretch").agg(
+            F.min("start").alias("start"), (F.max("end") - F.min("start")).alias("length"),
+            (F.max("high") - F.min("low")).cast("long").alias("n_words"),
+            F.sum(F.when(~F.col("kept"), F.col("n")).otherwise(0)).cast("long").alias("n_removed"),
+            F.min_by("cluster", F.struct(*order)).alias("cluster"),
+        ).filter(F.col("n_words") >= run).withColumn("kept", F.col("n_removed") == 0).drop("stretch")
     )

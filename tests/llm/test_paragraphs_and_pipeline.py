@@ -100,6 +100,42 @@ def test_cuts_follow_the_text():
     assert len(alone) >= 2
 
 
+def passages_in(kind, k, size):
+    w = text_of(9000 + k, size + 20).split()[:size]
+    plain = [x.lower().strip(".") for x in w]
+    if kind == "lines":
+        return "\n".join(" ".join(plain[j : j + 5]) for j in range(0, size, 5))
+    if kind == "german":
+        return " ".join(x.capitalize() if j % 2 else x for j, x in enumerate(plain))
+    return " ".join(plain)
+
+
+@pytest.mark.parametrize("kind", ["inline", "lines", "german"])
+def test_passages_of_any_form_are_whole(spark, kind):
+    rows, want = [], {}
+    for k in range(40):
+        passage = passages_in(kind, k, 51 + k * 49 // 39)
+        for copy in range(2):
+            left, right = (text_of(20_000 + 4 * k + 2 * copy + j, 60).lower().replace(".", "") for j in range(2))
+            rows.append((2 * k + copy, f"{left} x{k}y{copy} {passage} z{k}y{copy} {right}"))
+            want[2 * k + copy] = passage
+    frame = spark.createDataFrame([(k, t, None, None, None) for k, t in rows], DOCUMENT)
+    texts, got = dict(rows), {}
+    for r in pg.repeated_passages(frame).collect():
+        got.setdefault(r.doc_id, []).append(texts[r.doc_id][r.start : r.start + r.length])
+        assert r.n_words == len(got[r.doc_id][-1].split()) and r.kept == (r.doc_id % 2 == 0)
+    assert got == {k: [p] for k, p in want.items()}
+
+
+def test_ranges_of_runs_meet(spark, monkeypatch):
+    """More ranges than rows: all neighbours are compared at the rims."""
+    rows = [(k, f"{text_of(40 + k, 40)} a{k} {text_of(3000, 60)} b{k} {text_of(80 + k, 40)}") for k in range(6)]
+    frame = spark.createDataFrame([(k, t, None, None, None) for k, t in rows], DOCUMENT)
+    want = sorted(pg.repeated_passages(frame).collect())
+    monkeypatch.setattr(pg, "parallelism", lambda _: 500)
+    assert sorted(pg.repeated_passages(frame).collect()) == want and {r.n_words for r in want} == {60}
+
+
 def test_paragraph_edges(spark, edge, nothing):
     assert pg.repeated_passages(nothing).count() == 0
     assert {r.doc_id for r in pg.repeated_passages(edge).collect()} <= {4}
