@@ -1,7 +1,7 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 A small network reads the words on both sides of a masked position and predicts the class of
-the word; the word within its class follows the corpus counts.  It is trained in numpy, each
+the word; the word within its class follows the corpus counts, of rare words too.  It is trained in numpy, each
 task on the masked positions of its own rows, and the tasks' networks are averaged.  A score
 is the sum of the conditional log probabilities of all words of a document.
 """
@@ -15,10 +15,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from corpusloom.llm.frames import spread_join
 from corpusloom.llm.text import ALNUM, blocks, buffers, words
 from corpusloom.session import materialise, parallelism
 
-# Words with an id of their own; all others share as many buckets by hash.
+# Words with an id of their own in the network; all others share as many ids by hash, a
+# power of two, and are told apart by their counts.
 VOCABULARY, BUCKETS = 20_000, 64
 CLASSES, WIDTH, HIDDEN, REACH = 64, 16, 32, 2
 # Every so many words of each document one is masked in training, as is usual for such models.
@@ -72,13 +74,21 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 class Words:
-    """Ids and classes of words; `inside` is each id's log share of its class."""
+    """Ids and classes of words; `inside` is each id's log share of its class.
 
-    def __init__(self, h: np.ndarray, n: np.ndarray, tail: np.ndarray, other: int):
+    A rare word shares its id with others; `alone` is the log share that one occurrence of
+    its word has in the class.  `other` counts the rare words by bucket, and each bucket
+    has one more for words that the corpus does not have.  `counts` is the written table of
+    all words; it stays on the driver.
+    """
+
+    counts: DataFrame | None = None
+
+    def __init__(self, h: np.ndarray, n: np.ndarray, tail: np.ndarray, other: np.ndarray):
         order = np.argsort(h)
         self.h, n, tail = h[order], n[order].astype(np.float64), tail[order]
         size = len(h)
-        mass = np.concatenate([n, np.full(BUCKETS, max(other, BUCKETS) / BUCKETS)])
+        mass = np.concatenate([n, other + 1.0])
         total = mass.sum()
         self.size = size + BUCKETS
         self.kind = np.zeros(self.size + 1, dtype=np.int64)
@@ -95,6 +105,11 @@ class Words:
         self.kind[size : self.size] = CLASSES - 1
         whole = np.bincount(self.kind[: self.size], weights=mass, minlength=CLASSES)
         self.inside = np.log(mass / whole[self.kind[: self.size]])
+        self.alone = self.inside.copy()
+        self.alone[size:] -= np.log(mass[size:])
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "counts"}
 
     def ids(self, h: np.ndarray) -> np.ndarray:
         rare = len(self.h) + (h % np.uint64(BUCKETS)).astype(np.int64)
@@ -107,12 +122,19 @@ class Words:
 def build_words(documents: DataFrame, text: str = "text", size: int = VOCABULARY) -> Words:
     """The vocabulary from counts over all documents; the driver gets `size` words."""
     counts = materialise(count_words(documents, text), "words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    # Hashes are signed here; their low bits are the bucket either way.
+    sums = counts.groupBy(F.col("h").bitwiseAND(BUCKETS - 1).alias("b")).agg(F.sum("n").alias("n")).collect()
+    other = np.zeros(BUCKETS, np.int64)
+    for r in sums:
+        other[r.b] = r.n
     # Merged by a task and written, so the driver gets `size` rows, not as many from each task.
     top = materialise(counts.orderBy(F.desc("n"), "h").limit(size), "vocabulary").collect()
     h = np.array([r.h for r in top], dtype=np.int64).view(np.uint64)
     n = np.array([r.n for r in top], dtype=np.int64)
-    return Words(h, n, np.array([r.tail for r in top], dtype=np.int64), int(total) - int(n.sum()))
+    np.subtract.at(other, (h % np.uint64(BUCKETS)).astype(np.int64), n)
+    known = Words(h, n, np.array([r.tail for r in top], dtype=np.int64), other)
+    known.counts = counts
+    return known
 
 
 def first_network(size: int) -> dict[str, np.ndarray]:
@@ -175,7 +197,7 @@ def train_step(net: dict, square: dict, around: np.ndarray, target: np.ndarray)
 def _block_ids(data, off, a, b, known: Words):
     part = off[a : b + 1]
     _, _, _, h, bounds = words(data[part[0] : part[-1]], part - part[0], ALNUM)
-    return known.ids(h), bounds
+    return known.ids(h), bounds, h
 
 
 def train_round(documents: DataFrame, known, net, text: str = "text") -> dict[str, np.ndarray]:
@@ -211,7 +233,7 @@ def train_round(documents: DataFrame, known, net, text: str = "text") -> dict[st
         for batch in batches:
             data, off = buffers(batch.column(0))
             for a, b in blocks(off):
-                ids, bounds = _block_ids(data, off, a, b, vocabulary)
+                ids, bounds, _ = _block_ids(data, off, a, b, vocabulary)
                 if not len(ids):
                     continue
                 inside = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
@@ -286,38 +308,62 @@ def score(documents: DataFrame, known: Words, net: dict, text: str = "text", key
     """`(doc_id, n_tokens, log_likelihood, mean_log_likelihood)` of every document.
 
     Words are runs of letters, digits and non-ASCII characters, A to Z lower-cased.  A text
-    without words, or null, has 0 tokens, a sum of 0 and no mean.
+    without words, or null, has 0 tokens, a sum of 0 and no mean.  The counts of rare words
+    are joined to the words of the documents, counted within each; a word that the corpus
+    has once or never needs none, since the log of its count is 0.
     """
     shared = documents.sparkSession.sparkContext.broadcast((known, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, model = shared.value
         for batch in batches:
-            data, off = buffers(batch.column(1))
+            data, off = buffers(batch.column(2))
             count, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            owners, rare, times = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for a, b in blocks(off):
-                ids, bounds = _block_ids(data, off, a, b, vocabulary)
+                ids, bounds, h = _block_ids(data, off, a, b, vocabulary)
                 count[a:b] = np.diff(bounds)
                 if not len(ids):
                     continue
                 around, target = contexts(ids, bounds, vocabulary.size), vocabulary.kind[ids]
-                each = vocabulary.inside[ids].copy()
+                each = vocabulary.alone[ids].copy()
                 for k in range(0, len(ids), 8192):
                     part = slice(k, min(k + 8192, len(ids)))
                     _, _, z, _, sums = forward(model, around[part])
                     each[part] += z[np.arange(part.stop - k), target[part]] - np.log(sums)
                 row = np.repeat(np.arange(b - a), np.diff(bounds))
                 total[a:b] = np.bincount(row, weights=each, minlength=b - a)
-            mean = pa.array(total / np.maximum(count, 1), mask=count == 0)
+                few = ids >= len(vocabulary.h)
+                if few.any():
+                    order = np.lexsort((h[few], row[few]))
+                    owner, word = row[few][order], h[few][order]
+                    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])])
+                    owners.append(a + owner[first])
+                    rare.append(word[first])
+                    times.append(np.diff(np.append(first, len(owner))))
+            edges = np.searchsorted(np.concatenate(owners), np.arange(batch.num_rows + 1))
+            lists = [
+                pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
+                for values in (pa.array(np.concatenate(rare).view(np.int64)), pa.array(np.concatenate(times), pa.int32()))
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count), pa.array(total), mean],
-                ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                [batch.column(0), batch.column(1), pa.array(count), pa.array(total), *lists],
+                ["row", "doc_id", "n_tokens", "total", "rare", "times"],
             )
 
-    rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log_likelihood double"
+    schema = f"row long, doc_id {kind}, n_tokens long, total double, rare array<long>, times array<int>"
+    # Written, so the numbers of the rows stay.
+    done = materialise(rows.mapInArrow(run, schema), "scored")
+    listed = done.filter("size(rare) > 0").select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
+    terms = listed.select("row", F.col("w.rare").alias("h"), F.col("w.times").alias("times"))
+    counts = known.counts.filter("n > 1").select("h", "n")
+    more = spread_join(terms, counts, "h", "inner").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
+    whole = F.col("total") + F.coalesce("more", F.lit(0.0))
+    return done.drop("rare", "times").join(more, "row", "left").select(
+        "doc_id", "n_tokens", whole.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens")).alias("mean_log_likelihood"),
     )
 
 

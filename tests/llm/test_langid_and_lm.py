@@ -148,6 +148,29 @@ def test_context_helps_and_scores_are_whole(spark, documents):
     assert abs(got.log_likelihood - rows[documents.first().doc_id].log_likelihood) < 1e-3
 
 
+def test_rare_words_have_their_own_share(spark):
+    rows = [(k, " ".join([f"w{j}" for j in range(20)] + ["often"] * 3 * (k < 5) + [f"once{k}"])) for k in range(30)]
+    frame = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
+    known = lm.build_words(frame, size=20)
+    net = lm.first_network(known.size)
+    net["u"][:] = 0  # every class is as likely
+    counts = Counter(w for _, text in [*rows, rows[0]] for w in text.split())
+    rare = sum(n for w, n in counts.items() if not w.startswith("w")) + lm.BUCKETS
+    share = {}
+    for r in lm.score(spark.createDataFrame([(k, f"w{k}") for k in range(20)], "doc_id long, text string"), known, net).collect():
+        share[f"w{r.doc_id}"] = r.log_likelihood
+    got = sorted((r.doc_id or 0, r.log_likelihood) for r in lm.score(frame, known, net).collect())
+    want = sorted(
+        (k, sum(share[w] if w in share else math.log(counts[w] / rare / lm.CLASSES) for w in text.split()))
+        for k, text in [*rows, rows[0]]
+    )
+    assert [k for k, _ in got] == [k for k, _ in want] and np.allclose([v for _, v in got], [v for _, v in want])
+    # A word that the corpus has once or never is less likely than one that it has often.
+    new = spark.createDataFrame([(1, "often"), (2, "once1 "), (3, "never"), (4, "w3")], "doc_id long, text string")
+    often, once, never, known_word = (r.log_likelihood for r in lm.score(new, known, net).orderBy("doc_id").collect())
+    assert known_word > often > once and abs(once - math.log(2 / rare / lm.CLASSES)) > 0.1 and never <= once
+
+
 def test_lm_edges(spark, edge, nothing):
     rows = lm.pseudo_likelihood(edge).collect()
     assert len(rows) == edge.count()
