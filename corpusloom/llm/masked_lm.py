@@ -23,9 +23,8 @@ from corpusloom.session import materialise, parallelism
 # power of two, and are told apart by their counts.
 VOCABULARY, BUCKETS = 20_000, 64
 CLASSES, WIDTH, HIDDEN, REACH = 64, 16, 32, 2
-# Every so many words of each document one is masked in training, as is usual for such models.
-MASK_EVERY = 7
-# Documents are dealt to this many rounds; networks are averaged after each.
+# The words of each document are dealt to this many rounds, and each is masked in one of
+# them; networks are averaged after each.
 ROUNDS = 2
 BATCH, RATE = 4096, 0.08
 _SLICES, _PARTS = 8, 16
@@ -200,9 +199,19 @@ def _block_ids(data, off, a, b, known: Words):
     return known.ids(h), bounds, h
 
 
-def train_round(documents: DataFrame, known, net, text: str = "text") -> dict[str, np.ndarray]:
+def masked(bounds: np.ndarray, phase: np.ndarray, turn: int, turns: int) -> np.ndarray:
+    """The words that are masked in one of `turns` turns, every word in one of them."""
+    size = np.diff(bounds)
+    inside = np.arange(bounds[-1]) - np.repeat(bounds[:-1], size)
+    return np.flatnonzero((inside + np.repeat(phase, size)) % turns == turn)
+
+
+def train_round(
+    documents: DataFrame, known, net, text: str = "text", turn: int = 0, turns: int = 1
+) -> dict[str, np.ndarray]:
     """The average of the networks that tasks train from `net`, each on its own rows.
 
+    Of `turns` rounds that mask every word once, this is number `turn`.
     A word's vector is averaged by how often tasks met it, the rest by trained positions.
     Networks travel in slices and are added in two steps.
     """
@@ -232,14 +241,14 @@ def train_round(documents: DataFrame, known, net, text: str = "text") -> dict[st
 
         for batch in batches:
             data, off = buffers(batch.column(0))
+            phase = batch.column(1).to_numpy()
             for a, b in blocks(off):
                 ids, bounds, _ = _block_ids(data, off, a, b, vocabulary)
                 if not len(ids):
                     continue
-                inside = np.arange(len(ids)) - np.repeat(bounds[:-1], np.diff(bounds))
-                masked = np.flatnonzero(inside % MASK_EVERY == np.minimum(np.repeat(np.diff(bounds), np.diff(bounds)) // 2, MASK_EVERY // 2))
-                around = contexts(ids, bounds, vocabulary.size)[masked]
-                waiting.append((around, vocabulary.kind[ids[masked]]))
+                chosen = masked(bounds, phase[a:b], turn, turns)
+                around = contexts(ids, bounds, vocabulary.size)[chosen]
+                waiting.append((around, vocabulary.kind[ids[chosen]]))
                 learn(BATCH)
         learn(1)
         dense = np.concatenate([own[k].reshape(-1) for k in names]).astype(np.float64) * trained
@@ -256,7 +265,8 @@ def train_round(documents: DataFrame, known, net, text: str = "text") -> dict[st
         )
 
     few = min(64, parallelism(spark))
-    tasks = documents.select(F.col(text).alias("text")).mapInArrow(run, schema)
+    phase = F.pmod(F.xxhash64(F.col(text)), F.lit(turns)).alias("phase")
+    tasks = documents.select(F.col(text).alias("text"), phase).mapInArrow(run, schema)
     added = tasks.repartition(few, "slice", "part").mapInArrow(_add, schema)
     merged = added.withColumn("part", F.lit(0)).repartition(few, "slice").mapInArrow(_add, schema)
     rows = {r.slice: np.frombuffer(r.total) for r in merged.collect()}
@@ -295,12 +305,11 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(documents: DataFrame, text: str = "text", rounds: int = ROUNDS):
-    """Vocabulary and network from all documents, each in one of the rounds."""
+    """Vocabulary and network from every word of all documents, each masked in one of the rounds."""
     known = build_words(documents, text)
     net = first_network(known.size)
     for k in range(rounds):
-        mine = documents.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(rounds)) == k)
-        net = train_round(mine, known, net, text)
+        net = train_round(documents, known, net, text, k, rounds)
     return known, net
 
 

@@ -148,6 +148,28 @@ def test_context_helps_and_scores_are_whole(spark, documents):
     assert abs(got.log_likelihood - rows[documents.first().doc_id].log_likelihood) < 1e-3
 
 
+def test_every_word_is_masked_once():
+    bounds, phase = np.array([0, 1, 1, 9, 30]), np.array([0, 1, 1, 2])
+    for turns in (1, 2, 3):
+        chosen = [lm.masked(bounds, phase, k, turns) for k in range(turns)]
+        assert sorted(np.concatenate(chosen).tolist()) == list(range(30))
+
+
+def test_every_column_of_a_template_is_learnt(spark):
+    """A text with a period of seven words: each is predicted from its neighbours."""
+    template = "alpha bravo charlie delta echo foxtrot golf "
+    frame = spark.createDataFrame([(k, template * 60) for k in range(60)], "doc_id long, text string")
+    known, net = lm.train(frame)
+    for k in range(3):
+        net = lm.train_round(frame, known, net)
+    data, off = buffers(pa.array([template * 3]))
+    ids, bounds = lm._block_ids(data, off, 0, 1, known)[:2]
+    around, target = lm.contexts(ids, bounds, known.size)[7:14], known.kind[ids][7:14]
+    _, _, _, e, total = lm.forward(net, around)
+    assert len(set(target.tolist())) == 7
+    assert (e.argmax(axis=1) == target).all()
+
+
 def test_rare_words_have_their_own_share(spark):
     rows = [(k, " ".join([f"w{j}" for j in range(20)] + ["often"] * 3 * (k < 5) + [f"once{k}"])) for k in range(30)]
     frame = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
