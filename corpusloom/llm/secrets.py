@@ -1,7 +1,7 @@
 """Secret scans: candidates found in texts, false positives removed by a random forest.
 
-A candidate is a long run of key characters with a digit in it, or one that is assigned to
-a credential name.  The forest sees its length, how likely its character transitions are
+A candidate is a long run of key characters with a digit in it, or a run of any form that is
+assigned to a credential name.  The forest sees its length, how likely its character transitions are
 in the corpus, how much of it dictionary words cover, the path, and the words next to it.
 It is trained from labelled findings.
 """
@@ -22,7 +22,8 @@ from corpusloom.llm.frames import few
 from corpusloom.llm.text import ALNUM, LOWER, blocks, buffers, hash_spans, row_starts, runs
 from corpusloom.session import materialise, parallelism
 
-MIN_LENGTH = 12
+# A run is a candidate from the first length; assigned to a credential name, from the second.
+MIN_LENGTH, MIN_ASSIGNED = 12, 4
 # Labelled findings that the forest is trained on at most.
 TRAINING_ROWS = 20_000
 TREES, DEPTH = 40, 8
@@ -42,10 +43,10 @@ HARMLESS_WORDS = (
     "sha", "sha1", "sha256", "md5", "commit", "checksum", "hash", "uuid", "guid", "id",
     "version", "phone", "tel", "card", "isbn", "date", "example", "sample", "placeholder",
 )
-# Published prefixes of issued keys.
+# Published prefixes of issued keys, anywhere in a run; the short ones not inside a word.
 ISSUED = re.compile(
-    rb"^(AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|gho_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}"
-    rb"|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{10,})"
+    rb"(AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|gho_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}"
+    rb"|(?<![A-Za-z0-9])(xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{10,}))"
 )
 PLACEHOLDER = re.compile(rb"(?i)(x{6,}|0{8,}|1234567|changeme|example|placeholder|your[_-]?)")
 UUID = re.compile(rb"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
@@ -54,6 +55,9 @@ _KEY = np.zeros(256, dtype=bool)
 _KEY[list(b"+/=_-")] = True
 for _low, _high in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
     _KEY[_low:_high] = True
+_SIGN, _BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_SIGN[list(b":=")] = True
+_BLANK[list(b" \t\n\v\f\r\"'")] = True
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[0x30:0x3A] = True
 _LOWER_LETTER = np.zeros(256, dtype=bool)
@@ -79,11 +83,23 @@ def _near(text: bytes, forward: bool) -> list[str]:
 _ASSIGNED = re.compile(rb"([A-Za-z0-9_-]+)[\"']?\s*[:=]\s*[\"']?$")
 
 
+def _key_runs(raw: np.ndarray, part: np.ndarray):
+    """Runs of key characters in rows; a `=` is in one only as padding at its end."""
+    mask = _KEY[raw]
+    s, e, bounds = runs(raw == 0x3D, part)
+    row = np.searchsorted(bounds, np.arange(len(s)), "right") - 1
+    follows = (e < part[row + 1]) & _KEY[raw[np.minimum(e, max(len(raw) - 1, 0))]] if len(s) else np.zeros(0, bool)
+    inner = np.zeros(len(raw) + 1, dtype=np.int64)
+    inner[s[follows]] += 1
+    inner[e[follows]] -= 1
+    return runs(mask & (np.cumsum(inner)[:-1] == 0), part)
+
+
 def find_candidates(documents: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
     """`(doc_id, path, start, length, value, assigned, before, after)` of every candidate.
 
     `start` and `length` count code points.  A candidate has `MIN_LENGTH` characters and a
-    digit, or is the value assigned to a credential name.  `before` and `after` hold the
+    digit, or `MIN_ASSIGNED` and is the value assigned to a credential name.  `before` and `after` hold the
     words on either side, nearest first.  Empty and null texts have none.
     """
     names = set(CREDENTIAL_WORDS)
@@ -95,8 +111,8 @@ def find_candidates(documents: DataFrame, text: str = "text", path: str = "sourc
             for a, b in blocks(off):
                 part = off[a : b + 1] - off[a]
                 raw = data[off[a] : off[b]]
-                s, e, bounds = runs(_KEY[raw], part)
-                long = np.flatnonzero(e - s >= MIN_LENGTH)
+                s, e, bounds = _key_runs(raw, part)
+                long = np.flatnonzero(e - s >= MIN_ASSIGNED)
                 if not len(long):
                     continue
                 digits = np.zeros(len(raw) + 1, dtype=np.int64)
@@ -104,11 +120,11 @@ def find_candidates(documents: DataFrame, text: str = "text", path: str = "sourc
                 lead = np.zeros(len(raw) + 1, dtype=np.int64)
                 np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
                 row = np.searchsorted(bounds, long, "right") - 1
-                # Only what follows a sign of assignment can be assigned.
-                mark = np.zeros(len(raw) + 1, dtype=np.int64)
-                np.cumsum((raw == 0x3D) | (raw == 0x3A), out=mark[1:])
-                begin = np.maximum(s[long] - 4, part[row])
-                keep = (digits[e[long]] > digits[s[long]]) | (mark[s[long]] > mark[begin])
+                # Only what follows a sign of assignment, blanks and quotes aside, can be assigned.
+                solid = np.maximum.accumulate(np.where(_BLANK[raw], -1, np.arange(len(raw))))
+                before = np.where(s[long] > part[row], solid[s[long] - 1], -1)
+                told = (before >= part[row]) & _SIGN[raw[before]]
+                keep = told | ((digits[e[long]] > digits[s[long]]) & (e[long] - s[long] >= MIN_LENGTH))
                 body = raw.tobytes()
                 for k, r in zip(long[keep].tolist(), row[keep].tolist()):
                     x, y = int(s[k]), int(e[k])
@@ -118,7 +134,7 @@ def find_candidates(documents: DataFrame, text: str = "text", path: str = "sourc
                     asked = name is not None and bool(
                         names & {w.decode() for w in re.split(rb"[_-]+", name[1].lower())}
                     )
-                    if digits[y] == digits[x] and not asked:
+                    if not asked and (digits[y] == digits[x] or y - x < MIN_LENGTH):
                         continue
                     rows.append(a + r)
                     out.append({
@@ -263,15 +279,19 @@ def label_findings(findings: DataFrame) -> DataFrame:
 
     Secret: an issued key's form, or letters and digits assigned to a credential name.
     No secret: digits only, a UUID, a placeholder, or a value next to a harmless word and
-    not assigned to a credential name.  Others stay unlabelled and are left out.
+    not assigned to a credential name; with `features`, also a plain word of the dictionary.
+    Others stay unlabelled and are left out.
     """
     value = F.col("value")
     issued = value.rlike(ISSUED.pattern.decode())
     fake = value.rlike(PLACEHOLDER.pattern.decode()) | value.rlike(UUID.pattern.decode())
     harmless = F.arrays_overlap("before", F.array(*[F.lit(w) for w in HARMLESS_WORDS])) & ~F.col("assigned")
+    # As in prose: "the key: everyone agrees".
+    plain = value.rlike("^[A-Z]?[a-z]+$") & (F.length("value") <= _LONG)
+    plain &= (F.col("features")[8] == 1.0) if "features" in findings.columns else F.lit(False)
     mixed = value.rlike("[A-Za-z]") & value.rlike("[0-9]")
     label = (
-        F.when(fake, 0).when(issued, 1).when(value.rlike("^[0-9+/=_-]+$"), 0)
+        F.when(fake, 0).when(issued, 1).when(value.rlike("^[0-9+/=_-]+$") | plain, 0)
         .when(harmless, 0).when(F.col("assigned") & mixed, 1)
     )
     return findings.withColumn("label", label).filter("label is not null")

@@ -102,6 +102,28 @@ def test_findings_and_verdicts(spark):
     assert all(r.value_sha256 == hashlib.sha256(r.value.encode()).hexdigest() for r in got)
 
 
+def test_values_assigned_without_spaces(spark):
+    key = "ghp_" + "a1B2" * 9
+    want = {
+        "API_KEY=abcdEFGHijklMNOP": ["abcdEFGHijklMNOP"], "API_KEY=abcd1234EFGH5678": ["abcd1234EFGH5678"],
+        "run --password=hunter2 now": ["hunter2"], "http://a.b/c?token=q7Zk21&client_secret=ab/cd+Ef==&n=1": ["q7Zk21", "ab/cd+Ef=="],
+        'secret   :   "someLettersOnly"': ["someLettersOnly"], "a==b c=d width=1200 the word: nothing": [],
+        "pwd=": [], "=": [], "token==abcdEFGH": [], "é PASSWD=xyZq": ["xyZq"],
+    }
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(want)], "doc_id long, text string")
+    got = {t: [] for t in want}
+    texts = list(want)
+    for r in sorted(sc.find_candidates(frame).collect(), key=lambda r: r.start):
+        assert r.assigned and texts[r.doc_id][r.start : r.start + r.length] == r.value
+        got[texts[r.doc_id]].append(r.value)
+    assert got == want
+    issued = spark.createDataFrame([(1, f"x/{key} my-eyJhbGciOiJIUzI1 keyJhbGciOiJIUzI1")], "doc_id long, text string")
+    assert sorted(r.value[:4] for r in sc.label_findings(sc.find_candidates(issued)).collect() if r.label == 1) == ["my-e", "x/gh"]
+    rows = [*secret_rows(), (900, "export DB_PASSWORD=s3cretV4lue99x", "en", "src/a", 1), (901, "set API_KEY=abcdEFGHijklMNOP", "en", "src/a", 1)]
+    found = {r.value: r for r in sc.scan_secrets(spark.createDataFrame(rows, DOCUMENT)).collect()}
+    assert found["s3cretV4lue99x"].is_secret and found["abcdEFGHijklMNOP"].is_secret
+
+
 def test_forest_learns_from_given_labels(spark):
     rows = secret_rows()
     frame = spark.createDataFrame(rows, DOCUMENT)
