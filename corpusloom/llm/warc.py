@@ -209,7 +209,8 @@ DIRECTORY_ROWS = 500_000
 
 
 def find_captures(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`wanted` `(key, id)` with `file`, `offset` and `length`; unknown ones are left out.
+    """`wanted` `(key, id)` with `file`, `offset` and `length`; unknown ones are left out,
+    repeated ones stay.
 
     The block of a capture is found by binary search in the directory, the entry by binary
     search in the block.  The directory is searched a part at a time, so its size in a
@@ -227,7 +228,7 @@ def find_captures(index: DataFrame, wanted: DataFrame) -> DataFrame:
     else:
         cuts = [directory]
     located = None
-    for part in cuts:
+    for number, part in enumerate(cuts):
         firsts = sorted((r.first_key, r.first_id) for r in part.collect())
         shared = spark.sparkContext.broadcast(firsts)
 
@@ -248,11 +249,14 @@ def find_captures(index: DataFrame, wanted: DataFrame) -> DataFrame:
 
         schema = "key string, id string, first_key string, first_id string"
         found = wanted.select("key", "id").mapInArrow(locate, schema).filter("first_key is not null")
+        found = found.withColumn("part", F.lit(number))
         located = found if located is None else located.unionByName(found)
     if parts > 1:  # of the blocks that each part names, the last one holds the capture
-        located = located.groupBy("key", "id").agg(
-            F.max(F.struct("first_key", "first_id")).alias("f")
-        ).select("key", "id", "f.*")
+        # A part that names a block does so for every copy of a row, so it counts the copies.
+        counted = located.groupBy("key", "id", "part").agg(
+            F.max(F.struct("first_key", "first_id")).alias("f"), F.count(F.lit(1)).alias("n")
+        ).groupBy("key", "id").agg(F.max("f").alias("f"), F.max("n").alias("n"))
+        located = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select("key", "id", "f.*")
     # Blocks and what is asked of them meet by block; a block has a bounded number of entries.
     block = F.xxhash64("first_key", "first_id").alias("block")
     asked = located.select(block, "key", "id", F.lit(None).cast("binary").alias("packed"))

@@ -62,6 +62,19 @@ def test_payloads_files_and_index(spark, pages, monkeypatch):
     assert all(got[k].url == want[k].url for k in want)
 
 
+@pytest.mark.parametrize("blocks", [warc.DIRECTORY_ROWS, 6])
+def test_repeated_rows_are_found_as_often(spark, monkeypatch, blocks):
+    """The same rows for a directory in one part and in many."""
+    path = scratch_path(spark, "warc-copies")
+    names = [(f"k{k:02}", f"i{k}", "f", k, 1) for k in range(40)]
+    entries = spark.createDataFrame(names, "key string, id string, file string, offset long, length long")
+    warc.write_index(entries, f"{path}/i", block_entries=4)
+    asked = [(f"k{k:02}", f"i{k}") for k in range(0, 40, 3) for _ in range(k % 4)] + [("k05", "none")] * 2
+    monkeypatch.setattr(warc, "DIRECTORY_ROWS", blocks)
+    found = warc.find_captures(spark.read.parquet(f"{path}/i"), spark.createDataFrame(asked, "key string, id string"))
+    assert sorted((r.key, r.id) for r in found.collect()) == sorted(asked[:-2])
+
+
 def test_warc_edges(spark):
     assert warc.archive_and_read(spark.createDataFrame([], PAGE)).count() == 0
     rows = [(None, "http://x.y/", "a"), (1, "http://x.y/", "a"), (1, "http://x.y/", "a")]
