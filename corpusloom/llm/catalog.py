@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm import (
-    decontaminate, html_text, langid, masked_lm, near_dup, packing, paragraphs, secrets, warc, winnow,
+    centroids, conversations, decontaminate, discriminant, html_text, langid, masked_lm, near_dup, oracles, packing,
+    paragraphs, secrets, warc, winnow,
 )
 
 
@@ -58,12 +59,26 @@ def op10_naive_bayes_langid(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", F.col("score").cast("double").alias("score"))
 
 
+def op11_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return discriminant.score_quality(documents, _table(spark, folder, "labels"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.damage_and_repair(_table(spark, folder, "conversations"))
+
+
+def op13_hadamard_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_report(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_masked_pseudo_likelihood, op3_tree_scored_text, op4_chosen_path_near_dup,
         op5_warc_capture_index, op6_winnowing_fingerprints, op7_wu_manber_decontamination, op8_paragraph_banding,
-        op9_sum_of_squares_packing, op10_naive_bayes_langid,
+        op9_sum_of_squares_packing, op10_naive_bayes_langid, op11_quadratic_discriminant, op12_conversation_repair,
+        op13_hadamard_clustering,
     )
 }
 
@@ -76,6 +91,8 @@ _BASE32 = " || ".join(
 )
 
 ORACLES = {
+    "op12_conversation_repair": oracles.conversation_repair(),
+    "op13_hadamard_clustering": oracles.centroid_clusters(),
     "op5_warc_capture_index": f"""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
 m AS (SELECT page_id, n, h, max(page_id) OVER (PARTITION BY n, h) AS top FROM p)
