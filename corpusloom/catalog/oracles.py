@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.catalog.queries import (
-    ADAM_LR, BATCH, CAP, FEW_FILES, FILES, FROZEN, HEAD_LR, MAX_LENGTH, PIECE_WORDS, PIECES, REUSE_LENGTH,
+    ADAM_LR, BATCH, CAP, FEW_FILES, FILES, FROZEN, HEAD_LR, MAX_LENGTH, MINI_STEPS, PIECE_WORDS, PIECES, REUSE_LENGTH,
     SHORT_LENGTH, SMALL_BATCH, STEPS, SWEEP_FILES, SWEEP_SAMPLES, TEXT_DIM, TEXT_LR, VOCAB, WORLD,
 )
 
@@ -147,15 +147,27 @@ SHARDS = _with(LABELLED, FILED, _sharded("filed"), _numbered())
 _BATCHED = "doc_id, split, shard, row_in_shard, batch_id"
 
 # Two-class rows from embeddings, features with a bias of one, logits under weights w.
-VECTORS = f"""tagged AS (
+VECTOR_ROWS = f"""tagged AS (
   SELECT vec_id AS doc_id, embedding, label % 2 AS label,
     CASE WHEN label < 8 THEN 'IMDB' ELSE 'SST-2' END AS source FROM embeddings),
-vectors AS (SELECT doc_id, embedding, label, {_SPLIT} AS split, {_file('doc_id')} AS file FROM tagged),
+vectors AS (SELECT doc_id, embedding, label, {_SPLIT} AS split, {_file('doc_id')} AS file FROM tagged)"""
+
+VECTORS = f"""{VECTOR_ROWS},
 x AS (
   SELECT doc_id, label, split, 0 AS step, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) - 1 AS j
   FROM vectors
   UNION ALL SELECT doc_id, label, split, 0, 1.0::double, 64 FROM vectors)"""
 
+# The same rows in the steps of batches sized so that the longest shard has `MINI_STEPS`.
+_MINI_X = f"""sized AS (
+  SELECT ceil(max(n) / {MINI_STEPS}::double)::bigint AS size
+  FROM (SELECT count(*) AS n FROM numbered WHERE split = 'train' GROUP BY shard)),
+stepped AS (SELECT n.*, (row_in_shard // size)::int AS step FROM numbered n, sized),
+x AS MATERIALIZED (
+  SELECT doc_id, label, split, step, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) - 1 AS j
+  FROM stepped
+  UNION ALL SELECT doc_id, label, split, step, 1.0::double, 64 FROM stepped)"""
+
 FIXED_W = """w AS (
   SELECT k::int AS k, j::int AS j, ((7 * k + 3 * j) % 11 - 5) / 50::double AS w
   FROM range(2) a(k), range(65) b(j))"""
@@ -392,6 +404,9 @@ found AS (
         f"filed AS (SELECT doc_id, label, split, {_file('doc_id')} AS file FROM rows_)", _sharded("filed"),
         _numbered(SMALL_BATCH), _TEXT_X, _adam_w0(TEXT_DIM), *_training(2, TEXT_LR, STEPS),
     ) + f"SELECT 'text' AS run_id, epoch, series, {_number('value')} AS value FROM trained",
+    "train_history_minibatch": _with(
+        VECTOR_ROWS, _sharded("vectors"), _numbered(), _MINI_X, _adam_w0(64), *_training(2, ADAM_LR, MINI_STEPS),
+    ) + f"SELECT 'minibatch' AS run_id, epoch, series, {_number('value')} AS value FROM trained",
     "checkpoint_roundtrip": _with(VECTORS, _adam_w0(64), *_training(2, ADAM_LR))
     + f"""SELECT k, j, {_number('w')} AS w, {_number('m')} AS m, {_number('v')} AS v, 2::bigint AS step, true AS same
       FROM w2""",

@@ -13,6 +13,7 @@ from corpusloom.operators import batch, encode as oe, evaluate, shard, split, vo
 from corpusloom.operators.gradient import evaluate_pass, gradient
 from corpusloom.operators.optimizer import HeadState, adamw, initial_weights
 from corpusloom.plans import prepare as pp, report, runs, state as saved, sweep as ps
+from corpusloom.plans.minibatch import fit_minibatches
 from corpusloom.plans.train import fit, history_frame, one_plain_step, write_steps
 from corpusloom.schemas import IN_DOMAIN, LABELLED, OUT_DOMAIN, TRAIN
 from corpusloom.session import materialise, scratch_path
@@ -27,6 +28,7 @@ EMBEDDING = Features("embedding", 64)
 HEAD_LR = 1.0
 ADAM_LR = 0.05
 SMALL_BATCH, STEPS, TEXT_DIM, TEXT_LR = 4, 2, 512, 0.01
+MINI_STEPS = 5
 SWEEP_SAMPLES, SWEEP_FILES, SWEEP_EPOCHS = (100, 200), (2, 4), 2
 FROZEN = 32
 FEW_FILES, REUSE_LENGTH = 2, 16
@@ -459,6 +461,21 @@ def train_history_text(spark: SparkSession, folder: str) -> DataFrame:
     return _history(spark, "text", series)
 
 
+def _minibatched(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    """Rows in as many batches an epoch as the SQL has updates."""
+    placed = pp.with_files(rows, FILES)
+    layout = _files(placed)
+    size = batch.batch_size_for(layout, TRAIN, MINI_STEPS)
+    return materialise(batch.with_batches(placed, batch.batch_layout(layout, size, WORLD), size), "minibatches")
+
+
+def train_history_minibatch(spark: SparkSession, folder: str) -> DataFrame:
+    """An update for every batch of all ranks."""
+    data = _minibatched(spark, folder, _vectors(spark, folder))
+    _, series = fit_minibatches(data, EMBEDDING, epochs=2, lr=ADAM_LR)
+    return _history(spark, "minibatch", series)
+
+
 def checkpoint_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Saved weights and moments next to those in memory."""
     path = scratch_path(spark, "state")
@@ -629,6 +646,7 @@ QUERIES = {f.__name__: f for f in (
     shard_drop_remainder, shard_last_takes_rest, batch_drop_last, batch_keep_last, batch_few_files,
     batches_per_shard, min_batches, batch_truncate,
     head_init_loss, gradient_step, adamw_step, train_history, train_history_masked, train_history_text,
+    train_history_minibatch,
     checkpoint_roundtrip, resume_equals_straight, latest_checkpoint, max_wall_time,
     predict_argmax, accuracy, accuracy_per_shard, eval_loss, epoch_train_loss, loss_per_shard,
     eval_by_dataset, prediction_listing, loss_curves_long, history_rounded, run_metrics_append,

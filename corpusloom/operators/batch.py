@@ -23,6 +23,13 @@ def batch_counts(layout: DataFrame, batch_size: int, drop_last: bool = True) ->
     return layout.groupBy("split", "shard").agg(batches.cast("long").alias("batches"))
 
 
+def batch_size_for(layout: DataFrame, split: str, batches: int) -> int:
+    """The least batch size with which every shard of a split has at most `batches` batches."""
+    per_shard = layout.filter(F.col("split") == split).groupBy("shard").agg(F.sum("file_rows").alias("rows"))
+    rows = per_shard.agg(F.max("rows")).first()[0] or 1
+    return -(-rows // batches)
+
+
 def min_batch_counts(layout: DataFrame, batch_size: int, world: int, drop_last: bool = True) -> DataFrame:
     """The least batch count over ranks, per split; a rank without files supplies none."""
     counts = batch_counts(layout, batch_size, drop_last)

@@ -20,6 +20,25 @@ PARTIAL = "split string, k int, j int, value double"
 METRIC, ROWS, LOSS, CORRECT = -1, 0, 1, 2
 
 
+def batch_gradient(
+    features: Features, column: pa.Array, label: np.ndarray, weights: np.ndarray
+) -> tuple[float, float, np.ndarray]:
+    """Rows, loss sum and gradient sum of one batch of training rows."""
+    z, x = scores(features, column, weights)
+    loss, e, total = losses(z, label)
+    error = e / total[:, None]
+    error[np.arange(len(label)), label] -= 1.0
+    gradient = np.zeros_like(weights)
+    if features.hashed:
+        row, bucket = x
+        for k in range(len(weights)):
+            gradient[k, :-1] = np.bincount(bucket, error[row, k], features.dim)
+    else:
+        gradient[:, :-1] = error.T @ x
+    gradient[:, -1] = error.sum(axis=0)
+    return float(len(label)), float(loss.sum()), gradient
+
+
 def partial_sums(df: DataFrame, features: Features, weights: np.ndarray) -> DataFrame:
     """Per task: row count, loss sum and correct count by split, and the summed gradient
     of the training rows.  `df` has `split`, `label` and the feature column."""
