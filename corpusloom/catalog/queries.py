@@ -28,7 +28,7 @@ EMBEDDING = Features("embedding", 64)
 HEAD_LR = 1.0
 ADAM_LR = 0.05
 SMALL_BATCH, STEPS, TEXT_DIM, TEXT_LR = 4, 2, 512, 0.01
-MINI_STEPS = 5
+MINI_STEPS = 3
 SWEEP_SAMPLES, SWEEP_FILES, SWEEP_EPOCHS = (100, 200), (2, 4), 2
 FROZEN = 32
 FEW_FILES, REUSE_LENGTH = 2, 16

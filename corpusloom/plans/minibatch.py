@@ -9,7 +9,9 @@ Sums are kept per shard and added in shard order: weights do not depend on the n
 tasks, not even in their last bits.  A stage that loses an executor starts its epoch
 again from the epoch's first weights.  An exchange moves a shard's K x (D + 1) numbers,
 zeros left out, through the driver: it is meant for heads of thousands of weights, and
-for as many tasks as run at once.
+for as many tasks as run at once.  Spark looks once a second whether an exchange is over,
+so a step takes a second at least, whatever the number of tasks; `fit` with a few steps an
+epoch starts a job for each, which is quicker where few tasks are scheduled.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ DENSE, HASHED = Features("x", 6), Features("ids", 32, hashed=True)
 SCHEMA = "doc_id long, split string, shard int, row_in_shard long, batch_id long, label int, x array<float>, ids array<int>"
 
 
-def rows(seed=0, shards=(23, 17, 9), size=4):
+def rows(seed=0, shards=(11, 9, 4), size=4):
     rng = np.random.default_rng(seed)
     out = []
     for split, counts in (("train", shards), ("test", (11,)), ("sst2", (7,))):
@@ -57,10 +57,10 @@ def test_any_number_of_tasks_gives_the_plain_updates(spark, features):
     data, wanted = rows(), None
     state, losses = plain(data, features, 2, 0.05)
     frame = table(spark, data)
-    for tasks in (1, 2, 4):  # 4 tasks: more than shards, so one has no rows
+    for tasks in (1, 4):  # 4 tasks: more than shards, so one has no rows
         found, series = fit_minibatches(frame, features, epochs=2, lr=0.05, tasks=tasks)
         assert (found.weights == state.weights).all() and (found.m == state.m).all() and (found.v == state.v).all()
-        assert found.step == state.step == 12
+        assert found.step == state.step == 6
         assert [v for _, name, v in series if name == TRAIN_LOSS] == pytest.approx(losses, rel=1e-12)
         wanted = wanted or series
         assert [r[:2] for r in series] == [r[:2] for r in wanted]
@@ -80,20 +80,20 @@ def test_one_batch_an_epoch_is_the_full_gradient(spark):
 def test_resumed_run_equals_a_straight_one(spark):
     frame, folder = table(spark), scratch_path(spark, "mini")
     fit_minibatches(frame, DENSE, epochs=1, lr=0.05, run_id="a", folder=folder)
-    state, series = fit_minibatches(frame, DENSE, epochs=3, lr=0.05, run_id="a", folder=folder)
-    straight, other = fit_minibatches(frame, DENSE, epochs=3, lr=0.05)
+    state, series = fit_minibatches(frame, DENSE, epochs=2, lr=0.05, run_id="a", folder=folder)
+    straight, other = fit_minibatches(frame, DENSE, epochs=2, lr=0.05)
     assert (state.weights == straight.weights).all() and state.step == straight.step
     assert [r[2] for r in series] == pytest.approx([r[2] for r in other], rel=1e-12)
 
 
 def test_frozen_weights_and_gaps_between_batches(spark):
-    data = [r for r in rows() if not (r[1] == "train" and r[4] == 2)]  # no rank has batch 2
+    data = [r for r in rows() if not (r[1] == "train" and r[4] == 1)]  # no rank has batch 1
     mask = np.zeros((2, 7), dtype=bool)
     mask[:, 3:] = True
     state, _ = fit_minibatches(table(spark, data), DENSE, epochs=1, lr=0.05, trainable=mask)
     first = initial_weights(2, 6)
     assert (state.weights[:, :3] == first[:, :3]).all() and (state.weights[:, 3:] != first[:, 3:]).all()
-    assert state.step == 5
+    assert state.step == 2
 
 
 def test_without_training_rows(spark):
@@ -106,8 +106,8 @@ def test_without_training_rows(spark):
 def test_a_repeated_epoch_is_the_same(spark):
     frame = table(spark).filter("split = 'train'")
     state = HeadState.fresh(initial_weights(2, 6))
-    wanted, loss = run_epoch(frame, DENSE, state, 6, 3, 0.05)
-    again, same = run_epoch(frame, DENSE, state, 6, 3, 0.05)
+    wanted, loss = run_epoch(frame, DENSE, state, 3, 3, 0.05)
+    again, same = run_epoch(frame, DENSE, state, 3, 3, 0.05)
     assert (wanted.weights == again.weights).all() and loss == pytest.approx(same, rel=1e-12)
 
 
