@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from corpusloom.functions.encode import fill_rows, row_lengths
+from corpusloom.functions.trie import PieceTrie
 from corpusloom.operators.vocab import MAX_WORD_CHARS
 from corpusloom.schemas import ENCODING, UNK
 
@@ -62,15 +63,27 @@ def split_word(word: str, known) -> list[str] | None:
     return pieces
 
 
+def split_or_unknown(trie: PieceTrie, words: list[str], unknown: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all words' pieces and how many each word has; at least one."""
+    found, sizes, known = trie.split(words, MAX_WORD_CHARS)
+    lost = ~known | (sizes == 0)
+    starts = np.cumsum(sizes) - sizes
+    return np.insert(found, starts[lost], unknown), np.where(lost, 1, sizes)
+
+
 def piece_splitter(vocabulary):
     """Arrow function from words to piece arrays; an unsplittable word gives `[UNK]`."""
 
     @F.arrow_udf("array<string>")
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = set(vocabulary.value[0].to_pylist())
+        tokens = vocabulary.value[0]
+        # The trie gives places in the token array; the one after its end is the unknown word.
+        named = pa.concat_arrays([tokens, pa.array(["[UNK]"], tokens.type)])
+        trie = PieceTrie(tokens.to_pylist(), np.arange(len(tokens)))
         for words in batches:
-            split = [split_word(w, known) or ["[UNK]"] for w in words.to_pylist()]
-            yield pa.array(split, pa.list_(pa.string()))
+            found, sizes = split_or_unknown(trie, words.to_pylist(), len(tokens))
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            yield pa.ListArray.from_arrays(ends, named.take(pa.array(found)).cast(pa.string()))
 
     return pieces
 
@@ -78,23 +91,23 @@ def piece_splitter(vocabulary):
 def piece_encoder(vocabulary, max_length: int, strip_accents: bool = False):
     """Arrow function from word arrays to encodings by word pieces.
 
-    Each batch splits its distinct words once; the ids of all rows are then gathered in
-    bulk.  A word has at least one piece, so the leading words always suffice.
+    Each batch splits its distinct words at once, by a trie that is kept for the task; the
+    ids of all rows are then gathered in bulk.  A word has at least one piece, so the
+    leading words always suffice.
     """
     room = max_length - 2
 
     @F.arrow_udf(ENCODING)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens, ids = vocabulary.value
-        id_of = dict(zip(tokens.to_pylist(), ids.tolist()))
+        trie = PieceTrie(tokens.to_pylist(), ids)
         for words in batches:
             coded = pc.dictionary_encode(words.flatten())
-            split = []
-            for word in coded.dictionary.to_pylist():
-                found = split_word(without_accents(word) if strip_accents else word, id_of)
-                split.append([UNK] if found is None else [id_of[p] for p in found])
-            sizes = np.array([len(s) for s in split], dtype=np.int64)
-            pool = np.array([i for s in split for i in s], dtype=np.int32)
+            distinct = coded.dictionary.to_pylist()
+            if strip_accents:
+                distinct = [w if w.isascii() else without_accents(w) for w in distinct]
+            found, sizes = split_or_unknown(trie, distinct, UNK)
+            pool = found.astype(np.int32)
             starts = np.cumsum(sizes) - sizes
             word = coded.indices.to_numpy(zero_copy_only=False)
 
