@@ -5,8 +5,9 @@ pasted into other text is cut like its source.  Each band is one minwise shingle
 threshold of 0.8 three bands miss 0.8 in a hundred pairs.  Paragraphs that collide in a band
 are confirmed on their full shingle sets, links are closed to clusters, and the first
 paragraph of a cluster stays.  Equal passages are found by short pieces too, cut where a
-word pair has the least hash around, so that neither lines nor marks matter, and every
-match is extended word by word to its whole equal run.
+word pair has the least hash around, so that neither lines nor marks matter.  Matches that
+touch are one stretch, and the matches at a stretch's rims are extended word by word to
+their whole equal runs; a rim at the end of its text has nothing to be extended by.
 """
 
 from __future__ import annotations
@@ -33,10 +34,13 @@ _SENTENCE_CUT, _WORD_CUT = np.uint64(2), np.uint64(64)
 # this many words after the last start if there is none.  Equal runs are followed so far
 # beyond a match: more than a piece, its lengthening and what lies around its cuts.
 AROUND, LONGEST, FOLLOWED = 4, 32, 64
+# Matches that end so many words before a rim, or fewer, can have a run that goes beyond it.
+RIM = 24
 _SEEDS = numbers(BANDS, 909) | np.uint64(1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
-UNIT = "doc_id long, unit int, start long, length long, n_words int, k1 long, k2 long, mins array<long>"
+_MATCH = ["doc_id", "start", "length", "first", "last", "total", "cluster", "kept"]
+UNIT = "doc_id long, unit int, start long, length long, first int, last int, total int, k1 long, k2 long, mins array<long>"
 
 
 def cuts(low: np.ndarray, raw: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -73,8 +77,9 @@ def _signed(a: np.ndarray) -> np.ndarray:
 def units(data: np.ndarray, off: np.ndarray, shingle: int, least: int, bands: int = BANDS):
     """Paragraphs of at least `least` words in a block of texts.
 
-    Row, number in the row, first and last byte, words, two 64-bit sums that identify the
-    shingle set, the minwise shingle of each band, and the sorted shingles with bounds.
+    Row, number in the row, first and last byte, first word and the one after the last, two
+    64-bit sums that identify the shingle set, the minwise shingle of each band, the sorted
+    shingles with bounds, and the words of each row.
     """
     low, s, e, h, bounds = words(data, off, SOLID)
     first = np.flatnonzero(cuts(low, data, s, e, h, bounds))
@@ -85,7 +90,8 @@ def units(data: np.ndarray, off: np.ndarray, shingle: int, least: int, bands: in
     first, count, row, number = first[keep], count[keep], row[keep], number[keep]
     empty = np.zeros(0, np.uint64)
     if not len(first):
-        return row, number, first, first, count, empty, empty, np.zeros((0, bands), np.uint64), empty, np.zeros(1, np.int64)
+        none = np.zeros((0, bands), np.uint64)
+        return row, number, first, first, first, first, empty, empty, none, empty, np.zeros(1, np.int64), np.diff(bounds)
     rolled = h[: len(h) - shingle + 1].copy()
     for k in range(1, shingle):
         rolled = rolled * _FACTOR + h[k : len(h) - shingle + 1 + k]
@@ -102,8 +108,11 @@ def units(data: np.ndarray, off: np.ndarray, shingle: int, least: int, bands: in
     k1 = np.add.reduceat(mix(value + np.uint64(1)), starts)
     k2 = np.add.reduceat(mix(value ^ _FACTOR), starts)
     mins = np.stack([np.minimum.reduceat(mix(value * seed), starts) for seed in _SEEDS[:bands]], axis=1)
-    last = first + count - 1
-    return row, number, s[first], e[last], count, k1, k2, mins, value, np.append(starts, len(value))
+    inside = first - bounds[row]
+    return (
+        row, number, s[first], e[first + count - 1], inside, inside + count, k1, k2, mins, value,
+        np.append(starts, len(value)), np.diff(bounds),
+    )
 
 
 def paragraph_rows(documents: DataFrame, shingle: int = SHINGLE, least: int = MIN_WORDS) -> DataFrame:
@@ -114,7 +123,7 @@ def paragraph_rows(documents: DataFrame, shingle: int = SHINGLE, least: int = MI
             data, off = buffers(batch.column(1))
             for a, b in blocks(off):
                 part, raw = off[a : b + 1] - off[a], data[off[a] : off[b]]
-                row, number, x, y, count, k1, k2, mins, _, _ = units(raw, part, shingle, least)
+                row, number, x, y, first, last, k1, k2, mins, _, _, total = units(raw, part, shingle, least)
                 lead = np.zeros(len(raw) + 1, dtype=np.int64)
                 np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
                 flat = pa.array(_signed(np.ascontiguousarray(mins)).reshape(-1))
@@ -123,10 +132,11 @@ def paragraph_rows(documents: DataFrame, shingle: int = SHINGLE, least: int = MI
                     [
                         batch.column(0).take(pa.array(a + row)), pa.array(number.astype(np.int32)),
                         pa.array(lead[x] - lead[part[row]]), pa.array(lead[y] - lead[x]),
-                        pa.array(count.astype(np.int32)), pa.array(_signed(k1)), pa.array(_signed(k2)),
+                        *(pa.array(c.astype(np.int32)) for c in (first, last, total[row])),
+                        pa.array(_signed(k1)), pa.array(_signed(k2)),
                         pa.ListArray.from_arrays(edges, flat),
                     ],
-                    ["doc_id", "unit", "start", "length", "n_words", "k1", "k2", "mins"],
+                    ["doc_id", "unit", "start", "length", "first", "last", "total", "k1", "k2", "mins"],
                 )
 
     return documents.select("doc_id", "text").mapInArrow(cut, UNIT)
@@ -140,7 +150,7 @@ def _full_sets(documents: DataFrame, wanted: DataFrame, shingle: int, least: int
             data, off = buffers(batch.column(1))
             for a, b in blocks(off):
                 part, raw = off[a : b + 1] - off[a], data[off[a] : off[b]]
-                row, number, _, _, _, k1, k2, _, value, bounds = units(raw, part, shingle, least)
+                row, number, _, _, _, _, k1, k2, _, value, bounds, _ = units(raw, part, shingle, least)
                 asked = [set(u) for u in batch.column(2).slice(a, b - a).to_pylist()]
                 pick = [k for k, (r, n) in enumerate(zip(row.tolist(), number.tolist())) if n in asked[r]]
                 yield pa.RecordBatch.from_arrays(
@@ -259,12 +269,13 @@ def repeated_paragraphs(
     )
     slim = paragraphs.withColumn("_key", F.xxhash64("k1", "k2")).drop("mins", "k1", "k2")
     found = materialise(spread_join(slim, repeated, "_key", "inner").drop("_key"), "found")
-    first = found.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "unit")).alias("first"))
+    first = found.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "unit")).alias("leader"))
     keyed = found.withColumn("_c", F.xxhash64("c1", "c2"))
-    firsts = first.select(F.xxhash64("c1", "c2").alias("_c"), "first").dropDuplicates(["_c"])
+    firsts = first.select(F.xxhash64("c1", "c2").alias("_c"), "leader").dropDuplicates(["_c"])
     return spread_join(keyed, firsts, "_c", "inner").select(
-        "doc_id", "unit", "start", "length", "n_words", F.col("_c").alias("cluster"),
-        (F.struct("doc_id", "unit") == F.col("first")).alias("kept"),
+        "doc_id", "unit", "start", "length", "first", "last", "total", (F.col("last") - F.col("first")).alias("n_words"),
+        F.col("_c").alias("cluster"),
+        (F.struct("doc_id", "unit") == F.col("leader")).alias("kept"),
     )
 
 
@@ -304,53 +315,84 @@ def pieces(data: np.ndarray, off: np.ndarray, least: int):
 
 
 def piece_rows(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """`(doc_id, start, length, key)` of every piece; places count code points."""
+    """Every piece: its place in code points, its first word and the one after its last, the
+    words of its text, and its key."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = buffers(batch.column(1))
             for a, b in blocks(off):
                 part, raw = off[a : b + 1] - off[a], data[off[a] : off[b]]
-                first, last, key, row, s, e, _, _ = pieces(raw, part, least)
+                first, last, key, row, s, e, _, bounds = pieces(raw, part, least)
                 lead = np.zeros(len(raw) + 1, dtype=np.int64)
                 np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
                 x, y = s[first], e[last - 1]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(a + row)), pa.array(lead[x] - lead[part[row]]),
-                        pa.array(lead[y] - lead[x]), pa.array(_signed(key)),
+                        pa.array(lead[y] - lead[x]),
+                        *(pa.array(c.astype(np.int32)) for c in (first - bounds[row], last - bounds[row], np.diff(bounds)[row])),
+                        pa.array(_signed(key)),
                     ],
-                    ["doc_id", "start", "length", "key"],
+                    ["doc_id", "start", "length", "first", "last", "total", "key"],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(cut, "doc_id long, start long, length long, key long")
+    schema = "doc_id long, start long, length long, first int, last int, total int, key long"
+    return documents.select("doc_id", "text").mapInArrow(cut, schema)
 
 
 def repeated_pieces(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """Pieces that occur more than once, with `cluster` and `kept` as for paragraphs."""
     rows = materialise(piece_rows(documents.filter("doc_id is not null"), least), "pieces")
     counted = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("first")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("leader")
     )
     repeated = materialise(counted.filter("n > 1").drop("n"), "repeated_pieces")
     return spread_join(rows, repeated, "key", "inner").select(
-        "doc_id", "start", "length", F.col("key").alias("cluster"),
-        (F.struct("doc_id", "start") == F.col("first")).alias("kept"),
+        *_MATCH[:-2], F.col("key").alias("cluster"), (F.struct("doc_id", "start") == F.col("leader")).alias("kept"),
     )
 
 
 _PLACE = "doc_id long, first int, last int, start long, length long, cluster long, kept boolean"
+_PLACES = [x.split()[0] for x in _PLACE.split(", ")]
+_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
 
-def _surroundings(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """Each match twice, with the hashes of up to `FOLLOWED` words after (`side` 1) and,
-    backwards, before it (0), and how many code points each takes."""
-    names = [x.split()[0] for x in _PLACE.split(", ")]
+def rim_matches(found: DataFrame) -> DataFrame:
+    """Sides of matches that are to be looked at: `side` 0 before, 1 after, and `asked`.
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-        schema = pa.schema([*zip(names, kinds), ("side", pa.int32()), ("words", pa.binary()), ("reach", pa.binary())])
+    Asked are the matches near a rim of their stretch that has words beyond it; beside
+    them stand the other members of their clusters, which they are compared with.
+    """
+    of_doc = Window.partitionBy("doc_id").orderBy("first", "last", "cluster", "kept", "start")
+    reached = F.max("last").over(of_doc.rowsBetween(Window.unboundedPreceding, -1))
+    broken = F.coalesce(F.col("first") > reached, F.lit(True)).cast("int")
+    chained = found.withColumn("broken", broken).withColumn("stretch", F.sum("broken").over(of_doc))
+    whole = Window.partitionBy("doc_id", "stretch")
+    ends = chained.withColumn("low", F.min("first").over(whole)).withColumn("high", F.max("last").over(whole))
+    before, after = F.col("first") > 0, F.col("last") < F.col("total")
+    asks = (
+        before & (F.col("low") > 0) & (F.col("first") - F.col("low") < RIM),
+        after & (F.col("high") < F.col("total")) & (F.col("high") - F.col("last") < RIM),
+    )
+    sides = F.array(*[
+        F.when(has, F.struct(F.lit(k).alias("side"), ask.alias("asked"))) for k, (has, ask) in enumerate(zip((before, after), asks))
+    ])
+    one = F.explode(F.filter(sides, lambda x: x.isNotNull()))
+    rows = ends.select(*_PLACES, one.alias("one")).select(*_PLACES, "one.*")
+    rows = materialise(rows.withColumn("place", F.xxhash64("cluster", "side")), "rims")
+    wanted = materialise(rows.filter("asked").select("place").distinct(), "wanted_rims")
+    return spread_join(rows, wanted, "place", "inner").drop("place")
+
+
+def _surroundings(documents: DataFrame, sides: DataFrame) -> DataFrame:
+    """Sides with the hashes of up to `FOLLOWED` words beyond them, those before backwards;
+    asked ones also with how many code points the words take."""
+    schema = pa.schema([
+        *zip(_PLACES, _KINDS), ("side", pa.int32()), ("asked", pa.bool_()), ("words", pa.binary()), ("reach", pa.binary())
+    ])
 
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 data, off = buffers(batch.column(1))
@@ -362,23 +404,25 @@ def _surroundings(documents: DataFrame, found: DataFrame) -> DataFrame:
                     begin, end = lead[s], lead[e]
                     short = (h >> np.uint64(32)).astype(">u4")
                     for m in batch.column(2)[at].as_py():
-                        x, y = m["start"], m["start"] + m["length"]
-                        a, b = int(np.searchsorted(begin, x)), int(np.searchsorted(end, y)) + 1
+                        a, b, x, y = m["first"], m["last"], m["start"], m["start"] + m["length"]
                         # Rows of one id may have other texts: a place counts where it fits.
                         if b > len(s) or begin[a] != x or end[b - 1] != y:
                             continue
-                        row = {**m, "doc_id": doc, "first": a, "last": b}
-                        left = slice(max(a - FOLLOWED, 0), a)
-                        yield {**row, "side": 0, "words": short[left][::-1].tobytes(),
-                               "reach": (x - begin[left][::-1]).astype("<i4").tobytes()}
-                        yield {**row, "side": 1, "words": short[b : b + FOLLOWED].tobytes(),
-                               "reach": (end[b : b + FOLLOWED] - y).astype("<i4").tobytes()}
+                        if m["side"]:
+                            beyond, reach = short[b : b + FOLLOWED], end[b : b + FOLLOWED] - y
+                        else:
+                            left = slice(max(a - FOLLOWED, 0), a)
+                            beyond, reach = short[left][::-1], x - begin[left][::-1]
+                        yield {**m, "doc_id": doc, "words": beyond.tobytes(),
+                               "reach": reach.astype("<i4").tobytes() if m["asked"] else None}
 
         yield from scan_groups(schema, rows(), 2048)
 
-    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length", "cluster", "kept")).alias("spans"))
-    texts = documents.select("doc_id", "text").join(materialise(spans, "spans").hint("shuffle_hash"), "doc_id")
-    return texts.mapInArrow(look, f"{_PLACE}, side int, words binary, reach binary")
+    span = F.struct(*_PLACES[1:], "side", "asked")
+    spans = materialise(sides.groupBy("doc_id").agg(F.collect_set(span).alias("spans")), "spans")
+    # Texts of documents without such a side stay where they are; the others move once.
+    texts = documents.select("doc_id", "text").join(spans.hint("shuffle_hash"), "doc_id")
+    return texts.mapInArrow(look, f"{_PLACE}, side int, asked boolean, words binary, reach binary")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -393,59 +437,57 @@ def extended(documents: DataFrame, found: DataFrame) -> DataFrame:
     """Matches with the words `more0`, `more1` and code points `chars0`, `chars1` by which
     the equal run with any other member of the cluster goes on before and after them.
 
-    In order of the words around them, the longest run of each match is with a neighbour.
+    In order of the words beyond them, the longest run of each match is with a neighbour.
     The order is cut into ranges, so a passage that every document has is many tasks' work;
-    the rows at the rims of the ranges are compared on the driver.
+    the rows at the rims of the ranges, two a range, are compared on the driver.
     """
     order = ["cluster", "side", "words", "doc_id", "first", "last"]
-    around = _surroundings(documents, found)
+    around = materialise(_surroundings(documents, rim_matches(found)), "surroundings")
     ranged = around.repartitionByRange(parallelism(around.sparkSession), *order).sortWithinPartitions(*order)
-    place = [x.split()[0] for x in _PLACE.split(", ")]
-    schema = f"{_PLACE}, side int, more int, chars int, words binary, reach binary"
+    extra = [("side", pa.int32()), ("asked", pa.bool_()), ("more", pa.int32()), ("chars", pa.int32()), ("words", pa.binary()), ("reach", pa.binary())]
+    kind = pa.schema([*zip(_PLACES, _KINDS), *extra])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-        kind = pa.schema([
-            *zip(place, kinds), ("side", pa.int32()), ("more", pa.int32()), ("chars", pa.int32()),
-            ("words", pa.binary()), ("reach", pa.binary()),
-        ])
-
         def rows():
-            held, before = None, 0
+            held, before, first = None, 0, True
             for batch in batches:
                 for row in batch.to_pylist():
                     equal = 0
                     if held is not None:
                         if held["cluster"] == row["cluster"] and held["side"] == row["side"]:
                             equal = _common(held["words"], row["words"])
-                        yield _measured(held, max(before, equal), first)
-                    first, held, before = held is None, row, equal
+                        if first or held["asked"]:
+                            yield _measured(held, max(before, equal), first)
+                        first = False
+                    held, before = row, equal
             if held is not None:
                 yield _measured(held, before, True)
 
         yield from scan_groups(kind, rows(), 2048)
 
-    done = materialise(ranged.select(*place, "side", "words", "reach").mapInArrow(measure, schema), "measured")
-    # Two rows a range: the first and the last of each meet those of the next.
+    names = [*_PLACES, "side", "more", "chars"]
+    fields = f"{_PLACE}, side int, asked boolean, more int, chars int, words binary, reach binary"
+    done = materialise(ranged.select(*_PLACES, "side", "asked", "words", "reach").mapInArrow(measure, fields), "measured")
     rims = sorted((r.asDict() for r in done.filter("words is not null").collect()), key=lambda r: [r[c] for c in order])
     late = []
     for a, b in zip(rims, rims[1:]):
         if (a["cluster"], a["side"]) == (b["cluster"], b["side"]):
             equal = _common(a["words"], b["words"])
-            late += [_measured(a, equal, False), _measured(b, equal, False)]
-    names = [*place, "side", "more", "chars"]
-    both = done.select(*names)
+            late += [_measured(r, equal, False) for r in (a, b) if r["asked"]]
+    both = done.filter("asked").select(*names)
     if late:
         types = f"{_PLACE}, side int, more int, chars int"
         both = both.unionByName(documents.sparkSession.createDataFrame([tuple(r[c] for c in names) for r in late], types))
-    return both.groupBy(*place).agg(
+    # All matches, those that were not asked about as they are.
+    every = found.select(*_PLACES).unionByName(both, allowMissingColumns=True)
+    return every.groupBy(*_PLACES).agg(
         *[F.coalesce(F.max(F.when(F.col("side") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}") for k in (0, 1) for c in ("more", "chars")]
     )
 
 
 def _measured(row: dict, more: int, rim: bool) -> dict:
     """A match with its run; a rim keeps its words, to be compared once more."""
-    chars = int(np.frombuffer(row["reach"], "<i4")[more - 1]) if more else 0
+    chars = int(np.frombuffer(row["reach"], "<i4")[more - 1]) if more and row["reach"] else 0
     return {**row, "more": more, "chars": chars, "words": row["words"] if rim else None, "reach": row["reach"] if rim else None}
 
 
@@ -454,14 +496,14 @@ def repeated_passages(
 ) -> DataFrame:
     """Per repeated stretch: `doc_id, start, length, n_words, n_removed, cluster, kept`.
 
-    Repeated paragraphs and pieces, extended to their equal runs, that touch or overlap are
-    one stretch; stretches of fewer than `run` words are left out.  `start` and `length` are
+    Repeated paragraphs and pieces, extended to their equal runs at the rims, that touch or
+    overlap are one stretch; stretches of fewer than `run` words are left out.  `start` and `length` are
     code points, `n_removed` the words of its matches that are not first of their cluster
     (of overlapping matches the earlier one's), `cluster` that of its first match, and
     `kept` is true if nothing is removed.  Documents without such a stretch have no row.
     Repeated rows of one id are told apart by their places only.
     """
-    found = repeated_paragraphs(documents, shingle, percent, least).select("doc_id", "start", "length", "cluster", "kept")
+    found = repeated_paragraphs(documents, shingle, percent, least).select(*_MATCH)
     found = materialise(found.unionByName(repeated_pieces(documents, least)), "matches")
     order = ["low", "high", "cluster", "kept"]
     of_doc = Window.partitionBy("doc_id").orderBy(*order)

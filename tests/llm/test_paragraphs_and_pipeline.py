@@ -1,5 +1,6 @@
 import importlib
 import os
+import random
 import zlib
 
 import duckdb
@@ -94,7 +95,7 @@ def test_cuts_follow_the_text():
     alone = set()
     for around in ("", text_of(1, 33) + " ", text_of(2, 71).lower() + " "):
         raw, off = buffers(pa.array([around + passage + " tail of other words"]))
-        row, number, x, y, count, k1, _, _, _, _ = pg.units(raw, off, 5, 8)
+        row, number, x, y, _, _, k1, *_ = pg.units(raw, off, 5, 8)
         inside = {int(k) for k, a, b in zip(k1, x, y) if a >= len(around.encode()) and b <= len((around + passage).encode())}
         alone = alone & inside if alone else inside
     assert len(alone) >= 2
@@ -136,6 +137,57 @@ def test_ranges_of_runs_meet(spark, monkeypatch):
     assert sorted(pg.repeated_passages(frame).collect()) == want and {r.n_words for r in want} == {60}
 
 
+def test_repeated_ids_with_other_texts(spark):
+    """A place of one text may lie beyond the end of another text of the same id."""
+    shared = text_of(50, 60).lower()
+    rows = [(1, "hi " + "x" * 5000), (1, f"{text_of(51, 30)} {shared} {text_of(52, 30)}"), (2, f"{text_of(53, 9)} {shared} {text_of(54, 12)}"),
+            (2, "short"), (3, shared), (3, shared)]
+    frame = spark.createDataFrame([(k, t, None, None, None) for k, t in rows], DOCUMENT)
+    found = pg.repeated_passages(frame).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3} and max(r.n_words for r in found if r.doc_id < 3) >= 50
+
+
+def equal_runs(texts, least):
+    """Word ranges of each text that equal a run of at least `least` words elsewhere, by every pair of places."""
+    lists = [t.lower().split() for t in texts]
+    marked = [[False] * len(w) for w in lists]
+    places = {}
+    for d, w in enumerate(lists):
+        for k in range(len(w) - least + 1):
+            places.setdefault(tuple(w[k : k + least]), []).append((d, k))
+    for found in places.values():
+        for d, k in found if len(found) > 1 else ():
+            marked[d][k : k + least] = [True] * least
+    return marked
+
+
+def test_stretches_cover_all_long_equal_runs(spark):
+    """Against all equal runs: long ones are covered whole, and no other word is."""
+    rng = random.Random(8)
+    sources = [text_of(700 + k, 160).split() for k in range(8)]
+    texts = []
+    for k in range(60):
+        own, parts = text_of(800 + k, 200).split(), []
+        for j in range(rng.randint(1, 3)):
+            source = rng.choice(sources)
+            size = rng.randint(60, 110)
+            at = rng.randint(0, len(source) - size)
+            parts += own[20 * j : 20 * j + rng.randint(2, 19)] + source[at : at + size]
+        texts.append(" ".join(parts + own[-rng.randint(1, 9) :]))
+    frame = spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], DOCUMENT)
+    found = [[False] * len(t.split()) for t in texts]
+    for r in pg.repeated_passages(frame).collect():
+        low = len(texts[r.doc_id][: r.start].split())
+        size = len(texts[r.doc_id][r.start : r.start + r.length].split())
+        assert size == r.n_words
+        found[r.doc_id][low : low + size] = [True] * size
+    long, short = equal_runs(texts, 60), equal_runs(texts, 5)
+    missed = sum(a and not b for x, y in zip(long, found) for a, b in zip(x, y))
+    wrong = sum(b and not a for x, y in zip(short, found) for a, b in zip(x, y))
+    assert missed == 0 and sum(map(sum, long)) > 4000
+    assert wrong <= 0.01 * sum(map(sum, found))  # near copies may differ in single words
+
+
 def test_paragraph_edges(spark, edge, nothing):
     assert pg.repeated_passages(nothing).count() == 0
     assert {r.doc_id for r in pg.repeated_passages(edge).collect()} <= {4}
