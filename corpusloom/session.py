@@ -93,15 +93,26 @@ def release(spark: SparkSession) -> int:
 
 
 @contextmanager
-def scratch(spark: SparkSession):
-    """A block whose intermediate tables are deleted at its end."""
+def scratch(spark: SparkSession, keep: bool = False):
+    """A block whose intermediate tables are deleted at its end.
+
+    With `keep` the block gets a function like `materialise` whose tables outlive it: what
+    they were made from is deleted once they are written.
+    """
     before = list(_written)
     _written.clear()
+    kept: list[str] = []
+
+    def keeping(df: DataFrame, name: str) -> DataFrame:
+        table = materialise(df, name)
+        kept.append(_written.pop())
+        return table
+
     try:
-        yield
+        yield keeping if keep else None
     finally:
         release(spark)
-        _written.extend(before)
+        _written.extend(before + kept)
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
