@@ -18,11 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusloom.llm.frames import by_key, groups, scan_groups, spread_join
+from corpusloom.llm.frames import by_key, groups, scan_groups
 from corpusloom.llm.graph import components
 from corpusloom.llm.near_dup import GROUP, linked
 from corpusloom.llm.text import SOLID, blocks, buffers, mix, numbers, words
-from corpusloom.session import materialise, parallelism
+from corpusloom.session import materialise, parallelism, scratch
 
 SHINGLE, PERCENT = 5, 80
 BANDS = 3
@@ -200,15 +200,16 @@ def _part(key: str, at: int):
 def candidate_buckets(paragraphs: DataFrame) -> DataFrame:
     """`(k1, k2, bucket)` of the band buckets with more than one shingle set.
 
-    Copies of a paragraph are added up before they are shuffled, and spread where they are
-    joined, so a paragraph that every document has costs no task more than others.
+    Copies of a paragraph are added up before they are shuffled.  Where rows of a frequent
+    one are joined, here and below, the adaptive plan splits its partition: the other side
+    has one row a key, and copying all of those to every salt would cost more than the rows.
     """
     bands = F.array(*[F.xxhash64(F.lit(b), F.col("mins")[b]) for b in range(BANDS)])
     rows = paragraphs.select("k1", "k2", F.explode(bands).alias("bucket"))
     mixed = rows.groupBy("bucket").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).filter(
         "low <> high"
     ).select("bucket")
-    return spread_join(rows, materialise(mixed, "buckets"), "bucket", "inner").distinct()
+    return rows.join(materialise(mixed, "buckets"), "bucket").distinct()
 
 
 def cluster_paragraphs(
@@ -224,7 +225,7 @@ def cluster_paragraphs(
     sets = materialise(_full_sets(documents, wanted, shingle, least), "sets")
 
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    sized = spread_join(members, sizes, "bucket", "inner")
+    sized = members.join(sizes, "bucket")
     half = GROUP // 2
     parts = F.ceil(F.col("n") / half).cast("int")
     cut = sized.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("k1", "k2"), F.col("parts")).cast("int"))
@@ -268,11 +269,11 @@ def repeated_paragraphs(
         "repeated",
     )
     slim = paragraphs.withColumn("_key", F.xxhash64("k1", "k2")).drop("mins", "k1", "k2")
-    found = materialise(spread_join(slim, repeated, "_key", "inner").drop("_key"), "found")
+    found = materialise(slim.join(repeated, "_key").drop("_key"), "found")
     first = found.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "unit")).alias("leader"))
     keyed = found.withColumn("_c", F.xxhash64("c1", "c2"))
     firsts = first.select(F.xxhash64("c1", "c2").alias("_c"), "leader").dropDuplicates(["_c"])
-    return spread_join(keyed, firsts, "_c", "inner").select(
+    return keyed.join(firsts, "_c").select(
         "doc_id", "unit", "start", "length", "first", "last", "total", (F.col("last") - F.col("first")).alias("n_words"),
         F.col("_c").alias("cluster"),
         (F.struct("doc_id", "unit") == F.col("leader")).alias("kept"),
@@ -348,7 +349,7 @@ def repeated_pieces(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("leader")
     )
     repeated = materialise(counted.filter("n > 1").drop("n"), "repeated_pieces")
-    return spread_join(rows, repeated, "key", "inner").select(
+    return rows.join(repeated, "key").select(
         *_MATCH[:-2], F.col("key").alias("cluster"), (F.struct("doc_id", "start") == F.col("leader")).alias("kept"),
     )
 
@@ -382,7 +383,7 @@ def rim_matches(found: DataFrame) -> DataFrame:
     rows = ends.select(*_PLACES, one.alias("one")).select(*_PLACES, "one.*")
     rows = materialise(rows.withColumn("place", F.xxhash64("cluster", "side")), "rims")
     wanted = materialise(rows.filter("asked").select("place").distinct(), "wanted_rims")
-    return spread_join(rows, wanted, "place", "inner").drop("place")
+    return rows.join(wanted, "place").drop("place")
 
 
 def _surroundings(documents: DataFrame, sides: DataFrame) -> DataFrame:
@@ -503,8 +504,12 @@ def repeated_passages(
     `kept` is true if nothing is removed.  Documents without such a stretch have no row.
     Repeated rows of one id are told apart by their places only.
     """
-    found = repeated_paragraphs(documents, shingle, percent, least).select(*_MATCH)
-    found = materialise(found.unionByName(repeated_pieces(documents, least)), "matches")
+    spark = documents.sparkSession
+    with scratch(spark, keep=True) as kept:
+        near = kept(repeated_paragraphs(documents, shingle, percent, least).select(*_MATCH), "near")
+    with scratch(spark, keep=True) as kept:
+        equal = kept(repeated_pieces(documents, least), "equal")
+    found = near.unionByName(equal)
     order = ["low", "high", "cluster", "kept"]
     of_doc = Window.partitionBy("doc_id").orderBy(*order)
     runs = extended(documents, found).select(
