@@ -451,5 +451,5 @@ found AS (
     "stream_append": _with(LABELLED, CLEANED, ROWS) + "SELECT doc_id, text, label, source, split FROM rows_",
 }
 ORACLES["encode_ids_join"] = ORACLES["encode_ids"]
-ORACLES["stream_encode_join"] = ORACLES["stream_encode"]
+ORACLES["stream_encode_join"] = ORACLES["stream_encode_grown"] = ORACLES["stream_encode"]
 ORACLES["wordpiece_encode_join"] = ORACLES["wordpiece_encode"]

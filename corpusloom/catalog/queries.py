@@ -150,8 +150,9 @@ def keyless_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Two parts without a key, the second a copy of the first: every row has its own."""
     path = scratch_path(spark, "keyless")
     rows = tables.load_in_domain(spark, folder).select(F.col("text").alias("sentence"), "label")
-    for part in ("a", "b"):
-        rows.write.parquet(f"{path}/{part}")
+    rows.write.parquet(f"{path}/a")
+    # One file name in two folders.
+    rows.withColumn("k", F.col("label")).coalesce(1).write.partitionBy("k").parquet(f"{path}/b")
     corpus = tables.read_corpus(spark, [f"{path}/a", f"{path}/b"], IN_DOMAIN, text_column="sentence")
     return corpus.groupBy("text", "label", "source").agg(F.countDistinct("doc_id").alias("keys"))
 
@@ -626,6 +627,16 @@ def _streamed(spark: SparkSession, folder: str, root: str, max_tokens: int) -> D
     return stored.select("doc_id", "label", "split", _joined("input_ids").alias("input_ids"))
 
 
+def stream_encode_grown(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs into one store: the vocabulary is over the bound from the second on."""
+    root = scratch_path(spark, "stream-grown")
+    rows = tables.load_labelled(spark, folder)
+    store.append(rows.filter("doc_id % 2 = 0"), f"{root}/in")
+    _streamed(spark, folder, root, oe.BROADCAST_TOKENS)
+    store.append(rows.filter("doc_id % 2 = 1"), f"{root}/in")
+    return _streamed(spark, folder, root, 0)
+
+
 def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled rows arriving as files, prepared and appended to a store."""
     root = scratch_path(spark, "stream")
@@ -650,5 +661,5 @@ QUERIES = {f.__name__: f for f in (
     checkpoint_roundtrip, resume_equals_straight, latest_checkpoint, max_wall_time,
     predict_argmax, accuracy, accuracy_per_shard, eval_loss, epoch_train_loss, loss_per_shard,
     eval_by_dataset, prediction_listing, loss_curves_long, history_rounded, run_metrics_append,
-    stream_append, stream_encode, stream_encode_join,
+    stream_append, stream_encode, stream_encode_join, stream_encode_grown,
 )}

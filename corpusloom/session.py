@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -50,8 +51,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "corpusloom", f"{name}-{uuid.uuid4().hex}")
 
 
-# Intermediate tables of this process that were not deleted yet.
-_written: list[str] = []
+class _Tables(threading.local):
+    """Intermediate tables of this thread that were not deleted yet.
+
+    A stream's batches run in a thread of their own: what they release is theirs alone.
+    """
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_written = _Tables()
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -61,7 +71,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    _written.append(path)
+    _written.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -75,6 +85,12 @@ def _file_system(spark: SparkSession, path: str):
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme and without a slash at its end, as Spark names files under it."""
+    files, location = _file_system(spark, path)
+    return files.makeQualified(location).toUri().toString().rstrip("/")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, location = _file_system(spark, path)
     return files.exists(location)
@@ -85,9 +101,9 @@ def release(spark: SparkSession) -> int:
 
     Call it when the results have been written.  `scratch` does so for a block.
     """
-    count = len(_written)
-    while _written:
-        files, location = _file_system(spark, _written.pop())
+    count = len(_written.paths)
+    while _written.paths:
+        files, location = _file_system(spark, _written.paths.pop())
         files.delete(location, True)
     return count
 
@@ -99,20 +115,19 @@ def scratch(spark: SparkSession, keep: bool = False):
     With `keep` the block gets a function like `materialise` whose tables outlive it: what
     they were made from is deleted once they are written.
     """
-    before = list(_written)
-    _written.clear()
+    before, _written.paths = _written.paths, []
     kept: list[str] = []
 
     def keeping(df: DataFrame, name: str) -> DataFrame:
         table = materialise(df, name)
-        kept.append(_written.pop())
+        kept.append(_written.paths.pop())
         return table
 
     try:
         yield keeping if keep else None
     finally:
         release(spark)
-        _written.extend(before + kept)
+        _written.paths = before + kept
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:

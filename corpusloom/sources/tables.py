@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.schemas import IN_DOMAIN, LABELLED, OUT_DOMAIN, TABLES
-from corpusloom.session import path_bytes
+from corpusloom.session import path_bytes, qualified
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,7 +76,7 @@ def read_corpus(
         if key_column is not None:
             parts.append(part.select(F.col(key_column).alias("doc_id"), *names))
         elif fmt == "parquet":
-            place = F.xxhash64(F.lit(number), F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+            place = F.xxhash64(F.lit(number), _below(spark, path), F.col("_metadata.row_index"))
             parts.append(part.select(place.alias("doc_id"), *names))
         else:
             parts.append(_keyed_by_content(part.select(*names), number))
@@ -86,6 +86,18 @@ def read_corpus(
     return typed(tag(frame, source))
 
 
+def _below(spark: SparkSession, root: str) -> Column:
+    """A row's file as its path below `root`: folders can have files of one name.
+
+    The key thus stays when a corpus moves as a whole.  A root with wildcards has no one
+    place; there it is the whole path.
+    """
+    file = F.col("_metadata.file_path")
+    if any(c in root for c in "*?[{"):
+        return file
+    return F.substring(file, len(qualified(spark, root)) + 1, 2**31 - 1)
+
+
 def _keyed_by_content(df: DataFrame, part: int) -> DataFrame:
     """Rows with a key from their content and, among equal rows, their number."""
     counted = df.groupBy("text", "label").agg(F.count(F.lit(1)).alias("n"))

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from corpusloom.operators.encode import BROADCAST_TOKENS, broadcast_vocab, encode, encode_with
 from corpusloom.plans.prepare import split_rows
 from corpusloom.schemas import LABELLED, MAX_LENGTH
+from corpusloom.session import path_exists, scratch
 
 
 def read_arrivals(spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
@@ -27,25 +28,31 @@ def append_arrivals(
     """Append prepared rows to the store by split; the checkpoint makes each file count once.
 
     With a vocabulary, a written table, rows are stored encoded: without a shuffle while it
-    can be broadcast, else each batch is joined to it and stored under its own number, so
-    that a repeated batch replaces itself.
+    can be broadcast, else by joins.  Either way a micro-batch is stored whole under its
+    own number `batch`, so that a repeated one replaces itself and a store whose vocabulary
+    outgrows the bound between two runs goes on in the same layout.  What a batch writes
+    in between is deleted when it is stored.
     """
     prepared = split_rows(rows)
-    columns = ["doc_id", "split", "label", "encoding.*"]
     if vocab is not None:
+        spark = rows.sparkSession
+        if path_exists(spark, f"{store}/_spark_metadata"):
+            raise ValueError(f"{store} was written by a file sink, whose log hides other files")
         shared = broadcast_vocab(vocab, max_tokens)
-        if shared is None:
 
-            def join_batch(batch: DataFrame, number: int) -> None:
-                encoded = encode(batch, vocab, max_length, pieces=pieces, max_tokens=max_tokens, keep_text=False)
-                numbered = encoded.select(*columns).withColumn("batch", F.lit(number))
+        def store_batch(batch: DataFrame, number: int) -> None:
+            with scratch(spark):
+                if shared is None:
+                    encoded = encode(batch, vocab, max_length, pieces=pieces, max_tokens=max_tokens, keep_text=False)
+                else:
+                    encoded = encode_with(batch, shared, max_length, pieces=pieces)
+                numbered = encoded.select("doc_id", "split", "label", "encoding.*", F.lit(number).alias("batch"))
                 writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 writer.partitionBy("batch", "split").parquet(store)
 
-            return prepared.writeStream.foreachBatch(join_batch).option("checkpointLocation", checkpoint).trigger(
-                availableNow=True
-            ).start()
-        prepared = encode_with(prepared, shared, max_length, pieces=pieces).select(*columns)
+        return prepared.writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start()
     return (
         prepared.writeStream.format("parquet").outputMode("append")
         .partitionBy("split").option("checkpointLocation", checkpoint)
