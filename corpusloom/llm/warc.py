@@ -208,9 +208,12 @@ def write_index(entries: DataFrame, path: str, block_entries: int = BLOCK_ENTRIE
 DIRECTORY_ROWS = 500_000
 
 
-def find_captures(index: DataFrame, wanted: DataFrame) -> DataFrame:
+def find_captures(index: DataFrame, wanted: DataFrame, every: bool = False) -> DataFrame:
     """`wanted` `(key, id)` with `file`, `offset` and `length`; unknown ones are left out,
-    repeated ones stay.
+    repeated ones stay and are each the first capture of their key and id.
+
+    With `every`, all captures of each different key and id, once: records that share both
+    may stand in several blocks, from the one before the first that begins with them on.
 
     The block of a capture is found by binary search in the directory, the entry by binary
     search in the block.  The directory is searched a part at a time, so its size in a
@@ -218,6 +221,7 @@ def find_captures(index: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     directory = index.select("first_key", "first_id")
     spark = wanted.sparkSession
+    wanted = wanted.select("key", "id").distinct() if every else wanted
     rows = directory.count()
     parts = max(1, -(-rows // DIRECTORY_ROWS))
     cuts: list = []
@@ -235,23 +239,31 @@ def find_captures(index: DataFrame, wanted: DataFrame) -> DataFrame:
         def locate(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             order = shared.value
             for batch in batches:
-                at = [
-                    bisect.bisect_right(order, pair) - 1 for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                ]
-                firsts = [order[k] if k >= 0 else (None, None) for k in at]
+                row, firsts = [], []
+                for number, pair in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                    last = bisect.bisect_right(order, pair) - 1
+                    # Blocks that begin alike have one number, so each is named once.
+                    low = max(bisect.bisect_left(order, pair) - 1, 0) if every else last
+                    named = dict.fromkeys(order[low : last + 1]) if last >= 0 else ()
+                    firsts += named
+                    row += [number] * len(named)
+                at = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0), batch.column(1), pa.array([f[0] for f in firsts], pa.string()),
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array([f[0] for f in firsts], pa.string()),
                         pa.array([f[1] for f in firsts], pa.string()),
                     ],
                     ["key", "id", "first_key", "first_id"],
                 )
 
         schema = "key string, id string, first_key string, first_id string"
-        found = wanted.select("key", "id").mapInArrow(locate, schema).filter("first_key is not null")
+        found = wanted.select("key", "id").mapInArrow(locate, schema)
         found = found.withColumn("part", F.lit(number))
         located = found if located is None else located.unionByName(found)
-    if parts > 1:  # of the blocks that each part names, the last one holds the capture
+    if every:
+        # A part of the directory can name a block that holds nothing of what it is asked.
+        located = located.drop("part")
+    elif parts > 1:  # of the blocks that each part names, the last one holds the capture
         # A part that names a block does so for every copy of a row, so it counts the copies.
         counted = located.groupBy("key", "id", "part").agg(
             F.max(F.struct("first_key", "first_id")).alias("f"), F.count(F.lit(1)).alias("n")
@@ -267,21 +279,22 @@ def find_captures(index: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            number, keys, lines = None, [], []
+            number, held = None, []
             for batch in batches:
-                columns = [c.to_pylist() for c in batch.columns]
-                for b, _, key, name, packed in zip(*columns):
+                for b, _, key, name, packed in zip(*(c.to_pylist() for c in batch.columns)):
                     if packed is not None:
-                        number = b
                         lines = [x.split("\t") for x in zlib.decompress(packed).decode("utf-8", "surrogatepass").split("\n")]
-                        keys = [(x[0], x[1]) for x in lines]
-                        continue
-                    if b != number:
+                        # Blocks that begin with the same capture share a number.
+                        held = [*(held if b == number else ()), ([(x[0], x[1]) for x in lines], lines)]
+                        number = b
                         continue
-                    k = bisect.bisect_left(keys, (key, name))
-                    if k < len(keys) and keys[k] == (key, name):
-                        _, _, file, offset, length = lines[k]
-                        yield {"key": key, "id": name, "file": file, "offset": int(offset), "length": int(length)}
+                    for keys, lines in held if b == number else ():
+                        low = bisect.bisect_left(keys, (key, name))
+                        high = bisect.bisect_right(keys, (key, name))
+                        for _, _, file, offset, length in lines[low : high if every else min(low + 1, high)]:
+                            yield {"key": key, "id": name, "file": file, "offset": int(offset), "length": int(length)}
+                        if low < high and not every:
+                            break
 
         yield from scan_groups(schema, rows())
 
@@ -343,7 +356,7 @@ def archive_and_read(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Pages written as archives, indexed, looked up by the index and read back.
 
     Per page: `page_id, payload_bytes, payload_digest, record_type, refers_to`.  A null URL
-    is empty.  Rows of equal id and URL are looked up as the first of their records.
+    is empty.  Rows of equal id and URL are looked up once and give all of their records.
     """
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
@@ -351,7 +364,7 @@ def archive_and_read(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     entries = materialise(capture_entries(spark, f"{path}/archives"), "captures")
     write_index(entries, f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
-    found = find_captures(index, _wanted(pages))
+    found = find_captures(index, _wanted(pages), every=True)
     return read_captures(spark, f"{path}/archives", found, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )

@@ -75,6 +75,23 @@ def test_repeated_rows_are_found_as_often(spark, monkeypatch, blocks):
     assert sorted((r.key, r.id) for r in found.collect()) == sorted(asked[:-2])
 
 
+@pytest.mark.parametrize("blocks", [warc.DIRECTORY_ROWS, 3])
+def test_every_record_of_an_id_is_its_own(spark, monkeypatch, blocks):
+    """Rows of one id and URL with other html: each comes back with its own digest and size."""
+    monkeypatch.setattr(warc, "DIRECTORY_ROWS", blocks)
+    rows = [(1, "http://x.y/", f"<p>{'a' * k}</p>") for k in range(9)] + [(1, "http://x.y/", "<p></p>"), (2, "http://x.y/", "<p>b</p>")]
+    frame = spark.createDataFrame(rows, PAGE)
+    assert sorted(tuple(r) for r in warc.archive_and_read(frame).collect()) == sorted(brute(rows, 0))
+    # The same over many small blocks, most of which begin with the same capture.
+    path = scratch_path(spark, "warc-same")
+    names = [("k", "same", "f", k, 1) for k in range(23)] + [("a", "x", "f", 90, 1), ("k", "zz", "f", 91, 1)]
+    entries = spark.createDataFrame(names, "key string, id string, file string, offset long, length long")
+    warc.write_index(entries, f"{path}/i", block_entries=4)
+    asked = spark.createDataFrame([("k", "same"), ("k", "same"), ("k", "zz"), ("k", "no"), ("a", "x")], "key string, id string")
+    found = warc.find_captures(spark.read.parquet(f"{path}/i"), asked, every=True)
+    assert sorted(r.offset for r in found.collect()) == [*range(23), 90, 91]
+
+
 def test_warc_edges(spark):
     assert warc.archive_and_read(spark.createDataFrame([], PAGE)).count() == 0
     rows = [(None, "http://x.y/", "a"), (1, "http://x.y/", "a"), (1, "http://x.y/", "a")]
