@@ -43,8 +43,10 @@ NEVER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
 
+# A quote opens a value only after the sign of its attribute; elsewhere it is a character.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*)>?", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|$)")
@@ -99,6 +101,15 @@ def parse(page: str) -> Node:
     """The element tree of a page; text is decoded, end tags that fit nothing are ignored."""
     root = Node("#root", None)
     at, node, size = 0, root, len(page)
+    # How many elements of each name are open: an end tag of none is not looked for.
+    opened: dict[str, int] = {}
+
+    def leave(inner: Node, outer: Node) -> Node:
+        while inner is not outer:
+            opened[inner.tag] -= 1
+            inner = inner.parent
+        return outer
+
     while at < size:
         start = page.find("<", at)
         if start < 0:
@@ -119,9 +130,10 @@ def parse(page: str) -> Node:
             continue
         tag = name.lower()
         if match.group(1):
-            node = _close(node, tag)
+            if opened.get(tag):
+                node = leave(node, _close(node, tag))
             continue
-        node = _imply(node, tag)
+        node = leave(node, _imply(node, tag))
         never, weight = _judge(tag, match.group(3))
         child = Node(tag, node, never or node.never, weight)
         node.children.append(child)
@@ -137,6 +149,7 @@ def parse(page: str) -> Node:
                 at = size if close < 0 else close + 1
             continue
         node = child
+        opened[tag] = opened.get(tag, 0) + 1
     return root
 
 

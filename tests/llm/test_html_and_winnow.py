@@ -1,6 +1,7 @@
 import hashlib
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -142,3 +143,17 @@ def test_winnow_edges(spark, edge, nothing):
     assert len(rows) == edge.count() and {len(r.hashes) for r in rows if r.doc_id in (1, 2)} == {0}
     assert len(rows[0].hashes) == len(rows[0].positions)
     assert np.array_equal(wn.gram_hashes(wn._points("x" * 40))[:5], np.repeat(wn.gram_hashes(wn._points("x" * 12)), 5))
+
+
+@pytest.mark.parametrize("tag", ['<p class="x"">', '<div class="post"">', "<p title=it's>", '<p data-a="b"c"d">', "<p title = 'a>b'>"])
+def test_stray_quotes_in_tags_lose_nothing(tag):
+    """A quote opens a value only after its sign; elsewhere it is a character of the tag."""
+    text = "A long sentence of words, with commas, and more words to count as text. " * 6
+    page = f"<html><body><nav><a href='/'>Home</a></nav><div id=main>{tag}{text}</p><p>{text}</p></div><footer>x</footer></body></html>"
+    assert ht.main_text(page) == "\n".join([text.strip()] * 2)
+
+
+def test_end_tags_of_nothing_open_are_cheap():
+    start = time.perf_counter()
+    ht.parse("<b>" * 50_000 + "</i>" * 50_000)
+    assert time.perf_counter() - start < 5
