@@ -33,9 +33,9 @@ _SENTENCE_CUT, _WORD_CUT = np.uint64(2), np.uint64(64)
 # A piece starts where a word pair has the least hash among this many on either side, and
 # this many words after the last start if there is none.  Equal runs are followed so far
 # beyond a match: more than a piece, its lengthening and what lies around its cuts.
-AROUND, LONGEST, FOLLOWED = 4, 32, 64
+AROUND, LONGEST, FOLLOWED = 4, 32, 48
 # Matches that end so many words before a rim, or fewer, can have a run that goes beyond it.
-RIM = 24
+RIM = 12
 _SEEDS = numbers(BANDS, 909) | np.uint64(1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -386,8 +386,8 @@ def rim_matches(found: DataFrame) -> DataFrame:
     return rows.join(wanted, "place").drop("place")
 
 
-def _surroundings(documents: DataFrame, sides: DataFrame) -> DataFrame:
-    """Sides with the hashes of up to `FOLLOWED` words beyond them, those before backwards;
+def _surroundings(documents: DataFrame, spans: DataFrame) -> DataFrame:
+    """Sides, in one array per document, with the hashes of up to `FOLLOWED` words beyond them, those before backwards;
     asked ones also with how many code points the words take."""
     schema = pa.schema([
         *zip(_PLACES, _KINDS), ("side", pa.int32()), ("asked", pa.bool_()), ("words", pa.binary()), ("reach", pa.binary())
@@ -419,8 +419,6 @@ def _surroundings(documents: DataFrame, sides: DataFrame) -> DataFrame:
 
         yield from scan_groups(schema, rows(), 2048)
 
-    span = F.struct(*_PLACES[1:], "side", "asked")
-    spans = materialise(sides.groupBy("doc_id").agg(F.collect_set(span).alias("spans")), "spans")
     # Texts of documents without such a side stay where they are; the others move once.
     texts = documents.select("doc_id", "text").join(spans.hint("shuffle_hash"), "doc_id")
     return texts.mapInArrow(look, f"{_PLACE}, side int, asked boolean, words binary, reach binary")
@@ -443,7 +441,10 @@ def extended(documents: DataFrame, found: DataFrame) -> DataFrame:
     the rows at the rims of the ranges, two a range, are compared on the driver.
     """
     order = ["cluster", "side", "words", "doc_id", "first", "last"]
-    around = materialise(_surroundings(documents, rim_matches(found)), "surroundings")
+    with scratch(documents.sparkSession, keep=True) as kept:
+        span = F.struct(*_PLACES[1:], "side", "asked")
+        spans = kept(rim_matches(found).groupBy("doc_id").agg(F.collect_set(span).alias("spans")), "spans")
+    around = materialise(_surroundings(documents, spans), "surroundings")
     ranged = around.repartitionByRange(parallelism(around.sparkSession), *order).sortWithinPartitions(*order)
     extra = [("side", pa.int32()), ("asked", pa.bool_()), ("more", pa.int32()), ("chars", pa.int32()), ("words", pa.binary()), ("reach", pa.binary())]
     kind = pa.schema([*zip(_PLACES, _KINDS), *extra])
