@@ -217,7 +217,7 @@ def test_queries_match_sql(spark, db, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def brute_pipeline(rows, benchmark):
