@@ -372,6 +372,20 @@ found AS (
     "sample_cap": _with(LABELLED, CLEANED, ROWS) + f"""SELECT doc_id, split, label, text FROM (
       SELECT *, row_number() OVER (PARTITION BY split ORDER BY u, doc_id) AS i FROM rows_)
       WHERE i <= CASE WHEN split = 'train' THEN {CAP} ELSE {int(CAP * 0.2)} END""",
+    "sample_cap_stratified": _with(
+        LABELLED, CLEANED, ROWS,
+        f"""sizes AS (SELECT split, label, count(*) AS n FROM (SELECT label, {_SPLIT} AS split FROM labelled) GROUP BY ALL),
+shares AS (
+  SELECT split, label, n, sum(n) OVER (PARTITION BY split)::bigint AS total,
+    least(sum(n) OVER (PARTITION BY split), CASE WHEN split = 'train' THEN {CAP} ELSE {int(CAP * 0.2)} END)::bigint AS cap
+  FROM sizes),
+parted AS (SELECT split, label, cap, (cap * n) // total AS base, (cap * n) % total AS rest FROM shares),
+quotas AS (
+  SELECT split, label, base + (row_number() OVER (PARTITION BY split ORDER BY rest DESC, label)
+    <= cap - sum(base) OVER (PARTITION BY split))::int AS quota FROM parted)""",
+    ) + """SELECT doc_id, split, label, text FROM (
+      SELECT *, row_number() OVER (PARTITION BY split, label ORDER BY u, doc_id) AS i FROM rows_)
+      JOIN quotas USING (split, label) WHERE i <= quota""",
     "partition_balance": f"""SELECT {_file('doc_id')} AS part, count(*) AS rows, sum(length(text))::bigint AS chars
       FROM documents GROUP BY ALL""",
     "shard_drop_remainder": _with(LABELLED, FILED, _sharded("filed", drop=True))
@@ -437,6 +451,17 @@ found AS (
     "loss_per_shard": BATCHED_HEAD + f"SELECT split, shard, {_number('avg(loss)')} AS loss FROM rows_ GROUP BY ALL",
     "eval_by_dataset": HEAD + f"""SELECT split, count(*) AS rows, {_number('avg(loss)')} AS loss,
       {_number('avg((pred = label)::int)')} AS accuracy FROM scored GROUP BY split""",
+    "eval_grouping_sets": BATCHED_HEAD + f"""SELECT split, shard, grouping(split, shard)::int AS level, count(*) AS rows,
+      sum((pred = label)::int)::bigint AS correct, {_number('avg(loss)')} AS loss,
+      {_number('avg((pred = label)::int)')} AS accuracy
+      FROM rows_ GROUP BY GROUPING SETS ((split, shard), (split), ())""",
+    "eval_auc": HEAD + f"""SELECT split, sum(label)::bigint AS positives, sum(1 - label)::bigint AS negatives,
+      {_number('(sum(label * place) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label))')} AS auc
+      FROM (SELECT split, label, rank() OVER (PARTITION BY split ORDER BY score)
+              + (count(*) OVER (PARTITION BY split, score) - 1) / 2 AS place
+            FROM (SELECT split, label::bigint AS label,
+                    round(1e9 * CASE WHEN label = 1 THEN exp(-loss) ELSE 1 - exp(-loss) END)::bigint AS score FROM scored))
+      GROUP BY split""",
     "prediction_listing": BATCHED_HEAD
     + """SELECT doc_id, split, shard, batch_id, pred, label, pred = label AS matched,
       row_number() OVER (PARTITION BY split ORDER BY batch_id, shard, doc_id) AS seen FROM rows_""",

@@ -320,6 +320,12 @@ def sample_cap(spark: SparkSession, folder: str) -> DataFrame:
     return capped.select("doc_id", "split", "label", "text")
 
 
+def sample_cap_stratified(spark: SparkSession, folder: str) -> DataFrame:
+    """The same cap with each split's share of labels."""
+    capped = pp.capped_rows(tables.load_labelled(spark, folder), CAP, stratify="label")
+    return capped.select("doc_id", "split", "label", "text")
+
+
 def partition_balance(spark: SparkSession, folder: str) -> DataFrame:
     chars = F.length("text").cast("long")
     documents = tables.read_table(spark, folder, "documents").select("doc_id", chars.alias("chars"))
@@ -560,6 +566,18 @@ def eval_by_dataset(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.by_dataset(scored).withColumns(rounded)
 
 
+def eval_grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Each rank of each split, each split, and everything, in one aggregation."""
+    found = evaluate.by_grouping_sets(_scored_batches(spark, folder), "split", "shard")
+    return found.withColumns({c: _number(F.col(c)) for c in ("loss", "accuracy")})
+
+
+def eval_auc(spark: SparkSession, folder: str) -> DataFrame:
+    score = evaluate.positive_score(F.col("loss"), F.col("label"))
+    found = evaluate.auc(_scored(spark, folder).withColumn("score", score), "split")
+    return found.withColumn("auc", _number(F.col("auc")))
+
+
 def prediction_listing(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.prediction_listing(_scored_batches(spark, folder), "doc_id")
 
@@ -653,13 +671,13 @@ QUERIES = {f.__name__: f for f in (
     clean_text, clean_text_edge, strip_punct, min_length_clean, min_length_raw,
     build_vocab, build_piece_vocab, encode_ids, encode_ids_join, encode_repeated_keys, encode_truncation, attention_mask,
     encoded_projection, wordpiece_words, wordpiece_encode, wordpiece_encode_join,
-    seeded_shuffle, hash_split, split_counts, sample_cap, partition_balance,
+    seeded_shuffle, hash_split, split_counts, sample_cap, sample_cap_stratified, partition_balance,
     shard_drop_remainder, shard_last_takes_rest, batch_drop_last, batch_keep_last, batch_few_files,
     batches_per_shard, min_batches, batch_truncate,
     head_init_loss, gradient_step, adamw_step, train_history, train_history_masked, train_history_text,
     train_history_minibatch,
     checkpoint_roundtrip, resume_equals_straight, latest_checkpoint, max_wall_time,
     predict_argmax, accuracy, accuracy_per_shard, eval_loss, epoch_train_loss, loss_per_shard,
-    eval_by_dataset, prediction_listing, loss_curves_long, history_rounded, run_metrics_append,
+    eval_by_dataset, eval_grouping_sets, eval_auc, prediction_listing, loss_curves_long, history_rounded, run_metrics_append,
     stream_append, stream_encode, stream_encode_join, stream_encode_grown,
 )}

@@ -9,13 +9,14 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.clean import clean_and_filter
-from corpusloom.functions.hashing import file_number, order_uniform
+from corpusloom.functions.hashing import file_number
+from corpusloom.operators import sample
 from corpusloom.operators.encode import broadcast_vocab, encode, encode_with
-from corpusloom.operators.split import sample_cap, with_split
+from corpusloom.operators.split import cap_for_split, with_split
 from corpusloom.operators.vocab import build_piece_vocab, build_vocab
-from corpusloom.schemas import MAX_LENGTH, TRAIN
-from corpusloom.session import materialise, path_exists
-from corpusloom.sources import datasets
+from corpusloom.schemas import MAX_LENGTH
+from corpusloom.session import materialise, path_exists, scratch
+from corpusloom.sources import datasets, tables
 
 
 def split_rows(labelled: DataFrame) -> DataFrame:
@@ -26,33 +27,40 @@ def split_rows(labelled: DataFrame) -> DataFrame:
     return clean_and_filter(with_split(labelled))
 
 
-def capped_rows(labelled: DataFrame, samples: int | None) -> DataFrame:
-    """`split_rows` under the sample cap, cleaning little more than the sample.
+def capped_rows(labelled: DataFrame, samples: int | None, stratify: str | None = None) -> DataFrame:
+    """`split_rows` under the sample cap, cleaning little more than the sample, and each text once.
 
-    Raw rows are counted per split by key alone.  Rows with an order number below a bound
-    that lets a quarter more than the cap through are cleaned; while too few of them are
-    long enough, the bound is doubled.  The result is that of capping after cleaning
-    everything, since the cap takes the least order numbers.
+    One pass over keys sketches the order numbers of each split, and gives the cells that
+    let a quarter more than the cap through.  Their rows are cleaned and written; where too few of
+    them are long enough, as many cells again are cleaned in addition.  The result is that
+    of capping after cleaning everything, since the cap takes the least order numbers.
+
+    `stratify` names a column whose shares among all rows of a split, short texts included,
+    the sample keeps, to one row.  A group with too few long texts gives all of those.
     """
     if not samples or samples <= 0:
         return split_rows(labelled)
     keyed = with_split(labelled)
-    sizes = {r.split: r["count"] for r in keyed.groupBy("split").count().collect()}
-    caps = {s: samples if s == TRAIN else int(samples * 0.2) for s in sizes}
-    bounds = {s: min(1.0, (1.25 * caps[s] + 64) / n) for s, n in sizes.items()}
-    while True:
-        early = F.lit(False)
-        for split, bound in bounds.items():
-            early = early | ((F.col("split") == split) & (order_uniform(F.col("doc_id")) < bound))
-        leading = clean_and_filter(keyed.filter(early))
-        if all(bound >= 1.0 for bound in bounds.values()):
-            break
-        kept = {r.split: r["count"] for r in leading.groupBy("split").count().collect()}
-        short = [s for s, bound in bounds.items() if bound < 1.0 and kept.get(s, 0) < caps[s]]
-        if not short:
-            break
-        bounds.update({s: min(1.0, 2 * bounds[s]) for s in short})
-    return sample_cap(leading, samples)
+    by = [stratify] if stratify else []
+    groups = ["split", *by]
+    sketch = sample.with_quota(sample.order_sketch(keyed, groups), cap_for_split(samples), ["split"], by)
+    found = sample.with_edge(sketch, F.col("quota") * 1.25 + 64).collect()
+    strata = [{**r.asDict(), "low": 0} for r in found]
+    short, parts = strata, []
+    while short:
+        part = clean_and_filter(sample.between_edges(keyed, short, groups))
+        parts.append(materialise(part, "leading"))
+        counted = tables.stack(*parts).groupBy(*groups).count().collect()
+        kept = {tuple(r)[:-1]: r["count"] for r in counted}
+        short = [
+            s for s in short
+            if s["edge"] < sample.CELLS and kept.get(tuple(s[g] for g in groups), 0) < s["quota"]
+        ]
+        for s in short:
+            s["low"], s["edge"] = s["edge"], min(sample.CELLS, 2 * s["edge"])
+    if not parts:
+        return clean_and_filter(keyed).limit(0)
+    return sample.head_of_groups(tables.stack(*parts), strata, groups)
 
 
 def prepare(
@@ -69,33 +77,36 @@ def prepare(
     run_id: str | None = None,
     pretrained_words: bool = False,
     request: str = "",
+    stratify: str | None = None,
 ) -> str:
     """Write `(doc_id, label, input_ids, attention_mask)` under `path/split=...`.
 
     Capping comes before encoding, and encoding after the shuffle that evens the files:
     the shuffle moves only the words that fit, not whole texts or padded arrays, and each
-    task encodes the rows it writes, already in order.  One job writes every split.
+    task encodes the rows it writes, already in order.  One job writes every split.  What is
+    written in between is deleted at the end.
     """
     run_id = run_id or uuid.uuid4().hex
-    rows = capped_rows(labelled, samples)
-    if vocab is None:
-        corpus = clean_and_filter(labelled.select("text"))
-        vocab = (
-            build_piece_vocab(corpus, vocab_size, piece_count) if pieces else build_vocab(corpus, vocab_size)
-        )
-        vocab = materialise(vocab, "vocab")
-    shared = broadcast_vocab(vocab)
-    if shared is not None:
-        fitting = F.substring_index("text", " ", max_length - 2)
-        placed = datasets.arrange(rows.withColumn("text", fitting), files)
-        encoded = encode_with(placed, shared, max_length, pieces=pieces, pretrained_words=pretrained_words)
-    else:
-        kept = rows.select("doc_id", "split", "label", "text")
-        encoded = encode(
-            kept, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words, keep_text=False
-        )
-        encoded = datasets.arrange(encoded, files)
-    datasets.write_arranged(encoded.select("doc_id", "split", "label", "encoding.*"), path)
+    with scratch(labelled.sparkSession):
+        rows = capped_rows(labelled, samples, stratify)
+        if vocab is None:
+            corpus = clean_and_filter(labelled.select("text"))
+            vocab = (
+                build_piece_vocab(corpus, vocab_size, piece_count) if pieces else build_vocab(corpus, vocab_size)
+            )
+            vocab = materialise(vocab, "vocab")
+        shared = broadcast_vocab(vocab)
+        if shared is not None:
+            fitting = F.substring_index("text", " ", max_length - 2)
+            placed = datasets.arrange(rows.withColumn("text", fitting), files)
+            encoded = encode_with(placed, shared, max_length, pieces=pieces, pretrained_words=pretrained_words)
+        else:
+            kept = rows.select("doc_id", "split", "label", "text")
+            encoded = encode(
+                kept, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words, keep_text=False
+            )
+            encoded = datasets.arrange(encoded, files)
+        datasets.write_arranged(encoded.select("doc_id", "split", "label", "encoding.*"), path)
     if manifest:
         datasets.record_manifest(labelled.sparkSession, manifest, run_id, path, request)
     return path
