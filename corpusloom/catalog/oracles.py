@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.catalog.queries import (
-    ADAM_LR, BATCH, CAP, FEW_FILES, FILES, FROZEN, HEAD_LR, MAX_LENGTH, MINI_STEPS, PIECE_WORDS, PIECES, REUSE_LENGTH,
+    ADAM_LR, ARRIVED, BATCH, BUCKETS, CAP, FEW_FILES, FILES, FROZEN, HEAD_LR, MAX_LENGTH, MINI_STEPS, PIECE_WORDS, PIECES, REUSE_LENGTH,
     SHORT_LENGTH, SMALL_BATCH, STEPS, SWEEP_FILES, SWEEP_SAMPLES, TEXT_DIM, TEXT_LR, VOCAB, WORLD,
 )
 
@@ -372,6 +372,11 @@ found AS (
     "sample_cap": _with(LABELLED, CLEANED, ROWS) + f"""SELECT doc_id, split, label, text FROM (
       SELECT *, row_number() OVER (PARTITION BY split ORDER BY u, doc_id) AS i FROM rows_)
       WHERE i <= CASE WHEN split = 'train' THEN {CAP} ELSE {int(CAP * 0.2)} END""",
+    "prepare_increment": _with(*VOCAB_CTES, LABELLED, CLEANED, ROWS, _encoded("cleaned", MAX_LENGTH - 2))
+    + f"""SELECT r.doc_id, r.split, r.label, {_ids(MAX_LENGTH)} AS input_ids, {_file('r.doc_id', BUCKETS)} AS bucket,
+        CASE WHEN {_file('r.doc_id', BUCKETS)} IN (
+          SELECT {_file('doc_id', BUCKETS)} FROM labelled WHERE {_uniform('doc_id')} >= {ARRIVED}) THEN 2 ELSE 1 END AS run
+      FROM found f JOIN rows_ r ON f.doc_id = r.doc_id""",
     "sample_cap_stratified": _with(
         LABELLED, CLEANED, ROWS,
         f"""sizes AS (SELECT split, label, count(*) AS n FROM (SELECT label, {_SPLIT} AS split FROM labelled) GROUP BY ALL),

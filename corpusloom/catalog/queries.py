@@ -12,7 +12,7 @@ from corpusloom.functions.head import Features, with_scores
 from corpusloom.operators import batch, encode as oe, evaluate, shard, split, vocab as ov
 from corpusloom.operators.gradient import evaluate_pass, gradient
 from corpusloom.operators.optimizer import HeadState, adamw, initial_weights
-from corpusloom.plans import prepare as pp, report, runs, state as saved, sweep as ps
+from corpusloom.plans import increment, prepare as pp, report, runs, state as saved, sweep as ps
 from corpusloom.plans.minibatch import fit_minibatches
 from corpusloom.plans.train import fit, history_frame, one_plain_step, write_steps
 from corpusloom.schemas import IN_DOMAIN, LABELLED, OUT_DOMAIN, TRAIN
@@ -32,6 +32,7 @@ MINI_STEPS = 3
 SWEEP_SAMPLES, SWEEP_FILES, SWEEP_EPOCHS = (100, 200), (2, 4), 2
 FROZEN = 32
 FEW_FILES, REUSE_LENGTH = 2, 16
+BUCKETS, ARRIVED = 64, 0.99
 
 
 def _number(column, places: int = 6):
@@ -134,6 +135,16 @@ def prepare_reuse(spark: SparkSession, folder: str) -> DataFrame:
     return tables.stack(*parts)
 
 
+def prepare_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """A dataset brought up to date when the last rows of the seeded order have arrived."""
+    root = scratch_path(spark, "increment")
+    labelled, vocab = tables.load_labelled(spark, folder), _vocab(spark, folder)
+    for rows in (labelled.filter(order_uniform(F.col("doc_id")) < ARRIVED), labelled, labelled):
+        increment.prepare_increment(rows, root, BUCKETS, vocab, MAX_LENGTH)
+    found = increment.read_increment(spark, root)
+    return found.select("doc_id", "split", "label", _joined("input_ids").alias("input_ids"), "bucket", "run")
+
+
 def shard_rows_few_files(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that each rank reads when there are fewer files than ranks."""
     path = scratch_path(spark, "few-files")
@@ -667,7 +678,7 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     load_in_domain, load_out_domain, concat_splits, tag_and_union, select_source,
     store_append_roundtrip, store_append_run, store_overwrite_named, jsonl_sample, parquet_roundtrip_counts,
-    prepare_reuse, shard_rows_few_files, keyless_corpus, manifest_lookup,
+    prepare_reuse, prepare_increment, shard_rows_few_files, keyless_corpus, manifest_lookup,
     clean_text, clean_text_edge, strip_punct, min_length_clean, min_length_raw,
     build_vocab, build_piece_vocab, encode_ids, encode_ids_join, encode_repeated_keys, encode_truncation, attention_mask,
     encoded_projection, wordpiece_words, wordpiece_encode, wordpiece_encode_join,

@@ -63,6 +63,20 @@ def capped_rows(labelled: DataFrame, samples: int | None, stratify: str | None =
     return sample.head_of_groups(tables.stack(*parts), strata, groups)
 
 
+def encode_arranged(
+    rows: DataFrame, vocab: DataFrame, files: int, max_length: int, pieces: bool, pretrained_words: bool
+) -> DataFrame:
+    """Encoded rows in the partition and order they are to be written in."""
+    shared = broadcast_vocab(vocab)
+    if shared is not None:
+        fitting = F.substring_index("text", " ", max_length - 2)
+        placed = datasets.arrange(rows.withColumn("text", fitting), files)
+        return encode_with(placed, shared, max_length, pieces=pieces, pretrained_words=pretrained_words)
+    kept = rows.select("doc_id", "split", "label", "text")
+    encoded = encode(kept, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words, keep_text=False)
+    return datasets.arrange(encoded, files)
+
+
 def prepare(
     labelled: DataFrame,
     path: str,
@@ -95,17 +109,7 @@ def prepare(
                 build_piece_vocab(corpus, vocab_size, piece_count) if pieces else build_vocab(corpus, vocab_size)
             )
             vocab = materialise(vocab, "vocab")
-        shared = broadcast_vocab(vocab)
-        if shared is not None:
-            fitting = F.substring_index("text", " ", max_length - 2)
-            placed = datasets.arrange(rows.withColumn("text", fitting), files)
-            encoded = encode_with(placed, shared, max_length, pieces=pieces, pretrained_words=pretrained_words)
-        else:
-            kept = rows.select("doc_id", "split", "label", "text")
-            encoded = encode(
-                kept, vocab, max_length, pieces=pieces, pretrained_words=pretrained_words, keep_text=False
-            )
-            encoded = datasets.arrange(encoded, files)
+        encoded = encode_arranged(rows, vocab, files, max_length, pieces, pretrained_words)
         datasets.write_arranged(encoded.select("doc_id", "split", "label", "encoding.*"), path)
     if manifest:
         datasets.record_manifest(labelled.sparkSession, manifest, run_id, path, request)

@@ -96,6 +96,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a pattern of the file system."""
+    files, location = _file_system(spark, pattern)
+    return [f.getPath().toString() for f in files.globStatus(location) or [] if f.isDirectory()]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the intermediate tables written so far; frames that read them are then void.
 
@@ -103,8 +114,7 @@ def release(spark: SparkSession) -> int:
     """
     count = len(_written.paths)
     while _written.paths:
-        files, location = _file_system(spark, _written.paths.pop())
-        files.delete(location, True)
+        delete_path(spark, _written.paths.pop())
     return count
 
 
