@@ -478,6 +478,12 @@ quotas AS (
     "stream_encode": _with(*VOCAB_CTES, LABELLED, CLEANED, ROWS, _encoded("cleaned", MAX_LENGTH - 2))
     + f"""SELECT f.doc_id, r.label, r.split, {_ids(MAX_LENGTH)} AS input_ids
       FROM found f JOIN rows_ r ON f.doc_id = r.doc_id""",
+    "stream_running_accuracy": BATCHED_HEAD + f"""SELECT split, shard, batch_id, correct, total,
+        sum(correct) OVER so_far::bigint AS seen_correct, sum(total) OVER so_far::bigint AS seen,
+        {_number('sum(correct) OVER so_far / sum(total) OVER so_far')} AS accuracy
+      FROM (SELECT split, shard, batch_id, sum((pred = label)::int)::bigint AS correct, count(*) AS total
+            FROM rows_ GROUP BY ALL)
+      WINDOW so_far AS (PARTITION BY split, shard ORDER BY batch_id)""",
     "stream_append": _with(LABELLED, CLEANED, ROWS) + "SELECT doc_id, text, label, source, split FROM rows_",
 }
 ORACLES["encode_ids_join"] = ORACLES["encode_ids"]

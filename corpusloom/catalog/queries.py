@@ -18,7 +18,7 @@ from corpusloom.plans.train import fit, history_frame, one_plain_step, write_ste
 from corpusloom.schemas import IN_DOMAIN, LABELLED, OUT_DOMAIN, TRAIN
 from corpusloom.session import materialise, scratch_path
 from corpusloom.sources import datasets, store, tables
-from corpusloom.streaming import ingest
+from corpusloom.streaming import ingest, running
 
 FILES, WORLD, BATCH = 8, 3, 16
 VOCAB, MAX_LENGTH, SHORT_LENGTH = 5000, 256, 32
@@ -33,6 +33,8 @@ SWEEP_SAMPLES, SWEEP_FILES, SWEEP_EPOCHS = (100, 200), (2, 4), 2
 FROZEN = 32
 FEW_FILES, REUSE_LENGTH = 2, 16
 BUCKETS, ARRIVED = 64, 0.99
+# The time of the first batch, and the seconds that a scored row may come late; a batch is a second.
+EPOCH, LATEST = 10**9, 10**8
 
 
 def _number(column, places: int = 6):
@@ -675,6 +677,31 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").select("doc_id", "text", "label", "source", "split")
 
 
+ARRIVALS = "doc_id bigint, split string, shard int, pred int, label int, at timestamp"
+
+
+def stream_running_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy so far of each rank by batch, when every second batch comes late and after a restart."""
+    root = scratch_path(spark, "running")
+    rows = _scored_batches(spark, folder).withColumn("at", F.timestamp_seconds(F.col("batch_id") + EPOCH))
+    rows = materialise(rows.withColumn("late", F.col("batch_id") % 2), "arrivals")
+    end = rows.agg((F.unix_seconds(F.max("at")) + 2 * LATEST).alias("end"))
+    # A row that is far ahead closes what is open.
+    mark = end.select(
+        F.lit("").alias("split"), F.lit(-1).alias("shard"), F.timestamp_seconds("end").alias("at"),
+        *[F.lit(None).cast(kind).alias(c) for c, kind in (("doc_id", "long"), ("pred", "int"), ("label", "int"))],
+    )
+    for part in (rows.filter("late = 0"), rows.filter("late = 1"), mark):
+        store.append(part.select("doc_id", "split", "shard", "pred", F.col("label").cast("int"), "at"), f"{root}/in")
+        arrivals = spark.readStream.schema(ARRIVALS).parquet(f"{root}/in")
+        running.append_running(
+            arrivals, f"{root}/out", f"{root}/checkpoint", f"{LATEST} seconds"
+        ).awaitTermination()
+    found = spark.read.parquet(f"{root}/out")
+    accuracy = _number(F.col("seen_correct") / F.col("seen")).alias("accuracy")
+    return found.select("split", "shard", (F.col("window") - EPOCH).alias("batch_id"), "correct", "total", "seen_correct", "seen", accuracy)
+
+
 QUERIES = {f.__name__: f for f in (
     load_in_domain, load_out_domain, concat_splits, tag_and_union, select_source,
     store_append_roundtrip, store_append_run, store_overwrite_named, jsonl_sample, parquet_roundtrip_counts,
@@ -690,5 +717,5 @@ QUERIES = {f.__name__: f for f in (
     checkpoint_roundtrip, resume_equals_straight, latest_checkpoint, max_wall_time,
     predict_argmax, accuracy, accuracy_per_shard, eval_loss, epoch_train_loss, loss_per_shard,
     eval_by_dataset, eval_grouping_sets, eval_auc, prediction_listing, loss_curves_long, history_rounded, run_metrics_append,
-    stream_append, stream_encode, stream_encode_join, stream_encode_grown,
+    stream_append, stream_encode, stream_encode_join, stream_encode_grown, stream_running_accuracy,
 )}
