@@ -406,6 +406,15 @@ quotas AS (
     "batches_per_shard": SHARDS + "SELECT split, shard, batches FROM per_shard",
     "min_batches": SHARDS + "SELECT split, min_batches FROM fewest",
     "batch_truncate": SHARDS + f"SELECT {_BATCHED} FROM batched JOIN fewest USING (split) WHERE batch_id < min_batches",
+    "batch_by_length": _with(
+        *VOCAB_CTES, LABELLED, CLEANED, ROWS, _encoded("cleaned", MAX_LENGTH - 2),
+        f"""placed AS (
+  SELECT r.doc_id, split, label, ids, len(ids) + 2 AS tokens,
+    row_number() OVER (PARTITION BY split ORDER BY len(ids), u, r.doc_id) - 1 AS place
+  FROM rows_ r JOIN found f ON r.doc_id = f.doc_id),
+wide AS (SELECT *, place // {BATCH} AS batch_id, max(tokens) OVER (PARTITION BY split, place // {BATCH}) AS padded FROM placed)""",
+    ) + f"""SELECT doc_id, split, label, tokens::int AS tokens, batch_id, (place % {BATCH})::int AS batch_row,
+        padded::int AS padded, {_ids('padded')} AS input_ids FROM wide""",
     "head_init_loss": _with(VECTORS, FIXED_W, _scored())
     + f"SELECT doc_id, split, {_number('loss')} AS loss FROM scored",
     "gradient_step": _with(VECTORS, FIXED_W, _scored(), _GRADIENT)

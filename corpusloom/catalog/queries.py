@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusloom.functions import clean as fc, encode as fe, wordpiece as fw
 from corpusloom.functions.hashing import file_number, order_uniform
 from corpusloom.functions.head import Features, with_scores
-from corpusloom.operators import batch, encode as oe, evaluate, shard, split, vocab as ov
+from corpusloom.operators import batch, encode as oe, evaluate, length, shard, split, vocab as ov
 from corpusloom.operators.gradient import evaluate_pass, gradient
 from corpusloom.operators.optimizer import HeadState, adamw, initial_weights
 from corpusloom.plans import increment, prepare as pp, report, runs, state as saved, sweep as ps
@@ -408,6 +408,17 @@ def batch_truncate(spark: SparkSession, folder: str) -> DataFrame:
     return _batched(_filed(spark, folder), batch.MATCHED).select(*_BATCHED)
 
 
+def batch_by_length(spark: SparkSession, folder: str) -> DataFrame:
+    """A written dataset in batches of like length, read back."""
+    path, out = scratch_path(spark, "dataset"), scratch_path(spark, "by-length")
+    pp.prepare(tables.load_labelled(spark, folder), path, FILES, vocab=_vocab(spark, folder), max_length=MAX_LENGTH)
+    length.write_by_length(spark.read.parquet(path), out, FILES, BATCH)
+    rows = length.read_by_length(spark, out)
+    return rows.select(
+        "doc_id", "split", "label", "tokens", "batch_id", "batch_row", "padded", _joined("input_ids").alias("input_ids")
+    )
+
+
 # Training.
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -711,7 +722,7 @@ QUERIES = {f.__name__: f for f in (
     encoded_projection, wordpiece_words, wordpiece_encode, wordpiece_encode_join,
     seeded_shuffle, hash_split, split_counts, sample_cap, sample_cap_stratified, partition_balance,
     shard_drop_remainder, shard_last_takes_rest, batch_drop_last, batch_keep_last, batch_few_files,
-    batches_per_shard, min_batches, batch_truncate,
+    batches_per_shard, min_batches, batch_truncate, batch_by_length,
     head_init_loss, gradient_step, adamw_step, train_history, train_history_masked, train_history_text,
     train_history_minibatch,
     checkpoint_roundtrip, resume_equals_straight, latest_checkpoint, max_wall_time,
