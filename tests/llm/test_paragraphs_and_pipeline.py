@@ -201,7 +201,7 @@ def test_paragraph_edges(spark, edge, nothing):
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return connection
 
