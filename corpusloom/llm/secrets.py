@@ -1,7 +1,7 @@
 """Secret scans: candidates found in texts, false positives removed by a random forest.
 
-A candidate is a long run of key characters with a digit in it, or a run of any form that is
-assigned to a credential name.  The forest sees its length, how likely its character transitions are
+A candidate is a long run of key characters with a digit in it, or a whole value of any form that
+is assigned to a credential name or stands as the password of a URL.  The forest sees its length, how likely its character transitions are
 in the corpus, how much of it dictionary words cover, the path, and the words next to it.
 It is trained from labelled findings.
 """
@@ -22,7 +22,7 @@ from corpusloom.llm.frames import few
 from corpusloom.llm.text import ALNUM, LOWER, blocks, buffers, hash_spans, row_starts, runs
 from corpusloom.session import materialise, parallelism
 
-# A run is a candidate from the first length; assigned to a credential name, from the second.
+# A run is a candidate from the first length, a value assigned to a credential name from the second.
 MIN_LENGTH, MIN_ASSIGNED = 12, 4
 # Labelled findings that the forest is trained on at most.
 TRAINING_ROWS = 20_000
@@ -30,8 +30,8 @@ TREES, DEPTH = 40, 8
 # Dictionary: words of three to eight letters, this many of the most frequent.
 DICTIONARY = 50_000
 _SHORT, _LONG = 3, 8
-# Words on either side that the forest sees, hashed to this many columns each.
-NEIGHBOURS, NEIGHBOUR_BITS = 3, 4
+# Words on either side that the forest sees, hashed to two to the power of this many columns a side.
+NEIGHBOURS, NEIGHBOUR_BITS = 3, 5
 PATH_BITS = 3
 
 # Names that credentials are assigned to, and words that stand beside harmless values.
@@ -58,6 +58,10 @@ for _low, _high in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
 _SIGN, _BLANK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _SIGN[list(b":=")] = True
 _BLANK[list(b" \t\n\v\f\r\"'")] = True
+_NAME = _KEY.copy()
+_NAME[list(b"+/=")] = False
+# Bytes on either side of a candidate that its neighbours are looked for in.
+CONTEXT = 80
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[0x30:0x3A] = True
 _LOWER_LETTER = np.zeros(256, dtype=bool)
@@ -74,13 +78,63 @@ FINDING = (
 )
 
 
-def _near(text: bytes, forward: bool) -> list[str]:
-    words = re.findall(rb"[A-Za-z0-9\x80-\xff]+", text)
-    near = words[:NEIGHBOURS] if forward else words[::-1][:NEIGHBOURS]
-    return [w.decode("utf-8", "replace").lower() for w in near]
+_WORD = re.compile(rb"[A-Za-z0-9\x80-\xff]+")
 
 
-_ASSIGNED = re.compile(rb"([A-Za-z0-9_-]+)[\"']?\s*[:=]\s*[\"']?$")
+def _near(body: bytes, low: int, high: int, forward: bool) -> list[str]:
+    """Words in the context after `low` or before `high`, nearest first; a word that the context cuts is left out."""
+    if forward:
+        found = list(_WORD.finditer(body, low, min(high, low + CONTEXT)))[:NEIGHBOURS]
+        whole = [m for m in found if not _WORD.match(body, m.end(), high)]
+    else:
+        found = list(_WORD.finditer(body, max(low, high - CONTEXT), high))[::-1][:NEIGHBOURS]
+        whole = [m for m in found if m.start() == low or not _WORD.match(body, m.start() - 1, high)]
+    return [m[0].decode("utf-8", "replace").lower() for m in whole]
+
+
+# The name that a value is assigned to, the sign with what may open a value, and the ends of values.
+_NAMED = re.compile(rb"([A-Za-z0-9_-]+)[\"']?\s*$")
+_OPENED = re.compile(rb"(?:=>|:=|:(?!:)|=(?!=))\s*(?i:(?:bearer|basic)\s+)?([\"'`]?)")
+_QUERY = re.compile(rb"[?&][A-Za-z0-9_-]+$")
+_SOLID_RUN, _QUERY_RUN = re.compile(rb"[([{<]*(\S*)"), re.compile(rb"([^\s&#]*)")
+_ENDS = b".,;:)]}>\"'`"
+_LOGIN = re.compile(rb"://[^\s/?#@:]*:([^\s/@]+)@")
+
+
+def _quoted_end(body: bytes, quote: bytes, start: int, end: int) -> int:
+    """Where the quote that was opened closes, on its line and not escaped; -1 if it does not."""
+    line = body.find(b"\n", start, end)
+    end = end if line < 0 else line
+    at = body.find(quote, start, end)
+    while at > start and body[at - 1] == 0x5C:
+        at = body.find(quote, at + 1, end)
+    return at
+
+
+def _assigned_span(body: bytes, low: int, sign: int, high: int, names: set) -> tuple[int, int] | None:
+    """The whole value that the sign assigns to a credential name or a URL gives as password, within a row.
+
+    A value in quotes runs to the closing one.  Others run to white space, without brackets
+    before and marks after them, and in the query of a URL to the next parameter.
+    """
+    login = _LOGIN.match(body, sign, high)
+    if login:
+        return login.span(1)
+    left = body[max(low, sign - CONTEXT) : sign]
+    name = _NAMED.search(left)
+    if name is None or not names & {w.decode() for w in re.split(rb"[_-]+", name[1].lower())}:
+        return None
+    opened = _OPENED.match(body, sign, high)
+    if opened is None:
+        return None
+    start = opened.end()
+    if opened[1]:
+        end = _quoted_end(body, opened[1], start, high)
+        if end >= 0:
+            return start, end
+    run = (_QUERY_RUN if _QUERY.search(left) else _SOLID_RUN).match(body, start, high)
+    start = run.start(1)
+    return start, start + len(run[1].rstrip(_ENDS))
 
 
 def _key_runs(raw: np.ndarray, part: np.ndarray):
@@ -98,9 +152,10 @@ def _key_runs(raw: np.ndarray, part: np.ndarray):
 def find_candidates(documents: DataFrame, text: str = "text", path: str = "source") -> DataFrame:
     """`(doc_id, path, start, length, value, assigned, before, after)` of every candidate.
 
-    `start` and `length` count code points.  A candidate has `MIN_LENGTH` characters and a
-    digit, or `MIN_ASSIGNED` and is the value assigned to a credential name.  `before` and `after` hold the
-    words on either side, nearest first.  Empty and null texts have none.
+    `start` and `length` count code points.  A candidate is a run of `MIN_LENGTH` key characters
+    with a digit, or a value of `MIN_ASSIGNED` bytes or more assigned to a credential name or given as
+    the password of a URL; a run inside such a value is no finding of its own.  `before` and
+    `after` hold the words on either side, nearest first.  Empty and null texts have none.
     """
     names = set(CREDENTIAL_WORDS)
 
@@ -112,35 +167,40 @@ def find_candidates(documents: DataFrame, text: str = "text", path: str = "sourc
                 part = off[a : b + 1] - off[a]
                 raw = data[off[a] : off[b]]
                 s, e, bounds = _key_runs(raw, part)
-                long = np.flatnonzero(e - s >= MIN_ASSIGNED)
-                if not len(long):
-                    continue
                 digits = np.zeros(len(raw) + 1, dtype=np.int64)
                 np.cumsum(_DIGIT[raw], out=digits[1:])
+                long = np.flatnonzero((e - s >= MIN_LENGTH) & (digits[e] > digits[s]))
+                # A sign assigns where a name stands before it, blanks and quotes aside, or `//` after it.
+                signs = np.flatnonzero(_SIGN[raw])
+                owner = np.searchsorted(part, signs, "right") - 1
+                solid = np.maximum.accumulate(np.where(_BLANK[raw], -1, np.arange(len(raw))))
+                before = np.where(signs > part[owner], solid[signs - 1], -1)
+                named = (before >= part[owner]) & _NAME[raw[before]]
+                if not len(long) and not named.any():
+                    continue
+                body, spans = raw.tobytes(), []
+                for p, r in zip(signs[named].tolist(), owner[named].tolist()):
+                    span = _assigned_span(body, int(part[r]), p, int(part[r + 1]), names)
+                    if span and span[1] - span[0] >= MIN_ASSIGNED:
+                        spans.append((r, *span, True))
+                # Runs that start inside a value are left out.
+                covered = np.zeros(len(raw) + 1, dtype=np.int64)
+                for _, x, y, _ in spans:
+                    covered[x] += 1
+                    covered[y] -= 1
+                covered = np.cumsum(covered)
+                row = np.searchsorted(bounds, long, "right") - 1
+                alone = covered[s[long]] == 0
+                spans += [(r, int(s[k]), int(e[k]), False) for k, r in zip(long[alone].tolist(), row[alone].tolist())]
                 lead = np.zeros(len(raw) + 1, dtype=np.int64)
                 np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
-                row = np.searchsorted(bounds, long, "right") - 1
-                # Only what follows a sign of assignment, blanks and quotes aside, can be assigned.
-                solid = np.maximum.accumulate(np.where(_BLANK[raw], -1, np.arange(len(raw))))
-                before = np.where(s[long] > part[row], solid[s[long] - 1], -1)
-                told = (before >= part[row]) & _SIGN[raw[before]]
-                keep = told | ((digits[e[long]] > digits[s[long]]) & (e[long] - s[long] >= MIN_LENGTH))
-                body = raw.tobytes()
-                for k, r in zip(long[keep].tolist(), row[keep].tolist()):
-                    x, y = int(s[k]), int(e[k])
-                    left = body[max(int(part[r]), x - 80) : x]
-                    right = body[y : min(int(part[r + 1]), y + 80)]
-                    name = _ASSIGNED.search(left)
-                    asked = name is not None and bool(
-                        names & {w.decode() for w in re.split(rb"[_-]+", name[1].lower())}
-                    )
-                    if not asked and (digits[y] == digits[x] or y - x < MIN_LENGTH):
-                        continue
+                for r, x, y, asked in sorted(set(spans)):
+                    low, high = int(part[r]), int(part[r + 1])
                     rows.append(a + r)
                     out.append({
-                        "start": int(lead[x] - lead[part[r]]), "length": y - x,
+                        "start": int(lead[x] - lead[low]), "length": int(lead[y] - lead[x]),
                         "value": body[x:y].decode(), "assigned": asked,
-                        "before": _near(left, False), "after": _near(right, True),
+                        "before": _near(body, low, x, False), "after": _near(body, y, high, True),
                     })
             at = pa.array(rows, pa.int64())
             found = pa.RecordBatch.from_pylist(out, pa.schema([
@@ -248,7 +308,7 @@ def features(value: bytes, path: str | None, assigned: bool, before, after, logp
         place[_bucket(p, PATH_BITS)] = 1.0
     left, right = [0.0] * (1 << NEIGHBOUR_BITS), [0.0] * (1 << NEIGHBOUR_BITS)
     for side, near in ((left, before), (right, after)):
-        for word in near[:1]:
+        for word in near[:NEIGHBOURS]:
             side[_bucket(word, NEIGHBOUR_BITS)] = 1.0
     return out + place + left + right
 

@@ -154,6 +154,36 @@ def test_values_assigned_without_spaces(spark):
     assert found["s3cretV4lue99x"].is_secret and found["abcdEFGHijklMNOP"].is_secret
 
 
+def test_values_are_whole(spark):
+    want = {
+        "password: hunter2andmore!X$": ["hunter2andmore!X$"], "password: hunter2andmore!X$. Then": ["hunter2andmore!X$"],
+        "\"db_password\" => 's3cr3t.value/with:colon', next": ["s3cr3t.value/with:colon"], "https://user:p4ssw0rdXY@host/a": ["p4ssw0rdXY"],
+        'secret="two words, é and \\"more\\" 1"; x': ['two words, é and \\"more\\" 1'], 'token: "never4closed x': ["never4closed"],
+        'key := `a\nb4567`': [], "Authorization: Bearer abc.d3f-g/h": ["abc.d3f-g/h"], "the access: (see there)": [], "http://host:8080/a@b": [],
+        "pwd=ab&cd#12": ["ab&cd#12"], "/q?pwd=abcd&cd#12": ["abcd"], "password: " + "x1é$" * 3000: ["x1é$" * 3000], "====:::=": [],
+    }
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(want)], "doc_id long, text string")
+    texts, found = list(want), sc.find_candidates(frame)
+    got = {t: [] for t in want}
+    for r in sorted(found.collect(), key=lambda r: r.start):
+        assert r.assigned and texts[r.doc_id][r.start : r.start + r.length] == r.value
+        got[texts[r.doc_id]].append(r.value)
+    assert got == want
+    # No part of a value stays.
+    out = sc.redact(frame, found.selectExpr("*", "true as is_secret")).collect()
+    for r in out:
+        for value in want[texts[r.doc_id]]:
+            assert r.text == texts[r.doc_id].replace(value, "[SECRET]")
+
+
+def test_neighbours_are_whole_words(spark):
+    value = "q7Zk21aaBB93"
+    far = "w" * 200
+    text = f"{far} one {value} two {far} three"
+    row = sc.find_candidates(spark.createDataFrame([(1, text), (2, value)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert row[0].before == ["one"] and row[0].after == ["two"] and row[1].before == row[1].after == []
+
+
 def test_forest_learns_from_given_labels(spark):
     rows = secret_rows()
     frame = spark.createDataFrame(rows, DOCUMENT)
