@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.llm.frames import by_key, groups, scan_groups
@@ -356,7 +357,8 @@ def repeated_pieces(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 _PLACE = "doc_id long, first int, last int, start long, length long, cluster long, kept boolean"
 _PLACES = [x.split()[0] for x in _PLACE.split(", ")]
-_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+# Sides that are looked up at once.
+_SIDES = 8192
 
 
 def rim_matches(found: DataFrame) -> DataFrame:
@@ -389,41 +391,62 @@ def rim_matches(found: DataFrame) -> DataFrame:
 def _surroundings(documents: DataFrame, spans: DataFrame) -> DataFrame:
     """Sides, in one array per document, with the hashes of up to `FOLLOWED` words beyond them, those before backwards;
     asked ones also with how many code points the words take."""
-    schema = pa.schema([
-        *zip(_PLACES, _KINDS), ("side", pa.int32()), ("asked", pa.bool_()), ("words", pa.binary()), ("reach", pa.binary())
-    ])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                data, off = buffers(batch.column(1))
-                for at, doc in enumerate(batch.column(0).to_pylist()):
-                    raw = data[off[at] : off[at + 1]]
-                    _, s, e, h, _ = words(raw, np.array([0, len(raw)]), SOLID)
-                    lead = np.zeros(len(raw) + 1, dtype=np.int64)
-                    np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
-                    begin, end = lead[s], lead[e]
-                    short = (h >> np.uint64(32)).astype(">u4")
-                    for m in batch.column(2)[at].as_py():
-                        a, b, x, y = m["first"], m["last"], m["start"], m["start"] + m["length"]
-                        # Rows of one id may have other texts: a place counts where it fits.
-                        if b > len(s) or begin[a] != x or end[b - 1] != y:
-                            continue
-                        if m["side"]:
-                            beyond, reach = short[b : b + FOLLOWED], end[b : b + FOLLOWED] - y
-                        else:
-                            left = slice(max(a - FOLLOWED, 0), a)
-                            beyond, reach = short[left][::-1], x - begin[left][::-1]
-                        yield {**m, "doc_id": doc, "words": beyond.tobytes(),
-                               "reach": reach.astype("<i4").tobytes() if m["asked"] else None}
-
-        yield from scan_groups(schema, rows(), 2048)
+        for batch in batches:
+            data, off = buffers(batch.column(1))
+            listed = batch.column(2)
+            upto = np.append(0, np.cumsum(pc.list_value_length(listed).to_numpy()))
+            every = listed.flatten()
+            for a, b in blocks(off):
+                part, raw = off[a : b + 1] - off[a], data[off[a] : off[b]]
+                _, s, e, h, bounds = words(raw, part, SOLID)
+                lead = np.zeros(len(raw) + 1, dtype=np.int64)
+                np.cumsum((raw & 0xC0) != 0x80, out=lead[1:])
+                begin, end, short = lead[s], lead[e], (h >> np.uint64(32)).astype(">u4")
+                owner = np.repeat(np.arange(a, b), np.diff(upto[a : b + 1]))
+                for k in range(upto[a], upto[b], _SIDES):
+                    size = min(_SIDES, upto[b] - k)
+                    row = owner[k - upto[a] :][:size]
+                    sides = pa.RecordBatch.from_struct_array(every.slice(k, size))
+                    yield _beyond(batch.column(0).take(pa.array(row)), sides, row - a, begin, end, short, bounds, lead[part])
 
     # Texts of documents without such a side stay where they are; the others move once.
     texts = documents.select("doc_id", "text").join(spans.hint("shuffle_hash"), "doc_id")
     return texts.mapInArrow(look, f"{_PLACE}, side int, asked boolean, words binary, reach binary")
 
 
+def _binary(values: np.ndarray, count: np.ndarray) -> pa.Array:
+    """Rows of `count` values of four bytes each."""
+    edges = np.append(0, np.cumsum(count * 4)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(edges), pa.py_buffer(values.tobytes())])
+
+
+def _beyond(ids, sides: pa.RecordBatch, row, begin, end, short, bounds, origin) -> pa.RecordBatch:
+    """`sides` of the rows `row` of a block of texts, with the words beyond them."""
+    first, last, start, length, side = (
+        sides.column(c).to_numpy().astype(np.int64) for c in ("first", "last", "start", "length", "side")
+    )
+    asked = sides.column("asked").to_numpy(zero_copy_only=False)
+    # Rows of one id may have other texts: a place counts where it fits.
+    fits = last <= bounds[row + 1] - bounds[row]
+    f, l = (bounds[row] + first)[fits], (bounds[row] + last)[fits]
+    at = start[fits] + origin[row[fits]]
+    fits[fits] = (begin[f] == at) & (end[l - 1] == at + length[fits])
+    row, first, last, side, asked = row[fits], first[fits], last[fits], side[fits], asked[fits]
+    f, l = bounds[row] + first, bounds[row] + last
+    count = np.minimum(np.where(side == 1, bounds[row + 1] - l, first), FOLLOWED)
+    of = np.repeat(np.arange(len(f)), count)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    after = side[of] == 1
+    word = np.where(after, l[of] + step, f[of] - 1 - step)
+    reach = np.where(after, end[word] - end[l[of] - 1], begin[f[of]] - begin[word])[asked[of]].astype("<i4")
+    keep = pa.array(fits)
+    found = sides.select([*_PLACES[1:], "side", "asked"]).filter(keep)
+    columns = [ids.filter(keep), *found.columns, _binary(short[word], count), _binary(reach, np.where(asked, count, 0))]
+    return pa.RecordBatch.from_arrays(columns, [*_PLACES, "side", "asked", "words", "reach"])
+
+
 def _common(a: bytes, b: bytes) -> int:
     """Equal words at the start of two rows of hashes of four bytes."""
     size = min(len(a), len(b)) // 4
@@ -446,26 +469,22 @@ def extended(documents: DataFrame, found: DataFrame) -> DataFrame:
         spans = kept(rim_matches(found).groupBy("doc_id").agg(F.collect_set(span).alias("spans")), "spans")
     around = materialise(_surroundings(documents, spans), "surroundings")
     ranged = around.repartitionByRange(parallelism(around.sparkSession), *order).sortWithinPartitions(*order)
-    extra = [("side", pa.int32()), ("asked", pa.bool_()), ("more", pa.int32()), ("chars", pa.int32()), ("words", pa.binary()), ("reach", pa.binary())]
-    kind = pa.schema([*zip(_PLACES, _KINDS), *extra])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            held, before, first = None, 0, True
-            for batch in batches:
-                for row in batch.to_pylist():
-                    equal = 0
-                    if held is not None:
-                        if held["cluster"] == row["cluster"] and held["side"] == row["side"]:
-                            equal = _common(held["words"], row["words"])
-                        if first or held["asked"]:
-                            yield _measured(held, max(before, equal), first)
-                        first = False
-                    held, before = row, equal
-            if held is not None:
-                yield _measured(held, before, True)
-
-        yield from scan_groups(kind, rows(), 2048)
+        # The last row waits for the one after it; the first and the last of all are rims.
+        held, before, rims = None, 0, 1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            equal = _equal_runs(rows)
+            more = np.maximum(np.append(before, equal[:-1]), equal) if len(equal) else equal
+            if len(equal):
+                yield from _measured_rows(rows.slice(0, len(equal)), more, rims)
+                rims, before = 0, int(equal[-1])
+            held = rows.slice(len(equal))
+        if held is not None:
+            yield from _measured_rows(held, np.array([before]), 1)
 
     names = [*_PLACES, "side", "more", "chars"]
     fields = f"{_PLACE}, side int, asked boolean, more int, chars int, words binary, reach binary"
@@ -475,22 +494,61 @@ def extended(documents: DataFrame, found: DataFrame) -> DataFrame:
     for a, b in zip(rims, rims[1:]):
         if (a["cluster"], a["side"]) == (b["cluster"], b["side"]):
             equal = _common(a["words"], b["words"])
-            late += [_measured(r, equal, False) for r in (a, b) if r["asked"]]
+            late += [_measured(r, equal) for r in (a, b) if r["asked"]]
     both = done.filter("asked").select(*names)
     if late:
         types = f"{_PLACE}, side int, more int, chars int"
         both = both.unionByName(documents.sparkSession.createDataFrame([tuple(r[c] for c in names) for r in late], types))
     # All matches, those that were not asked about as they are.
     every = found.select(*_PLACES).unionByName(both, allowMissingColumns=True)
-    return every.groupBy(*_PLACES).agg(
+    # Dealt by document once, for the sums here and the stretches of each document after them.
+    return every.repartition(parallelism(around.sparkSession), "doc_id").groupBy(*_PLACES).agg(
         *[F.coalesce(F.max(F.when(F.col("side") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}") for k in (0, 1) for c in ("more", "chars")]
     )
 
 
-def _measured(row: dict, more: int, rim: bool) -> dict:
-    """A match with its run; a rim keeps its words, to be compared once more."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of four bytes of a binary column, and where each row's start."""
+    _, edges, data = column.buffers()
+    off = np.frombuffer(edges, np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    values = np.frombuffer(data, np.uint32, len(data) // 4) if data is not None else np.zeros(0, np.uint32)
+    return values, off.astype(np.int64)
+
+
+def _equal_runs(rows: pa.RecordBatch) -> np.ndarray:
+    """How many words each row has in common with the next one, if both are of one cluster and side."""
+    values, off = _flat(rows.column("words"))
+    inside = np.arange(FOLLOWED) < np.diff(off)[:, None]
+    table = np.zeros(inside.shape, np.uint32)
+    table[inside] = values[off[0] : off[-1]]
+    same = (table[1:] == table[:-1]) & inside[1:] & inside[:-1]
+    for name in ("cluster", "side"):
+        key = rows.column(name).to_numpy()
+        same &= (key[1:] == key[:-1])[:, None]
+    return np.where(same.all(axis=1), FOLLOWED, np.argmin(same, axis=1)).astype(np.int64)
+
+
+def _measured_rows(rows: pa.RecordBatch, more: np.ndarray, rims: int) -> Iterator[pa.RecordBatch]:
+    """Asked rows with their runs; the first `rims` rows, asked or not, keep their words to be compared once more."""
+    values, off = _flat(rows.column("reach"))
+    chars = np.zeros(len(more), np.int64)
+    told = (more > 0) & (np.diff(off) > 0)
+    chars[told] = values[off[:-1][told] + more[told] - 1]
+    rim = np.arange(len(more)) < rims
+    for part, rest in ((rim, False), (~rim & rows.column("asked").to_numpy(zero_copy_only=False), True)):
+        if part.any():
+            kept = rows.select([*_PLACES, "side", "asked"]).filter(pa.array(part))
+            tail = [pa.nulls(int(part.sum()), pa.binary()) if rest else rows.column(c).filter(pa.array(part)) for c in ("words", "reach")]
+            lengths = [pa.array(x[part].astype(np.int32)) for x in (more, chars)]
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, *lengths, *tail], [*_PLACES, "side", "asked", "more", "chars", "words", "reach"]
+            )
+
+
+def _measured(row: dict, more: int) -> dict:
+    """A rim with its run."""
     chars = int(np.frombuffer(row["reach"], "<i4")[more - 1]) if more and row["reach"] else 0
-    return {**row, "more": more, "chars": chars, "words": row["words"] if rim else None, "reach": row["reach"] if rim else None}
+    return {**row, "more": more, "chars": chars}
 
 
 def repeated_passages(
