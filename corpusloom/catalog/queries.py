@@ -164,8 +164,8 @@ def keyless_corpus(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "keyless")
     rows = tables.load_in_domain(spark, folder).select(F.col("text").alias("sentence"), "label")
     rows.write.parquet(f"{path}/a")
-    # One file name in two folders.
-    rows.withColumn("k", F.col("label")).coalesce(1).write.partitionBy("k").parquet(f"{path}/b")
+    # A task's rows of both labels are one file name in two folders.
+    rows.withColumn("k", F.col("label")).write.partitionBy("k").parquet(f"{path}/b")
     corpus = tables.read_corpus(spark, [f"{path}/a", f"{path}/b"], IN_DOMAIN, text_column="sentence")
     return corpus.groupBy("text", "label", "source").agg(F.countDistinct("doc_id").alias("keys"))
 

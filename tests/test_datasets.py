@@ -201,3 +201,22 @@ def test_corpus_reader_with_a_schema(spark, labelled):
 
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_keyless_corpus_is_written_by_many_tasks(spark, monkeypatch):
+    """The part with one file name in two folders is not drawn into one task."""
+    from corpusloom.catalog import queries
+
+    root = scratch_path(spark, "keyless-tables")
+    spark.range(200).selectExpr(
+        "id as doc_id", "concat('text ', id % 150) as text", "'en' as lang", "'s' as source", "9L as n_chars"
+    ).write.parquet(f"{root}/documents.parquet")
+    spark.range(200).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic").write.parquet(
+        f"{root}/labels.parquet"
+    )
+    path = f"{root}/out"
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: path)
+    found = queries.keyless_corpus(spark, root).collect()
+    assert sum(r["keys"] for r in found) == 400 and len(found) == 150
+    names = {label: {f.split("/")[-1] for f in spark.read.parquet(f"{path}/b/k={label}").inputFiles()} for label in (0, 1)}
+    assert names[0] == names[1] and len(names[0]) > 1
