@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
-from corpusloom.functions.encode import fill_rows, row_lengths
+from corpusloom.functions.encode import fill_rows, gather_rows, row_lengths, row_slices
 from corpusloom.functions.trie import PieceTrie
 from corpusloom.operators.vocab import MAX_WORD_CHARS
 from corpusloom.schemas import ENCODING, UNK
@@ -20,6 +20,8 @@ IDEOGRAPHS = (
     (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2A6DF),
     (0x2A700, 0x2B73F), (0x2B740, 0x2B81F), (0x2B820, 0x2CEAF), (0x2F800, 0x2FA1F),
 )
+# Distinct words split at once.
+SPLIT_WORDS = 16_384
 
 
 def spread_marks(text: Column) -> Column:
@@ -88,11 +90,24 @@ def piece_splitter(vocabulary):
     return pieces
 
 
+def split_distinct(trie: PieceTrie, words: pa.Array, strip_accents: bool) -> tuple[np.ndarray, np.ndarray]:
+    """`split_or_unknown` of an array of distinct words, some after the other."""
+    found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for start in range(0, len(words), SPLIT_WORDS):
+        part = words.slice(start, SPLIT_WORDS).to_pylist()
+        if strip_accents:
+            part = [w if w.isascii() else without_accents(w) for w in part]
+        ids, counts = split_or_unknown(trie, part, UNK)
+        found.append(ids.astype(np.int32))
+        sizes.append(counts)
+    return np.concatenate(found), np.concatenate(sizes)
+
+
 def piece_encoder(vocabulary, max_length: int, strip_accents: bool = False):
     """Arrow function from word arrays to encodings by word pieces.
 
-    Each batch splits its distinct words at once, by a trie that is kept for the task; the
-    ids of all rows are then gathered in bulk.  A word has at least one piece, so the
+    Each batch splits its distinct words by a trie that is kept for the task; the ids are
+    then gathered in bulk, a slice of rows at a time.  A word has at least one piece, so the
     leading words always suffice.
     """
     room = max_length - 2
@@ -103,27 +118,8 @@ def piece_encoder(vocabulary, max_length: int, strip_accents: bool = False):
         trie = PieceTrie(tokens.to_pylist(), ids)
         for words in batches:
             coded = pc.dictionary_encode(words.flatten())
-            distinct = coded.dictionary.to_pylist()
-            if strip_accents:
-                distinct = [w if w.isascii() else without_accents(w) for w in distinct]
-            found, sizes = split_or_unknown(trie, distinct, UNK)
-            pool = found.astype(np.int32)
-            starts = np.cumsum(sizes) - sizes
-            word = coded.indices.to_numpy(zero_copy_only=False)
-
-            # Per word in order: its row, and the place of its first piece in that row.
-            rows = len(words)
-            row = np.repeat(np.arange(rows), row_lengths(words))
-            total = np.cumsum(sizes[word]) if len(word) else np.zeros(0, np.int64)
-            row_total = np.bincount(row, weights=sizes[word], minlength=rows).astype(np.int64)
-            before_row = np.cumsum(row_total) - row_total
-
-            # Per piece: where it is in the pool, and its place in its row.
-            pieces = int(row_total.sum())
-            first = np.repeat(total - sizes[word], sizes[word])
-            within = np.arange(pieces) - first
-            source = np.repeat(starts[word], sizes[word]) + within
-            place = np.arange(pieces) - np.repeat(before_row, row_total)
-            yield fill_rows(pool[source[place < room]], np.minimum(row_total, room), max_length)
+            pool, sizes = split_distinct(trie, coded.dictionary, strip_accents)
+            for word, lengths in row_slices(coded.indices.to_numpy(zero_copy_only=False), row_lengths(words)):
+                yield fill_rows(*gather_rows(word, lengths, pool, sizes, room), max_length)
 
     return encode

@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +156,26 @@ def test_frequent_tokens_are_spread(spark):
     sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 6000 and max(sizes) < 2 * 6000 / len(sizes)
     assert found.filter("id_of = 7").count() == 2000
+
+
+@pytest.mark.parametrize("pieces", [False, True])
+def test_long_batches_are_encoded_in_slices(spark, monkeypatch, pieces):
+    """A batch of many rows gives the rows of its parts, and is not gathered whole."""
+    import pyarrow as pa
+
+    from corpusloom.functions import encode as fe, wordpiece as fw
+
+    class Shared:
+        value = (pa.array(["good", "film", "##s"]), np.array([104, 105, 106], np.int32))
+
+    module, most = (fw if pieces else fe), []
+    fill = module.fill_rows
+    monkeypatch.setattr(module, "fill_rows", lambda ids, lengths, n: most.append(len(lengths)) or fill(ids, lengths, n))
+    cases = [["good", "films"], [], None, ["film"] * 3, ["odd", "good"]]
+    encoder = (fw.piece_encoder if pieces else fe.word_encoder)(Shared, 5).func
+    batch = pa.array(cases * 400, pa.list_(pa.string()))
+    got = [row["input_ids"] for part in encoder(iter([batch, batch.slice(3, 2)])) for row in part.to_pylist()]
+    films = [105, 106, 102] if pieces else [100, 102, 0]
+    want = [[101, 104, *films], [101, 102, 0, 0, 0], [101, 102, 0, 0, 0], [101, 105, 105, 105, 102], [101, 100, 104, 102, 0]]
+    assert got == want * 400 + want[3:]
+    assert sum(most) == 2002 and max(most) <= fe.SLICE_ROWS
