@@ -257,10 +257,11 @@ def encode_ids_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def encode_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Two parts with the same keys and other texts, by both forms."""
-    corpus = _corpus(spark, folder)
+    # Cleaned once: each form reads both parts, and the vocabulary one.
+    corpus = materialise(_corpus(spark, folder), "corpus")
     other = corpus.select("doc_id", F.reverse(F.split("text", " ")).alias("words"))
     both = corpus.unionByName(other.select("doc_id", F.array_join("words", " ").alias("text")))
-    vocab = _vocab(spark, folder)
+    vocab = materialise(ov.build_vocab(corpus, VOCAB), "vocab")
     forms = {"broadcast": oe.encode(both, vocab, MAX_LENGTH), "join": oe.encode_by_join(both, vocab, MAX_LENGTH, hot_tokens=100)}
     ids = _joined("encoding.input_ids").alias("input_ids")
     return tables.stack(*[f.select(F.lit(name).alias("form"), "doc_id", ids) for name, f in forms.items()])

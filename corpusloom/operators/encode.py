@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions import encode as fe, wordpiece as fw
@@ -14,7 +16,9 @@ from corpusloom.session import materialise
 # A vocabulary is broadcast only below both bounds; beyond them the join form takes over.
 BROADCAST_TOKENS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW = "_row"
+_ROW, _BLOCK = "_row", "_block"
+# Rows that share one list of words: 2 to the power of this.
+BLOCK_BITS = 10
 
 
 def broadcast_vocab(
@@ -80,13 +84,14 @@ def encode_by_join(
 ) -> DataFrame:
     """The same column for a vocabulary of any size, by joining words to it.
 
-    At most `max_length` - 2 words of a row come together again.
+    Rows are dealt into blocks, and each distinct word of a block meets the vocabulary
+    once; at most `max_length` - 2 words of a row come together again.
     """
     rows = _numbered_rows(df)
-    words = rows.select(_ROW, F.posexplode(fe.leading_words(F.col(text), max_length)).alias("pos", "token"))
-    found = lookup(words, "token", F.col(_ROW), vocab, "id", hot_tokens)
-    ids = found.select(_ROW, "pos", F.array(F.coalesce("id", F.lit(UNK))).alias("ids"))
-    return _assemble(rows if keep_text else rows.drop(text), ids, max_length)
+    words = _blocked(rows, F.col(text), max_length)
+    found = lookup(_block_tokens(words), "token", F.col(_BLOCK), vocab, "id", hot_tokens).filter("id is not null")
+    ids = found.select(_BLOCK, "token", F.array("id").alias("ids"))
+    return _assemble(rows if keep_text else rows.drop(text), words, ids, max_length)
 
 
 def encode_pieces_by_join(
@@ -95,24 +100,59 @@ def encode_pieces_by_join(
 ) -> DataFrame:
     """Word-piece encoding for a vocabulary of any size.
 
-    The distinct words are split once, by joins; rows then look their words up.
+    The distinct words are split once, by joins; blocks of rows then look their words up.
     """
     rows = _numbered_rows(df)
     column = fw.spread_marks(F.col(text)) if pretrained_words else F.col(text)
-    words = rows.select(_ROW, F.posexplode(fe.leading_words(column, max_length)).alias("pos", "token"))
-    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    split = materialise(
-        split_words(materialise(counts, "word-counts"), vocab, pretrained_words, hot_tokens), "split-words"
+    words = _blocked(rows, column, max_length)
+    tokens = _block_tokens(words)
+    distinct = materialise(tokens.select("token").distinct(), "distinct-words")
+    split = materialise(split_words(distinct, vocab, pretrained_words, hot_tokens), "split-words")
+    found = lookup(tokens, "token", F.col(_BLOCK), split, "ids", hot_tokens).select(_BLOCK, "token", "ids")
+    return _assemble(rows if keep_text else rows.drop(text), words, found, max_length)
+
+
+def _blocked(rows: DataFrame, text, max_length: int) -> DataFrame:
+    """The part of numbered rows' texts that fits, with their block: rows next to each other as written."""
+    block = F.shiftright(_ROW, BLOCK_BITS).alias(_BLOCK)
+    return rows.select(_ROW, block, F.substring_index(text, " ", max_length - 2).alias("fitting"))
+
+
+def _block_tokens(words: DataFrame) -> DataFrame:
+    """The distinct words of each block, written: far fewer than its words in most texts."""
+    tokens = words.filter("fitting <> ''").select(_BLOCK, F.explode(F.split("fitting", " ")).alias("token"))
+    return materialise(tokens.distinct(), "block-words")
+
+
+def _block_encoder(room: int):
+    """Arrow function from the rows of a block and the ids of its known words to ids of rows."""
+
+    def whole(table: pa.Table, name: str) -> pa.Array:
+        column = table.column(name)
+        return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+    def encode_block(rows: pa.Table, known: pa.Table) -> pa.Table:
+        texts, ids = whole(rows, "fitting"), whole(known, "ids")
+        # An empty text has no words, not an empty one.
+        words = pc.split_pattern(pc.if_else(pc.equal(texts, ""), None, texts), " ")
+        # The word after the known ones is the unknown one.
+        pool = np.append(ids.flatten().to_numpy(zero_copy_only=False), UNK).astype(np.int32)
+        sizes = np.append(fe.row_lengths(ids), 1)
+        found = pc.fill_null(pc.index_in(words.flatten(), value_set=whole(known, "token")), len(ids))
+        row_ids, lengths = fe.gather_rows(
+            found.to_numpy(zero_copy_only=False), fe.row_lengths(words), pool, sizes, room
+        )
+        ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+        return pa.table({_ROW: rows.column(_ROW), "found_ids": pa.ListArray.from_arrays(ends, pa.array(row_ids))})
+
+    return encode_block
+
+
+def _assemble(df: DataFrame, words: DataFrame, ids: DataFrame, max_length: int) -> DataFrame:
+    """Rows with their encoding, from the id arrays `ids` of the known words of each block."""
+    rows = words.groupBy(_BLOCK).cogroup(ids.groupBy(_BLOCK)).applyInArrow(
+        _block_encoder(max_length - 2), f"{_ROW} bigint, found_ids array<int>"
     )
-    found = lookup(words, "token", F.col(_ROW), split, "ids", hot_tokens)
-    return _assemble(rows if keep_text else rows.drop(text), found, max_length)
-
-
-def _assemble(df: DataFrame, ids: DataFrame, max_length: int) -> DataFrame:
-    """Rows with their encoding, from the id arrays `ids` of the words at `pos`."""
-    places = F.sort_array(F.collect_list(F.struct("pos", "ids"))).getField("ids")
-    body = F.slice(F.flatten(places), 1, max_length - 2)
-    rows = ids.groupBy(_ROW).agg(body.alias("found_ids"))
     found = F.coalesce(F.col("found_ids"), F.array().cast("array<int>"))
     whole = F.concat(F.array(F.lit(CLS)), found, F.array(F.lit(SEP)))
     encoding = F.struct(

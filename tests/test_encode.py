@@ -179,3 +179,17 @@ def test_long_batches_are_encoded_in_slices(spark, monkeypatch, pieces):
     want = [[101, 104, *films], [101, 102, 0, 0, 0], [101, 102, 0, 0, 0], [101, 105, 105, 105, 102], [101, 100, 104, 102, 0]]
     assert got == want * 400 + want[3:]
     assert sum(most) == 2002 and max(most) <= fe.SLICE_ROWS
+
+
+@pytest.mark.parametrize("pieces", [False, True])
+def test_a_word_of_many_rows_meets_the_vocabulary_once_a_block(spark, monkeypatch, pieces):
+    met = []
+    lookup = oe.lookup
+    monkeypatch.setattr(oe, "lookup", lambda rows, *rest: met.append(rows.count()) or lookup(rows, *rest))
+    vocab = spark.createDataFrame(SMALL, "token string, id int, n bigint")
+    text = F.concat_ws(" ", F.lit("good film"), F.col("id") % 2, F.lit("good"))
+    texts = spark.range(0, 2000, 1, 2).select(F.col("id").alias("doc_id"), text.alias("text"))
+    rows = oe.encode(texts, vocab, 6, pieces=pieces, max_tokens=0).select("encoding.*").distinct().collect()
+    assert [(r.input_ids, r.attention_mask) for r in rows] == [([101, 104, 105, 100, 104, 102], [1] * 6)]
+    # Two blocks of four distinct words, not 8,000 words.
+    assert met == [8]
