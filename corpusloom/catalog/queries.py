@@ -304,7 +304,9 @@ def wordpiece_encode(spark: SparkSession, folder: str) -> DataFrame:
 
 def wordpiece_encode_join(spark: SparkSession, folder: str) -> DataFrame:
     """Word pieces for vocabularies too large to broadcast, with few hot tokens."""
-    corpus, vocab = _corpus(spark, folder), _piece_vocab(spark, folder)
+    # Cleaned once, for the vocabulary and the rows.
+    corpus = materialise(_corpus(spark, folder), "corpus")
+    vocab = materialise(ov.build_piece_vocab(corpus, PIECE_WORDS, PIECES), "pieces")
     encoded = oe.encode_pieces_by_join(corpus, vocab, MAX_LENGTH, hot_tokens=100, keep_text=False)
     return encoded.select("doc_id", _joined("encoding.input_ids").alias("input_ids"))
 
