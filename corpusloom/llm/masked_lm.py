@@ -27,6 +27,8 @@ CLASSES, WIDTH, HIDDEN, REACH = 64, 16, 32, 2
 # them; networks are averaged after each.
 ROUNDS = 2
 BATCH, RATE = 4096, 0.08
+# Words are found by this many leading bits of their hash, which few of them share.
+_PREFIX = 18
 _SLICES, _PARTS = 8, 16
 
 
@@ -87,6 +89,10 @@ class Words:
         order = np.argsort(h)
         self.h, n, tail = h[order], n[order].astype(np.float64), tail[order]
         size = len(h)
+        # Where the hashes of each prefix start; a last one ends the search.
+        self.ends = np.append(self.h, np.uint64(0xFFFFFFFFFFFFFFFF))
+        prefixes = np.arange(1 << _PREFIX, dtype=np.uint64) << np.uint64(64 - _PREFIX)
+        self.first = np.searchsorted(self.h, prefixes).astype(np.int32)
         mass = np.concatenate([n, other + 1.0])
         total = mass.sum()
         self.size = size + BUCKETS
@@ -111,11 +117,15 @@ class Words:
         return {k: v for k, v in self.__dict__.items() if k != "counts"}
 
     def ids(self, h: np.ndarray) -> np.ndarray:
-        rare = len(self.h) + (h % np.uint64(BUCKETS)).astype(np.int64)
+        rare = len(self.h) + (h & np.uint64(BUCKETS - 1)).astype(np.int64)
         if not len(self.h):
             return rare
-        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-        return np.where(self.h[at] == h, at, rare)
+        at = self.first[(h >> np.uint64(64 - _PREFIX)).view(np.int64)]
+        behind = np.flatnonzero(self.ends[at] < h)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.ends[at[behind]] < h[behind]]
+        return np.where((self.ends[at] == h) & (at < len(self.h)), at, rare)
 
 
 def build_words(documents: DataFrame, text: str = "text", size: int = VOCABULARY) -> Words:
@@ -163,11 +173,22 @@ def contexts(ids: np.ndarray, bounds: np.ndarray, outside: int) -> np.ndarray:
     return out
 
 
+def _largest(z: np.ndarray) -> np.ndarray:
+    """The largest of each row as a column, by halves: whole columns are compared at once."""
+    while z.shape[1] > 1:
+        half = (z.shape[1] + 1) // 2
+        z = np.maximum(z[:, :half], z[:, -half:])
+    return z
+
+
 def forward(net: dict, around: np.ndarray):
-    x = net["e"][around].reshape(len(around), -1)
-    hidden = np.tanh(x @ net["w"] + net["b"])
-    z = hidden @ net["u"] + net["c"]
-    z -= z.max(axis=1, keepdims=True)
+    x = net["e"].take(around.reshape(-1), axis=0).reshape(len(around), -1)
+    hidden = x @ net["w"]
+    hidden += net["b"]
+    np.tanh(hidden, out=hidden)
+    z = hidden @ net["u"]
+    z += net["c"]
+    z -= _largest(z)
     e = np.exp(z)
     return x, hidden, z, e, e.sum(axis=1)
 
@@ -177,19 +198,25 @@ def train_step(net: dict, square: dict, around: np.ndarray, target: np.ndarray)
     x, hidden, z, e, total = forward(net, around)
     each = np.arange(len(target))
     loss = float(np.mean(np.log(total) - z[each, target]))
-    dz = e / total[:, None]
+    dz = np.divide(e, total[:, None], out=e)
     dz[each, target] -= 1.0
     dz /= len(target)
     dh = (dz @ net["u"].T) * (1.0 - hidden * hidden)
     dx = (dh @ net["w"].T).reshape(-1, WIDTH)
     grads = {"u": hidden.T @ dz, "c": dz.sum(axis=0), "w": x.T @ dh, "b": dh.sum(axis=0)}
-    flat = around.reshape(-1)
-    place = (flat[:, None] * WIDTH + np.arange(WIDTH)).reshape(-1)
-    size = net["e"].size
-    grads["e"] = np.bincount(place, weights=dx.reshape(-1), minlength=size).reshape(-1, WIDTH).astype(np.float32)
     for name, g in grads.items():
         square[name] += g * g
         net[name] -= RATE * g / np.sqrt(square[name])
+    # Only the vectors of the batch's own words move.
+    flat = around.reshape(-1)
+    rows = np.flatnonzero(np.bincount(flat, minlength=len(net["e"])))
+    at = np.zeros(len(net["e"]), np.int64)
+    at[rows] = np.arange(0, len(rows) * WIDTH, WIDTH)
+    place = (at[flat][:, None] + np.arange(WIDTH)).reshape(-1)
+    g = np.bincount(place, weights=dx.reshape(-1), minlength=len(rows) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
+    own = square["e"][rows] + g * g
+    square["e"][rows] = own
+    net["e"][rows] -= RATE * g / np.sqrt(own)
     return loss
 
 
@@ -224,10 +251,10 @@ def train_round(
         vocabulary, start = shared.value
         own = {k: v.copy() for k, v in start.items()}
         square = {k: np.full(v.shape, 1e-4, np.float32) for k, v in own.items()}
-        met, trained, waiting = np.zeros(len(own["e"])), 0, []
+        met, trained, waiting = np.zeros(len(own["e"]), np.int64), 0, []
 
         def learn(least: int) -> None:
-            nonlocal trained, waiting
+            nonlocal met, trained, waiting
             if sum(len(t) for _, t in waiting) < least or not waiting:
                 return
             around, target = (np.concatenate(x) for x in zip(*waiting))
@@ -235,7 +262,7 @@ def train_round(
             for k in range(0, whole, BATCH):
                 part = slice(k, min(k + BATCH, whole))
                 train_step(own, square, around[part], target[part])
-                np.add.at(met, around[part].reshape(-1), 1)
+                met += np.bincount(around[part].reshape(-1), minlength=len(met))
                 trained += part.stop - part.start
             waiting = [(around[whole:], target[whole:])] if whole < len(target) else []
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -120,6 +121,47 @@ def test_gradient_of_a_step():
         assert abs((net[name][at] - moved[name][at]) * 1e6 / lm.RATE - slope) < 1e-4
 
 
+def test_a_step_touches_its_own_words_alone():
+    rng = np.random.default_rng(3)
+    size, words_used = 500_000, np.array([7, 8, 499_999, 500_000])
+    net = {"e": rng.normal(0, 0.1, (size + 1, lm.WIDTH)).astype(np.float32)}
+    net |= {k: v for k, v in lm.first_network(4).items() if k != "e"}
+    square = {k: np.full(v.shape, 1e-4, np.float32) for k, v in net.items()}
+    around, target = rng.choice(words_used, (64, 2 * lm.REACH)), rng.integers(0, lm.CLASSES, 64)
+
+    # What a step does to the vectors, over the whole table.
+    x, hidden, z, e, total = lm.forward(net, around)
+    dz = e / total[:, None]
+    dz[np.arange(64), target] -= 1.0
+    dz /= 64
+    dx = ((dz @ net["u"].T) * (1.0 - hidden * hidden)) @ net["w"].T
+    g = np.zeros((size + 1, lm.WIDTH))
+    np.add.at(g, around.reshape(-1), dx.reshape(-1, lm.WIDTH).astype(np.float64))
+    g = g.astype(np.float32)
+    wanted = net["e"] - lm.RATE * g / np.sqrt(np.float32(1e-4) + g * g)
+
+    tracemalloc.start()
+    lm.train_step(net, square, around, target)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(net["e"], wanted)
+    assert np.flatnonzero((square["e"] != np.float32(1e-4)).any(axis=1)).tolist() == words_used.tolist()
+    assert held < net["e"].nbytes // 2
+
+
+def test_ids_by_prefix_equal_a_search():
+    rng = np.random.default_rng(4)
+    top = (1 << 64) - 1
+    crowded = [0, 1, 5, 1 << 63, (1 << 63) + 3, top - 1]
+    held = np.unique(np.array(crowded + rng.integers(0, 1 << 63, 200).tolist(), np.uint64))
+    asked = np.concatenate([held, np.array([2, 6, (1 << 63) + 1, top], np.uint64), rng.integers(0, 1 << 63, 500).astype(np.uint64)])
+    for some in (held, np.append(held, np.uint64(top)), held[:0]):
+        ones = np.ones(len(some), np.int64)
+        known = lm.Words(some, ones, ones, np.zeros(lm.BUCKETS, np.int64))
+        at = {int(h): k for k, h in enumerate(some)}
+        assert known.ids(asked).tolist() == [at.get(h, len(some) + h % lm.BUCKETS) for h in asked.tolist()]
+
+
 def test_neighbours_stay_in_their_document():
     around = lm.contexts(np.array([1, 2, 3, 4]), np.array([0, 3, 3, 4]), 9)
     assert around.tolist() == [[9, 9, 2, 3], [9, 1, 3, 9], [1, 2, 9, 9], [9, 9, 9, 9]]
