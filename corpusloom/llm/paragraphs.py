@@ -198,6 +198,12 @@ def _part(key: str, at: int):
     return F.split(F.col(key), ":")[at].cast("long")
 
 
+def _held(keys: DataFrame) -> DataFrame:
+    """A side with one row a key, to be joined to a much longer one: a task holds its share of the keys and the
+    long side is not sorted."""
+    return keys.hint("shuffle_hash")
+
+
 def candidate_buckets(paragraphs: DataFrame) -> DataFrame:
     """`(k1, k2, bucket)` of the band buckets with more than one shingle set.
 
@@ -210,7 +216,7 @@ def candidate_buckets(paragraphs: DataFrame) -> DataFrame:
     mixed = rows.groupBy("bucket").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).filter(
         "low <> high"
     ).select("bucket")
-    return rows.join(materialise(mixed, "buckets"), "bucket").distinct()
+    return rows.join(_held(materialise(mixed, "buckets")), "bucket").distinct()
 
 
 def cluster_paragraphs(
@@ -218,11 +224,11 @@ def cluster_paragraphs(
 ) -> DataFrame:
     """`(k1, k2, c1, c2)`: the cluster of each distinct paragraph that is like another one.
 
-    `members` are the sets of the candidate buckets, `places` has the first document and
-    number of each.  The sets of a bucket are counted in tasks of about `GROUP`, every pair
+    `members` are the sets of the candidate buckets, `places` has the first document of each
+    and a number there.  The sets of a bucket are counted in tasks of about `GROUP`, every pair
     of parts of a larger bucket in its own, so no candidate is left out.
     """
-    wanted = places.join(members.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").select("p.doc_id", "p.unit")
+    wanted = places.join(members.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").select("doc_id", "unit")
     sets = materialise(_full_sets(documents, wanted, shingle, least), "sets")
 
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -257,9 +263,11 @@ def repeated_paragraphs(
     members = materialise(candidate_buckets(paragraphs), "members")
     # One pass over the paragraphs for what occurs twice and where candidates stand first.
     ones = members.select("k1", "k2").distinct().withColumn("candidate", F.lit(True))
-    place = F.struct(F.col("doc_id").alias("doc_id"), F.col("unit").alias("unit"))
-    counted = paragraphs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p"))
-    needed = materialise(counted.join(ones, ["k1", "k2"], "left").filter("n > 1 or candidate"), "needed")
+    # Any place in the first document does: all paragraphs with these sums have the same set.
+    counted = paragraphs.groupBy("k1", "k2").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"), F.min_by("unit", "doc_id").alias("unit")
+    )
+    needed = materialise(counted.join(_held(ones), ["k1", "k2"], "left").filter("n > 1 or candidate"), "needed")
     near = materialise(
         cluster_paragraphs(documents, members, needed.filter("candidate"), shingle, percent, least), "clusters"
     )
@@ -270,11 +278,11 @@ def repeated_paragraphs(
         "repeated",
     )
     slim = paragraphs.withColumn("_key", F.xxhash64("k1", "k2")).drop("mins", "k1", "k2")
-    found = materialise(slim.join(repeated, "_key").drop("_key"), "found")
+    found = materialise(slim.join(_held(repeated), "_key").drop("_key"), "found")
     first = found.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "unit")).alias("leader"))
     keyed = found.withColumn("_c", F.xxhash64("c1", "c2"))
     firsts = first.select(F.xxhash64("c1", "c2").alias("_c"), "leader").dropDuplicates(["_c"])
-    return keyed.join(firsts, "_c").select(
+    return keyed.join(_held(firsts), "_c").select(
         "doc_id", "unit", "start", "length", "first", "last", "total", (F.col("last") - F.col("first")).alias("n_words"),
         F.col("_c").alias("cluster"),
         (F.struct("doc_id", "unit") == F.col("leader")).alias("kept"),
@@ -350,7 +358,7 @@ def repeated_pieces(documents: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("leader")
     )
     repeated = materialise(counted.filter("n > 1").drop("n"), "repeated_pieces")
-    return rows.join(repeated, "key").select(
+    return rows.join(_held(repeated), "key").select(
         *_MATCH[:-2], F.col("key").alias("cluster"), (F.struct("doc_id", "start") == F.col("leader")).alias("kept"),
     )
 
@@ -378,14 +386,16 @@ def rim_matches(found: DataFrame) -> DataFrame:
         before & (F.col("low") > 0) & (F.col("first") - F.col("low") < RIM),
         after & (F.col("high") < F.col("total")) & (F.col("high") - F.col("last") < RIM),
     )
+    flags = [c.alias(f"{name}{k}") for name, both in (("has", (before, after)), ("ask", asks)) for k, c in enumerate(both)]
+    # A row a match is shuffled, whatever its sides; they part after the join.
+    rows = materialise(ends.filter(before | after).select(*_PLACES, *flags), "rims")
+    wanted = rows.filter("ask0 or ask1").groupBy("cluster").agg(*[F.max(f"ask{k}").alias(f"wanted{k}") for k in (0, 1)])
     sides = F.array(*[
-        F.when(has, F.struct(F.lit(k).alias("side"), ask.alias("asked"))) for k, (has, ask) in enumerate(zip((before, after), asks))
+        F.when(F.col(f"has{k}") & F.col(f"wanted{k}"), F.struct(F.lit(k).alias("side"), F.col(f"ask{k}").alias("asked")))
+        for k in (0, 1)
     ])
     one = F.explode(F.filter(sides, lambda x: x.isNotNull()))
-    rows = ends.select(*_PLACES, one.alias("one")).select(*_PLACES, "one.*")
-    rows = materialise(rows.withColumn("place", F.xxhash64("cluster", "side")), "rims")
-    wanted = materialise(rows.filter("asked").select("place").distinct(), "wanted_rims")
-    return rows.join(wanted, "place").drop("place")
+    return rows.join(_held(materialise(wanted, "wanted_rims")), "cluster").select(*_PLACES, one.alias("one")).select(*_PLACES, "one.*")
 
 
 def _surroundings(documents: DataFrame, spans: DataFrame) -> DataFrame:
@@ -422,6 +432,21 @@ def _binary(values: np.ndarray, count: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(edges), pa.py_buffer(values.tobytes())])
 
 
+def _planes(values: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The bytes of `_binary` with those of equal weight next to each other in a row: small numbers then pack well."""
+    start = np.cumsum(count) - count
+    place = np.repeat(3 * start, count) + np.arange(len(values))
+    wide, out = np.repeat(count, count), np.empty(4 * len(values), np.uint8)
+    for k in range(4):
+        out[place + k * wide] = values >> (8 * k) & 0xFF
+    return out
+
+
+def _from_planes(data: np.ndarray, start: np.ndarray, count: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Number `at` of each row of `count` values whose planes start at byte `start`."""
+    return sum(data[start + k * count + at].astype(np.int64) << (8 * k) for k in range(4))
+
+
 def _beyond(ids, sides: pa.RecordBatch, row, begin, end, short, bounds, origin) -> pa.RecordBatch:
     """`sides` of the rows `row` of a block of texts, with the words beyond them."""
     first, last, start, length, side = (
@@ -440,10 +465,11 @@ def _beyond(ids, sides: pa.RecordBatch, row, begin, end, short, bounds, origin)
     step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
     after = side[of] == 1
     word = np.where(after, l[of] + step, f[of] - 1 - step)
-    reach = np.where(after, end[word] - end[l[of] - 1], begin[f[of]] - begin[word])[asked[of]].astype("<i4")
+    reach = np.where(after, end[word] - end[l[of] - 1], begin[f[of]] - begin[word])[asked[of]]
+    told = np.where(asked, count, 0)
     keep = pa.array(fits)
     found = sides.select([*_PLACES[1:], "side", "asked"]).filter(keep)
-    columns = [ids.filter(keep), *found.columns, _binary(short[word], count), _binary(reach, np.where(asked, count, 0))]
+    columns = [ids.filter(keep), *found.columns, _binary(short[word], count), _binary(_planes(reach, told), told)]
     return pa.RecordBatch.from_arrays(columns, [*_PLACES, "side", "asked", "words", "reach"])
 
 
@@ -531,9 +557,9 @@ def _equal_runs(rows: pa.RecordBatch) -> np.ndarray:
 def _measured_rows(rows: pa.RecordBatch, more: np.ndarray, rims: int) -> Iterator[pa.RecordBatch]:
     """Asked rows with their runs; the first `rims` rows, asked or not, keep their words to be compared once more."""
     values, off = _flat(rows.column("reach"))
-    chars = np.zeros(len(more), np.int64)
-    told = (more > 0) & (np.diff(off) > 0)
-    chars[told] = values[off[:-1][told] + more[told] - 1]
+    chars, count = np.zeros(len(more), np.int64), np.diff(off)
+    told = (more > 0) & (count > 0)
+    chars[told] = _from_planes(values.view(np.uint8), 4 * off[:-1][told], count[told], more[told] - 1)
     rim = np.arange(len(more)) < rims
     for part, rest in ((rim, False), (~rim & rows.column("asked").to_numpy(zero_copy_only=False), True)):
         if part.any():
@@ -547,7 +573,8 @@ def _measured_rows(rows: pa.RecordBatch, more: np.ndarray, rims: int) -> Iterato
 
 def _measured(row: dict, more: int) -> dict:
     """A rim with its run."""
-    chars = int(np.frombuffer(row["reach"], "<i4")[more - 1]) if more and row["reach"] else 0
+    data = np.frombuffer(row["reach"] or b"", np.uint8)
+    chars = int(_from_planes(data, 0, len(data) // 4, more - 1)) if more and len(data) else 0
     return {**row, "more": more, "chars": chars}
 
 

@@ -281,3 +281,31 @@ def test_langid_rejects_only_what_has_no_language(spark, documents):
     want = {r.doc_id for r in documents.collect() if any(c.isalpha() for c in r.text or "")}
     assert {r.doc_id for r in kept.collect()} == want
     assert langid.UNDETERMINED == "und"
+
+
+def test_rims_are_a_row_a_match(spark, monkeypatch):
+    written = {}
+    real = pg.materialise
+    monkeypatch.setattr(pg, "materialise", lambda df, name: written.setdefault(name, real(df, name)))
+    kind = "doc_id long, start long, length long, first int, last int, total int, cluster long, kept boolean"
+    # Cluster 5 stands amid two texts and fills a third, 6 stands at the start of its text.
+    matches = [
+        (1, 10, 90, 2, 20, 30, 5, True), (2, 50, 90, 9, 27, 40, 5, False), (3, 0, 90, 0, 18, 18, 5, False),
+        (4, 0, 60, 0, 12, 50, 6, True), (5, 7, 60, 1, 13, 13, 6, False),
+    ]
+    found = pg.rim_matches(spark.createDataFrame(matches, kind))
+    sides = sorted((r.doc_id, r.cluster, r.side, r.asked) for r in found.collect())
+    assert sides == [(1, 5, 0, True), (1, 5, 1, True), (2, 5, 0, True), (2, 5, 1, True), (4, 6, 1, True), (5, 6, 0, True)]
+    assert written["rims"].count() == 4
+
+
+def test_lengths_in_planes_come_back():
+    rng = np.random.default_rng(1)
+    count = np.array([0, 3, 1, 0, 48, 2])
+    values = rng.integers(0, 1 << 31, count.sum()).astype("<i4")
+    values[:3] = 0, 255, (1 << 31) - 1
+    data, start = pg._planes(values, count), np.cumsum(count) - count
+    for row in np.flatnonzero(count):
+        for at in range(count[row]):
+            one = pg._from_planes(data, 4 * start[row : row + 1], count[row : row + 1], np.array([at]))
+            assert one.tolist() == [values[start[row] + at]]
