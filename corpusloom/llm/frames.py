@@ -7,12 +7,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.session import parallelism
+from corpusloom.session import BATCH_ROWS, parallelism, small_batches  # noqa: F401
 
 # A side is broadcast only if counted below this many rows of a few bytes each.
 BROADCAST_ROWS = 500_000
-# Rows handed to Python at once; texts of 2 KB make 4 MB.
-BATCH_ROWS = 2_000
 # Parts a hot key's rows are spread over in a join.
 SALTS = 8
 
@@ -38,17 +36,6 @@ def few(df: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
     return df.limit(bound + 1).count() <= bound
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Have the session hand Python at most `rows` rows at once, so that both sides hold less.
-
-    A smaller setting stays.
-    """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > rows:
-        spark.conf.set(name, str(rows))
-
-
 def without_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is not in `keys`; `df` stays in place while the keys are few."""
     return df.join(F.broadcast(keys) if few(keys) else keys, on, "left_anti")

@@ -11,7 +11,7 @@ from corpusloom.functions import encode as fe, wordpiece as fw
 from corpusloom.operators.lookup import HOT_TOKENS, lookup
 from corpusloom.operators.pieces import split_words
 from corpusloom.schemas import CLS, MAX_LENGTH, SEP, UNK
-from corpusloom.session import materialise
+from corpusloom.session import materialise, small_batches
 
 # A vocabulary is broadcast only below both bounds; beyond them the join form takes over.
 BROADCAST_TOKENS = 1_000_000
@@ -63,7 +63,12 @@ def encode_with(
     df: DataFrame, shared, max_length: int = MAX_LENGTH, text: str = "text",
     pieces: bool = False, pretrained_words: bool = False,
 ) -> DataFrame:
-    """`encode` against a vocabulary that `broadcast_vocab` accepted: narrow, order kept."""
+    """`encode` against a vocabulary that `broadcast_vocab` accepted: narrow, order kept.
+
+    The session then hands Python a bounded number of rows at once: what a worker holds is
+    the words of those, however many rows a task has.
+    """
+    small_batches(df.sparkSession)
     column = fw.spread_marks(F.col(text)) if pretrained_words else F.col(text)
     words = fe.leading_words(column, max_length)
     if pieces:

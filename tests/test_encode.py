@@ -1,13 +1,14 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.wordpiece import split_word
 from corpusloom.operators import encode as oe, vocab as ov
 from corpusloom.schemas import MAX_LENGTH
-from corpusloom.session import scratch_path
+from corpusloom.session import BATCH_ROWS, scratch_path
 
 SMALL = [("good", 104, 9), ("film", 105, 5)]
 CASES = [
@@ -28,6 +29,30 @@ def test_cases(spark, form):
     assert [(list(r.encoding.input_ids), list(r.encoding.attention_mask)) for r in rows] == [c[1:] for c in CASES]
 
 
+def test_python_gets_a_bounded_number_of_rows_at_once(spark):
+    """However many rows a task has, and whatever larger number the session allows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        vocab = spark.createDataFrame(SMALL, "token string, id int, n bigint")
+        texts = spark.range(0, 6000, 1, 1).select(F.concat(F.lit("good film "), F.col("id")).alias("text"))
+        encoded = oe.encode(texts, vocab, 8)
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+        seen = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+        assert sum(seen) == 6000 and max(seen) <= BATCH_ROWS
+        assert encoded.filter("encoding.input_ids[2] = 105").count() == 6000
+        spark.conf.set(name, "500")
+        oe.encode(texts, vocab, 8)
+        assert spark.conf.get(name) == "500"
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_no_rows(spark):
     vocab = spark.createDataFrame(SMALL, "token string, id int, n bigint")
     texts = spark.createDataFrame([], "doc_id bigint, text string")
